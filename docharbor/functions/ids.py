@@ -47,7 +47,7 @@ def _escaped_char(ch: Column) -> Column:
         .when(ch == "\b", F.lit("\\b"))
         .when(ch == "\f", F.lit("\\f"))
         .when(ch.rlike("^[ -~]$"), ch)
-        .otherwise(F.regexp_replace(units, "(.{4})", r"\\\\u$1"))
+        .otherwise(F.regexp_replace(units, "(.{4})", r"\\u$1"))
     )
 
 

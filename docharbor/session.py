@@ -21,6 +21,7 @@ def local_session(name: str = "docharbor", cores: str = "*", **conf: str) -> Spa
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     )
