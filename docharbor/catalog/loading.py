@@ -157,3 +157,117 @@ def stream_micro_batches(t: Tables) -> DataFrame:
     running = writer.trigger(availableNow=True).start()
     running.awaitTermination()
     return dataset.read("users").select("user_id", "event_id")
+
+
+@query(
+    f"""
+with l2 as ({sql_lines(LONG_LINES, SECOND_LANG)}), w2 as ({sql_words("select * from l2")})
+select 'lines' as level, parent as _root_id, place::bigint as _list_idx, line as "value" from l2
+union all
+select 'words', root_id, place::bigint, word from w2
+"""
+)
+def load_replace_chain(t: Tables) -> DataFrame:
+    """Replacing a chain leaves no child row of the run before."""
+    dataset = fresh_dataset(t, "load_replace")
+    spec = LoadSpec("documents", "replace")
+    run_load(dataset, [(spec, nested_documents(t))], "load-1")
+    run_load(dataset, [(spec, nested_documents(t, LONG_LINES).filter(SECOND_LANG))], "load-2")
+    index = F.col(LIST_IDX).cast("bigint").alias(LIST_IDX)
+    lines = dataset.read("documents__lines").select(
+        F.lit("lines").alias("level"), ROOT_ID, index, F.col("line").alias("value")
+    )
+    words = dataset.read("documents__lines__words").select(
+        F.lit("words").alias("level"), ROOT_ID, index, "value"
+    )
+    return lines.unionByName(words)
+
+
+@query(
+    f"""
+select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice,
+       epoch_us(o_orderdate) // 1000000 as o_orderdate
+from orders
+order by cast(o_totalprice as decimal(18,2)) desc, {sql_merge_id("shop_orders", "o_orderkey")}
+limit 50
+"""
+)
+def default_sort_page(t: Tables) -> DataFrame:
+    """Hinted columns are stored as numbers; a page comes in the default order of its table."""
+    dataset = fresh_dataset(t, "sorted")
+    spec = LoadSpec(
+        "orders",
+        "merge",
+        primary_key="o_orderkey",
+        field_hints={"o_totalprice": {"type": "float"}, "o_orderdate": {"type": "int64"}},
+        table_hints={"default_sorting_field": "o_totalprice"},
+    )
+    rows = t.orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    run_load(dataset, [(spec, rows)], "load-1")
+    return dataset.browse("orders", per_page=50).select("o_orderkey", "o_totalprice", "o_orderdate")
+
+
+@query("select o_orderkey, o_orderstatus from orders where o_orderstatus <> 'F'")
+def load_delete_by_filter(t: Tables) -> DataFrame:
+    dataset = fresh_dataset(t, "deleted")
+    run_load(dataset, [(LoadSpec("orders", "merge", primary_key="o_orderkey"), t.orders)], "load-1")
+    dataset.delete_where("orders", F.col("o_orderstatus") == "F")
+    return dataset.read("orders").select("o_orderkey", "o_orderstatus")
+
+
+@query(
+    f"""
+with batch as ({SQL_CHANGES})
+select coalesce(b.c_custkey, c.c_custkey) as c_custkey, coalesce(b.c_name, c.c_name) as c_name,
+       coalesce(b.c_nationkey, c.c_nationkey) as c_nationkey,
+       coalesce(b.c_acctbal, c.c_acctbal) as c_acctbal,
+       coalesce(b.c_mktsegment, c.c_mktsegment) as c_mktsegment
+from customer c full join batch b on c.c_custkey = b.c_custkey
+"""
+)
+def load_emplace(t: Tables) -> DataFrame:
+    dataset = fresh_dataset(t, "emplaced")
+    spec = LoadSpec("customer", "merge", primary_key="c_custkey", action="emplace")
+    run_load(dataset, [(spec, t.customer)], "load-1")
+    run_load(dataset, [(spec, customer_changes(t).drop("id"))], "load-2")
+    return dataset.read("customer").select(*CUSTOMER)
+
+
+@query(
+    f"""
+with batch as ({SQL_CHANGES})
+select * from customer
+union all
+select * from batch b where not exists (select 1 from customer c where c.c_custkey = b.c_custkey)
+"""
+)
+def load_insert_only(t: Tables) -> DataFrame:
+    dataset = fresh_dataset(t, "inserted")
+    spec = LoadSpec("customer", "merge", primary_key="c_custkey", strategy="insert-only")
+    run_load(dataset, [(spec, t.customer)], "load-1")
+    run_load(dataset, [(spec, customer_changes(t).drop("id"))], "load-2")
+    return dataset.read("customer").select(*CUSTOMER)
+
+
+@query(
+    """
+select count(*) filter (l.quality is not null) as loaded,
+       count(*) filter (l.quality is null) as quarantined
+from documents d left join labels l on d.doc_id = l.doc_id
+"""
+)
+def load_quarantine(t: Tables) -> DataFrame:
+    """Rejected rows of a load are kept apart with their reasons."""
+    dataset = fresh_dataset(t, "quarantine")
+    rows = t.documents.select("doc_id").join(t.labels, "doc_id", "left")
+    spec = LoadSpec(
+        "labels",
+        "merge",
+        primary_key="doc_id",
+        field_hints={"quality": {"optional": False}},
+        on_reject="quarantine",
+    )
+    run_load(dataset, [(spec, rows)], "load-1")
+    good = dataset.read("labels").agg(F.count(F.lit(1)).alias("loaded"))
+    bad = dataset.rejects("labels", "load-1").agg(F.count(F.lit(1)).alias("quarantined"))
+    return good.join(bad)

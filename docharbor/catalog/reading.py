@@ -91,6 +91,14 @@ def json_lines_source(t: Tables) -> DataFrame:
     return rows
 
 
+@query("select doc_id, lang, text from documents")
+def json_source(t: Tables) -> DataFrame:
+    """JSON files with long text and every kind of character, read with a given schema."""
+    path = written(t, "json_source")
+    t.documents.write.mode("overwrite").json(path)
+    return files.read_json(t.spark, path, "doc_id bigint, lang string, text string")
+
+
 @query("select count(*) as bad_lines from events where event_type = 'error'")
 def json_lines_rejects(t: Tables) -> DataFrame:
     """Lines that are no JSON object are rejects; blank lines are skipped."""
@@ -115,6 +123,16 @@ def csv_source(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path, schema)
 
 
+@query("select count(*) as total, true as bounded from lineitem")
+def file_sharding(t: Tables) -> DataFrame:
+    """A table cut into files of at most 5,000 rows keeps every row."""
+    path = written(t, "file_sharding")
+    t.lineitem.write.mode("overwrite").option("maxRecordsPerFile", 5000).parquet(path)
+    rows = files.read_parquet(t.spark, path, with_origin=True)
+    per_file = rows.groupBy(files.ORIGIN[0]).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.agg(F.sum("n").alias("total"), (F.max("n") <= 5000).alias("bounded"))
+
+
 @query("select count(*) as total, count(*) as places from lineitem")
 def parquet_origin(t: Tables) -> DataFrame:
     """File and row number name every row of a Parquet source, with no shuffle."""

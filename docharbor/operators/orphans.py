@@ -18,9 +18,13 @@ def _need(df: DataFrame, label: str, *columns: str) -> None:
 
 
 def root_ids(root_batch: DataFrame) -> DataFrame:
-    """Row ids of the root rows of a load."""
+    """Row ids of the root rows of a load.
+
+    They serve semi- and anti-joins only, where a repeated id changes nothing, so they are
+    not made distinct by a shuffle of their own.
+    """
     _need(root_batch, "the root table", ROW_ID)
-    return root_batch.select(F.col(ROW_ID).alias(ROOT_ID)).distinct()
+    return root_batch.select(F.col(ROW_ID).alias(ROOT_ID))
 
 
 def existing_children(child_target: DataFrame, roots: DataFrame) -> DataFrame:

@@ -149,8 +149,20 @@ class Dataset:
         except AnalysisException as missing:
             raise LoadError(f"dataset '{self.name}' has no table '{table}'") from missing
 
-    def _rows(self, schema: T.StructType, *rows: Mapping[str, Any]) -> DataFrame:
-        return self.spark.createDataFrame([tuple(r[n] for n in schema.names) for r in rows], schema)
+    def _row(self, schema: T.StructType, row: Mapping[str, Any]) -> DataFrame:
+        """One row in one partition, so that writing it makes one file."""
+        values = []
+        for f in schema.fields:
+            value = row[f.name]
+            if isinstance(value, dict):
+                pairs = [F.lit(x) for pair in value.items() for x in pair]
+                value = F.create_map(*pairs) if pairs else F.create_map()
+            values.append((value if isinstance(value, Column) else F.lit(value)).cast(f.dataType).alias(f.name))
+        return self.spark.range(0, 1, 1, 1).select(*values)
+
+    def _no_rows(self, schema: T.StructType) -> DataFrame:
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return self.spark.range(0, 0, 1, 1).select(*nulls)
 
     # Life cycle
 
@@ -165,7 +177,7 @@ class Dataset:
             (STATE, system.STATE_SCHEMA),
         ):
             if not self._exists(self._folder(table)):
-                self._rows(schema).write.mode("append").parquet(self._folder(table))
+                self._no_rows(schema).write.mode("append").parquet(self._folder(table))
         names = list(truncate)
         if names:
             self.truncate(names)
@@ -226,8 +238,8 @@ class Dataset:
                 "version_hash": digest,
                 "schema": text,
             }
-            rows = system.with_version_id(self._rows(system.VERSION_SCHEMA, row))
-            rows.select(*system.VERSION_SCHEMA.names).coalesce(1).write.mode("append").parquet(
+            rows = system.with_version_id(self._row(system.VERSION_SCHEMA, row))
+            rows.select(*system.VERSION_SCHEMA.names).write.mode("append").parquet(
                 self._folder(VERSIONS)
             )
         return digest
@@ -257,10 +269,10 @@ class Dataset:
             "created_at": utc_now(),
             "_load_id": load_id,
         }
-        rows = self._rows(system.STATE_SCHEMA, row).withColumn(
+        rows = self._row(system.STATE_SCHEMA, row).withColumn(
             ID, system_row_id(F.lit("state"), F.col("pipeline_name"), F.col(LOAD_ID))
         )
-        rows.select(*system.STATE_SCHEMA.names).coalesce(1).write.mode("append").parquet(
+        rows.select(*system.STATE_SCHEMA.names).write.mode("append").parquet(
             self._folder(STATE)
         )
 
@@ -290,7 +302,7 @@ class Dataset:
             "seq": (loads.agg(F.max("seq")).first()[0] or 0) + 1,
             "layout": {name: layout.dumps() for name, layout in changed.items()},
         }
-        self._rows(system.LOADS_SCHEMA, row).coalesce(1).write.mode("append").parquet(
+        self._row(system.LOADS_SCHEMA, row).write.mode("append").parquet(
             self._folder(LOADS)
         )
 
@@ -331,7 +343,7 @@ class Dataset:
                 paths += [f"{folder}/{BUCKET}={b}" for b in live]
         schema = layout.spark_schema
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return self._no_rows(schema)
         rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         return rows.select(*[F.col(f"`{n}`") for n in schema.names])
 
@@ -366,6 +378,25 @@ class Dataset:
             self.commit(load_id, {table: layout})
         return matching
 
+    def remove_unreferenced(self) -> int:
+        """Delete folders that no table is made of any more; gives how many there were.
+
+        Run it when no load and no reader of an older state is active.
+        """
+        removed = 0
+        for name, layout in self.layouts().items():
+            live = {part.path for part in layout.parts}
+            file_system, table = self._file_system(self._folder(name))
+            if not file_system.exists(table):
+                continue
+            for load in file_system.listStatus(table):
+                for part in file_system.listStatus(load.getPath()):
+                    path = f"{load.getPath().getName()}/{part.getPath().getName()}"
+                    if path not in live:
+                        file_system.delete(part.getPath(), True)
+                        removed += 1
+        return removed
+
     def write_part(
         self,
         rows: DataFrame,
@@ -376,11 +407,14 @@ class Dataset:
         buckets: int,
         *,
         rebalance: bool = False,
+        max_rows_per_file: int = 0,
+        sort_by: str | None = None,
     ) -> Written:
         """Write rows, good ones apart from rejected ones, and count both from the files.
 
         Counting what was written stays exact when tasks are run again. Running a load
-        again overwrites its own folders and nothing else.
+        again overwrites its own folders and nothing else. Files sorted by ``sort_by`` let
+        range filters on that column skip row groups.
         """
         if ERRORS not in rows.columns:
             rows = rows.withColumn(ERRORS, F.lit(None).cast(ERROR_TYPE))
@@ -390,8 +424,11 @@ class Dataset:
         )
         if rebalance:
             placed = placed.hint("rebalance", BUCKET)
+        if sort_by is not None and sort_by in rows.columns:
+            placed = placed.sortWithinPartitions(OK, BUCKET, F.col(f"`{sort_by}`").desc())
         path = f"_load={load_id}/_part={step}"
-        placed.write.mode("overwrite").partitionBy(OK, BUCKET).parquet(self._folder(table, path))
+        writer = placed.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file)
+        writer.partitionBy(OK, BUCKET).parquet(self._folder(table, path))
         counts = (
             self.read_part(rows.schema, table, path).groupBy(OK, BUCKET).count().collect()
         )

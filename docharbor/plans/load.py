@@ -192,7 +192,7 @@ class _Resource:
     # Writing
 
     def _write_batch(
-        self, name: str, documents: DataFrame, layout: Layout, rebalance: bool
+        self, name: str, documents: DataFrame, layout: Layout
     ) -> tuple[Written, DataFrame]:
         bucketed = self.spec.disposition == "merge"
         written = self.dataset.write_part(
@@ -202,7 +202,9 @@ class _Resource:
             "batch",
             layout.bucket_by if bucketed else None,
             layout.buckets,
-            rebalance=bucketed and rebalance,
+            rebalance=bucketed,
+            max_rows_per_file=self.spec.max_rows_per_file,
+            sort_by=_sorting(layout),
         )
         outcome = TableResult(written.total, written.failed)
         self.result.tables[name] = outcome
@@ -245,7 +247,7 @@ class _Resource:
         name = self.spec.name
         documents = self._reconciled(name, self._documents(name, rows, True))
         layout = self._layout(name, documents.schema, self._fields(name, rows.schema, True), True)
-        written, staged = self._write_batch(name, documents, layout, rebalance=True)
+        written, staged = self._write_batch(name, documents, layout)
         layout.parts = self._parts(name, layout, written, staged, None)
         self.changed[name] = layout
         return staged
@@ -266,7 +268,7 @@ class _Resource:
         documents = self._reconciled(name, self._documents(name, rows, False))
         documents = self._of_loaded_roots(documents, roots)
         layout = self._layout(name, documents.schema, self._fields(name, rows.schema, False), False)
-        written, staged = self._write_batch(name, documents, layout, rebalance=True)
+        written, staged = self._write_batch(name, documents, layout)
         layout.parts = self._parts(name, layout, written, staged, roots)
         self.changed[name] = layout
 
@@ -339,7 +341,14 @@ class _Resource:
         target = self.dataset.read_layout(name, replace(old, schema=layout.schema), buckets)
         fresh = dispositions.new_rows(target, staged)
         added = self.dataset.write_part(
-            fresh, name, self.load_id, "new", layout.bucket_by, layout.buckets, rebalance=True
+            fresh,
+            name,
+            self.load_id,
+            "new",
+            layout.bucket_by,
+            layout.buckets,
+            rebalance=True,
+            sort_by=_sorting(layout),
         )
         return [*old.parts, *([added.part] if added.part.buckets else [])]
 
@@ -378,7 +387,14 @@ class _Resource:
                 target = orphans.without_stale(target, root_ids, staged)
             merged = dispositions.emplace(target, staged)
             rewritten = self.dataset.write_part(
-                merged, name, self.load_id, "merged", layout.bucket_by, layout.buckets, rebalance=True
+                merged,
+                name,
+                self.load_id,
+                "merged",
+                layout.bucket_by,
+                layout.buckets,
+                rebalance=True,
+                sort_by=_sorting(layout),
             )
             batch = []
         else:
@@ -415,10 +431,21 @@ class _Resource:
             rebalance = True
         kept = kept.select(*[F.col(f"`{c}`") for c in target.columns])
         return self.dataset.write_part(
-            kept, name, self.load_id, "kept", layout.bucket_by, layout.buckets, rebalance=rebalance
+            kept,
+            name,
+            self.load_id,
+            "kept",
+            layout.bucket_by,
+            layout.buckets,
+            rebalance=rebalance,
+            sort_by=_sorting(layout),
         )
 
 
+def _sorting(layout: Layout) -> str | None:
+    return layout.fields.get("default_sorting_field")
+
+
 def _broadcast_limit(dataset: Dataset) -> int:
     """Session limit for broadcast tables in bytes."""
     text = str(dataset.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().rstrip("b")
