@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docharbor.errors import ConfigError, RejectedRows
+from docharbor.errors import MAX_SAMPLES, ConfigError, RejectedRows
 from docharbor.functions.names import column_name
 from docharbor.plans.dataset import Dataset, new_load_id
 from docharbor.plans.load import LoadResult, run_load
@@ -106,16 +106,12 @@ def _changed(
     if "boundary" in before:
         seen = dataset.spark.read.parquet(f"{dataset.path}/{before['boundary']}")
     missing = incremental.null_cursors(source, cursor)
-    if "last" not in before:
-        found = missing.count()
-        if found:
-            raise RejectedRows(
-                sync.target,
-                load_id,
-                found,
-                source.count(),
-                [r[0] for r in missing.select(F.to_json(F.struct("*"))).limit(5).collect()],
-            )
+    found = missing.count()
+    if found:
+        documents = missing.select(F.to_json(F.struct("*"))).limit(MAX_SAMPLES).collect()
+        raise RejectedRows(
+            sync.target, load_id, found, source.count(), [f"{cursor} is null: {d[0]}" for d in documents]
+        )
     batch = incremental.delta(source, cursor, last, key=key, seen=seen)
     if limit is not None:
         batch = incremental.limited(batch, cursor, limit, key)

@@ -18,5 +18,5 @@ def read_pages(
     spark: SparkSession, path: str, item: T.DataType | str, selector: str = "items"
 ) -> DataFrame:
     """Items of a folder of pages, one page per file."""
-    pages = spark.read.option("wholetext", True).text(path)
+    pages = spark.read.text(path, wholetext=True)
     return unnest(pages, "value", item, selector)
