@@ -251,9 +251,9 @@ def load_insert_only(t: Tables) -> DataFrame:
 
 @query(
     """
-select count(*) filter (l.quality is not null) as loaded,
-       count(*) filter (l.quality is null) as quarantined
-from documents d left join labels l on d.doc_id = l.doc_id
+select case when l.quality is null then 'quarantined' else 'loaded' end as outcome,
+       count(*) as "rows"
+from documents d left join labels l on d.doc_id = l.doc_id group by 1
 """
 )
 def load_quarantine(t: Tables) -> DataFrame:
@@ -268,6 +268,6 @@ def load_quarantine(t: Tables) -> DataFrame:
         on_reject="quarantine",
     )
     run_load(dataset, [(spec, rows)], "load-1")
-    good = dataset.read("labels").agg(F.count(F.lit(1)).alias("loaded"))
-    bad = dataset.rejects("labels", "load-1").agg(F.count(F.lit(1)).alias("quarantined"))
-    return good.join(bad)
+    good = dataset.read("labels").select(F.lit("loaded").alias("outcome"))
+    bad = dataset.rejects("labels", "load-1").select(F.lit("quarantined").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))

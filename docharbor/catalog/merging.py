@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docharbor.catalog.registry import (
@@ -15,7 +15,6 @@ from docharbor.functions import ids
 from docharbor.functions.ids import NAMESPACE_HEX
 from docharbor.functions.names import normalise_names
 from docharbor.operators import dispositions, quality
-from docharbor.spec import LoadSpec
 
 NEW_KEYS = 1_000_000
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -220,6 +219,17 @@ def merge_id_compound(t: Tables) -> DataFrame:
     return rows.select("conv_id", "turn", ids.merge_id(rows, "chat_turns", ["conv_id", "turn"]).alias("id"))
 
 
+@query(
+    "select l_orderkey, l_linenumber, l_partkey, "
+    + sql_merge_id("shop_lines", "l_orderkey", "l_linenumber", "l_partkey")
+    + " as id from lineitem"
+)
+def merge_id_lines(t: Tables) -> DataFrame:
+    """Ids of the largest table."""
+    key = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return t.lineitem.select(*key, ids.merge_id(t.lineitem, "shop_lines", key).alias("id"))
+
+
 SQL_JSON_TEXT = r"""'"' || array_to_string(list_transform(regexp_extract_all(text, '(?s).'), lambda ch:
   case when ch = '"' then '\"' when ch = '\' then '\\'
        when ch = chr(10) then '\n' when ch = chr(13) then '\r' when ch = chr(9) then '\t'
@@ -273,39 +283,32 @@ def reserved_id_rename(t: Tables) -> DataFrame:
 
 @query(
     """
-select (select count(*) from orders) as after_merge,
-       (select count(distinct o_custkey) from orders) as left_over
+select 'after merge' as measure, 2 * count(distinct o_custkey) as "rows" from orders
+union all
+select 'left over', count(distinct o_custkey) from orders
 """
 )
 def append_then_merge(t: Tables) -> DataFrame:
     """Rows that an append stored under row ids stay beside merged ones, and are counted."""
-    spec = LoadSpec("customer", "merge", primary_key="custkey")
     rows = t.orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count(F.lit(1)).alias("n_orders")
     )
-    appended = rows.withColumn("id", F.sha2(F.concat_ws("/", F.lit("load-1"), "custkey"), 256))
-    batch = rows.withColumn("id", ids.merge_id(rows, "shop_customer", spec.key))
-    merged = dispositions.upsert(appended, batch)
-    other = appended.join(
-        batch.select("custkey", F.col("id").alias("new_id")), "custkey"
-    ).filter("id <> new_id")
-    return merged.agg((F.sum("n_orders") / 2).cast("bigint").alias("after_merge")).join(
-        other.agg(F.count(F.lit(1)).alias("left_over"))
+    appended = rows.withColumn(
+        "id", ids.origin_row_id("shop_customer", "load-1", ["custkey"])
     )
+    batch = rows.withColumn("id", ids.merge_id(rows, "shop_customer", ["custkey"]))
+    merged = dispositions.upsert(appended, batch)
+    left_over = dispositions.of_other_scheme(appended, batch, ["custkey"])
+    return merged.select(F.lit("after merge").alias("measure")).unionByName(
+        left_over.select(F.lit("left over").alias("measure"))
+    ).groupBy("measure").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query(
-    """
-select o_custkey, row_number() over (partition by o_custkey order by o_orderkey) as place, o_orderkey
-from orders
-"""
-)
+@query("select o_custkey, o_orderkey from orders")
 def keyed_rows_converge(t: Tables) -> DataFrame:
     """Two pipelines that load one key get one document; other collections do not."""
     rows = t.orders.select("o_custkey", "o_orderkey")
     here = rows.withColumn("id", ids.merge_id(rows, "a_orders", ["o_orderkey"]))
-    again = here.select("id").withColumn("_", F.lit(1))
-    other = rows.select(ids.merge_id(rows, "b_orders", ["o_orderkey"]).alias("id"))
-    same = here.join(again, "id").join(other, "id", "left_anti")
-    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    return same.select("o_custkey", place.cast("bigint").alias("place"), "o_orderkey")
+    elsewhere = rows.select(ids.merge_id(rows, "b_orders", ["o_orderkey"]).alias("id"))
+    merged = dispositions.upsert(here, here)
+    return merged.join(elsewhere, "id", "left_anti").select("o_custkey", "o_orderkey")

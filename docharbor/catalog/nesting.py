@@ -264,8 +264,9 @@ def orphan_emptied_lists(t: Tables) -> DataFrame:
 
 @query(
     f"""{SQL_SECOND}
-select (select count(*) from stale) as removed,
-       (select count(*) from first_load) - (select count(*) from stale) as left_over
+select 'removed' as measure, count(*) as "rows" from stale
+union all
+select 'kept', count(*) from first_load where row_id not in (select row_id from stale)
 """
 )
 def orphan_counts(t: Tables) -> DataFrame:
@@ -273,9 +274,12 @@ def orphan_counts(t: Tables) -> DataFrame:
     roots = orphans.root_ids(reloaded_roots(t))
     batch = reloaded_children(t)
     first = child_rows(t).select(ROOT_ID, ROW_ID)
-    removed = orphans.stale_children(first, roots, batch).agg(F.count(F.lit(1)).alias("removed"))
-    left = orphans.without_stale(first, roots, batch).agg(F.count(F.lit(1)).alias("left_over"))
-    return removed.join(left)
+    removed = orphans.stale_children(first, roots, batch)
+    kept = orphans.without_stale(first, roots, batch)
+    both = removed.select(F.lit("removed").alias("measure")).unionByName(
+        kept.select(F.lit("kept").alias("measure"))
+    )
+    return both.groupBy("measure").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("select count(*) as children from lineitem where l_orderkey in (select o_orderkey from orders)")

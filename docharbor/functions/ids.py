@@ -35,20 +35,29 @@ def key_text(column: Column, data_type: T.DataType, name: str = "key") -> Column
     return column.cast("string")
 
 
-def _escaped_char(ch: Column) -> Column:
-    """JSON escape of one character, with everything outside printable ASCII as \\uXXXX."""
-    units = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
-    return (
-        F.when(ch == '"', F.lit('\\"'))
-        .when(ch == "\\", F.lit("\\\\"))
-        .when(ch == "\n", F.lit("\\n"))
-        .when(ch == "\r", F.lit("\\r"))
-        .when(ch == "\t", F.lit("\\t"))
-        .when(ch == "\b", F.lit("\\b"))
-        .when(ch == "\f", F.lit("\\f"))
-        .when(ch.rlike("^[ -~]$"), ch)
-        .otherwise(F.regexp_replace(units, "(.{4})", r"\\u$1"))
-    )
+# The escapes that JSON has a letter for.
+SHORT_ESCAPES = {
+    '"': '\\"',
+    "\\": "\\\\",
+    "\n": "\\n",
+    "\r": "\\r",
+    "\t": "\\t",
+    "\b": "\\b",
+    "\f": "\\f",
+}
+
+# A run that needs no escape, a run that has none but numeric escapes, or one character.
+RUNS = r"[ !#-\[\]-~]+|[^\x00-\x7e]+|(?s:.)"
+
+
+def _escaped_run(run: Column) -> Column:
+    """JSON escape of a run, with everything outside printable ASCII as \\uXXXX."""
+    units = F.lower(F.hex(F.encode(run, "UTF-16BE")))
+    numeric = F.regexp_replace(units, "(.{4})", r"\\u$1")
+    escaped = F.when(run.rlike(r"^[ !#-\[\]-~]"), run)
+    for char, escape in SHORT_ESCAPES.items():
+        escaped = escaped.when(run == char, F.lit(escape))
+    return escaped.otherwise(numeric)
 
 
 def json_string(text: Column, plain: bool = False) -> Column:
@@ -56,11 +65,9 @@ def json_string(text: Column, plain: bool = False) -> Column:
     quoted = F.concat(F.lit('"'), text, F.lit('"'))
     if plain:
         return quoted
-    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    escaped = F.concat(
-        F.lit('"'), F.array_join(F.transform(chars, _escaped_char), ""), F.lit('"')
-    )
-    # Most keys need no escape and skip the character walk.
+    runs = F.regexp_extract_all(text, F.lit(RUNS), F.lit(0))
+    escaped = F.concat(F.lit('"'), F.array_join(F.transform(runs, _escaped_run), ""), F.lit('"'))
+    # Most keys need no escape and skip the walk.
     return F.when(text.rlike(r'^[ !#-\[\]-~]*\z'), quoted).otherwise(escaped)
 
 

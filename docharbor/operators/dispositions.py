@@ -106,8 +106,8 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> int:
     return df.groupBy(*[F.col(f"`{c}`") for c in key]).count().filter("count > 1").count()
 
 
-def ids_of_other_scheme(target: DataFrame, batch_ids: DataFrame, key: Sequence[str]) -> int:
+def of_other_scheme(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Stored rows whose key is in the batch under another id, left by an earlier append."""
     names = list(key)
-    pairs = batch_ids.select(*names, F.col(ID).alias("_new_id")).distinct()
-    return target.select(ID, *names).join(pairs, names).filter(F.col(ID) != F.col("_new_id")).count()
+    pairs = batch.select(*names, F.col(ID).alias("_new_id")).distinct()
+    return target.select(ID, *names).join(pairs, names).filter(F.col(ID) != F.col("_new_id"))

@@ -41,8 +41,8 @@ def stale_children(
     if child_batch is None:
         return existing
     _need(child_batch, "the child batch", ROW_ID, ROOT_ID)
-    loaded = child_batch.select(ROOT_ID, ROW_ID)
-    return existing.join(loaded, [ROOT_ID, ROW_ID], "left_anti")
+    # A row id is a digest of its parent, so it belongs to one root.
+    return existing.join(child_batch.select(ROW_ID), ROW_ID, "left_anti")
 
 
 def without_stale(
@@ -52,7 +52,7 @@ def without_stale(
     stale = stale_children(
         child_target.select(ROOT_ID, ROW_ID), roots, child_batch
     )
-    return child_target.join(stale, [ROOT_ID, ROW_ID], "left_anti")
+    return child_target.join(stale, ROW_ID, "left_anti")
 
 
 def replace_children(

@@ -171,63 +171,69 @@ def to_documents(
     hints, which belong to the columns of the root table.
     """
     key = spec.key if is_root else ()
-    columns: list[Column] = []
-    errors: list[Column] = []
-    if key:
-        columns.append(ids.merge_id(rows, collection, key).alias(ID))
-        for name in key:
-            missing = F.when(F.col(f"`{name}`").isNull(), F.lit("key column is missing or null"))
-            errors.append(error(name, missing, F.lit(None)))
-    else:
-        columns.append(F.col(ROW_ID).alias(ID))
     pinned = {f["name"]: f for f in fields["fields"] if f["name"] != ".*"} if is_root else {}
+    # Conversions come first, each as one struct, so that no later use works them out again.
+    pairs = {
+        f"_pair_{f.name}": _convert(F.col(f"`{f.name}`"), f.dataType, spec, f.name, pinned[f.name])
+        for f in rows.schema.fields
+        if f.name in pinned and f.name not in SYSTEM_COLUMNS
+    }
+    staged = rows.select("*", *[pair.alias(name) for name, pair in pairs.items()])
+    doc_id = ids.merge_id(rows, collection, key) if key else F.col(ROW_ID)
+    columns: list[Column] = [doc_id.alias(ID)]
+    missing = F.lit("key column is missing or null")
+    problems = [(k, F.when(F.col(f"`{k}`").isNull(), missing), F.lit(None)) for k in key]
     for f in rows.schema.fields:
         column = F.col(f"`{f.name}`")
         if f.name in SYSTEM_COLUMNS:
             columns.append(column)
-            continue
-        hint = pinned.get(f.name)
-        if hint is None:
+        elif f.name in pinned:
+            pair = F.col(f"`_pair_{f.name}`")
+            columns.append(pair["value"].alias(f.name))
+            problems += _problems(column, f.dataType, f.name, pinned[f.name], pair["reason"])
+        else:
             declared = spec.data_types.get(f.name) if is_root else None
             stored = column if declared not in (None, "json") else wire_value(column, f.dataType)
             columns.append(stored.alias(f.name))
-            continue
-        value, problems = _pinned_value(column, f.dataType, spec, f.name, hint)
-        columns.append(value.alias(f.name))
-        errors += problems
-    for name, hint in pinned.items():
-        if name not in rows.columns and hint["optional"] is False:
-            errors.append(error(name, F.lit("required field is missing"), F.lit(None)))
-    found = F.filter(F.array(*errors), lambda e: e.isNotNull()) if errors else F.array()
-    reasons = F.when(F.size(found) > 0, found) if errors else F.lit(None)
-    return rows.select(*columns, reasons.cast(ERROR_TYPE).alias(ERRORS))
-
-
-def _pinned_value(
+    problems += [
+        (name, F.lit("required field is missing"), F.lit(None))
+        for name, hint in pinned.items()
+        if name not in rows.columns and hint["optional"] is False
+    ]
+    errors = F.lit(None)
+    if problems:
+        found = F.array_compact(F.array(*[error(*p) for p in problems]))
+        errors = F.when(F.coalesce(*[reason for _, reason, _ in problems]).isNotNull(), found)
+    return staged.select(*columns, errors.cast(ERROR_TYPE).alias(ERRORS))
+
+
+def _convert(
     column: Column, spark_type: T.DataType, spec: LoadSpec, name: str, hint: Mapping[str, Any]
-) -> tuple[Column, list[Column]]:
-    hint_type = hint["type"]
-    kind = converter_kind(spec.data_type(name, spark_type), hint_type, name)
-    sample = sample_text(column, spark_type)
+) -> Column:
+    kind = converter_kind(spec.data_type(name, spark_type), hint["type"], name)
     if kind == "epoch":
-        converted = to_epoch(column, spark_type, hint_type)
-    elif kind == "number":
-        converted = to_number(column, spark_type, hint_type)
-    else:
-        converted = to_pinned(column, spark_type, hint_type)
-    problems = [error(name, converted.reason, sample)]
+        return to_epoch(column, spark_type, hint["type"]).pair()
+    if kind == "number":
+        return to_number(column, spark_type, hint["type"]).pair()
+    return to_pinned(column, spark_type, hint["type"]).pair()
+
+
+def _problems(
+    column: Column, spark_type: T.DataType, name: str, hint: Mapping[str, Any], reason: Column
+) -> list[tuple[str, Column, Column]]:
+    """Reasons to reject a pinned value, each with a sample of it."""
+    sample = sample_text(column, spark_type)
+    problems = [(name, reason, sample)]
     if "num_dim" in hint and isinstance(spark_type, T.ArrayType):
-        length = F.when(
-            F.size(column) != hint["num_dim"], F.lit(f"vector must have {hint['num_dim']} values")
-        )
-        problems.append(error(name, length, sample))
-    if hint_type == "geopoint" and isinstance(spark_type, T.ArrayType):
-        pair = F.when(F.size(column) != 2, F.lit("a geopoint has two coordinates"))
-        problems.append(error(name, pair, sample))
+        length = F.lit(f"vector must have {hint['num_dim']} values")
+        problems.append((name, F.when(F.size(column) != hint["num_dim"], length), sample))
+    if hint["type"] == "geopoint" and isinstance(spark_type, T.ArrayType):
+        pair = F.lit("a geopoint has two coordinates")
+        problems.append((name, F.when(F.size(column) != 2, pair), sample))
     if hint["optional"] is False:
-        absent = F.when(column.isNull(), F.lit("required field is missing"))
-        problems.append(error(name, absent, F.lit(None)))
-    return converted.value, problems
+        absent = F.lit("required field is missing")
+        problems.append((name, F.when(column.isNull(), absent), F.lit(None)))
+    return problems
 
 
 def stringify(df: DataFrame, *columns: str) -> DataFrame:

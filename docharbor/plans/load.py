@@ -6,6 +6,8 @@ import logging
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -329,7 +331,7 @@ class _Resource:
         if not set(key) <= set(old.spark_schema.names):
             return
         target = self.dataset.read_layout(name, replace(old, parts=appended))
-        count = dispositions.ids_of_other_scheme(target, staged, key)
+        count = dispositions.of_other_scheme(target, staged, key).count()
         self.result.tables[name].ids_of_other_scheme = count
         if count:
             logger.warning("table '%s': %d rows keep ids of an earlier append", name, count)
@@ -340,16 +342,7 @@ class _Resource:
         buckets = {*written.part.buckets, UNBUCKETED}
         target = self.dataset.read_layout(name, replace(old, schema=layout.schema), buckets)
         fresh = dispositions.new_rows(target, staged)
-        added = self.dataset.write_part(
-            fresh,
-            name,
-            self.load_id,
-            "new",
-            layout.bucket_by,
-            layout.buckets,
-            rebalance=True,
-            sort_by=_sorting(layout),
-        )
+        added = self._rewrite(name, layout, fresh, "new", rebalance=True)
         return [*old.parts, *([added.part] if added.part.buckets else [])]
 
     def _upsert(
@@ -385,17 +378,12 @@ class _Resource:
         if spec.action == "emplace" and staged is not None:
             if cleans:
                 target = orphans.without_stale(target, root_ids, staged)
+            # Child rows are joined by their own id but stored by that of their root.
+            by_id = layout.bucket_by == ID
+            if by_id:
+                target, staged = self._side_by_side(layout, target, staged, on=ID)
             merged = dispositions.emplace(target, staged)
-            rewritten = self.dataset.write_part(
-                merged,
-                name,
-                self.load_id,
-                "merged",
-                layout.bucket_by,
-                layout.buckets,
-                rebalance=True,
-                sort_by=_sorting(layout),
-            )
+            rewritten = self._rewrite(name, layout, merged, "merged", rebalance=not by_id)
             batch = []
         else:
             on, keys, count = ID, staged, written.total if written is not None else 0
@@ -411,30 +399,41 @@ class _Resource:
         """Write the stored rows that the batch does not replace.
 
         Few keys are broadcast, after a check of their counted size: stored rows then never
-        move, and every task writes the buckets it read. Many keys are joined by a shuffle;
-        ids are unique, so both sides are laid out by the hash that also makes the buckets
-        and each task again writes one bucket. A root may own very many children, so child
-        rows are left to the adaptive join and are spread evenly over the output afterwards.
+        move, and every task writes the buckets it read. Many keys are joined by a shuffle.
+        A root may own very many children, so child rows are left to the adaptive join and
+        are spread evenly over the output afterwards.
         """
-        limit = _broadcast_limit(self.dataset)
         rebalance = False
-        if count * ID_BYTES <= limit:
-            kept = target.join(F.broadcast(keys), on, "left_anti")
-        elif on == ID:
-            tasks = int(self.dataset.spark.conf.get("spark.sql.shuffle.partitions"))
-            parts = layout.buckets * max(1, -(-tasks // layout.buckets))
-            kept = target.repartition(parts, on).join(
-                keys.repartition(parts, on), on, "left_anti"
-            )
+        if count * ID_BYTES <= _broadcast_limit(self.dataset):
+            keys = F.broadcast(keys)
+        elif on == ID == layout.bucket_by:
+            target, keys = self._side_by_side(layout, target, keys, on)
         else:
-            kept = target.join(keys, on, "left_anti")
             rebalance = True
+        kept = target.join(keys, on, "left_anti")
         kept = kept.select(*[F.col(f"`{c}`") for c in target.columns])
+        return self._rewrite(name, layout, kept, "kept", rebalance)
+
+    def _side_by_side(
+        self, layout: Layout, left: DataFrame, right: DataFrame, on: str
+    ) -> tuple[DataFrame, DataFrame]:
+        """Both sides laid out by the hash that also makes the buckets.
+
+        Ids are unique, so the tasks are even, and each of them writes to one bucket without
+        another shuffle.
+        """
+        tasks = int(self.dataset.spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = layout.buckets * max(1, -(-tasks // layout.buckets))
+        return left.repartition(parts, on), right.repartition(parts, on)
+
+    def _rewrite(
+        self, name: str, layout: Layout, rows: DataFrame, step: str, rebalance: bool
+    ) -> Written:
         return self.dataset.write_part(
-            kept,
+            rows,
             name,
             self.load_id,
-            "kept",
+            step,
             layout.bucket_by,
             layout.buckets,
             rebalance=rebalance,
@@ -490,8 +489,8 @@ def with_row_id(rows: DataFrame, spec: LoadSpec, collection: str, load_id: str)
         keyed = ids.keyed_row_id(rows, collection, spec.row_key)
         # A row without a key is rejected later and needs some id until then.
         content = ids.digest_id(F.lit(collection), F.lit(load_id), ids.content_json(rows))
-        has_key = ids.key_json(rows, spec.row_key).isNotNull()
-        return rows.withColumn(ROW_ID, F.when(has_key, keyed).otherwise(content))
+        no_key = reduce(or_, [F.col(f"`{c}`").isNull() for c in spec.row_key])
+        return rows.withColumn(ROW_ID, F.when(no_key, content).otherwise(keyed))
     if spec.origin:
         return rows.withColumn(ROW_ID, ids.origin_row_id(collection, load_id, spec.origin))
     return ids.with_content_row_id(rows, collection, load_id)
