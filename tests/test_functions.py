@@ -213,6 +213,18 @@ def test_pinned_types(spark):
     ]
 
 
+def test_values_of_another_shape_are_reasons_not_plan_errors(spark):
+    unfit = "does not fit the pinned type "
+    assert converted(spark, ['["a"]', None], "string", convert.to_pinned, "string[]") == [
+        (None, unfit + "string[]"), (None, None)
+    ]
+    assert converted(spark, [[1]], "array<long>", convert.to_pinned, "int64") == [
+        (None, unfit + "int64")
+    ]
+    assert converted(spark, [b"1"], "binary", convert.to_pinned, "int32")[0][1]
+    assert converted(spark, [dt.date(2020, 1, 1)], "date", convert.to_pinned, "bool")[0][1]
+
+
 def test_every_type_is_mapped():
     assert len(convert.STORED_TYPES) == 11
     assert convert.stored_type("wei") == "string"

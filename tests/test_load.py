@@ -314,3 +314,62 @@ def test_merge_reads_and_writes_touched_buckets_only(dataset):
     assert dataset.read("many").count() == 200
     document = dataset.read("many").filter("n = 7").first()[ID]
     assert dataset.lookup("many", document).first()["v"] == 1
+
+
+@pytest.fixture(params=["10m", "-1"], ids=["broadcast", "shuffle"])
+def broadcast_limit(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("action", ["upsert", "emplace"])
+def test_a_task_of_a_rewrite_writes_to_one_bucket(dataset, tmp_path, broadcast_limit, action):
+    spec = LoadSpec("many", "merge", primary_key="n", buckets=3, action=action)
+    spark = dataset.spark
+    run_load(dataset, [(spec, spark.range(500).selectExpr("id n", "0 v", "id w"))], "l1")
+    run_load(dataset, [(spec, spark.range(250, 600).selectExpr("id n", "1 v"))], "l2")
+    found = {r["n"]: (r["v"], r["w"]) for r in dataset.read("many").collect()}
+    kept = {n: n for n in range(500)} if action == "emplace" else {n: n for n in range(250)}
+    assert found == {n: (int(n >= 250), kept.get(n)) for n in range(600)}
+    assert dataset.read("many").count() == 600
+    step = "merged" if action == "emplace" else "kept"
+    if broadcast_limit == "-1":
+        files = list(tmp_path.glob(f"catalog/many/_load=l2/_part={step}/*/*/*.parquet"))
+        assert 3 <= len(files) <= 9
+
+
+def test_one_root_may_own_most_children(dataset, broadcast_limit):
+    spec = LoadSpec("orders", "merge", primary_key="order_id", buckets=2)
+    hot = [(f"s{i}",) for i in range(3000)]
+    put(dataset, spec, [("hot", hot), ("cold", [("x",)])], ITEMS)
+    done = put(dataset, spec, [("hot", hot[:10])], ITEMS)
+    assert done.tables["orders__items"].removed_orphans == 2990
+    assert dataset.read("orders__items").count() == 11
+
+
+def test_a_key_may_hold_most_rows_of_a_batch(dataset):
+    spec = LoadSpec("orders", "merge", primary_key="k", order_by="n", buckets=2)
+    batch = dataset.spark.range(20000).selectExpr("if(id % 3 > 0, 0, id) k", "id n")
+    run_load(dataset, [(spec, batch)])
+    found = dict(values(dataset, "orders", "k", "n"))
+    assert len(found) == 6667 and found[0] == 19999
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_loads_agree_with_a_dictionary(dataset, seed):
+    import random
+
+    rng = random.Random(seed)
+    spec = LoadSpec("t", "merge", primary_key="k", buckets=2)
+    model: dict[int, list[int]] = {}
+    for _ in range(4):
+        batch = {rng.randrange(12): [rng.randrange(5) for _ in range(rng.randrange(4))] for _ in range(5)}
+        model.update(batch)
+        rows = [(k, [(x,) for x in items]) for k, items in batch.items()]
+        put(dataset, spec, rows, "k long, items array<struct<x:long>>")
+        roots = dict(values(dataset, "t", ROW_ID, "k"))
+        found: dict[int, list[tuple[int, int]]] = {k: [] for k in roots.values()}
+        for root, place, x in values(dataset, "t__items", ROOT_ID, LIST_IDX, "x"):
+            found[roots[root]].append((place, x))
+        assert {k: [x for _, x in sorted(v)] for k, v in found.items()} == model
