@@ -55,7 +55,10 @@ class Layout:
     parent: str | None = None
     root: str | None = None
     buckets: int = 8
-    dropped: bool = False
+    # Columns that equal another one in every row and are not stored, such as the id of a
+    # row that is its row id; and columns that only later parts store.
+    aliases: dict[str, str] = field(default_factory=dict)
+    fallbacks: dict[str, str] = field(default_factory=dict)
 
     @property
     def spark_schema(self) -> T.StructType:
@@ -313,7 +316,7 @@ class Dataset:
         entries = self.loads().select("seq", F.explode("layout").alias("table", "layout"))
         newest = entries.groupBy("table").agg(F.max_by("layout", "seq").alias("layout"))
         found = {r["table"]: Layout.loads(r["layout"]) for r in newest.collect()}
-        return {name: layout for name, layout in found.items() if not layout.dropped}
+        return found
 
     def tables(self) -> list[str]:
         return sorted(self.layouts()) if self._exists(self._folder(LOADS)) else []
@@ -344,8 +347,15 @@ class Dataset:
         schema = layout.spark_schema
         if not paths:
             return self._no_rows(schema)
-        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-        return rows.select(*[F.col(f"`{n}`") for n in schema.names])
+        stored = T.StructType([f for f in schema.fields if f.name not in layout.aliases])
+        rows = self.spark.read.schema(stored).option("basePath", base).parquet(*paths)
+        columns = []
+        for name in schema.names:
+            column = F.col(f"`{layout.aliases.get(name, name)}`")
+            if name in layout.fallbacks:
+                column = F.coalesce(column, F.col(f"`{layout.fallbacks[name]}`"))
+            columns.append(column.alias(name))
+        return rows.select(*columns)
 
     def lookup(self, table: str, document_id: str) -> DataFrame:
         """The document with an id; only the id's bucket is read."""
@@ -373,7 +383,7 @@ class Dataset:
         if matching:
             load_id = load_id or new_load_id("delete")
             left = reads.without(rows, condition)
-            written = self.write_part(left, table, load_id, "kept", layout.bucket_by, layout.buckets)
+            written = self.write_part(left, table, load_id, "kept", layout)
             layout.parts = [written.part] if written.part.buckets else []
             self.commit(load_id, {table: layout})
         return matching
@@ -403,34 +413,36 @@ class Dataset:
         table: str,
         load_id: str,
         step: str,
-        bucket_by: str | None,
-        buckets: int,
+        layout: Layout,
         *,
+        bucketed: bool = True,
         rebalance: bool = False,
         max_rows_per_file: int = 0,
-        sort_by: str | None = None,
     ) -> Written:
         """Write rows, good ones apart from rejected ones, and count both from the files.
 
         Counting what was written stays exact when tasks are run again. Running a load
-        again overwrites its own folders and nothing else. Files sorted by ``sort_by`` let
-        range filters on that column skip row groups.
+        again overwrites its own folders and nothing else. Files are sorted by the default
+        sorting field, so that range filters on it skip row groups.
         """
         if ERRORS not in rows.columns:
             rows = rows.withColumn(ERRORS, F.lit(None).cast(ERROR_TYPE))
-        bucket = bucket_of(F.col(bucket_by), buckets) if bucket_by else F.lit(UNBUCKETED)
+        bucket = F.lit(UNBUCKETED)
+        if bucketed:
+            bucket = bucket_of(F.col(layout.bucket_by), layout.buckets)
         placed = rows.withColumns(
             {OK: F.col(ERRORS).isNull(), BUCKET: F.coalesce(bucket, F.lit(UNBUCKETED)).cast("int")}
-        )
+        ).drop(*layout.aliases)
         if rebalance:
             placed = placed.hint("rebalance", BUCKET)
+        sort_by = layout.fields.get("default_sorting_field")
         if sort_by is not None and sort_by in rows.columns:
             placed = placed.sortWithinPartitions(OK, BUCKET, F.col(f"`{sort_by}`").desc())
         path = f"_load={load_id}/_part={step}"
         writer = placed.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file)
         writer.partitionBy(OK, BUCKET).parquet(self._folder(table, path))
         counts = (
-            self.read_part(rows.schema, table, path).groupBy(OK, BUCKET).count().collect()
+            self.read_part(rows.schema, table, path, layout).groupBy(OK, BUCKET).count().collect()
         )
         live = sorted(r[BUCKET] for r in counts if r[OK])
         return Written(
@@ -439,12 +451,18 @@ class Dataset:
             failed=sum(r["count"] for r in counts if not r[OK]),
         )
 
-    def read_part(self, schema: T.StructType, table: str, path: str) -> DataFrame:
+    def read_part(
+        self, schema: T.StructType, table: str, path: str, layout: Layout
+    ) -> DataFrame:
         """Everything a step wrote, good and rejected rows."""
-        written = T.StructType(
-            [*schema.fields, T.StructField(OK, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())]
+        stored = [f for f in schema.fields if f.name not in layout.aliases]
+        placed = [T.StructField(OK, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())]
+        rows = self.spark.read.schema(T.StructType([*stored, *placed])).parquet(
+            self._folder(table, path)
+        )
+        return rows.withColumns(
+            {n: F.col(o) for n, o in layout.aliases.items() if n in schema.names}
         )
-        return self.spark.read.schema(written).parquet(self._folder(table, path))
 
     def stage(self, rows: DataFrame, table: str, load_id: str) -> DataFrame:
         """Write rows that several steps use, and read them back."""
@@ -458,7 +476,8 @@ class Dataset:
     def rejects(self, table: str, load_id: str) -> DataFrame:
         """Rejected rows of a load with their reasons."""
         path = self._folder(table, f"_load={load_id}/_part=batch/{OK}=false")
-        return self.spark.read.parquet(path).drop(BUCKET)
+        rows = self.spark.read.parquet(path).drop(BUCKET)
+        return rows.withColumns({n: F.col(o) for n, o in self.layout(table).aliases.items()})
 
 
 def document_schema(schema: T.StructType) -> T.StructType:

@@ -202,15 +202,14 @@ class _Resource:
             name,
             self.load_id,
             "batch",
-            layout.bucket_by if bucketed else None,
-            layout.buckets,
+            layout,
+            bucketed=bucketed,
             rebalance=bucketed,
             max_rows_per_file=self.spec.max_rows_per_file,
-            sort_by=_sorting(layout),
         )
         outcome = TableResult(written.total, written.failed)
         self.result.tables[name] = outcome
-        staged = self.dataset.read_part(documents.schema, name, written.part.path)
+        staged = self.dataset.read_part(documents.schema, name, written.part.path, layout)
         if written.failed and self.spec.on_reject == "fail":
             quality.fail_on_rejects(
                 name,
@@ -221,23 +220,36 @@ class _Resource:
             )
         return written, staged.filter(F.col(OK)).drop(OK, BUCKET, ERRORS)
 
-    def _layout(self, name: str, schema: T.StructType, fields: dict[str, Any], is_root: bool) -> Layout:
-        old = self.stored.get(name)
+    def _layout(
+        self, name: str, schema: T.StructType, fields: dict[str, Any], is_root: bool
+    ) -> Layout:
+        old = self.stored.get(name) if self.spec.disposition != "replace" else None
         merged = document_schema(schema)
-        buckets = self.spec.buckets
-        if old is not None and self.spec.disposition != "replace":
-            known = old.spark_schema
-            fresh = [f for f in merged.fields if f.name not in known.names]
-            merged = document_schema(T.StructType([*known.fields, *fresh]))
-            buckets = old.buckets
-        return Layout(
+        parent = None if is_root else self._parent_of(name)
+        aliases = {} if is_root and self.spec.key else {ID: ROW_ID}
+        if parent == self.spec.name:
+            aliases[PARENT_ID] = ROOT_ID
+        layout = Layout(
             schema=merged.jsonValue(),
             fields=fields,
-            parts=[],
-            parent=None if is_root else self._parent_of(name),
+            parent=parent,
             root=None if is_root else self.spec.name,
-            buckets=buckets,
+            buckets=self.spec.buckets,
+            aliases=aliases,
         )
+        if old is not None:
+            known = old.spark_schema
+            fresh = [f for f in merged.fields if f.name not in known.names]
+            layout.schema = document_schema(T.StructType([*known.fields, *fresh])).jsonValue()
+            layout.buckets = old.buckets
+            # A table that was appended to and merged into stores its ids from then on.
+            layout.aliases = {n: o for n, o in aliases.items() if old.aliases.get(n) == o}
+            layout.fallbacks = {
+                n: o
+                for n, o in {**old.aliases, **old.fallbacks}.items()
+                if n not in layout.aliases
+            }
+        return layout
 
     def _parent_of(self, name: str) -> str:
         known = [self.spec.name, *self.stored, *self.changed]
@@ -312,6 +324,12 @@ class _Resource:
         self._warn_of_other_ids(name, old, staged, roots)
         return self._upsert(name, layout, old, written, staged, roots, batch)
 
+    def _stored_rows(
+        self, name: str, old: Layout, layout: Layout, buckets: set[int]
+    ) -> DataFrame:
+        """Rows of the stored parts with the columns the table has after this load."""
+        return self.dataset.read_layout(name, replace(layout, parts=old.parts), buckets)
+
     def _refuse_repeated_ids(self, name: str, staged: DataFrame) -> None:
         repeated = dispositions.repeated_keys(staged.select(ID), [ID])
         if repeated:
@@ -340,7 +358,7 @@ class _Resource:
         self, name: str, layout: Layout, old: Layout, written: Written, staged: DataFrame
     ) -> list[Part]:
         buckets = {*written.part.buckets, UNBUCKETED}
-        target = self.dataset.read_layout(name, replace(old, schema=layout.schema), buckets)
+        target = self._stored_rows(name, old, layout, buckets)
         fresh = dispositions.new_rows(target, staged)
         added = self._rewrite(name, layout, fresh, "new", rebalance=True)
         return [*old.parts, *([added.part] if added.part.buckets else [])]
@@ -369,14 +387,12 @@ class _Resource:
         if not touched:
             return [*old.parts, *batch]
         touched.add(UNBUCKETED)
-        target = self.dataset.read_layout(name, replace(old, schema=layout.schema), touched)
-        if cleans:
-            outcome = self.result.tables.setdefault(name, TableResult())
-            outcome.removed_orphans = orphans.stale_children(
-                target.select(ROOT_ID, ROW_ID), root_ids, staged
-            ).count()
+        target = self._stored_rows(name, old, layout, touched)
+        outcome = self.result.tables.setdefault(name, TableResult())
         if spec.action == "emplace" and staged is not None:
             if cleans:
+                stale = orphans.stale_children(target.select(ROOT_ID, ROW_ID), root_ids, staged)
+                outcome.removed_orphans = stale.count()
                 target = orphans.without_stale(target, root_ids, staged)
             # Child rows are joined by their own id but stored by that of their root.
             by_id = layout.bucket_by == ID
@@ -390,6 +406,13 @@ class _Resource:
             if cleans:
                 on, keys, count = ROOT_ID, root_ids, root_count
             rewritten = self._rewrite_survivors(name, layout, target, keys.select(on), on, count)
+            if cleans:
+                # Every stored row was kept, replaced by a row of the batch, or removed. The
+                # first two counts come from file footers; only ids are joined for the third.
+                replaced = 0
+                if staged is not None:
+                    replaced = target.join(staged.select(ROW_ID), ROW_ID, "left_semi").count()
+                outcome.removed_orphans = target.count() - rewritten.total - replaced
         kept = [rewritten.part] if rewritten.part.buckets else []
         return [*old.without_buckets(touched), *batch, *kept]
 
@@ -430,21 +453,10 @@ class _Resource:
         self, name: str, layout: Layout, rows: DataFrame, step: str, rebalance: bool
     ) -> Written:
         return self.dataset.write_part(
-            rows,
-            name,
-            self.load_id,
-            step,
-            layout.bucket_by,
-            layout.buckets,
-            rebalance=rebalance,
-            sort_by=_sorting(layout),
+            rows, name, self.load_id, step, layout, rebalance=rebalance
         )
 
 
-def _sorting(layout: Layout) -> str | None:
-    return layout.fields.get("default_sorting_field")
-
-
 def _broadcast_limit(dataset: Dataset) -> int:
     """Session limit for broadcast tables in bytes."""
     text = str(dataset.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().rstrip("b")
