@@ -190,7 +190,7 @@ def variant_split(t: Tables) -> DataFrame:
 
 @query(
     """
-select event_id, cast(json_extract(props, '$.k') as bigint) as k, false as receive_marketing
+select event_id, cast(json_extract(props, '$.k') as bigint) as k, false as opted_in
 from events
 """
 )
@@ -199,10 +199,10 @@ def decode_json_hook(t: Tables) -> DataFrame:
 
     def clean(df: DataFrame) -> DataFrame:
         decoded = df.withColumn("k", F.from_json("props", "k bigint")["k"])
-        return shape.with_default(decoded, "receive_marketing", False)
+        return shape.with_default(decoded, "opted_in", False)
 
     rows = t.events.transform(clean)
-    return rows.select("event_id", "k", "receive_marketing")
+    return rows.select("event_id", "k", "opted_in")
 
 
 @query(

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from docharbor.functions import ids
 from docharbor.functions.convert import (
     converter_kind,
-    is_native_json,
     sample_text,
     to_epoch,
     to_number,
@@ -335,21 +334,3 @@ def with_default(df: DataFrame, column: str, value: Any) -> DataFrame:
     if column not in df.columns:
         return df.withColumn(column, F.lit(value))
     return df.withColumn(column, F.coalesce(F.col(f"`{column}`"), F.lit(value)))
-
-
-__all__ = [
-    "ERRORS",
-    "child_tables",
-    "decode_json_list",
-    "explode_child",
-    "flatten",
-    "is_native_json",
-    "json_document",
-    "nest_chain",
-    "primary_kind",
-    "reconcile",
-    "split_variant",
-    "stringify",
-    "to_documents",
-    "with_default",
-]

@@ -32,8 +32,16 @@ from docharbor.session import require_utc
 
 ENGINE_VERSION = 1
 LOADS, VERSIONS, STATE, STAGE = "_loads", "_versions", "_pipeline_state", "_stage"
-OK, BUCKET = "_ok", "_bucket"
+LOAD, PART, OK, BUCKET = "_load", "_part", "_ok", "_bucket"
 UNBUCKETED = -1
+# Up to this many buckets of a part are read by their folder names.
+FEW_BUCKETS = 64
+PLACES = (
+    T.StructField(LOAD, T.StringType()),
+    T.StructField(PART, T.StringType()),
+    T.StructField(OK, T.BooleanType()),
+    T.StructField(BUCKET, T.IntegerType()),
+)
 
 
 @dataclass
@@ -334,21 +342,31 @@ class Dataset:
     def read_layout(
         self, table: str, layout: Layout, buckets: set[int] | None = None
     ) -> DataFrame:
-        """Rows of a table, or of some of its buckets; other buckets are not listed or read."""
+        """Rows of a table, or of some of its buckets; other buckets are not read.
+
+        A few buckets of a part are named one by one. More of them are left to partition
+        pruning, which spares the driver a long list of folders.
+        """
         base = self._folder(table)
-        paths = []
+        paths, condition = [], F.lit(True)
         for part in layout.parts:
             live = [b for b in part.buckets if buckets is None or b in buckets]
             folder = f"{base}/{part.path}/{OK}=true"
             if live and part.whole and live == part.buckets:
                 paths.append(folder)
-            else:
+            elif len(live) <= FEW_BUCKETS:
                 paths += [f"{folder}/{BUCKET}={b}" for b in live]
+            else:
+                paths.append(folder)
+                load, step = (p.split("=", 1)[1] for p in part.path.split("/"))
+                elsewhere = (F.col(LOAD) != load) | (F.col(PART) != step)
+                condition = condition & (elsewhere | F.col(BUCKET).isin(live))
         schema = layout.spark_schema
         if not paths:
             return self._no_rows(schema)
-        stored = T.StructType([f for f in schema.fields if f.name not in layout.aliases])
-        rows = self.spark.read.schema(stored).option("basePath", base).parquet(*paths)
+        stored = [f for f in schema.fields if f.name not in layout.aliases]
+        rows = self.spark.read.schema(T.StructType([*stored, *PLACES]))
+        rows = rows.option("basePath", base).parquet(*paths).filter(condition)
         columns = []
         for name in schema.names:
             column = F.col(f"`{layout.aliases.get(name, name)}`")
@@ -438,7 +456,7 @@ class Dataset:
         sort_by = layout.fields.get("default_sorting_field")
         if sort_by is not None and sort_by in rows.columns:
             placed = placed.sortWithinPartitions(OK, BUCKET, F.col(f"`{sort_by}`").desc())
-        path = f"_load={load_id}/_part={step}"
+        path = f"{LOAD}={load_id}/{PART}={step}"
         writer = placed.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file)
         writer.partitionBy(OK, BUCKET).parquet(self._folder(table, path))
         counts = (
@@ -456,8 +474,7 @@ class Dataset:
     ) -> DataFrame:
         """Everything a step wrote, good and rejected rows."""
         stored = [f for f in schema.fields if f.name not in layout.aliases]
-        placed = [T.StructField(OK, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())]
-        rows = self.spark.read.schema(T.StructType([*stored, *placed])).parquet(
+        rows = self.spark.read.schema(T.StructType([*stored, *PLACES[2:]])).parquet(
             self._folder(table, path)
         )
         return rows.withColumns(
@@ -466,16 +483,16 @@ class Dataset:
 
     def stage(self, rows: DataFrame, table: str, load_id: str) -> DataFrame:
         """Write rows that several steps use, and read them back."""
-        path = self._folder(STAGE, f"_load={load_id}", table)
+        path = self._folder(STAGE, f"{LOAD}={load_id}", table)
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def drop_stage(self, load_id: str) -> None:
-        self._delete(self._folder(STAGE, f"_load={load_id}"))
+        self._delete(self._folder(STAGE, f"{LOAD}={load_id}"))
 
     def rejects(self, table: str, load_id: str) -> DataFrame:
         """Rejected rows of a load with their reasons."""
-        path = self._folder(table, f"_load={load_id}/_part=batch/{OK}=false")
+        path = self._folder(table, f"{LOAD}={load_id}/{PART}=batch/{OK}=false")
         rows = self.spark.read.parquet(path).drop(BUCKET)
         return rows.withColumns({n: F.col(o) for n, o in self.layout(table).aliases.items()})
 

@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docharbor.errors import ConfigError, LoadError, RejectedRows
+from docharbor.errors import ConfigError, LoadError
 from docharbor.functions import ids
 from docharbor.functions.names import (
     ID,
-    LIST_IDX,
     LOAD_ID,
     PARENT_ID,
     ROOT_ID,
@@ -315,7 +314,7 @@ class _Resource:
             return batch
         if spec.disposition == "append":
             return [*old.parts, *batch]
-        if staged is not None and not spec.order_by and roots is None:
+        if spec.row_key and staged is not None and not spec.order_by and roots is None:
             self._refuse_repeated_ids(name, staged)
         if old is None:
             return batch
@@ -528,15 +527,3 @@ def _resolve_variants(rows: DataFrame, spec: LoadSpec, stored: Layout | None) ->
             primary = primary_kind(ordered, f.name, seq or "_text")
         rows = split_variant(rows, f.name, primary or "STRING")
     return rows
-
-
-__all__ = [
-    "LIST_IDX",
-    "PARENT_ID",
-    "LoadResult",
-    "RejectedRows",
-    "TableResult",
-    "run_load",
-    "shape_rows",
-    "with_row_id",
-]

@@ -84,7 +84,7 @@ def run_sync(
             state[sync.target] = cursors
         elif limit is not None:
             order = [sync.primary_key] if isinstance(sync.primary_key, str) else sync.primary_key
-            batch = batch.orderBy(*(order or batch.columns)).limit(limit)
+            batch = batch.orderBy(*(order or [F.to_json(F.struct("*"))])).limit(limit)
         batches.append((sync.load_spec(full_refresh), batch))
     return run_load(dataset, batches, load_id, pipeline=pipeline, state=state)
 

@@ -303,7 +303,9 @@ def test_empty_batches_are_a_success(dataset):
     assert dataset.read("em").count() == 0
 
 
-def test_merge_reads_and_writes_touched_buckets_only(dataset):
+@pytest.mark.parametrize("few", [64, 2])
+def test_merge_reads_and_writes_touched_buckets_only(dataset, monkeypatch, few):
+    monkeypatch.setattr("docharbor.plans.dataset.FEW_BUCKETS", few)
     spec = LoadSpec("many", "merge", primary_key="n", buckets=16)
     put(dataset, spec, [(i, 0) for i in range(200)], "n long, v long", "first")
     put(dataset, spec, [(7, 1)], "n long, v long", "second")

@@ -147,12 +147,12 @@ def test_variants_of_one_field(spark):
 
 def test_hooks(spark):
     df = spark.createDataFrame(
-        [('["a","b"]',), ("{}",), ("nope",), (None,)], "categories string"
+        [('["a","b"]',), ("{}",), ("nope",), (None,)], "tags string"
     )
-    found = shape.decode_json_list(df, "categories").collect()
+    found = shape.decode_json_list(df, "tags").collect()
     assert [r[0] for r in found] == [["a", "b"], [], [], []]
-    filled = shape.with_default(df, "receive_marketing", False)
-    assert {r["receive_marketing"] for r in filled.collect()} == {False}
+    filled = shape.with_default(df, "opted_in", False)
+    assert {r["opted_in"] for r in filled.collect()} == {False}
 
 
 def documents(spec, df, key="id_of"):

@@ -231,28 +231,29 @@ def test_targets_and_dev_mode(spark, dataset, tmp_path):
         run_sync(dataset, syncs, "p", target="zzz")
 
 
-def test_a_sync_of_user_statistics(spark, dataset):
+def test_a_sync_with_hook_and_hints(spark, dataset):
     rows = [
-        ("u1", "consumer", 3, dt.datetime(2024, 1, 15, 12), '["gift-cards","esim"]'),
-        ("u2", "business", 12, dt.datetime(2024, 6, 1, 8, 30), '["refills"]'),
-        ("u3", "consumer", 1, dt.datetime(2023, 11, 20), None),
+        ("n-7", "sea", 40, dt.datetime(2023, 3, 4, 5, 6, 7), '["harbour", "tide"]'),
+        ("n-8", "land", 2, dt.datetime(2023, 3, 5), "not a list"),
+        ("n-9", "sea", 0, dt.datetime(2023, 3, 6), None),
     ]
-    schema = "user_id string, account_type string, order_count int, last_update timestamp_ntz, categories string"
+    schema = "station string, kind string, reports int, seen timestamp_ntz, tags string"
     from docharbor.operators.shape import decode_json_list
 
     spec = SyncSpec(
-        "users", lambda: frame(spark, rows, schema), primary_key="user_id", cursor="last_update",
-        initial_value=dt.datetime(1970, 1, 1), facet=["account_type"], sort=["order_count"],
-        field_hints={
-            "last_update": {"type": "int64", "sort": True},
-            "categories": {"type": "string[]", "facet": True},
-        },
-        hook=lambda df: decode_json_list(df, "categories"),
+        "stations", lambda: frame(spark, rows, schema), primary_key="station", cursor="seen",
+        initial_value=dt.datetime(2000, 1, 1), facet=["kind"], sort=["reports"],
+        field_hints={"seen": {"type": "int64", "sort": True}, "tags": {"type": "string[]"}},
+        hook=lambda df: decode_json_list(df, "tags"),
     )
     run_sync(dataset, [spec], "p")
-    found = {r["user_id"]: (r["last_update"], r["categories"]) for r in dataset.read("users").collect()}
-    assert found["u1"] == (1705320000, ["gift-cards", "esim"]) and found["u3"][1] == []
-    assert dataset.tables() == ["users"]
+    found = {r["station"]: (r["seen"], r["tags"]) for r in dataset.read("stations").collect()}
+    assert found == {
+        "n-7": (1677906367, ["harbour", "tide"]), "n-8": (1677974400, []), "n-9": (1678060800, [])
+    }
+    assert dataset.tables() == ["stations"]
+    pinned = [f["name"] for f in dataset.layout("stations").fields["fields"]]
+    assert sorted(pinned) == [".*", "kind", "reports", "seen", "tags"]
 
 
 def test_a_replayed_micro_batch_changes_nothing(spark, dataset, tmp_path):
@@ -337,3 +338,55 @@ def test_variant_fields_from_load_files(spark, dataset, tmp_path):
         run_load(dataset, [(spec, rows)])
     found = {r["rid"]: (r["val"], r["val__v_text"]) for r in dataset.read("rows").collect()}
     assert found == {1: (10, None), 2: (None, "ten"), 3: (None, None)}
+
+
+def test_values_round_trip(spark, dataset):
+    tricky = "Zażółć 'gęślą' \\ \"jaźń\"\r\n\tκόσμε 🚢 海港\u2028"
+    rows = [
+        ("r1", tricky, "x" * 20000, 2**63 - 1, 9.99, True, None, ""),
+        ("r2", "", "y", -(2**63 - 1), -0.5, False, "value", ""),
+    ]
+    schema = "rid string, text string, long string, big long, ratio double, flag boolean, maybe string, empty string"
+    for spec in (LoadSpec("appended"), LoadSpec("merged", "merge", primary_key="rid")):
+        run_load(dataset, [(spec, frame(spark, rows, schema))])
+        names = [n.split()[0] for n in schema.split(", ")]
+        assert sorted(tuple(r) for r in dataset.read(spec.name).select(*names).collect()) == rows
+
+
+def test_numbers_of_any_size_keep_their_text(spark, dataset):
+    df = spark.sql(
+        "select 'a' k, cast('123456789.123456789' as decimal(38,9)) d, cast(1208925819614629174706176 as decimal(38,0)) wei,"
+        " cast('00:01:02' as string) t, cast('abc' as binary) b"
+    )
+    run_load(dataset, [(LoadSpec("n", "merge", primary_key="k"), df)])
+    row = dataset.read("n").first()
+    assert (row["d"], row["wei"], row["t"], row["b"]) == (
+        "123456789.123456789", str(2**80), "00:01:02", "YWJj"
+    )
+
+
+def test_typed_hints_reach_the_table(spark, dataset):
+    rows = [
+        ("a", dt.datetime(2001, 9, 9, 1, 46, 40), "7.25"), ("b", dt.datetime(2033, 5, 18), "1E+3"),
+    ]
+    spec = LoadSpec(
+        "typed", "merge", primary_key="k", data_types={"amount": "decimal"},
+        field_hints={"at": {"type": "int64"}, "amount": {"type": "float"}},
+    )
+    run_load(dataset, [(spec, frame(spark, rows, "k string, at timestamp_ntz, amount string"))])
+    table = dataset.read("typed")
+    assert {r["k"]: (r["at"], r["amount"]) for r in table.collect()} == {
+        "a": (1000000000, 7.25), "b": (1999987200, 1000.0)
+    }
+    from docharbor.operators import reads
+
+    assert [r["k"] for r in reads.where_range(table, "at", above=10**9).collect()] == ["b"]
+    assert [r["k"] for r in reads.sorted_by(table, "at").collect()] == ["b", "a"]
+
+
+def test_objects_stay_nested_when_hinted(spark, dataset):
+    df = frame(spark, [("A1", ("red", "M"))], "sku string, attrs struct<color:string,size:string>")
+    run_load(dataset, [(LoadSpec("kept", field_hints={"attrs": {"type": "object"}}), df)])
+    assert dataset.read("kept").first()["attrs"]["color"] == "red"
+    run_load(dataset, [(LoadSpec("flat"), df)])
+    assert dataset.read("flat").first()["attrs__color"] == "red"
