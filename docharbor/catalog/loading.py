@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,14 @@ def fresh_dataset(t: Tables, name: str) -> Dataset:
     return Dataset(t.spark, root, "shop")
 
 
+def counted(dataset: Dataset) -> DataFrame:
+    """Rows per table of a dataset."""
+    rows = [dataset.read(n).select(F.lit(n).alias("table")) for n in dataset.tables()]
+    return reduce(DataFrame.unionByName, rows).groupBy("table").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 @query(
     f"""
 with batch as ({SQL_CHANGES}),
@@ -105,16 +114,7 @@ def mixed_dispositions(t: Tables) -> DataFrame:
     run_load(dataset, batches, "load-1")
     run_load(dataset, batches, "load-2")
     run_load(dataset, batches, "load-2")
-    counts = [
-        dataset.read(name).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("table"), "rows"
-        )
-        for name in dataset.tables()
-    ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    return counted(dataset)
 
 
 @query("select o_orderkey, o_orderstatus, o_totalprice from orders")
@@ -271,3 +271,100 @@ def load_quarantine(t: Tables) -> DataFrame:
     good = dataset.read("labels").select(F.lit("loaded").alias("outcome"))
     bad = dataset.rejects("labels", "load-1").select(F.lit("quarantined").alias("outcome"))
     return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("select 'customer' as \"table\", count(*) as \"rows\" from customer")
+def truncate_tables(t: Tables) -> DataFrame:
+    """Only the listed tables are emptied."""
+    dataset = fresh_dataset(t, "truncated")
+    batches = [(LoadSpec("customer", origin="c_custkey"), t.customer), (LoadSpec("part"), t.part)]
+    run_load(dataset, batches, "load-1")
+    dataset.truncate(["part"])
+    return counted(dataset)
+
+
+@query("select 'part' as \"table\", count(*) as \"rows\" from part")
+def drop_dataset(t: Tables) -> DataFrame:
+    """Dropping a dataset leaves others alone, also one whose name starts the same."""
+    shop = fresh_dataset(t, "dropped")
+    other = Dataset(t.spark, shop.path.rsplit("/", 1)[0], "shop_eu")
+    run_load(shop, [(LoadSpec("part", origin="p_partkey"), t.part)], "load-1")
+    run_load(other, [(LoadSpec("part", origin="p_partkey"), t.part)], "load-1")
+    shop.drop()
+    assert not shop.is_initialised()
+    return counted(other)
+
+
+@query(
+    """
+select event_id, cast(json_extract(props, '$.k') as bigint) as val, cast(null as varchar) as val__v_text
+from events where event_type <> 'error'
+union all
+select event_id, null, props from events where event_type = 'error'
+"""
+)
+def load_variant_column(t: Tables) -> DataFrame:
+    """A later load brings text for a number column: the text gets a column of its own."""
+    dataset = fresh_dataset(t, "variant")
+    spec = LoadSpec("events", "merge", primary_key="event_id")
+    number = F.get_json_object("props", "$.k").cast("bigint")
+    numbers = t.events.filter("event_type <> 'error'").select("event_id", number.alias("val"))
+    texts = t.events.filter("event_type = 'error'").select("event_id", F.col("props").alias("val"))
+    run_load(dataset, [(spec, numbers)], "load-1")
+    run_load(dataset, [(spec, texts)], "load-2")
+    return dataset.read("events").select("event_id", "val", "val__v_text")
+
+
+@query(
+    """
+select event_id, event_type, cast(null as double) as "value" from events
+union all
+select event_id, event_type, "value" from events
+"""
+)
+def load_schema_evolution(t: Tables) -> DataFrame:
+    """Rows of an earlier load do not have the column that a later load adds."""
+    dataset = fresh_dataset(t, "evolution")
+    spec = LoadSpec("events", origin="event_id")
+    run_load(dataset, [(spec, t.events.select("event_id", "event_type"))], "load-1")
+    run_load(dataset, [(spec, t.events.select("event_id", "event_type", "value"))], "load-2")
+    return dataset.read("events").select("event_id", "event_type", "value")
+
+
+@query("select max(o_orderkey) as last, count(*) as loaded from orders")
+def restore_state(t: Tables) -> DataFrame:
+    """Another session finds the cursor of the last completed load and loads nothing twice."""
+    dataset = fresh_dataset(t, "restored")
+    spec = SyncSpec("orders", lambda: t.orders, primary_key="o_orderkey", cursor="o_orderkey")
+    run_sync(dataset, [spec], "p", load_id="load-1")
+    dataset.store_state("p", {"orders": {"last": -1}}, "never-completed")
+    elsewhere = Dataset(t.spark, dataset.path.rsplit("/", 1)[0], "shop")
+    again = run_sync(elsewhere, [spec], "p", load_id="load-2")
+    assert again.tables["orders"].total == 0
+    last = elsewhere.state("p")["orders"]["last"]
+    rows = elsewhere.read("orders").agg(F.count(F.lit(1)).alias("loaded"))
+    return rows.select(F.lit(last).cast("bigint").alias("last"), "loaded")
+
+
+@query(
+    """
+select 'customer' as "table", count(*) as "rows" from customer where c_mktsegment = 'BUILDING'
+union all select 'supplier', count(*) from supplier
+"""
+)
+def sync_full_refresh(t: Tables) -> DataFrame:
+    """All targets are synced; a full refresh of one of them replaces its table."""
+    dataset = fresh_dataset(t, "refresh")
+
+    def syncs(customers: DataFrame) -> list[SyncSpec]:
+        return [
+            SyncSpec("customer", lambda: customers, primary_key="c_custkey", cursor="c_custkey"),
+            SyncSpec("supplier", lambda: t.supplier, primary_key="s_suppkey"),
+        ]
+
+    run_sync(dataset, syncs(t.customer), "p", load_id="load-1")
+    building = t.customer.filter("c_mktsegment = 'BUILDING'")
+    run_sync(
+        dataset, syncs(building), "p", target="customer", full_refresh=True, load_id="load-2"
+    )
+    return counted(dataset)

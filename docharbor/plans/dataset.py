@@ -497,11 +497,16 @@ class Dataset:
         return rows.withColumns({n: F.col(o) for n, o in self.layout(table).aliases.items()})
 
 
-def document_schema(schema: T.StructType) -> T.StructType:
-    """Columns of a document, with the system columns first."""
-    names = [f for f in schema.fields if f.name not in (ERRORS, OK, BUCKET)]
-    first = [f for f in names if f.name in (ID, *SYSTEM_COLUMNS)]
-    rest = [f for f in names if f.name not in (ID, *SYSTEM_COLUMNS)]
-    return T.StructType(
-        [T.StructField(f.name, f.dataType, True, f.metadata) for f in [*first, *rest]]
-    )
+def document_schema(schema: T.StructType, fields: Mapping[str, Any]) -> T.StructType:
+    """Columns of a document, the system columns first, with the hints as field metadata."""
+    hints = {f["name"]: f for f in fields["fields"]}
+    columns = [
+        T.StructField(
+            f.name, f.dataType, True, {"hint": hints[f.name]} if f.name in hints else {}
+        )
+        for f in schema.fields
+        if f.name not in (ERRORS, OK, BUCKET)
+    ]
+    is_system = [f.name in (ID, *SYSTEM_COLUMNS) for f in columns]
+    first = [f for f, own in zip(columns, is_system, strict=True) if own]
+    return T.StructType([*first, *[f for f, own in zip(columns, is_system, strict=True) if not own]])

@@ -163,14 +163,17 @@ class _Resource:
             )
         return old.fields
 
-    def _documents(self, name: str, rows: DataFrame, is_root: bool) -> DataFrame:
-        return to_documents(
+    def _documents(
+        self, name: str, rows: DataFrame, fields: dict[str, Any], is_root: bool
+    ) -> DataFrame:
+        documents = to_documents(
             rows,
             self.spec,
             collection=self.dataset.qualified(name),
-            fields=self._fields(name, rows.schema, is_root),
+            fields=fields,
             is_root=is_root,
         )
+        return self._reconciled(name, documents)
 
     def _reconciled(self, name: str, documents: DataFrame) -> DataFrame:
         old = self.stored.get(name)
@@ -223,7 +226,7 @@ class _Resource:
         self, name: str, schema: T.StructType, fields: dict[str, Any], is_root: bool
     ) -> Layout:
         old = self.stored.get(name) if self.spec.disposition != "replace" else None
-        merged = document_schema(schema)
+        merged = document_schema(schema, fields)
         parent = None if is_root else self._parent_of(name)
         aliases = {} if is_root and self.spec.key else {ID: ROW_ID}
         if parent == self.spec.name:
@@ -239,7 +242,8 @@ class _Resource:
         if old is not None:
             known = old.spark_schema
             fresh = [f for f in merged.fields if f.name not in known.names]
-            layout.schema = document_schema(T.StructType([*known.fields, *fresh])).jsonValue()
+            every = T.StructType([*known.fields, *fresh])
+            layout.schema = document_schema(every, fields).jsonValue()
             layout.buckets = old.buckets
             # A table that was appended to and merged into stores its ids from then on.
             layout.aliases = {n: o for n, o in aliases.items() if old.aliases.get(n) == o}
@@ -258,8 +262,9 @@ class _Resource:
     def _load_root(self, rows: DataFrame) -> DataFrame:
         """Load the root table; gives the good rows that were written."""
         name = self.spec.name
-        documents = self._reconciled(name, self._documents(name, rows, True))
-        layout = self._layout(name, documents.schema, self._fields(name, rows.schema, True), True)
+        fields = self._fields(name, rows.schema, True)
+        documents = self._documents(name, rows, fields, True)
+        layout = self._layout(name, documents.schema, fields, True)
         written, staged = self._write_batch(name, documents, layout)
         layout.parts = self._parts(name, layout, written, staged, None)
         self.changed[name] = layout
@@ -278,9 +283,9 @@ class _Resource:
                 layout.parts = self._parts(name, layout, None, None, roots)
                 self.changed[name] = layout
             return
-        documents = self._reconciled(name, self._documents(name, rows, False))
-        documents = self._of_loaded_roots(documents, roots)
-        layout = self._layout(name, documents.schema, self._fields(name, rows.schema, False), False)
+        fields = self._fields(name, rows.schema, False)
+        documents = self._of_loaded_roots(self._documents(name, rows, fields, False), roots)
+        layout = self._layout(name, documents.schema, fields, False)
         written, staged = self._write_batch(name, documents, layout)
         layout.parts = self._parts(name, layout, written, staged, roots)
         self.changed[name] = layout

@@ -390,3 +390,20 @@ def test_objects_stay_nested_when_hinted(spark, dataset):
     assert dataset.read("kept").first()["attrs"]["color"] == "red"
     run_load(dataset, [(LoadSpec("flat"), df)])
     assert dataset.read("flat").first()["attrs__color"] == "red"
+
+
+def test_variants_stay_native_and_hints_are_metadata(spark, dataset):
+    df = spark.createDataFrame([("a", '{"x":null,"y":[1]}')], "k string, t string").select(
+        "k", F.parse_json("t").alias("attrs")
+    )
+    spec = LoadSpec(
+        "t", "merge", primary_key="k",
+        field_hints={"attrs": {"type": "object"}, "k": {"facet": True, "locale": "el"}},
+    )
+    for _ in range(2):
+        run_load(dataset, [(spec, df)])
+    table = dataset.read("t")
+    assert table.select(F.to_json("attrs")).first()[0] == '{"x":null,"y":[1]}'
+    assert table.schema["k"].metadata["hint"] == {
+        "name": "k", "type": "string", "optional": True, "facet": True, "locale": "el"
+    }
