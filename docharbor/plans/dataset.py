@@ -457,7 +457,10 @@ class Dataset:
         if sort_by is not None and sort_by in rows.columns:
             placed = placed.sortWithinPartitions(OK, BUCKET, F.col(f"`{sort_by}`").desc())
         path = f"{LOAD}={load_id}/{PART}={step}"
-        writer = placed.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file)
+        # Static overwrite: a retry must not leave buckets of the first try behind.
+        writer = placed.write.mode("overwrite").options(
+            maxRecordsPerFile=max_rows_per_file, partitionOverwriteMode="static"
+        )
         writer.partitionBy(OK, BUCKET).parquet(self._folder(table, path))
         counts = (
             self.read_part(rows.schema, table, path, layout).groupBy(OK, BUCKET).count().collect()
@@ -493,6 +496,9 @@ class Dataset:
     def rejects(self, table: str, load_id: str) -> DataFrame:
         """Rejected rows of a load with their reasons."""
         path = self._folder(table, f"{LOAD}={load_id}/{PART}=batch/{OK}=false")
+        if not self._exists(path):
+            schema = self.layout(table).spark_schema
+            return self._no_rows(schema).withColumn(ERRORS, F.lit(None).cast(ERROR_TYPE))
         rows = self.spark.read.parquet(path).drop(BUCKET)
         return rows.withColumns({n: F.col(o) for n, o in self.layout(table).aliases.items()})
 

@@ -233,6 +233,21 @@ def test_quarantine_keeps_good_rows_and_saves_the_rest(dataset):
     reasons = [r["_errors"][0]["reason"] for r in dataset.rejects("orders", "l1").collect()]
     assert reasons == ["key column is missing or null"]
     assert dataset.rejects("orders__items", "l1").first()["sku"] == "b"
+    put(dataset, spec, [("o2", [("c",)])], ITEMS, "l2")
+    assert dataset.rejects("orders", "l2").count() == 0
+
+
+def test_a_retry_leaves_no_bucket_of_the_first_try(spark, dataset, monkeypatch):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        with monkeypatch.context() as patched:
+            patched.setattr(Dataset, "commit", lambda *a, **k: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                put(dataset, PRODUCTS, [(f"s{i}", i) for i in range(50)], "sku string, price long", "l1")
+        put(dataset, PRODUCTS, [("s1", 7)], "sku string, price long", "l1")
+        assert values(dataset, "products", "sku", "price") == [("s1", 7)]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
 def test_eight_failures_give_five_short_samples(dataset):
