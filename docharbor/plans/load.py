@@ -60,6 +60,7 @@ class TableResult:
 
     total: int = 0
     failed: int = 0
+    updated: int = 0
     removed_orphans: int = 0
     ids_of_other_scheme: int = 0
 
@@ -377,69 +378,80 @@ class _Resource:
         roots: DataFrame | None,
         batch: list[Part],
     ) -> list[Part]:
-        """Rewrite the buckets the batch touches; all others stay as they are."""
+        """Rewrite the buckets that hold rows the batch replaces; all others stay as they are.
+
+        Rows are replaced by document id, or in child tables whose orphans are removed by
+        root id: after both steps a reloaded root has the children of the batch and no other.
+        """
         spec = self.spec
         cleans = roots is not None and spec.cleans_orphans
-        touched = set(written.part.buckets) if written is not None else set()
-        root_ids, root_count = None, 0
         if cleans:
-            root_ids = orphans.root_ids(roots)
-            found = root_ids.select(bucket_of(F.col(ROOT_ID), layout.buckets).alias(BUCKET))
-            rows = found.groupBy(BUCKET).count().collect()
-            touched |= {r[BUCKET] for r in rows}
-            root_count = sum(r["count"] for r in rows)
-        if not touched:
+            on, keys = ROOT_ID, orphans.root_ids(roots)
+            count = self.result.tables[spec.name].total
+        else:
+            on, keys, count = ID, staged.select(ID), written.total
+        small = count * ID_BYTES <= _broadcast_limit(self.dataset)
+        keys = F.broadcast(keys) if small else keys
+        near = self._buckets_of(keys, on, written, layout)
+        target = self._stored_rows(name, old, layout, {*near, UNBUCKETED})
+        hits = self._hits(target, keys, on, layout)
+        outcome = self.result.tables.setdefault(name, TableResult())
+        replaced = existing = sum(hits.values())
+        if cleans and existing:
+            replaced = 0
+            if staged is not None:
+                replaced = target.join(staged.select(ROW_ID), ROW_ID, "left_semi").count()
+            outcome.removed_orphans = existing - replaced
+        outcome.updated = replaced
+        if not hits:
             return [*old.parts, *batch]
-        touched.add(UNBUCKETED)
+        touched = {*hits, UNBUCKETED}
         target = self._stored_rows(name, old, layout, touched)
-        outcome = self.result.tables.setdefault(name, TableResult())
+        by_id = on == ID == layout.bucket_by
         if spec.action == "emplace" and staged is not None:
             if cleans:
-                stale = orphans.stale_children(target.select(ROOT_ID, ROW_ID), root_ids, staged)
-                outcome.removed_orphans = stale.count()
-                target = orphans.without_stale(target, root_ids, staged)
+                target = orphans.without_stale(target, keys, staged)
+            bucket = bucket_of(F.col(layout.bucket_by), layout.buckets)
+            near_rows = staged.filter(bucket.isin(sorted(hits)))
             # Child rows are joined by their own id but stored by that of their root.
-            by_id = layout.bucket_by == ID
             if by_id:
-                target, staged = self._side_by_side(layout, target, staged, on=ID)
-            merged = dispositions.emplace(target, staged)
-            rewritten = self._rewrite(name, layout, merged, "merged", rebalance=not by_id)
-            batch = []
+                target, near_rows = self._side_by_side(layout, target, near_rows, ID)
+            rows = dispositions.emplace(target, near_rows)
+            rewritten = self._rewrite(name, layout, rows, "merged", rebalance=not by_id)
+            batch = replace(layout, parts=batch).without_buckets(set(hits))
         else:
-            on, keys, count = ID, staged, written.total if written is not None else 0
-            if cleans:
-                on, keys, count = ROOT_ID, root_ids, root_count
-            rewritten = self._rewrite_survivors(name, layout, target, keys.select(on), on, count)
-            if cleans:
-                # Every stored row was kept, replaced by a row of the batch, or removed. The
-                # first two counts come from file footers; only ids are joined for the third.
-                replaced = 0
-                if staged is not None:
-                    replaced = target.join(staged.select(ROW_ID), ROW_ID, "left_semi").count()
-                outcome.removed_orphans = target.count() - rewritten.total - replaced
-        kept = [rewritten.part] if rewritten.part.buckets else []
-        return [*old.without_buckets(touched), *batch, *kept]
-
-    def _rewrite_survivors(
-        self, name: str, layout: Layout, target: DataFrame, keys: DataFrame, on: str, count: int
-    ) -> Written:
-        """Write the stored rows that the batch does not replace.
-
-        Few keys are broadcast, after a check of their counted size: stored rows then never
-        move, and every task writes the buckets it read. Many keys are joined by a shuffle.
-        A root may own very many children, so child rows are left to the adaptive join and
-        are spread evenly over the output afterwards.
+            # Few keys are broadcast: stored rows never move, and every task writes the
+            # buckets it read. Many keys are joined by a shuffle. A root may own very many
+            # children, so these are left to the adaptive join and spread evenly afterwards.
+            if by_id and not small:
+                target, keys = self._side_by_side(layout, target, keys, on)
+            kept = target.join(keys, on, "left_anti").select(
+                *[F.col(f"`{c}`") for c in target.columns]
+            )
+            rewritten = self._rewrite(name, layout, kept, "kept", not (small or by_id))
+        kept_parts = [rewritten.part] if rewritten.part.buckets else []
+        return [*old.without_buckets(touched), *batch, *kept_parts]
+
+    def _buckets_of(
+        self, keys: DataFrame, on: str, written: Written | None, layout: Layout
+    ) -> set[int]:
+        """Buckets that rows with these keys can be in; at most one small row per bucket."""
+        if written is not None and on == ID:
+            return set(written.part.buckets)
+        bucket = bucket_of(F.col(on), layout.buckets).alias(BUCKET)
+        return {r[BUCKET] for r in keys.select(bucket).distinct().collect()}
+
+    def _hits(
+        self, target: DataFrame, keys: DataFrame, on: str, layout: Layout
+    ) -> dict[int, int]:
+        """Stored rows with one of the keys, counted per bucket, reading ids alone.
+
+        A batch of new rows hits nothing and then costs no rewrite at all.
         """
-        rebalance = False
-        if count * ID_BYTES <= _broadcast_limit(self.dataset):
-            keys = F.broadcast(keys)
-        elif on == ID == layout.bucket_by:
-            target, keys = self._side_by_side(layout, target, keys, on)
-        else:
-            rebalance = True
-        kept = target.join(keys, on, "left_anti")
-        kept = kept.select(*[F.col(f"`{c}`") for c in target.columns])
-        return self._rewrite(name, layout, kept, "kept", rebalance)
+        names = list(dict.fromkeys([on, layout.bucket_by]))
+        bucket = bucket_of(F.col(layout.bucket_by), layout.buckets).alias(BUCKET)
+        found = target.select(*names).join(keys, on, "left_semi").groupBy(bucket).count()
+        return {r[BUCKET]: r["count"] for r in found.collect()}
 
     def _side_by_side(
         self, layout: Layout, left: DataFrame, right: DataFrame, on: str

@@ -44,6 +44,11 @@ def test_upsert_replaces_the_document_and_emplace_does_not(dataset):
     put(dataset, emplace, [("A1", 10)], "sku string, a long")
     put(dataset, emplace, [("A1", None), ("B2", 5)], "sku string, a long")
     assert values(dataset, "other", "sku", "a", "b") == [("A1", 10, 2), ("B2", 5, None)]
+    put(dataset, emplace, [(f"N{i}", i) for i in range(20)], "sku string, a long")
+    done = put(dataset, emplace, [("N3", 33), ("M1", 1)], "sku string, a long")
+    assert done.tables["other"].updated == 1
+    found = dict(values(dataset, "other", "sku", "a"))
+    assert len(found) == 23 and (found["N3"], found["N4"], found["M1"]) == (33, 4, 1)
 
 
 def test_compound_and_unique_keys(dataset):
@@ -356,6 +361,20 @@ def test_a_task_of_a_rewrite_writes_to_one_bucket(dataset, tmp_path, broadcast_l
         assert 3 <= len(files) <= 9
 
 
+def test_new_rows_rewrite_nothing(dataset, broadcast_limit):
+    spec = LoadSpec("orders", "merge", primary_key="order_id", buckets=2)
+    put(dataset, spec, [("o1", [("a",)])], ITEMS, "l1")
+    done = put(dataset, spec, [("o2", [("b",)]), ("o3", [])], ITEMS, "l2")
+    assert (done.tables["orders"].updated, done.tables["orders"].total) == (0, 2)
+    for table in ("orders", "orders__items"):
+        steps = {p.path for p in dataset.layout(table).parts}
+        assert steps == {"_load=l1/_part=batch", "_load=l2/_part=batch"}
+    assert values(dataset, "orders__items", "sku") == [("a",), ("b",)]
+    done = put(dataset, spec, [("o2", [("c",), ("d",)]), ("o4", [("e",)])], ITEMS, "l3")
+    assert (done.tables["orders"].updated, done.tables["orders__items"].updated) == (1, 1)
+    assert values(dataset, "orders__items", "sku") == [("a",), ("c",), ("d",), ("e",)]
+
+
 def test_one_root_may_own_most_children(dataset, broadcast_limit):
     spec = LoadSpec("orders", "merge", primary_key="order_id", buckets=2)
     hot = [(f"s{i}",) for i in range(3000)]
