@@ -325,6 +325,8 @@ class _Resource:
         if old is None:
             return batch
         if spec.strategy == "insert-only":
+            if not batch:
+                return list(old.parts)
             return self._insert_only(name, layout, old, written, staged)
         self._warn_of_other_ids(name, old, staged, roots)
         return self._upsert(name, layout, old, written, staged, roots, batch)
@@ -362,11 +364,23 @@ class _Resource:
     def _insert_only(
         self, name: str, layout: Layout, old: Layout, written: Written, staged: DataFrame
     ) -> list[Part]:
-        buckets = {*written.part.buckets, UNBUCKETED}
-        target = self._stored_rows(name, old, layout, buckets)
-        fresh = dispositions.new_rows(target, staged)
-        added = self._rewrite(name, layout, fresh, "new", rebalance=True)
-        return [*old.parts, *([added.part] if added.part.buckets else [])]
+        """Add the rows that are new; only buckets with some known ids are written again."""
+        target = self._stored_rows(name, old, layout, {*written.part.buckets, UNBUCKETED})
+        keys, _ = self._checked_broadcast(staged.select(ID), written.total)
+        hits = self._hits(target, keys, ID, layout)
+        if not hits:
+            return [*old.parts, written.part]
+        known = self._stored_rows(name, old, layout, {*hits, UNBUCKETED})
+        bucket = bucket_of(F.col(layout.bucket_by), layout.buckets)
+        mixed = staged.filter(bucket.isin(sorted(hits)))
+        added = self._rewrite(name, layout, dispositions.new_rows(known, mixed), "new", True)
+        batch = replace(layout, parts=[written.part]).without_buckets(set(hits))
+        return [*old.parts, *batch, *([added.part] if added.part.buckets else [])]
+
+    def _checked_broadcast(self, keys: DataFrame, count: int) -> tuple[DataFrame, bool]:
+        """Keys for a broadcast join where their counted size allows it, and whether it does."""
+        small = count * ID_BYTES <= _broadcast_limit(self.dataset)
+        return (F.broadcast(keys) if small else keys), small
 
     def _upsert(
         self,
@@ -390,8 +404,7 @@ class _Resource:
             count = self.result.tables[spec.name].total
         else:
             on, keys, count = ID, staged.select(ID), written.total
-        small = count * ID_BYTES <= _broadcast_limit(self.dataset)
-        keys = F.broadcast(keys) if small else keys
+        keys, small = self._checked_broadcast(keys, count)
         near = self._buckets_of(keys, on, written, layout)
         target = self._stored_rows(name, old, layout, {*near, UNBUCKETED})
         hits = self._hits(target, keys, on, layout)

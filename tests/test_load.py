@@ -180,8 +180,13 @@ def test_insert_only_never_changes_a_row(dataset):
     spec = LoadSpec("products", "merge", primary_key="sku", strategy="insert-only")
     put(dataset, spec, [("A1", 1), ("B2", 2)], "sku string, n long")
     before = values(dataset, "products", ID, "sku", "n")
-    put(dataset, spec, [("A1", 1), ("B2", 99), ("C3", 3)], "sku string, n long")
-    assert values(dataset, "products", "sku", "n") == [("A1", 1), ("B2", 2), ("C3", 3)]
+    more = [("A1", 1), ("B2", 99), *[(f"C{i}", i) for i in range(30)]]
+    put(dataset, spec, more, "sku string, n long")
+    put(dataset, spec, [], "sku string, n long")
+    assert dict(values(dataset, "products", "sku", "n")) == {**dict(more), "B2": 2}
+    assert dataset.read("products").count() == 32
+    put(dataset, spec, [("D4", 4)], "sku string, n long", "fresh")
+    assert "_load=fresh/_part=batch" in [p.path for p in dataset.layout("products").parts]
     assert set(before) <= set(values(dataset, "products", ID, "sku", "n"))
     assert all(i == r for i, r in values(dataset, "products", ID, ROW_ID))
 
