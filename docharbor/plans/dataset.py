@@ -34,6 +34,8 @@ ENGINE_VERSION = 1
 LOADS, VERSIONS, STATE, STAGE = "_loads", "_versions", "_pipeline_state", "_stage"
 LOAD, PART, OK, BUCKET = "_load", "_part", "_ok", "_bucket"
 UNBUCKETED = -1
+# Staged rows often grow many times when their lists are exploded, so they are cut finely.
+STAGE_BLOCK_BYTES = 4 * 1024 * 1024
 # Up to this many buckets of a part are read by their folder names.
 FEW_BUCKETS = 64
 PLACES = (
@@ -487,7 +489,8 @@ class Dataset:
     def stage(self, rows: DataFrame, table: str, load_id: str) -> DataFrame:
         """Write rows that several steps use, and read them back."""
         path = self._folder(STAGE, f"{LOAD}={load_id}", table)
-        rows.write.mode("overwrite").parquet(path)
+        writer = rows.write.mode("overwrite").option("parquet.block.size", STAGE_BLOCK_BYTES)
+        writer.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def drop_stage(self, load_id: str) -> None:

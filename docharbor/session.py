@@ -24,6 +24,7 @@ def local_session(name: str = "docharbor", cores: str = "*", **conf: str) -> Spa
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
     )
     for key, value in {**REQUIRED_CONF, **conf}.items():
         builder = builder.config(key, value)
