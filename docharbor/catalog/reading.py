@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docharbor.catalog.registry import Tables, query
-from docharbor.operators import reads
+from docharbor.operators import quality, reads, shape
 from docharbor.session import shared_dir
 from docharbor.sources import files, pages
 
@@ -87,8 +87,8 @@ def json_lines_source(t: Tables) -> DataFrame:
     """Load files of one JSON object per line, written and read back whole."""
     path = written(t, "json_lines_source")
     t.pages.write.mode("overwrite").json(path)
-    rows, _ = files.read_load_files(t.spark, path, "page_id bigint, url string, html string")
-    return rows
+    rows = files.read_load_files(t.spark, path, "page_id bigint, url string, html string")
+    return quality.valid_rows(rows)
 
 
 @query("select doc_id, lang, text from documents")
@@ -109,7 +109,7 @@ def json_lines_rejects(t: Tables) -> DataFrame:
         .otherwise(F.col("props"))
     )
     t.events.select(line).write.mode("overwrite").text(path)
-    _, rejects = files.read_load_files(t.spark, path, "k bigint")
+    rejects = quality.rejected_rows(files.read_load_files(t.spark, path, "k bigint"))
     return rejects.agg(F.count(F.lit(1)).alias("bad_lines"))
 
 
@@ -150,8 +150,6 @@ from events
 )
 def variant_source(t: Tables) -> DataFrame:
     """Load files with a field of mixed types, told apart after reading."""
-    from docharbor.operators import shape
-
     path = written(t, "variant_source")
     wire = F.when(
         F.col("event_type") == "error",

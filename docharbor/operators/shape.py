@@ -71,7 +71,7 @@ def list_columns(df: DataFrame, inline: frozenset[str] = frozenset()) -> list[st
     return [
         f.name
         for f in df.schema.fields
-        if isinstance(f.dataType, T.ArrayType) and f.name not in inline
+        if isinstance(f.dataType, T.ArrayType) and f.name not in inline and f.name != ERRORS
     ]
 
 
@@ -127,7 +127,7 @@ def child_tables(schema: T.StructType, table: str, inline: frozenset[str] = froz
     def walk(fields: T.StructType, name: str, prefix: str, keep: frozenset[str]) -> None:
         for f in fields.fields:
             column = f"{prefix}{f.name}"
-            if column in keep:
+            if column in keep or column == ERRORS:
                 continue
             if isinstance(f.dataType, T.StructType):
                 walk(f.dataType, name, f"{column}{NEST}", keep)
@@ -167,7 +167,8 @@ def to_documents(
     """Rows to documents: the managed id, converted values and the reject reasons.
 
     The id is made of the source values, before any conversion. A child table takes no
-    hints, which belong to the columns of the root table.
+    hints, which belong to the columns of the root table. Rows that a source marked as
+    rejects stay so, with the reason the source gave.
     """
     key = spec.key if is_root else ()
     pinned = {f["name"]: f for f in fields["fields"] if f["name"] != ".*"} if is_root else {}
@@ -184,6 +185,8 @@ def to_documents(
     problems = [(k, F.when(F.col(f"`{k}`").isNull(), missing), F.lit(None)) for k in key]
     for f in rows.schema.fields:
         column = F.col(f"`{f.name}`")
+        if f.name == ERRORS:
+            continue
         if f.name in SYSTEM_COLUMNS:
             columns.append(column)
         elif f.name in pinned:
@@ -203,6 +206,8 @@ def to_documents(
     if problems:
         found = F.array_compact(F.array(*[error(*p) for p in problems]))
         errors = F.when(F.coalesce(*[reason for _, reason, _ in problems]).isNotNull(), found)
+    if ERRORS in rows.columns:
+        errors = F.coalesce(F.col(ERRORS), errors)
     return staged.select(*columns, errors.cast(ERROR_TYPE).alias(ERRORS))
 
 
@@ -296,6 +301,24 @@ def _widens(source: T.DataType, target: T.DataType) -> bool:
     return isinstance(source, T.NullType)
 
 
+def merged_type(old: T.DataType, new: T.DataType) -> T.DataType | None:
+    """A type that holds objects of both, where one has fields the other lacks."""
+    if old == new:
+        return old
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        element = merged_type(old.elementType, new.elementType)
+        return T.ArrayType(element) if element is not None else None
+    if not (isinstance(old, T.StructType) and isinstance(new, T.StructType)):
+        return None
+    fields = {f.name: f.dataType for f in old.fields}
+    for f in new.fields:
+        merged = merged_type(fields[f.name], f.dataType) if f.name in fields else f.dataType
+        if merged is None:
+            return None
+        fields[f.name] = merged
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
 def reconcile(batch: DataFrame, stored: T.StructType) -> DataFrame:
     """Fit a batch to a stored schema: widen losslessly, else use a variant column."""
     known = {f.name: f.dataType for f in stored.fields}
@@ -305,6 +328,8 @@ def reconcile(batch: DataFrame, stored: T.StructType) -> DataFrame:
         target = known.get(f.name)
         if target is None or target == f.dataType or f.name in (*SYSTEM_COLUMNS, ID, ERRORS):
             columns.append(column)
+        elif merged_type(target, f.dataType) is not None:
+            columns.append(column)
         elif _widens(f.dataType, target):
             columns.append(column.cast(target).alias(f.name))
         elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):

@@ -28,6 +28,7 @@ from docharbor.operators import dispositions, orphans, quality
 from docharbor.operators.shape import (
     ERRORS,
     child_tables,
+    merged_type,
     nest_chain,
     primary_kind,
     reconcile,
@@ -212,7 +213,12 @@ class _Resource:
         )
         outcome = TableResult(written.total, written.failed)
         self.result.tables[name] = outcome
-        staged = self.dataset.read_part(documents.schema, name, written.part.path, layout)
+        # Objects are read back with the fields they have in the whole table.
+        kinds = {f.name: f.dataType for f in layout.spark_schema.fields}
+        schema = T.StructType(
+            [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in documents.schema.fields]
+        )
+        staged = self.dataset.read_part(schema, name, written.part.path, layout)
         if written.failed and self.spec.on_reject == "fail":
             quality.fail_on_rejects(
                 name,
@@ -241,9 +247,10 @@ class _Resource:
             aliases=aliases,
         )
         if old is not None:
-            known = old.spark_schema
-            fresh = [f for f in merged.fields if f.name not in known.names]
-            every = T.StructType([*known.fields, *fresh])
+            kinds = {f.name: f.dataType for f in old.spark_schema.fields}
+            for f in merged.fields:
+                kinds[f.name] = merged_type(kinds.get(f.name, f.dataType), f.dataType) or f.dataType
+            every = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
             layout.schema = document_schema(every, fields).jsonValue()
             layout.buckets = old.buckets
             # A table that was appended to and merged into stores its ids from then on.

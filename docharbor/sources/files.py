@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docharbor.operators.shape import ERROR_TYPE, ERRORS, error
+
 # Columns that name a row's place in its file; see ``LoadSpec.origin``.
 ORIGIN = ("_origin_file", "_origin_row")
 CORRUPT = "_corrupt_record"
@@ -33,26 +35,24 @@ def read_parquet(spark: SparkSession, path: str, with_origin: bool = False) -> D
     )
 
 
-def read_load_files(
-    spark: SparkSession, path: str, schema: T.StructType | str
-) -> tuple[DataFrame, DataFrame]:
-    """JSON lines files of a load, plain or compressed: rows, and lines that are no object.
+def read_load_files(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """JSON lines files of a load, plain or compressed, without their blank lines.
 
-    Blank lines are skipped. A rejected line keeps its text.
+    A line that is no object of the schema becomes a row without values that is marked as a
+    reject with its text, so that a load counts it with the other rejects.
     """
-    lines = spark.read.text(path).filter(F.trim("value") != "")
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = lines.select(
-        F.col("value"),
-        F.from_json(
-            "value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        ).alias("row"),
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", marked, options).alias("row"))
     bad = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
-    rows = parsed.filter(~bad).select(*[F.col(f"row.`{n}`") for n in schema.names])
-    return rows, parsed.filter(bad).select(F.col("value").alias("line"))
+    problem = error("", F.when(bad, F.lit("the line is no object of the schema")), F.col("value"))
+    return parsed.select(
+        *[F.when(~bad, F.col(f"row.`{n}`")).alias(n) for n in schema.names],
+        F.when(bad, F.array(problem)).cast(ERROR_TYPE).alias(ERRORS),
+    )
 
 
 def read_variant_files(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

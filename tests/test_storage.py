@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docharbor import LoadError, LoadSpec, RejectedRows, SyncSpec, run_load, run_sync
+from docharbor.operators import quality
 from docharbor.plans.dataset import Dataset
 from docharbor.sources import files, incremental, jdbc, pages
 from docharbor.streaming.micro_batch import load_stream
@@ -281,12 +282,47 @@ def test_file_sources(spark, tmp_path):
     assert found.count() == 3
     lines = tmp_path / "a.jsonl"
     lines.write_text('{"id":"1","label":"x"}\n\n   \n{"id":"2"}\n{"broken\n[1]\n', encoding="utf-8")
-    rows, rejects = files.read_load_files(spark, str(lines), "id string, label string")
-    assert sorted(tuple(r) for r in rows.collect()) == [("1", "x"), ("2", None)]
-    assert {r["line"] for r in rejects.collect()} == {'{"broken', "[1]"}
+    rows = files.read_load_files(spark, str(lines), "id string, label string")
+    good = quality.valid_rows(rows).collect()
+    assert sorted(tuple(r) for r in good) == [("1", "x"), ("2", None)]
+    bad = quality.rejected_rows(rows).collect()
+    assert {r["_errors"][0]["sample"] for r in bad} == {'{"broken', "[1]"}
     assert files.read_json(spark, str(lines), "id string").filter("id is not null").count() == 2
 
 
+def test_bad_lines_are_rejects_of_their_load(spark, dataset, tmp_path):
+    lines = tmp_path / "a.jsonl"
+    lines.write_text('{"k":"1","items":[{"x":1}]}\nnot json\n{"k":2}\n{"items":[]}\n')
+    rows = files.read_load_files(spark, str(lines), "k string, items array<struct<x:long>>")
+    for disposition in ("append", "merge"):
+        spec = LoadSpec(f"t_{disposition}", disposition, primary_key="k")
+        with pytest.raises(RejectedRows) as failure:
+            run_load(dataset, [(spec, rows)])
+        expected = 2 if disposition == "merge" else 1
+        assert (failure.value.failed_count, failure.value.total_count) == (expected, 4)
+        assert any("not json" in s for s in failure.value.samples)
+    spec = LoadSpec("t", "merge", primary_key="k", on_reject="quarantine")
+    run_load(dataset, [(spec, rows)])
+    assert sorted(r["k"] for r in dataset.read("t").collect()) == ["1", "2"]
+    assert dataset.read("t__items").count() == 1 and dataset.tables() == ["t", "t__items"]
+
+
+@pytest.mark.parametrize("action", ["upsert", "emplace"])
+def test_objects_may_gain_and_lose_fields(spark, dataset, action):
+    spec = LoadSpec(
+        "t", "merge", primary_key="k", action=action, field_hints={"o": {"type": "object"}}
+    )
+    batches = [
+        ([("a", (1, "x")), ("b", (2, "y"))], "k string, o struct<n:long,s:string>"),
+        ([("b", (3, True)), ("c", (4, False))], "k string, o struct<n:long,f:boolean>"),
+        ([("c", ("z",))], "k string, o struct<s:string>"),
+    ]
+    for rows, schema in batches:
+        run_load(dataset, [(spec, frame(spark, rows, schema))])
+    found = {r["k"]: (r["o"]["n"], r["o"]["s"], r["o"]["f"]) for r in dataset.read("t").collect()}
+    assert found == {"a": (1, "x", None), "b": (3, None, True), "c": (None, "z", None)}
+
+
 def test_parquet_types_reach_the_table(spark, dataset, tmp_path):
     path = str(tmp_path / "p")
     spark.sql(
