@@ -535,9 +535,11 @@ def with_row_id(rows: DataFrame, spec: LoadSpec, collection: str, load_id: str)
         if missing:
             raise ConfigError(f"table '{spec.name}': key columns {missing} are not in the batch")
         keyed = ids.keyed_row_id(rows, collection, spec.row_key)
-        # A row without a key is rejected later and needs some id until then.
+        # A row without a key, or one its source rejects, must not pass for a row of a key.
         content = ids.digest_id(F.lit(collection), F.lit(load_id), ids.content_json(rows))
         no_key = reduce(or_, [F.col(f"`{c}`").isNull() for c in spec.row_key])
+        if ERRORS in rows.columns:
+            no_key = no_key | F.col(ERRORS).isNotNull()
         return rows.withColumn(ROW_ID, F.when(no_key, content).otherwise(keyed))
     if spec.origin:
         return rows.withColumn(ROW_ID, ids.origin_row_id(collection, load_id, spec.origin))

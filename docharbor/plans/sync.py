@@ -11,8 +11,9 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docharbor.errors import MAX_SAMPLES, ConfigError, RejectedRows
+from docharbor.errors import ConfigError
 from docharbor.functions.names import column_name
+from docharbor.operators.shape import ERROR_TYPE, ERRORS, error
 from docharbor.plans.dataset import Dataset, new_load_id
 from docharbor.plans.load import LoadResult, run_load
 from docharbor.sources import incremental
@@ -35,6 +36,8 @@ class SyncSpec:
     field_hints: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
     hook: Hook | None = None
     disposition: str = "merge"
+    buckets: int = 8
+    on_reject: str = "fail"
 
     def load_spec(self, full_refresh: bool = False) -> LoadSpec:
         # A cursor says which of several changes of one key is the newest.
@@ -44,6 +47,8 @@ class SyncSpec:
             primary_key=self.primary_key,
             order_by=(self.cursor,) if self.cursor else (),
             hook=self.hook,
+            buckets=self.buckets,
+            on_reject=self.on_reject,
         )
         if self.facet or self.sort or self.field_hints:
             spec = with_hints(
@@ -105,16 +110,15 @@ def _changed(
     seen = None
     if "boundary" in before:
         seen = dataset.spark.read.parquet(f"{dataset.path}/{before['boundary']}")
-    missing = incremental.null_cursors(source, cursor)
-    found = missing.count()
-    if found:
-        documents = missing.select(F.to_json(F.struct("*"))).limit(MAX_SAMPLES).collect()
-        raise RejectedRows(
-            sync.target, load_id, found, source.count(), [f"{cursor} is null: {d[0]}" for d in documents]
-        )
     batch = incremental.delta(source, cursor, last, key=key, seen=seen)
     if limit is not None:
         batch = incremental.limited(batch, cursor, limit, key)
+    # No delta can ever hold rows without a cursor, so each run reports them as rejects.
+    missing = incremental.null_cursors(source, cursor)
+    problem = error(cursor, F.lit("the cursor is missing or null"), F.lit(None))
+    batch = batch.unionByName(
+        missing.withColumn(ERRORS, F.array(problem).cast(ERROR_TYPE)), allowMissingColumns=True
+    )
     # The source may change while it is read: the cursor must be that of the rows loaded.
     batch = dataset.stage(batch, f"{column_name(sync.target)}_delta", load_id)
     newest = incremental.greatest(batch, cursor)

@@ -216,6 +216,19 @@ def test_null_cursors_are_rejected(spark, dataset):
     with pytest.raises(RejectedRows) as failure:
         run_sync(dataset, [spec], "p")
     assert (failure.value.failed_count, failure.value.total_count) == (1, 2)
+    assert "the cursor is missing or null" in failure.value.samples[0]
+
+
+def test_a_row_without_a_cursor_does_not_pass_for_its_key(spark, dataset):
+    schema = "k string, seq long, items array<struct<x:long>>"
+    rows = frame(spark, [("a", 1, [(1,), (2,)]), ("a", None, [(9,)]), ("b", 2, [])], schema)
+    sync = SyncSpec("t", lambda: rows, primary_key="k", cursor="seq", on_reject="quarantine")
+    done = run_sync(dataset, [sync], "p", load_id="l1")
+    assert (done.tables["t"].total, done.tables["t"].failed) == (3, 1)
+    assert sorted(r["x"] for r in dataset.read("t__items").collect()) == [1, 2]
+    assert dataset.rejects("t", "l1").first()["k"] == "a"
+    assert dataset.rejects("t__items", "l1").first()["x"] == 9
+    assert dataset.state("p")["t"]["last"] == 2
 
 
 def test_targets_and_dev_mode(spark, dataset, tmp_path):
