@@ -147,6 +147,25 @@ def incremental_boundary(t: Tables) -> DataFrame:
     return found.select("o_orderkey", "o_totalprice")
 
 
+@query(
+    """
+select o_orderkey, o_totalprice from orders
+where o_orderdate > timestamp '1997-06-01 00:00:00'
+   or (o_orderdate = timestamp '1997-06-01 00:00:00' and o_orderstatus <> 'F')
+"""
+)
+def incremental_boundary_one_scan(t: Tables) -> DataFrame:
+    """The same with few keys at the boundary, after their number was checked."""
+    last = dt.datetime(1997, 6, 1)
+    loaded = t.orders.filter("o_orderstatus = 'F'")
+    seen = incremental.boundary_keys(loaded, "o_orderdate", last, ["o_orderkey"])
+    few = seen.count() <= 10_000
+    found = incremental.delta(
+        t.orders, "o_orderdate", last, key=["o_orderkey"], seen=seen, few_seen=few
+    )
+    return found.select("o_orderkey", "o_totalprice")
+
+
 @query(
     """
 select event_type, max(epoch_us(ts)) as cursor_at,

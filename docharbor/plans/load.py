@@ -386,7 +386,7 @@ class _Resource:
 
     def _checked_broadcast(self, keys: DataFrame, count: int) -> tuple[DataFrame, bool]:
         """Keys for a broadcast join where their counted size allows it, and whether it does."""
-        small = count * ID_BYTES <= _broadcast_limit(self.dataset)
+        small = may_broadcast(self.dataset, count)
         return (F.broadcast(keys) if small else keys), small
 
     def _upsert(
@@ -493,8 +493,12 @@ class _Resource:
         )
 
 
+def may_broadcast(dataset: Dataset, ids_count: int) -> bool:
+    """Whether so many ids fit the session's limit for broadcast tables."""
+    return ids_count * ID_BYTES <= _broadcast_limit(dataset)
+
+
 def _broadcast_limit(dataset: Dataset) -> int:
-    """Session limit for broadcast tables in bytes."""
     text = str(dataset.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().rstrip("b")
     units = {"k": 1024, "m": 1024**2, "g": 1024**3}
     if text and text[-1] in units:

@@ -15,7 +15,7 @@ from docharbor.errors import ConfigError
 from docharbor.functions.names import column_name
 from docharbor.operators.shape import ERROR_TYPE, ERRORS, error
 from docharbor.plans.dataset import Dataset, new_load_id
-from docharbor.plans.load import LoadResult, run_load
+from docharbor.plans.load import LoadResult, may_broadcast, run_load
 from docharbor.sources import incremental
 from docharbor.spec import Hook, LoadSpec, with_hints
 
@@ -110,7 +110,8 @@ def _changed(
     seen = None
     if "boundary" in before:
         seen = dataset.spark.read.parquet(f"{dataset.path}/{before['boundary']}")
-    batch = incremental.delta(source, cursor, last, key=key, seen=seen)
+    few_seen = seen is not None and may_broadcast(dataset, seen.count())
+    batch = incremental.delta(source, cursor, last, key=key, seen=seen, few_seen=few_seen)
     if limit is not None:
         batch = incremental.limited(batch, cursor, limit, key)
     # No delta can ever hold rows without a cursor, so each run reports them as rejects.

@@ -30,23 +30,30 @@ def delta(
     *,
     key: Sequence[str] = (),
     seen: DataFrame | None = None,
+    few_seen: bool = False,
 ) -> DataFrame:
     """Rows from the last cursor value on, less those of that value that were loaded.
 
-    Both filters reach the source. Only rows at the boundary take part in the join.
+    The filters reach the source. When only a few keys were seen at the boundary, they are
+    broadcast and one scan does; rows after the boundary have no key and match none. Many
+    keys are joined with the rows at the boundary alone, so that later rows do not move.
     """
     value = F.col(f"`{cursor}`")
     if last is None:
         return df.filter(value.isNotNull())
+    since = df.filter(value >= F.lit(last))
     if seen is None:
-        return df.filter(value >= F.lit(last))
-    later = df.filter(value > F.lit(last))
-    at_boundary = df.filter(value == F.lit(last))
+        return since
     keys = seen.select(BOUNDARY_KEY)
+    if few_seen:
+        at_last = F.when(value == F.lit(last), row_key(since, key)).alias(BOUNDARY_KEY)
+        fresh = since.select("*", at_last).join(F.broadcast(keys), BOUNDARY_KEY, "left_anti")
+        return fresh.select(*[F.col(f"`{c}`") for c in df.columns])
+    at_boundary = df.filter(value == F.lit(last))
     fresh = at_boundary.withColumn(BOUNDARY_KEY, row_key(at_boundary, key)).join(
         keys, BOUNDARY_KEY, "left_anti"
     )
-    return later.unionByName(fresh.drop(BOUNDARY_KEY))
+    return df.filter(value > F.lit(last)).unionByName(fresh.drop(BOUNDARY_KEY))
 
 
 def greatest(df: DataFrame, cursor: str) -> Any:

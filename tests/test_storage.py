@@ -368,13 +368,19 @@ def test_jdbc_options():
     assert "partitionColumn" not in jdbc.jdbc_options("jdbc:x", "t")
 
 
-def test_delta_filters_reach_the_scan(spark, tmp_path):
+@pytest.mark.parametrize("few_seen", [True, False])
+@pytest.mark.parametrize("key", [("payload",), ()])
+def test_delta_filters_reach_the_scan(spark, tmp_path, few_seen, key):
     path = str(tmp_path / "s")
-    sequence(spark, *range(10)).write.parquet(path)
+    rows = [(i // 3, f"row-{i}") for i in range(30)] + [(None, "none")]
+    frame(spark, rows, SEQ).write.parquet(path)
     df = spark.read.parquet(path)
-    seen = incremental.boundary_keys(df, "seq", 5, ["seq"])
-    plan = incremental.delta(df, "seq", 5, key=["seq"], seen=seen)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(seq,5)" in plan and "EqualTo(seq,5)" in plan
+    seen = incremental.boundary_keys(df.filter("payload <> 'row-16'"), "seq", 5, key)
+    found = incremental.delta(df, "seq", 5, key=key, seen=seen, few_seen=few_seen)
+    assert sorted(int(r["payload"][4:]) for r in found.collect()) == [16, *range(18, 30)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    wanted = ["GreaterThanOrEqual(seq,5)"] if few_seen else ["GreaterThan(seq,5)", "EqualTo(seq,5)"]
+    assert all(w in plan for w in wanted)
 
 
 def test_variant_fields_from_load_files(spark, dataset, tmp_path):
