@@ -14,7 +14,7 @@ import hashlib
 import json
 import time
 from collections.abc import Iterable, Mapping
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
 
@@ -34,6 +34,7 @@ ENGINE_VERSION = 1
 LOADS, VERSIONS, STATE, STAGE = "_loads", "_versions", "_pipeline_state", "_stage"
 LOAD, PART, OK, BUCKET = "_load", "_part", "_ok", "_bucket"
 UNBUCKETED = -1
+ADDED = "added"
 # Staged rows often grow many times when their lists are exploded, so they are cut finely.
 STAGE_BLOCK_BYTES = 4 * 1024 * 1024
 # Up to this many buckets of a part are read by their folder names.
@@ -78,14 +79,20 @@ class Layout:
     def bucket_by(self) -> str:
         return ROOT_ID if self.parent else ID
 
-    def dumps(self) -> str:
+    def dumps(self, old: Layout | None = None) -> str:
+        """The layout as text; only the added parts where nothing else differs from ``old``.
+
+        A table that is appended to many times then costs a few bytes per load.
+        """
+        if old is not None and self.parts[: len(old.parts)] == old.parts:
+            if replace(self, parts=old.parts) == old:
+                added = self.parts[len(old.parts) :]
+                return json.dumps({ADDED: [asdict(p) for p in added]})
         return json.dumps(asdict(self), sort_keys=True)
 
     @staticmethod
-    def loads(text: str) -> Layout:
-        raw = json.loads(text)
-        raw["parts"] = [Part(**p) for p in raw["parts"]]
-        return Layout(**raw)
+    def of(raw: dict[str, Any]) -> Layout:
+        return Layout(**{**raw, "parts": [Part(**p) for p in raw["parts"]]})
 
     def without_buckets(self, buckets: set[int]) -> list[Part]:
         """The parts less some buckets, which were written anew."""
@@ -299,7 +306,11 @@ class Dataset:
         return row.asDict() if row else None
 
     def commit(
-        self, load_id: str, changed: Mapping[str, Layout], schema_hash: str = ""
+        self,
+        load_id: str,
+        changed: Mapping[str, Layout],
+        schema_hash: str = "",
+        stored: Mapping[str, Layout] | None = None,
     ) -> None:
         """Complete a load: one row in one file, written last."""
         loads = self.loads()
@@ -313,7 +324,7 @@ class Dataset:
             "inserted_at": utc_now(),
             "schema_version_hash": schema_hash,
             "seq": (loads.agg(F.max("seq")).first()[0] or 0) + 1,
-            "layout": {name: layout.dumps() for name, layout in changed.items()},
+            "layout": {n: lay.dumps((stored or {}).get(n)) for n, lay in changed.items()},
         }
         self._row(system.LOADS_SCHEMA, row).write.mode("append").parquet(
             self._folder(LOADS)
@@ -322,10 +333,18 @@ class Dataset:
     # Tables
 
     def layouts(self) -> dict[str, Layout]:
-        """Newest layout of every table; one small row per table reaches the driver."""
+        """Newest layout of every table: its last whole layout and the parts added since."""
         entries = self.loads().select("seq", F.explode("layout").alias("table", "layout"))
-        newest = entries.groupBy("table").agg(F.max_by("layout", "seq").alias("layout"))
-        found = {r["table"]: Layout.loads(r["layout"]) for r in newest.collect()}
+        whole = ~F.col("layout").startswith(f'{{"{ADDED}"')
+        bases = entries.filter(whole).groupBy("table").agg(F.max("seq").alias("base"))
+        since = entries.join(bases, "table").filter(F.col("seq") >= F.col("base"))
+        found: dict[str, Layout] = {}
+        for row in since.orderBy("seq").select("table", "layout").collect():
+            raw = json.loads(row["layout"])
+            if ADDED in raw:
+                found[row["table"]].parts += [Part(**p) for p in raw[ADDED]]
+            else:
+                found[row["table"]] = Layout.of(raw)
         return found
 
     def tables(self) -> list[str]:

@@ -113,7 +113,7 @@ def run_load(
     )
     if pipeline is not None and state is not None:
         dataset.store_state(pipeline, state, load_id)
-    dataset.commit(load_id, changed, schema_hash)
+    dataset.commit(load_id, changed, schema_hash, stored)
     dataset.drop_stage(load_id)
     return result
 

@@ -398,7 +398,7 @@ def test_a_key_may_hold_most_rows_of_a_batch(dataset):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_random_loads_agree_with_a_dictionary(dataset, seed):
+def test_random_loads_agree_with_a_dictionary(dataset, broadcast_limit, seed):
     import random
 
     rng = random.Random(seed)

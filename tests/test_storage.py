@@ -122,6 +122,26 @@ def test_readers_see_the_old_table_until_the_commit(spark, dataset, monkeypatch)
     assert [r["n"] for r in dataset.read("snap").collect()] == [2]
 
 
+def test_a_load_that_only_adds_commits_only_what_it_adds(spark, dataset):
+    def sizes():
+        rows = dataset.loads().orderBy("seq").collect()
+        return [len(r["layout"]["a"]) for r in rows]
+
+    spec = LoadSpec("a", origin="n")
+    for i in range(4):
+        run_load(dataset, [(spec, frame(spark, [(i,)], "n long"))])
+    assert max(sizes()[1:]) < 150 < sizes()[0]
+    assert sorted(r["n"] for r in dataset.read("a").collect()) == [0, 1, 2, 3]
+    run_load(dataset, [(spec, frame(spark, [(4, "x")], "n long, s string"))])
+    run_load(dataset, [(spec, frame(spark, [(5, "y")], "n long, s string"))])
+    assert sizes()[4] > 150 > sizes()[5]
+    assert dict(dataset.read("a").select("n", "s").collect())[5] == "y"
+    assert dataset.read("a").count() == 6 and len(dataset.layout("a").parts) == 6
+    dataset.truncate(["a"])
+    run_load(dataset, [(spec, frame(spark, [(6, "z")], "n long, s string"))])
+    assert [r["n"] for r in dataset.read("a").collect()] == [6]
+
+
 def test_unreferenced_folders_can_be_removed(spark, dataset):
     spec = LoadSpec("a", "merge", primary_key="n", buckets=2)
     for i in range(3):
