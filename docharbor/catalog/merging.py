@@ -140,7 +140,12 @@ def append_two_loads(t: Tables) -> DataFrame:
     return dispositions.append(first, second)
 
 
-@query("select count(*) as total, count(*) as distinct_ids from (select * from lineitem union all select * from lineitem)")
+@query(
+    """
+select count(*) as total, count(*) as distinct_ids
+from (select * from lineitem union all select * from lineitem)
+"""
+)
 def append_row_ids(t: Tables) -> DataFrame:
     """Identical rows and repeated loads keep ids of their own."""
     first = ids.with_content_row_id(t.lineitem, "shop_lineitem", "load-1")
@@ -257,7 +262,8 @@ SQL_JSON_TEXT = r"""'"' || array_to_string(list_transform(regexp_extract_all(tex
     f"""
 select doc_id, {sql_uuid_of_digest("h")} as id from (
   select doc_id,
-         sha1(from_hex('{NAMESPACE_HEX}') || encode('lib_documents:["' || lang || '", ' || {SQL_JSON_TEXT} || ']')) as h
+         sha1(from_hex('{NAMESPACE_HEX}') ||
+              encode('lib_documents:["' || lang || '", ' || {SQL_JSON_TEXT} || ']')) as h
   from documents)
 """
 )

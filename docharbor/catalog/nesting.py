@@ -181,7 +181,8 @@ def child_rows(t: Tables, condition: str = "true") -> DataFrame:
     """Line items as a stored child table of the orders, one row id per distinct line."""
     rows = t.lineitem.filter(condition).withColumn("o_orderkey", F.col("l_orderkey"))
     rows = rows.withColumn(ROOT_ID, ids.keyed_row_id(rows, ORDERS, ["o_orderkey"]))
-    place = F.concat_ws("/", *[F.col(c).cast("string") for c in LINE_PLACE], F.date_format("l_shipdate", "yyyy-MM-dd"))
+    shipped = F.date_format("l_shipdate", "yyyy-MM-dd")
+    place = F.concat_ws("/", *[F.col(c).cast("string") for c in LINE_PLACE], shipped)
     row_id = ids.child_row_id(F.col(ROOT_ID), "shop_orders__lines", place)
     return rows.select(row_id.alias(ROW_ID), ROOT_ID, "l_orderkey", *LINE_FIELDS).join(
         t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"

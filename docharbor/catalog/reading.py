@@ -22,7 +22,12 @@ def eq_filter(t: Tables) -> DataFrame:
     return reads.where_equal(t.events, "event_type", "purchase").select("event_id", "user_id")
 
 
-@query("select o_orderkey, o_custkey from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
+@query(
+    """
+select o_orderkey, o_custkey from orders
+where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')
+"""
+)
 def in_filter(t: Tables) -> DataFrame:
     keys = t.customer.filter("c_mktsegment = 'BUILDING'").select("c_custkey")
     return reads.where_in(t.orders, "o_custkey", keys).select("o_orderkey", "o_custkey")
@@ -38,7 +43,12 @@ def range_filter(t: Tables) -> DataFrame:
     return reads.where_range(t.events, "value", above=50, at_most=90).select("event_id", "value")
 
 
-@query("select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 50 offset 50")
+@query(
+    """
+select o_orderkey, o_totalprice from orders
+order by o_totalprice desc, o_orderkey limit 50 offset 50
+"""
+)
 def sort_page(t: Tables) -> DataFrame:
     found = reads.page(t.orders, "o_totalprice", per_page=50, number=2, tie="o_orderkey")
     return found.select("o_orderkey", "o_totalprice")
@@ -113,7 +123,13 @@ def json_lines_rejects(t: Tables) -> DataFrame:
     return rejects.agg(F.count(F.lit(1)).alias("bad_lines"))
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as decimal(18,2))::varchar as o_totalprice from orders")
+@query(
+    """
+select o_orderkey, o_custkey, o_orderstatus,
+       cast(o_totalprice as decimal(18,2))::varchar as o_totalprice
+from orders
+"""
+)
 def csv_source(t: Tables) -> DataFrame:
     path = written(t, "csv_source")
     t.orders.select(
@@ -143,7 +159,8 @@ def parquet_origin(t: Tables) -> DataFrame:
 
 @query(
     """
-select event_id, case when event_type = 'error' then null else cast(json_extract(props, '$.k') as bigint) end as k,
+select event_id,
+       case when event_type <> 'error' then cast(json_extract(props, '$.k') as bigint) end as k,
        case when event_type = 'error' then event_type end as k__v_text
 from events
 """
@@ -151,15 +168,12 @@ from events
 def variant_source(t: Tables) -> DataFrame:
     """Load files with a field of mixed types, told apart after reading."""
     path = written(t, "variant_source")
-    wire = F.when(
-        F.col("event_type") == "error",
-        F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"k":"error"}')),
-    ).otherwise(
-        F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"k":'), F.get_json_object("props", "$.k"), F.lit("}"))
+    value = F.when(F.col("event_type") == "error", F.lit('"error"')).otherwise(
+        F.get_json_object("props", "$.k")
     )
+    wire = F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"k":'), value, F.lit("}"))
     t.events.select(wire).write.mode("overwrite").text(path)
     rows = files.read_variant_files(t.spark, path, ["event_id", "k"])
     rows = rows.withColumn("event_id", F.try_variant_get("event_id", "$", "bigint"))
-    primary = shape.primary_kind(rows.filter("event_id >= 0"), "k", "event_id")
-    split = shape.split_variant(rows, "k", "BIGINT" if primary == "STRING" else primary)
+    split = shape.split_variant(rows, "k", "BIGINT")
     return split.select("event_id", "k", "k__v_text")

@@ -218,7 +218,12 @@ def decode_json_list(t: Tables) -> DataFrame:
     return rows.select("doc_id", F.size("words").cast("bigint").alias("words"))
 
 
-@query("""select event_id, props::json->>'$.k' as k, '{"k":' || (props::json->>'$.k') || '}' as props from events""")
+@query(
+    """
+select event_id, props::json->>'$.k' as k, '{"k":' || (props::json->>'$.k') || '}' as props
+from events
+"""
+)
 def stringify_json(t: Tables) -> DataFrame:
     """A parsed JSON column is written back as text, unless it is pinned to stay native."""
     rows = t.events.select("event_id", F.parse_json("props").alias("props"))
@@ -305,7 +310,9 @@ def reject_reasons(t: Tables) -> DataFrame:
 @query(
     """
 select 'orders' as "table", count(*) as total_count,
-       count(*) filter (p <> floor(p) or epoch_us(o_orderdate + interval 40 year) // 1000000 > 2147483647) as failed_count
+       count(*) filter (
+         p <> floor(p) or epoch_us(o_orderdate + interval 40 year) // 1000000 > 2147483647
+       ) as failed_count
 from (select o_orderdate, cast(o_totalprice as decimal(18,2)) as p from orders)
 union all
 select 'labels', count(*), count(*) filter (l.quality is null)
@@ -325,7 +332,8 @@ def partial_import_summary(t: Tables) -> DataFrame:
 
 @query(
     """
-select substr('key: key column is missing or null | document: {"doc_id":' || doc_id || ',"id":"' || right('000000000' || doc_id, 9) || '"}', 1, 500) as sample
+select substr('key: key column is missing or null | document: {"doc_id":' || doc_id ||
+              ',"id":"' || right('000000000' || doc_id, 9) || '"}', 1, 500) as sample
 from documents where doc_id not in (select doc_id from labels)
 order by right('000000000' || doc_id, 9) limit 5
 """

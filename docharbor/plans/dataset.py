@@ -177,7 +177,8 @@ class Dataset:
             if isinstance(value, dict):
                 pairs = [F.lit(x) for pair in value.items() for x in pair]
                 value = F.create_map(*pairs) if pairs else F.create_map()
-            values.append((value if isinstance(value, Column) else F.lit(value)).cast(f.dataType).alias(f.name))
+            column = value if isinstance(value, Column) else F.lit(value)
+            values.append(column.cast(f.dataType).alias(f.name))
         return self.spark.range(0, 1, 1, 1).select(*values)
 
     def _no_rows(self, schema: T.StructType) -> DataFrame:

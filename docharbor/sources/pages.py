@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def unnest(pages: DataFrame, text: str | Column, item: T.DataType | str, selector: str = "items") -> DataFrame:
+def unnest(
+    pages: DataFrame, text: str | Column, item: T.DataType | str, selector: str = "items"
+) -> DataFrame:
     """Rows of the list that a page holds under ``selector``."""
     element = item if isinstance(item, str) else item.simpleString()
-    page = F.from_json(F.col(text) if isinstance(text, str) else text, f"struct<`{selector}`:array<{element}>>")
+    column = F.col(text) if isinstance(text, str) else text
+    page = F.from_json(column, f"struct<`{selector}`:array<{element}>>")
     return pages.select(F.explode(page[selector]).alias("item")).select("item.*")
 
 
