@@ -14,6 +14,9 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            # Small inputs: few tasks per job keep the tests short.
+            "spark.sql.shuffle.partitions": "3",
+            "spark.default.parallelism": "3",
         },
     )
     yield session
