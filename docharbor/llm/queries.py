@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from docharbor.llm.bpe import token_report
 from docharbor.llm.common import table
 from docharbor.llm.decontamination import contamination_report
 from docharbor.llm.toxicity import toxicity_report
@@ -13,12 +15,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op8_toxicity": op8_toxicity,
+    "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
