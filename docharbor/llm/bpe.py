@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docharbor.llm.common import pick, slices, whole
+from docharbor.llm.common import pick, received, shipped, slices, whole
 
 #: Words in the transducer, and words and ids that a task keeps besides.
 FREQUENT_WORDS = 100_000
@@ -308,12 +308,12 @@ def decode(ids: pa.Array, tokens: pa.Array) -> pa.Array:
 
 def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``word, n`` over all texts; tasks count first and send each word once or a few times."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = shipped(docs.sparkSession, vocabulary)
 
-    def rows(counts: Counter) -> pa.RecordBatch:
+    def rows(counts: Counter, vocabulary: Vocabulary) -> pa.RecordBatch:
         words: Counter = Counter()
         for chunk, n in counts.items():
-            for w in shared.value.words(chunk):
+            for w in vocabulary.words(chunk):
                 if isinstance(w, str):
                     words[w] += n
         return pa.RecordBatch.from_arrays(
@@ -321,14 +321,14 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         )
 
     def count(batches):
-        counts: Counter = Counter()
+        vocabulary, counts = received(shared), Counter()
         for batch in slices(batches, "text"):
             for t in batch.column("text").to_pylist():
                 counts.update(chunks((t or b"").decode()))
             if len(counts) > KEPT_WORDS:
-                yield rows(counts)
+                yield rows(counts, vocabulary)
                 counts.clear()
-        yield rows(counts)
+        yield rows(counts, vocabulary)
 
     source = pick(docs, "text").select(F.col("text").cast("binary").alias("text"))
     return source.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -347,13 +347,11 @@ def encode_and_decode(docs: DataFrame, path: str, *, size: int = FREQUENT_WORDS)
     A null text is an empty one: no ids, an empty text. Vocabulary and transducer have fixed bounds
     and are broadcast. The strings of special tokens in a text are those tokens.
     """
-    spark = docs.sparkSession
     vocabulary = Vocabulary(path)
-    transducer = compiled(docs, vocabulary, size)
-    shared = spark.sparkContext.broadcast((vocabulary, transducer))
+    shared = shipped(docs.sparkSession, (vocabulary, compiled(docs, vocabulary, size)))
 
     def run(batches):
-        vocabulary, transducer = shared.value
+        vocabulary, transducer = received(shared)
         encoder, tokens = Encoder(vocabulary, transducer), pa.array(vocabulary.tokens, pa.string())
         for batch in slices(batches, "text"):
             texts = [(t or b"").decode() for t in batch.column("text").to_pylist()]

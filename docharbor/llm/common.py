@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -10,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shipped(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of any object, classes by value; a task reads it with :func:`received`."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``SLICE_BYTES`` at most, nulls as empty."""
     for batch in batches:
