@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from docharbor.llm.bpe import token_report
 from docharbor.llm.common import table
 from docharbor.llm.decontamination import contamination_report
+from docharbor.llm.lines import line_report
 from docharbor.llm.toxicity import toxicity_report
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,6 +29,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_lines": op4_lines,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
