@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from docharbor.llm.bpe import token_report
 from docharbor.llm.common import table
 from docharbor.llm.decontamination import contamination_report
+from docharbor.llm.jaccard import Join, component_report
 from docharbor.llm.lines import line_report
 from docharbor.llm.toxicity import toxicity_report
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return component_report(table(spark, sf_dir, "documents"), Join(words=3, percent=90))
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_jaccard": op3_jaccard,
     "op4_lines": op4_lines,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
