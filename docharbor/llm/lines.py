@@ -262,12 +262,19 @@ def line_report(docs: DataFrame, **params) -> DataFrame:
     )
 
 
-def drop_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, length: str | None = None) -> DataFrame:
     """The documents without duplicate lines; one that loses its last comparable line goes.
 
-    Documents without a duplicate line, empty and null ones too, stay as they are.
+    Documents without a duplicate line, empty and null ones too, stay as they are. ``length`` names a
+    column that holds the number of characters, to be set anew with the text.
     """
     out = _without_lines(_marked(docs, min_chars=min_chars), min_chars)
     text = F.col(f"_doc._{docs.columns.index('text')}")
     kept = out.where(F.col("left").isNull() | (F.col("left") > 0))
-    return unpack(kept, "_doc", docs, text=F.when(F.col("left").isNull(), text).otherwise(F.col("text").cast("string")))
+    new = F.col("text").cast("string")
+    changed = {"text": F.when(F.col("left").isNull(), text).otherwise(new)}
+    if length in docs.columns:
+        before = F.col(f"_doc._{docs.columns.index(length)}")
+        kind = docs.schema[docs.columns.index(length)].dataType
+        changed[length] = F.when(F.col("left").isNull(), before).otherwise(F.length(new).cast(kind))
+    return unpack(kept, "_doc", docs, **changed)
