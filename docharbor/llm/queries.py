@@ -10,9 +10,14 @@ from docharbor.llm.common import table
 from docharbor.llm.decontamination import contamination_report
 from docharbor.llm.jaccard import Join, component_report
 from docharbor.llm.lines import line_report
+from docharbor.llm.secrets import report_sql, secret_report
 from docharbor.llm.toxicity import toxicity_report
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return component_report(table(spark, sf_dir, "documents"), Join(words=3, percent=90))
 
@@ -34,10 +39,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op3_jaccard": op3_jaccard,
     "op4_lines": op4_lines,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op1_secrets": report_sql()}
