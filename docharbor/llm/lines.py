@@ -43,19 +43,21 @@ class _Prefixes:
         return (self.sums[b] - self.sums[a]) * self.back[a]
 
 
-def _halves(p: _Prefixes) -> np.ndarray:
-    """Four hashes per line; two lines one edit apart share one of them.
+def _parts(p: _Prefixes, count: int) -> np.ndarray:
+    """``2 * count`` hashes per line; two lines one edit apart share one of them.
 
-    One edit leaves the first or the last ``(m - 1) // 2`` characters alone, where ``m`` is the
-    length of the shorter line: the own length or one less.
+    Let ``m`` be the length of the shorter line: the own length or one less. One edit at ``i`` leaves
+    the first ``i`` and the last ``m - 1 - i`` characters alone; each hash has one of ``count`` ranges
+    of ``i`` and what is alone for all of it.
     """
     out = []
     end = p.start + p.size
-    for kind in (0, 1):
-        half = np.maximum(p.size - 1 - kind, 0) // 2
-        tag = (half * 2).astype(_U)
-        out.append(mixed(p.of(p.start, p.start + half) + mixed(tag)))
-        out.append(mixed(p.of(end - half, end) + mixed(tag + _U(1))))
+    for less in (0, 1):
+        rest = np.maximum(p.size - less - 1, 0)
+        for j in range(count):
+            a, b = rest * j // count, rest - rest * (j + 1) // count
+            tag = mixed((rest * count + j).astype(_U) + _U(1))
+            out.append(mixed(mixed(p.of(p.start, p.start + a) + tag) + p.of(end - b, end)))
     return np.stack(out, 1)
 
 
@@ -72,7 +74,7 @@ def _numbered(docs: DataFrame, min_chars: int) -> DataFrame:
                     lines.append(line)
         if not lines:
             return None
-        halves = _halves(_Prefixes(lines)).view(np.int64)
+        halves = _parts(_Prefixes(lines), 2).view(np.int64)
         digests = [xxhash.xxh3_128_digest(x.encode()) for x in lines]
         return pa.RecordBatch.from_arrays(
             [
@@ -126,20 +128,37 @@ def _variants(hits: DataFrame) -> DataFrame:
     return hits.select("text", "uid").mapInArrow(run, "key long, uid long, self byte")
 
 
+def _part_keys(hits: DataFrame, count: int) -> DataFrame:
+    """``uid, key`` of the lines' parts, each once."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = _parts(_Prefixes(batch.column("text").to_pylist()), count).view(np.int64)
+        uid = np.repeat(batch.column("uid").to_numpy(), 2 * count)
+        return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(parts.ravel())], ["uid", "key"])
+
+    return hits.select("uid", "text").mapInArrow(per_slice("text", make), "uid long, key long")
+
+
+def _met(keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` whose key two different lines have."""
+    shared = keys.groupBy("key").agg(F.min("uid").alias("a"), F.max("uid").alias("b")).where("a <> b")
+    return keys.join(shared.select("key"), "key", "left_semi")
+
+
 def _near_pairs(lines: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """``uid, place``: a line and the place of an earlier one within one edit of it, verified.
+    """``uid, near_place``: a line and the earliest place of a line one edit away, if that is earlier.
 
-    ``lines`` holds every distinct line once. Those that share no half with any other line have no
-    neighbour and are set aside before any variant is made.
+    ``lines`` holds every distinct line once. Lines that share no half, then no fifteen sixteenths, with
+    any other line have no neighbour and are set aside before any variant is made.
     """
-    halves = lines.select("uid", F.explode(F.array("h0", "h1", "h2", "h3")).alias("key")).distinct()
-    shared = halves.groupBy("key").agg(F.min("uid").alias("a"), F.max("uid").alias("b")).where("a <> b")
-    hits = halves.join(shared.select("key"), "key", "left_semi").select("uid").distinct()
-    hits = stored(_with_text(lines.join(hits, "uid", "left_semi"), occurrences), "lines")
+    halves = lines.select("uid", F.explode(F.array_distinct(F.array("h0", "h1", "h2", "h3"))).alias("key"))
+    halved = stored(_with_text(lines.join(_met(halves).select("uid").distinct(), "uid", "left_semi"), occurrences), "lines")
+    close = _met(_part_keys(halved, 16)).select("uid").distinct()
+    hits = stored(halved.join(close, "uid", "left_semi"), "close-lines")
 
-    keys = stored(_variants(hits).distinct().join(hits.select("uid", "place"), "uid"), "variants")
+    keys = stored(_met(_variants(hits)).distinct().join(hits.select("uid", "place"), "uid"), "variants")
     at = F.struct("place", "uid")
-    same = keys.where("self = 2").groupBy("key").agg(F.min(at).alias("low"), F.count("*").alias("n")).where("n > 1")
+    same = keys.where("self = 2").groupBy("key").agg(F.min(at).alias("low"))
     found = keys.where("self = 2").join(same, "key").select("uid", F.col("low.uid").alias("other"))
     # Whole lines against remainders: each key has one whole line; the earliest remainder is enough
     # for it, and it is enough for every remainder.
@@ -214,15 +233,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
 
 
-def _marked(docs: DataFrame, **params) -> DataFrame:
-    """All columns in ``_doc`` beside ``text`` and ``gone``, the lines to remove with their kind."""
+def _gone(docs: DataFrame, **params) -> DataFrame:
+    """``g_id, g_th, gone``: the lines that each document loses, with their kind and source."""
     gone = duplicate_lines(docs, **params).distinct()
-    gone = gone.groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th")).agg(
+    return gone.groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th")).agg(
         F.collect_list(F.struct("line", "near", "place.doc_id")).alias("gone")
     )
+
+
+def _marked(docs: DataFrame, **params) -> DataFrame:
+    """All columns in ``_doc`` beside ``text`` and ``gone``, the lines that go."""
     own = whole(docs, "_doc", "doc_id", "text").withColumn("th", F.xxhash64("text"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th"))
-    return own.join(gone, same, "left").select("_doc", F.col("text").cast("binary").alias("text"), "gone")
+    joined = own.join(_gone(docs, **params), same, "left")
+    return joined.select("_doc", F.col("text").cast("binary").alias("text"), "gone")
 
 
 def _without_lines(marked: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -246,18 +270,22 @@ def _without_lines(marked: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def line_report(docs: DataFrame, **params) -> DataFrame:
-    """``doc_id, n_lines, n_equal, n_near, kept_sha256, sources`` of every document.
+    """``doc_id, n_lines, n_equal, n_near, removed, sources`` of every document.
 
-    ``sources`` lists the ids of the documents whose lines stay instead. A null text is empty.
+    ``removed`` has the numbers of the lines that go, ``sources`` the ids of the documents whose lines
+    stay instead. A null text is one empty line.
     """
-    out = _without_lines(_marked(pick(docs, "doc_id", "text"), **params))
+    own = pick(docs, "doc_id", "text").withColumn("th", F.xxhash64("text"))
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th"))
+    out = own.select("doc_id", "th", n_lines).join(_gone(docs, **params), same, "left")
     gone = F.coalesce(F.col("gone"), F.array())
     return out.select(
-        F.col("_doc._0").alias("doc_id"),
+        "doc_id",
         "n_lines",
         F.size(F.filter(gone, lambda g: ~g["near"])).cast("long").alias("n_equal"),
         F.size(F.filter(gone, lambda g: g["near"])).cast("long").alias("n_near"),
-        F.sha2("text", 256).alias("kept_sha256"),
+        F.array_sort(F.transform(gone, lambda g: g["line"])).alias("removed"),
         F.array_sort(F.array_distinct(F.transform(gone, lambda g: g["doc_id"]))).alias("sources"),
     )
 
