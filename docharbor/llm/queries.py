@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docharbor.llm.bpe import token_report
 from docharbor.llm.common import table
 from docharbor.llm.decontamination import contamination_report
 from docharbor.llm.jaccard import Join, component_report
 from docharbor.llm.lines import line_report
+from docharbor.llm.neighbours import nearest
 from docharbor.llm.secrets import report_sql, secret_report
 from docharbor.llm.toxicity import toxicity_report
 
@@ -18,6 +20,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return component_report(table(spark, sf_dir, "documents"), Join(words=3, percent=90))
 
@@ -40,6 +46,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_neighbours": op2_neighbours,
     "op3_jaccard": op3_jaccard,
     "op4_lines": op4_lines,
     "op8_toxicity": op8_toxicity,
