@@ -17,12 +17,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docharbor.llm.common import pick, received, shipped, slices, whole
+from docharbor.llm.common import pick, received, shipped, slices, stored, whole
 
-#: Words in the transducer, and words and ids that a task keeps besides.
+#: Words in the transducer, and words and chunks that a task keeps besides.
 FREQUENT_WORDS = 100_000
-KEPT_WORDS = 200_000
-KEPT_IDS = 4_000_000
+KEPT_WORDS = 250_000
+_NO_RANK = 1 << 40
 # str.split() also parts at the four separators 1C-1F, which are no white space here.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -51,10 +51,12 @@ _CAPITALS |= {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 # Each capital becomes small on its own: a sigma has no final form.
 _CAPITALS |= {ord("Σ"): ord("σ")}
 _new = "".join("-".join(chr(int(x, 16)) for x in r.split("-")) for r in _LATER.split())
-_PART = regex.compile(
+_PARTS = (
     rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_new}]]+|[\p{{N}}--[{_new}]]"
     rf"|[[^\p{{White_Space}}\p{{L}}\p{{N}}]||[{_new}]]+"
 )
+_PART, _PART_OR_END = regex.compile(_PARTS), regex.compile(_PARTS + r"|\n")
+_ANY_CAPITAL = regex.compile("[" + "".join(map(chr, _CAPITALS)) + "]")
 
 
 def byte_letters() -> list[str]:
@@ -64,6 +66,14 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else 256 + other.index(b)) for b in range(256)]
 
 
+def normal(text: str) -> str:
+    """Composed and in lower case."""
+    if text.isascii():
+        return text.lower()
+    text = unicodedata.normalize("NFC", text)
+    return (text.translate(_CAPITALS) if _ANY_CAPITAL.search(text) else text).lower()
+
+
 class Vocabulary:
     """A public BPE vocabulary with word ends: lower case, white space dropped."""
 
@@ -84,6 +94,7 @@ class Vocabulary:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[ids[a] << 32 | ids[b]] = (rank, ids[a + b])
+        self._pairs = np.array(sorted((k, *v) for k, v in self.merges.items()), np.int64)
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def words(self, chunk: str) -> list[str | int]:
@@ -97,10 +108,21 @@ class Vocabulary:
             if p in self.special:
                 out.append(self.special[p])
             elif p:
-                p = unicodedata.normalize("NFC", p)
-                out += _PART.findall(p.lower() if p.isascii() else p.translate(_CAPITALS).lower())
+                out += _PART.findall(normal(p))
         return out
 
+    def words_of(self, chunks: list[str]) -> list[str | int]:
+        """The words of many chunks, a line feed after each chunk's."""
+        if any(map(self.has_special, chunks)):
+            out: list[str | int] = []
+            for c in chunks:
+                out += (*self.words(c), "\n")
+            return out
+        return _PART_OR_END.findall(normal("\n".join(chunks)) + "\n") if chunks else []
+
+    def has_special(self, chunk: str) -> bool:
+        return "<" in chunk and bool(self._special and self._special.search(chunk))
+
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word by the merges in order of rank, leftmost first."""
         s = [self.inner[b] for b in word]
@@ -121,6 +143,67 @@ class Vocabulary:
             if i < len(pairs):
                 pairs[i] = get(s[i] << 32 | s[i + 1])
 
+    def merge_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)`` of many words in a row: every step merges one pair of each word."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        sizes = np.ones(len(words), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        inner, last = np.array(self.inner), np.array(self.last)
+        for low, high in ((0, 6), (6, 9), (9, 12), (12, 16), (16, 24), (24, 48)):
+            rows = np.flatnonzero((size > low) & (size <= high))
+            if not len(rows):
+                continue
+            flat = np.frombuffer(b"".join(words[i] for i in rows.tolist()), np.uint8)
+            own, width = size[rows], high
+            mask = np.arange(width) < own[:, None]
+            ids = np.full((len(rows), width), -1, np.int64)
+            ids[mask] = inner[flat]
+            ids[np.arange(len(rows)), own - 1] = last[flat[np.cumsum(own) - 1]]
+            rank, new = self._ranks(ids[:, :-1], ids[:, 1:])
+            while len(rows):
+                best = rank.argmin(1)
+                at = np.arange(len(rows))
+                done = rank[at, best] == _NO_RANK
+                if done.any():
+                    sizes[rows[done]] = (ids[done] >= 0).sum(1)
+                    parts.append((rows[done], ids[done]))
+                    rows, ids, rank, new, best = (x[~done] for x in (rows, ids, rank, new, best))
+                    at = np.arange(len(rows))
+                    if not len(rows):
+                        break
+                ids[at, best] = new[at, best]
+                width -= 1
+                stay = np.arange(width + 1) != (best + 1)[:, None]
+                ids = ids[stay].reshape(-1, width)
+                if width < 2:
+                    sizes[rows] = 1
+                    parts.append((rows, ids))
+                    break
+                stay = np.arange(width) != best[:, None]
+                rank, new = rank[stay].reshape(-1, width - 1), new[stay].reshape(-1, width - 1)
+                for side in (best - 1, best):
+                    ok = np.flatnonzero((side >= 0) & (side < width - 1))
+                    j = side[ok]
+                    rank[ok, j], new[ok, j] = self._ranks(ids[ok, j], ids[ok, j + 1])
+        long = {i: self.merge(words[i]) for i in np.flatnonzero(size > 48).tolist()}
+        for i, x in long.items():
+            sizes[i] = len(x)
+        start = np.cumsum(sizes) - sizes
+        out = np.zeros(int(sizes.sum()), np.int32)
+        for rows, ids in parts:
+            mask = ids >= 0
+            out[(start[rows][:, None] + np.arange(ids.shape[1]))[mask]] = ids[mask]
+        for i, x in long.items():
+            out[start[i] : start[i] + len(x)] = x
+        return out, sizes
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each pair's rank and merged id."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self._pairs[:, 0], key), len(self._pairs) - 1)
+        ok = (self._pairs[at, 0] == key) & (a >= 0) & (b >= 0)
+        return np.where(ok, self._pairs[at, 1], _NO_RANK), self._pairs[at, 2]
+
     def _merge_long(self, s: list[int]) -> list[int]:
         """The same with a heap and links, for words of any length."""
         get, n = self.merges.get, len(s)
@@ -261,43 +344,69 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids, self.starts = [np.zeros(0, np.int32)], [0]
-        self.held = 0
+        self.chunks, self.words = {}, {}
+        self.chunk_ids, self.word_ids = _Pool(), _Pool()
 
     def _learn(self, new: list[str]) -> None:
-        v, parts = self.vocabulary, [self.vocabulary.words(c) for c in new]
-        distinct = list({w: None for p in parts for w in p if isinstance(w, str)})
-        raw = [w.encode() for w in distinct]
-        ids = {}
+        """Keeps the ids of new chunks, made of the ids of their words."""
+        parts = self.vocabulary.words_of(new)
+        distinct = [w for w in dict.fromkeys(parts) if w not in self.words]
+        raw = [w.encode() if isinstance(w, str) else b"" for w in distinct]
+        number = self.transducer.numbers(self.maps, raw)
+        known, rare = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
         start, pool = self.maps["start"], self.maps["ids"]
-        for word, b, n in zip(distinct, raw, self.transducer.numbers(self.maps, raw).tolist(), strict=True):
-            ids[word] = pool[start[n] : start[n + 1]].tolist() if n >= 0 else v.merge(b)
-        flat: list[int] = []
-        for chunk, part in zip(new, parts, strict=True):
-            for w in part:
-                flat += (w,) if isinstance(w, int) else ids[w]
-            self.index[chunk] = len(self.starts) - 1
-            self.starts.append(self.held + len(flat))
-        self.ids.append(np.array(flat, np.int32))
-        self.held += len(flat)
+        sizes = start[number[known] + 1] - start[number[known]]
+        self.word_ids.add(pool[_ranges(start[number[known]], sizes)], sizes)
+        names = [distinct[i] for i in known.tolist()]
+        plain = [i for i in rare.tolist() if distinct[i] != "\n" and isinstance(distinct[i], str)]
+        self.word_ids.add(*self.vocabulary.merge_many([raw[i] for i in plain]))
+        names += [distinct[i] for i in plain]
+        other = [w for w in distinct if w == "\n" or isinstance(w, int)]
+        self.word_ids.add(np.array([w for w in other if w != "\n"], np.int32), np.array([w != "\n" for w in other], np.int64))
+        for i, w in enumerate(names + other, len(self.words)):
+            self.words[w] = i
+        code = np.fromiter(map(self.words.__getitem__, parts), np.int64, len(parts))
+        ids, size = self.word_ids.of(code)
+        ends = np.flatnonzero(code == self.words["\n"])
+        before = np.cumsum(size)[ends]
+        self.chunk_ids.add(ids, np.diff(before, prepend=0))
+        for i, c in enumerate(new, len(self.chunks)):
+            self.chunks[c] = i
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, ends)`` of the texts in a row."""
         parted = [chunks(t) for t in texts]
         sizes = np.cumsum([0, *map(len, parted)])
-        if len(self.index) > KEPT_WORDS or self.held > KEPT_IDS:
+        if max(len(self.chunks), len(self.words)) > KEPT_WORDS:
             self._forget()
-        new = set(chain.from_iterable(parted)).difference(self.index)
+        new = set(chain.from_iterable(parted)).difference(self.chunks)
         if new:
             self._learn(sorted(new))
-            self.ids = [np.concatenate(self.ids)]
-        code = np.fromiter(map(self.index.__getitem__, chain.from_iterable(parted)), np.int64, int(sizes[-1]))
-        starts = np.array(self.starts)
-        size = starts[code + 1] - starts[code]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        at = np.arange(ends[-1]) + np.repeat(starts[code] - ends[:-1], size)
-        return self.ids[0][at], ends[sizes]
+        code = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(parted)), np.int64, int(sizes[-1]))
+        ids, size = self.chunk_ids.of(code)
+        return ids, np.concatenate([[0], np.cumsum(size)])[sizes]
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of stretches laid end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+class _Pool:
+    """Lists of ids, numbered as they are added."""
+
+    def __init__(self) -> None:
+        self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, np.asarray(ids, np.int32)])
+        self.sizes = np.concatenate([self.sizes, np.asarray(sizes, np.int64)])
+
+    def of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.cumsum(self.sizes) - self.sizes
+        size = self.sizes[code]
+        return self.ids[_ranges(starts[code], size)], size
 
 
 def decode(ids: pa.Array, tokens: pa.Array) -> pa.Array:
@@ -312,10 +421,13 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def rows(counts: Counter, vocabulary: Vocabulary) -> pa.RecordBatch:
         words: Counter = Counter()
-        for chunk, n in counts.items():
-            for w in vocabulary.words(chunk):
-                if isinstance(w, str):
-                    words[w] += n
+        times = iter(counts.values())
+        n = next(times, 0)
+        for w in vocabulary.words_of(list(counts)):
+            if w == "\n":
+                n = next(times, 0)
+            elif isinstance(w, str):
+                words[w] += n
         return pa.RecordBatch.from_arrays(
             [pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"]
         )
@@ -335,10 +447,22 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def compiled(docs: DataFrame, vocabulary: Vocabulary, size: int = FREQUENT_WORDS) -> Transducer:
-    """The transducer of the ``size`` most frequent words of the texts, the same at every run."""
-    frequent = word_counts(docs, vocabulary).orderBy(F.desc("n"), "word").limit(size)
-    words = sorted(r["word"].encode() for r in frequent.select("word").collect())
-    return Transducer(words, [vocabulary.merge(w) for w in words])
+    """The transducer of at most ``size`` of the most frequent words of the texts.
+
+    Words count as equally frequent within a 32nd of a power of two: the most frequent such classes
+    that hold ``size`` words together are taken, so that no task sorts and no words but those travel.
+    """
+    counts = stored(word_counts(docs, vocabulary).withColumn("class", F.floor(32 * F.log2("n"))), "words")
+    classes = counts.groupBy("class").count().orderBy(F.desc("class")).collect()  # some 2,000 at most
+    total, least = 0, None
+    for c in classes:
+        total += c["count"]
+        if total <= size:
+            least = c["class"]
+    frequent = counts.where(F.col("class") >= least).select("word").collect() if least is not None else []
+    words = sorted(r["word"].encode() for r in frequent)
+    ids, sizes = vocabulary.merge_many(words)
+    return Transducer(words, [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] if words else [])
 
 
 def encode_and_decode(docs: DataFrame, path: str, *, size: int = FREQUENT_WORDS) -> DataFrame:
