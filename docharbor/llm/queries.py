@@ -12,7 +12,9 @@ from docharbor.llm.decontamination import contamination_report
 from docharbor.llm.jaccard import Join, component_report
 from docharbor.llm.lines import line_report
 from docharbor.llm.neighbours import nearest
+from docharbor.llm.recompression import substring_report
 from docharbor.llm.secrets import report_sql, secret_report
+from docharbor.llm.suffixes import passage_report
 from docharbor.llm.toxicity import toxicity_report
 
 
@@ -32,6 +34,14 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_report(table(spark, sf_dir, "documents"))
+
+
+def op7_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_report(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +59,8 @@ QUERIES = {
     "op2_neighbours": op2_neighbours,
     "op3_jaccard": op3_jaccard,
     "op4_lines": op4_lines,
+    "op6_suffixes": op6_suffixes,
+    "op7_recompression": op7_recompression,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
