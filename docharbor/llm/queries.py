@@ -10,6 +10,7 @@ from docharbor.llm.bpe import token_report
 from docharbor.llm.common import table
 from docharbor.llm.decontamination import contamination_report
 from docharbor.llm.jaccard import Join, component_report
+from docharbor.llm.language_model import cross_entropy_difference
 from docharbor.llm.lines import line_report
 from docharbor.llm.neighbours import nearest
 from docharbor.llm.recompression import substring_report
@@ -34,6 +35,10 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op5_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_report(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_neighbours": op2_neighbours,
     "op3_jaccard": op3_jaccard,
     "op4_lines": op4_lines,
+    "op5_cross_entropy": op5_cross_entropy,
     "op6_suffixes": op6_suffixes,
     "op7_recompression": op7_recompression,
     "op8_toxicity": op8_toxicity,
