@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from docharbor.functions import ids
 from docharbor.functions.convert import (
+    KEEP_NULLS,
     converter_kind,
     sample_text,
     to_epoch,
@@ -242,12 +243,22 @@ def _problems(
 
 def stringify(df: DataFrame, *columns: str) -> DataFrame:
     """Nested values as JSON text."""
-    return df.withColumns({c: F.to_json(F.col(f"`{c}`")) for c in columns})
+    return df.withColumns({c: F.to_json(F.col(f"`{c}`"), KEEP_NULLS) for c in columns})
 
 
 def json_document(df: DataFrame) -> Column:
     """The whole row as a JSON document; absent top-level fields are left out."""
-    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    # Nulls within a field are part of its value; only fields that are null themselves are left out.
+    fields = [
+        F.when(
+            F.col(f"`{c}`").isNotNull(),
+            F.regexp_replace(
+                F.to_json(F.struct(F.col(f"`{c}`").alias(c)), KEEP_NULLS), r"(?s)^\{(.*)\}$", "$1"
+            ),
+        )
+        for c in df.columns
+    ]
+    return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
 
 
 def variant_kind(value: Column) -> Column:
@@ -333,7 +344,7 @@ def reconcile(batch: DataFrame, stored: T.StructType) -> DataFrame:
         elif _widens(f.dataType, target):
             columns.append(column.cast(target).alias(f.name))
         elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
-            columns.append(F.to_json(column).alias(f"{f.name}{NEST}v_json"))
+            columns.append(F.to_json(column, KEEP_NULLS).alias(f"{f.name}{NEST}v_json"))
         else:
             suffix = VARIANT_SUFFIX.get(_family(f.dataType), "text")
             columns.append(column.alias(f"{f.name}{NEST}v_{suffix}"))

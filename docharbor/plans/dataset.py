@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docharbor.errors import LoadError
+from docharbor.errors import ConfigError, LoadError
 from docharbor.functions.ids import system_row_id
 from docharbor.functions.names import ID, LOAD_ID, ROOT_ID, SYSTEM_COLUMNS, qualified_name
 from docharbor.operators import reads, system
@@ -416,17 +416,28 @@ class Dataset:
         )
 
     def delete_where(self, table: str, condition: Column, load_id: str | None = None) -> int:
-        """Delete matching rows; gives how many there were."""
+        """Delete matching rows; gives how many there were.
+
+        Only the buckets that hold such rows are written anew. A load id that was completed is
+        refused: its folder may be part of the table.
+        """
+        load_id = load_id or new_load_id("delete")
+        if self.is_completed(load_id):
+            raise ConfigError(f"the load '{load_id}' was completed before")
         layout = self.layout(table)
         rows = self.read_layout(table, layout)
-        matching = reads.found(rows, F.coalesce(condition, F.lit(False)))
-        if matching:
-            load_id = load_id or new_load_id("delete")
-            left = reads.without(rows, condition)
+        wanted = F.coalesce(condition, F.lit(False))
+        bucket = bucket_of(F.col(layout.bucket_by), layout.buckets).alias(BUCKET)
+        hits = {r[BUCKET]: r["count"] for r in rows.filter(wanted).groupBy(bucket).count().collect()}
+        if hits:
+            # Rows without a bucket of their own may belong to any, so they are read as well.
+            touched = {*hits, UNBUCKETED}
+            left = reads.without(self.read_layout(table, layout, touched), condition)
             written = self.write_part(left, table, load_id, "kept", layout)
-            layout.parts = [written.part] if written.part.buckets else []
+            added = [written.part] if written.part.buckets else []
+            layout.parts = [*layout.without_buckets(touched), *added]
             self.commit(load_id, {table: layout})
-        return matching
+        return sum(hits.values())
 
     def remove_unreferenced(self) -> int:
         """Delete folders that no table is made of any more; gives how many there were.

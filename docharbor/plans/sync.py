@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docharbor.errors import ConfigError
 from docharbor.functions.names import column_name
@@ -106,7 +105,8 @@ def _changed(
     cursor = sync.cursor
     key = (sync.primary_key,) if isinstance(sync.primary_key, str) else tuple(sync.primary_key)
     before = {} if full_refresh else state.get(sync.target, {})
-    last = _decoded(source, cursor, before["last"]) if "last" in before else sync.initial_value
+    kind = source.schema[cursor].dataType
+    last = incremental.of_text(str(before["last"]), kind) if "last" in before else sync.initial_value
     seen = None
     if "boundary" in before:
         seen = dataset.spark.read.parquet(f"{dataset.path}/{before['boundary']}")
@@ -122,26 +122,14 @@ def _changed(
     )
     # The source may change while it is read: the cursor must be that of the rows loaded.
     batch = dataset.stage(batch, f"{column_name(sync.target)}_delta", load_id)
-    newest = incremental.greatest(batch, cursor)
+    newest = incremental.newest(batch, cursor)
     if newest is None:
         return batch, dict(before)
     boundary = f"{BOUNDARY}/_load={load_id}/{column_name(sync.target)}"
-    keys = incremental.boundary_keys(batch, cursor, newest, key)
-    if seen is not None and newest == last:
+    keys = incremental.boundary_keys(batch, cursor, incremental.of_text(newest, kind), key)
+    if seen is not None and newest == str(before["last"]):
         keys = keys.unionByName(seen.select(incremental.BOUNDARY_KEY))
     keys.distinct().write.mode("overwrite").parquet(f"{dataset.path}/{boundary}")
-    return batch, {"last": _encoded(newest), "boundary": boundary}
-
-
-def _encoded(value: Any) -> Any:
-    if isinstance(value, (datetime, date)):
-        return value.isoformat()
-    json.dumps(value)
-    return value
-
-
-def _decoded(source: DataFrame, cursor: str, value: Any) -> Any:
-    kind = source.schema[cursor].dataType.typeName()
-    if kind == "timestamp" or kind == "timestamp_ntz":
-        return datetime.fromisoformat(value)
-    return date.fromisoformat(value) if kind == "date" else value
+    # Type and exact text: another machine, in another time zone, goes on from the same value.
+    last = int(newest) if isinstance(kind, T.IntegralType) else newest
+    return batch, {"last": last, "type": kind.simpleString(), "boundary": boundary}

@@ -2,17 +2,51 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docharbor.functions.ids import content_json, key_json
 
 BOUNDARY_KEY = "_boundary_key"
 
 
+def literal(value: Any, kind: T.DataType) -> Column:
+    """A cursor value of the column's type, the same in every time zone.
+
+    A datetime without a zone means UTC; no value passes through the driver's own zone.
+    """
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, datetime):
+        utc = value.astimezone(timezone.utc) if value.tzinfo else value
+        text = utc.replace(tzinfo=None).isoformat(sep=" ")
+        return F.lit(text + ("+00:00" if isinstance(kind, T.TimestampType) else "")).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def newest(df: DataFrame, cursor: str) -> str | None:
+    """The greatest cursor value as exact text, for :func:`of_text`; instants as microseconds."""
+    value = F.max(F.col(f"`{cursor}`"))
+    if isinstance(df.schema[cursor].dataType, T.TimestampType):
+        value = F.unix_micros(value)
+    return df.agg(value.cast("string")).first()[0]
+
+
+def of_text(text: str, kind: T.DataType) -> Column:
+    """The literal that :func:`newest` wrote."""
+    if isinstance(kind, T.TimestampType) and text.lstrip("-").isdigit():
+        return F.timestamp_micros(F.lit(int(text)))
+    if isinstance(kind, T.TimestampType) and not re.search(r"([+-]\d\d:\d\d|Z)$", text):
+        text += "+00:00"
+    return F.lit(text).cast(kind)
+
+
 def row_key(df: DataFrame, key: Sequence[str]) -> Column:
     """What tells rows with an equal cursor value apart: their key, else their content."""
     return F.sha2(key_json(df, key) if key else content_json(df), 256)
@@ -41,19 +75,20 @@ def delta(
     value = F.col(f"`{cursor}`")
     if last is None:
         return df.filter(value.isNotNull())
-    since = df.filter(value >= F.lit(last))
+    last = literal(last, df.schema[cursor].dataType)
+    since = df.filter(value >= last)
     if seen is None:
         return since
     keys = seen.select(BOUNDARY_KEY)
     if few_seen:
-        at_last = F.when(value == F.lit(last), row_key(since, key)).alias(BOUNDARY_KEY)
+        at_last = F.when(value == last, row_key(since, key)).alias(BOUNDARY_KEY)
         fresh = since.select("*", at_last).join(F.broadcast(keys), BOUNDARY_KEY, "left_anti")
         return fresh.select(*[F.col(f"`{c}`") for c in df.columns])
-    at_boundary = df.filter(value == F.lit(last))
+    at_boundary = df.filter(value == last)
     fresh = at_boundary.withColumn(BOUNDARY_KEY, row_key(at_boundary, key)).join(
         keys, BOUNDARY_KEY, "left_anti"
     )
-    return df.filter(value > F.lit(last)).unionByName(fresh.drop(BOUNDARY_KEY))
+    return df.filter(value > last).unionByName(fresh.drop(BOUNDARY_KEY))
 
 
 def greatest(df: DataFrame, cursor: str) -> Any:
@@ -63,7 +98,7 @@ def greatest(df: DataFrame, cursor: str) -> Any:
 
 def boundary_keys(df: DataFrame, cursor: str, last: Any, key: Sequence[str] = ()) -> DataFrame:
     """Keys of the rows at a cursor value; kept as a table, since there may be many."""
-    rows = df.filter(F.col(f"`{cursor}`") == F.lit(last))
+    rows = df.filter(F.col(f"`{cursor}`") == literal(last, df.schema[cursor].dataType))
     return rows.select(row_key(rows, key).alias(BOUNDARY_KEY))
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from docharbor import LoadError, LoadSpec, RejectedRows, SyncSpec, run_load, run_sync
+from docharbor.errors import ConfigError
 from docharbor.operators import quality
 from docharbor.plans.dataset import Dataset
 from docharbor.sources import files, incremental, jdbc, pages
@@ -304,9 +306,11 @@ def test_a_replayed_micro_batch_changes_nothing(spark, dataset, tmp_path):
     sequence(spark, 4, 5).write.mode("append").parquet(str(source))
     drain(checkpoint)
     assert dataset.read("events").count() == 5
-    # A lost checkpoint replays batch 0, whose load is known.
-    drain(str(tmp_path / "lost"))
-    assert dataset.read("events").count() == 5
+    # Another checkpoint is another stream: its batch 0 is no repeat, and no row of it is lost.
+    drain(str(tmp_path / "other"))
+    assert dataset.read("events").count() == 10
+    drain(str(tmp_path / "other"))
+    assert dataset.read("events").count() == 10
 
 
 def test_file_sources(spark, tmp_path):
@@ -482,3 +486,35 @@ def test_variants_stay_native_and_hints_are_metadata(spark, dataset):
     assert table.schema["k"].metadata["hint"] == {
         "name": "k", "type": "string", "optional": True, "facet": True, "locale": "el"
     }
+
+
+def test_a_used_load_id_deletes_nothing(spark, dataset):
+    spec = LoadSpec("rows", "merge", primary_key="n", buckets=8)
+    run_load(dataset, [(spec, spark.range(200).toDF("n"))], "first")
+    assert dataset.delete_where("rows", F.col("n") == 7, load_id="second") == 1
+    with pytest.raises(ConfigError):
+        dataset.delete_where("rows", F.col("n") == 9, load_id="second")
+    with pytest.raises(ConfigError):
+        dataset.delete_where("rows", F.col("n") == 9, load_id="first")
+    assert dataset.read("rows").count() == 199
+    # One bucket was written anew, the others keep their files.
+    parts = dataset.layout("rows").parts
+    assert sorted(len(p.buckets) for p in parts) == [1, 7]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "decimal(20,6)", "date"])
+def test_cursors_hold_in_any_time_zone(spark, dataset, tmp_path, monkeypatch, zone, kind):
+    made = {"timestamp": "timestamp_micros(1700000000000000 + id * 1000000)", "date": "date_add(date'2024-01-01', int(id))"}
+    value = made.get(kind, f"cast(cast(id as decimal(20,6)) + 0.000001 as {kind})" if "dec" in kind else "timestamp_ntz'2024-03-10 01:59:59' + make_interval(0, 0, 0, 0, 0, 0, id)")
+    sync = lambda n: SyncSpec("t", lambda: spark.range(n).selectExpr("id", f"{value} c"), primary_key="id", cursor="c")
+    run_sync(dataset, [sync(8)], "p", load_id="a")
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        second = run_sync(dataset, [sync(12)], "p", load_id="b")
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert dataset.read("t").count() == 12
+    assert second.tables["t"].total == 4
