@@ -34,6 +34,10 @@ class Join:
         """The most matches that a prefix is lengthened for."""
         return 1 + n // 20
 
+    def fewest(self, n: str) -> Column:
+        """Prefix tokens that a set of ``n`` shares at least with any that links to it."""
+        return F.expr(f"1 + ({self.percent} * {n} + 99) div 100 div 20")
+
     def prefix(self, n):
         """Tokens to keep: enough for the matches of the longest partner as well."""
         return np.minimum(n, n - self.least(n) + 2 + n * 5 // self.percent)
@@ -59,6 +63,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return own.select("doc_id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
 
 
+def _place(doc_id: str, th: str) -> list[Column]:
+    """What names a row's id and text, without nulls."""
+    text = F.col(doc_id).cast("string")
+    return [text.isNull().alias("no_id"), F.coalesce(text, F.lit("")).alias("id"), F.col(th).alias("th")]
+
+
 def _rows(docs: DataFrame, p: Join) -> DataFrame:
     """``doc_id, th, n, digest`` of each row: the size and a 128-bit name of its set."""
 
@@ -111,11 +121,21 @@ def _classes(docs: DataFrame, p: Join) -> DataFrame:
     )
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """``token, df, uid, n, pos`` of the prefix tokens that two or more sets have."""
+def _postings(classes: DataFrame, p: Join) -> DataFrame:
+    """``token, df, uid, n, pos`` of the prefix tokens that two or more sets have.
+
+    Two sets that link share as many prefix tokens as the smaller one may want matches, so a set with
+    fewer shared tokens than any partner would need is left out, and with it what it alone shared.
+    """
     tokens = classes.select("uid", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    return stored(tokens.join(shared, "token"), "postings")
+    first = stored(_with_df(tokens), "tokens")
+    enough = first.groupBy("uid", "n").agg(F.count("*").alias("k")).where(F.col("k") >= p.fewest("n"))
+    return stored(_with_df(first.drop("df").join(enough.select("uid"), "uid", "left_semi")), "postings")
+
+
+def _with_df(tokens: DataFrame) -> DataFrame:
+    df = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    return tokens.join(df, "token")
 
 
 def _adapted(postings: DataFrame, p: Join) -> DataFrame:
@@ -183,10 +203,12 @@ def _whole_sets(classes: DataFrame, uids: DataFrame, docs: DataFrame, p: Join) -
         sets = [s.view(np.int64) for s in _sets_of(batch, p.words)]
         return pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(sets, pa.list_(pa.int64()))], ["uid", "tokens"])
 
-    wanted = classes.join(uids, "uid", "left_semi").select("uid", F.col("place.doc_id").alias("w_id"), F.col("place.th").alias("w_th"))
-    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("th") == F.col("w_th"))
-    found = docs.join(wanted, same).select("uid", "text").mapInArrow(per_slice("text", make), "uid long, tokens array<long>")
-    return stored(found.dropDuplicates(["uid"]), "whole-sets")
+    wanted = classes.join(uids, "uid", "left_semi").select("uid", *_place("place.doc_id", "place.th"))
+    rows = docs.select(*_place("doc_id", "th"), "text")
+    # Rows equal in id and text lie in one task after the join: once is enough.
+    found = rows.join(wanted, ["no_id", "id", "th"]).dropDuplicates(["no_id", "id", "th"])
+    found = found.select("uid", "text").mapInArrow(per_slice("text", make), "uid long, tokens array<long>")
+    return stored(found, "whole-sets")
 
 
 def _links(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
@@ -195,20 +217,20 @@ def _links(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
     First each set is compared with the most typical set of its prefix tokens; then only sets of
     different components meet, so a large group of near copies costs rows in proportion to it.
     """
-    postings = _postings(classes)
+    postings = _postings(classes, p)
     share = postings.groupBy("uid", "n").agg(F.count("*").alias("k"))
     typical = share.select("uid", (F.col("k") / F.col("n")).alias("typical"))
     pivot = postings.join(typical, "uid").groupBy("token").agg(
         F.max(F.struct("typical", F.col("n").alias("m"), F.col("uid").alias("b"))).alias("best")
     )
     first = postings.join(pivot, "token").select(F.col("uid").alias("a"), "n", "best.b", "best.m")
-    first = first.where("a <> b").where(_near_size(p, "n", "m")).groupBy("a", "b").agg(F.count("*").alias("k"))
+    first = first.where("a <> b").where(_near_size(p, "n", "m")).groupBy("a", "b", "n").agg(F.count("*").alias("k"))
+    first = first.where(2 * F.col("k") >= p.fewest("n"))  # what this misses meets below
     order = Window.partitionBy("a").orderBy(F.desc("k"), "b")
     first = stored(first.withColumn("r", F.row_number().over(order)).where("r <= 2").select("a", "b"), "first-pairs")
 
     chosen = stored(_adapted(postings, p), "prefixes")
-    ends = first.select(F.col("a").alias("uid")).union(first.select("b")).union(chosen.select("uid")).distinct()
-    sets = _whole_sets(classes, ends, docs, p)
+    sets = _whole_sets(classes, share.select("uid"), docs, p)
     stars = components(_verified(first, sets, p))
 
     own = chosen.join(stars.withColumnRenamed("node", "uid"), "uid", "left")
