@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docharbor.functions.names import ID
 
@@ -55,12 +56,26 @@ def new_rows(target: DataFrame, batch: DataFrame, on: str = ID) -> DataFrame:
     return batch.join(target.select(on), on, "left_anti")
 
 
+def _sortable(column: str, kind: T.DataType) -> Column:
+    """The value, or its text where Spark has no order for the type."""
+    value = F.col(f"`{column}`")
+    return value if _has_order(kind) else F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _latest_first(df: DataFrame, order_by: Sequence[str]) -> list[Column]:
     first = [F.col(f"`{c}`").desc_nulls_last() for c in order_by]
     rest = [
-        F.col(f"`{f.name}`").desc_nulls_last()
+        _sortable(f.name, f.dataType).desc_nulls_last()
         for f in df.schema.fields
-        if f.name not in order_by and f.dataType.typeName() not in ("map", "variant")
+        if f.name not in order_by
     ]
     return first + rest
 
@@ -87,13 +102,14 @@ def last_value_per_column(
     """One row per key with the last non-null value of every column."""
     place = F.struct(*[F.col(f"`{c}`") for c in order_by])
     others = [c for c in df.columns if c not in key]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     if not others:
         return df.distinct()
     found = df.groupBy(*[F.col(f"`{c}`") for c in key]).agg(
         *[
             F.max_by(
                 F.col(f"`{c}`"),
-                F.when(F.col(f"`{c}`").isNotNull(), F.struct(place, F.col(f"`{c}`"))),
+                F.when(F.col(f"`{c}`").isNotNull(), F.struct(place, _sortable(c, kinds[c]))),
             ).alias(c)
             for c in others
         ]

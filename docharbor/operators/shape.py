@@ -172,18 +172,10 @@ def to_documents(
     rejects stay so, with the reason the source gave.
     """
     key = spec.key if is_root else ()
-    pinned = {f["name"]: f for f in fields["fields"] if f["name"] != ".*"} if is_root else {}
-    # Conversions come first, each as one struct, so that no later use works them out again.
-    pairs = {
-        f"_pair_{f.name}": _convert(F.col(f"`{f.name}`"), f.dataType, spec, f.name, pinned[f.name])
-        for f in rows.schema.fields
-        if f.name in pinned and f.name not in SYSTEM_COLUMNS
-    }
-    staged = rows.select("*", *[pair.alias(name) for name, pair in pairs.items()])
+    pinned = _pinned(fields) if is_root else {}
+    staged = _converted(rows, spec, pinned)
     doc_id = ids.merge_id(rows, collection, key) if key else F.col(ROW_ID)
     columns: list[Column] = [doc_id.alias(ID)]
-    missing = F.lit("key column is missing or null")
-    problems = [(k, F.when(F.col(f"`{k}`").isNull(), missing), F.lit(None)) for k in key]
     for f in rows.schema.fields:
         column = F.col(f"`{f.name}`")
         if f.name == ERRORS:
@@ -191,13 +183,43 @@ def to_documents(
         if f.name in SYSTEM_COLUMNS:
             columns.append(column)
         elif f.name in pinned:
-            pair = F.col(f"`_pair_{f.name}`")
-            columns.append(pair["value"].alias(f.name))
-            problems += _problems(column, f.dataType, f.name, pinned[f.name], pair["reason"])
+            columns.append(F.col(f"`_pair_{f.name}`")["value"].alias(f.name))
         else:
             declared = spec.data_types.get(f.name) if is_root else None
             stored = column if declared not in (None, "json") else wire_value(column, f.dataType)
             columns.append(stored.alias(f.name))
+    return staged.select(*columns, _reasons(rows, pinned, key))
+
+
+def checked(rows: DataFrame, spec: LoadSpec, fields: Mapping[str, Any]) -> DataFrame:
+    """Root rows as they are, those that :func:`to_documents` will reject marked with the reasons."""
+    pinned = _pinned(fields)
+    kept = [F.col(f"`{c}`") for c in rows.columns if c != ERRORS]
+    return _converted(rows, spec, pinned).select(*kept, _reasons(rows, pinned, spec.key))
+
+
+def _pinned(fields: Mapping[str, Any]) -> dict[str, Any]:
+    return {f["name"]: f for f in fields["fields"] if f["name"] != ".*"}
+
+
+def _converted(rows: DataFrame, spec: LoadSpec, pinned: Mapping[str, Any]) -> DataFrame:
+    """The rows and each conversion as one struct, so that no later use works it out again."""
+    pairs = {
+        f"_pair_{f.name}": _convert(F.col(f"`{f.name}`"), f.dataType, spec, f.name, pinned[f.name])
+        for f in rows.schema.fields
+        if f.name in pinned and f.name not in SYSTEM_COLUMNS
+    }
+    return rows.select("*", *[pair.alias(name) for name, pair in pairs.items()])
+
+
+def _reasons(rows: DataFrame, pinned: Mapping[str, Any], key: tuple[str, ...]) -> Column:
+    """Why a row of :func:`_converted` is rejected, null if it isn't."""
+    missing = F.lit("key column is missing or null")
+    problems = [(k, F.when(F.col(f"`{k}`").isNull(), missing), F.lit(None)) for k in key]
+    for f in rows.schema.fields:
+        if f.name in pinned and f.name not in SYSTEM_COLUMNS and f.name != ERRORS:
+            reason = F.col(f"`_pair_{f.name}`")["reason"]
+            problems += _problems(F.col(f"`{f.name}`"), f.dataType, f.name, pinned[f.name], reason)
     problems += [
         (name, F.lit("required field is missing"), F.lit(None))
         for name, hint in pinned.items()
@@ -209,7 +231,7 @@ def to_documents(
         errors = F.when(F.coalesce(*[reason for _, reason, _ in problems]).isNotNull(), found)
     if ERRORS in rows.columns:
         errors = F.coalesce(F.col(ERRORS), errors)
-    return staged.select(*columns, errors.cast(ERROR_TYPE).alias(ERRORS))
+    return errors.cast(ERROR_TYPE).alias(ERRORS)
 
 
 def _convert(

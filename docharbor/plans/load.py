@@ -27,7 +27,10 @@ from docharbor.functions.names import (
 from docharbor.operators import dispositions, orphans, quality
 from docharbor.operators.shape import (
     ERRORS,
+    checked,
     child_tables,
+    flatten,
+    list_columns,
     merged_type,
     nest_chain,
     primary_kind,
@@ -191,9 +194,20 @@ class _Resource:
         missing = [c for c in spec.order_by if c not in rows.columns]
         if missing:
             raise ConfigError(f"table '{spec.name}': order_by columns {missing} are not in the batch")
+        # A rejected row must not win over a good one of its key, and each is a reject of its own.
+        flat = flatten(rows, spec.inline_columns())
+        plain = flat.drop(*list_columns(flat, spec.inline_columns()))
+        marked = checked(flat, spec, self._fields(spec.name, plain.drop(ERRORS).schema, True))
+        marked = self.dataset.stage(marked, f"{spec.name}_read", self.load_id)
+        good = marked.filter(F.col(ERRORS).isNull())
+        bad = marked.filter(F.col(ERRORS).isNotNull())
+        content = ids.content_json(bad.drop(ROW_ID))
+        own = ids.digest_id(F.lit(spec.name), F.lit(self.load_id), content)
         if spec.action == "emplace":
-            return dispositions.last_value_per_column(rows, [ROW_ID], spec.order_by)
-        return dispositions.last_wins(rows, [ROW_ID], spec.order_by)
+            good = dispositions.last_value_per_column(good, [ROW_ID], spec.order_by)
+        else:
+            good = dispositions.last_wins(good, [ROW_ID], spec.order_by)
+        return good.unionByName(bad.withColumn(ROW_ID, own))
 
     # Writing
 

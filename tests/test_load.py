@@ -6,6 +6,7 @@ import pytest
 
 from docharbor import ConfigError, LoadError, LoadSpec, RejectedRows, run_load
 from docharbor.functions.names import ID, LIST_IDX, PARENT_ID, ROOT_ID, ROW_ID
+from docharbor.operators import dispositions
 from docharbor.plans.dataset import Dataset
 
 ITEMS = "order_id string, items array<struct<sku:string>>"
@@ -414,3 +415,26 @@ def test_random_loads_agree_with_a_dictionary(dataset, broadcast_limit, seed):
         for root, place, x in values(dataset, "t__items", ROOT_ID, LIST_IDX, "x"):
             found[roots[root]].append((place, x))
         assert {k: [x for _, x in sorted(v)] for k, v in found.items()} == model
+
+
+def test_a_rejected_row_does_not_win_over_a_good_one(spark, dataset):
+    spec = LoadSpec(
+        "t", "merge", primary_key="k", order_by="at", on_reject="quarantine",
+        field_hints={"v": {"type": "int32"}},
+    )
+    rows = [("a", 1, 5), ("a", 2, 1 << 40), ("b", 1, 7), ("b", 2, 8), (None, 1, 1), (None, 1, 1), ("c", 1, 1 << 40)]
+    batch = spark.createDataFrame(rows, "k string, at int, v long")
+    done = run_load(dataset, [(spec, batch)], "l1")
+    assert {r["k"]: r["v"] for r in dataset.read("t").collect()} == {"a": 5, "b": 8}
+    assert (done.tables["t"].total, done.tables["t"].failed) == (6, 4)
+    assert sorted(str(r["k"]) for r in dataset.rejects("t", "l1").collect()) == ["None", "None", "a", "c"]
+
+
+def test_last_values_of_types_without_an_order(spark):
+    rows = spark.sql(
+        "select * from values (1, 1, map('a', 1), parse_json('1'), named_struct('m', map('x', 1))),"
+        " (1, 2, map('b', 2), null, null) as t(k, at, m, v, s)"
+    )
+    found = dispositions.last_value_per_column(rows, ["k"], ["at"]).first()
+    assert found["m"] == {"b": 2} and str(found["v"].toJson()) == "1" and found["s"]["m"] == {"x": 1}
+    assert dispositions.last_wins(rows, ["k"], ["at"]).first()["m"] == {"b": 2}
