@@ -10,10 +10,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docharbor.llm.common import hashed, inside, per_slice, pick, runs_of, stored, texts, unpack, whole
+from docharbor.llm.common import hashed, inside, per_slice, pick, received, runs_of, shipped, slices, stored, texts, unpack, whole
 from docharbor.llm.graph import components
 
 
+#: Places of the table of token frequencies; it is broadcast, a byte or so each.
+TABLE_BITS = 19
+
+
 @dataclass(frozen=True)
 class Join:
     """Two texts link when they share ``percent`` of all their distinct word shingles.
@@ -88,16 +92,43 @@ def _rows(docs: DataFrame, p: Join) -> DataFrame:
     return docs.mapInArrow(per_slice("text", make), f"doc_id {kind}, th long, n long, digest binary")
 
 
+def _levels(docs: DataFrame, p: Join) -> np.ndarray:
+    """How frequent the tokens of a place in a table of ``2 ** TABLE_BITS`` are, over all documents.
+
+    Level 0 is what chance puts into a place, each further level doubles. Its size is fixed.
+    """
+
+    def count(batches):
+        total = np.zeros(1 << TABLE_BITS, np.int64)
+        for batch in slices(batches, "text"):
+            for s in _sets_of(batch, p.words):
+                np.add.at(total, (s >> np.uint64(64 - TABLE_BITS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
+
+    rows = docs.select("text").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(1 << TABLE_BITS)
+    total[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
+    chance = np.median(total)
+    return np.log2(np.maximum(1, total / (2 + chance + 4 * np.sqrt(chance)))).astype(np.int64)
+
+
 def _classes(docs: DataFrame, p: Join) -> DataFrame:
     """``uid, digest, n, prefix, place`` of every distinct set that isn't empty.
 
-    ``prefix`` holds its smallest tokens by hash, ``place`` the id and text hash of one document.
+    ``prefix`` holds its first tokens in the order of all tokens, the rare before the frequent, then by
+    hash; ``place`` the id and text hash of one document.
     """
+    sent = shipped(docs.sparkSession, _levels(docs, p))
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = _sets_of(batch, p.words)
+        sets, levels = _sets_of(batch, p.words), received(sent)
         keep = [i for i, s in enumerate(sets) if len(s)]
-        cut = [sets[i][: int(p.prefix(len(sets[i])))].view(np.int64) for i in keep]
+        cut = []
+        for i in keep:
+            level = levels[(sets[i] >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+            first = np.argsort(level, kind="stable")[: int(p.prefix(len(sets[i])))]
+            cut.append(sets[i][first].view(np.int64))
         at = pa.array(keep, pa.int64())
         return pa.RecordBatch.from_arrays(
             [
@@ -186,6 +217,14 @@ def _near_size(p: Join, n: str, m: str) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {p.percent} * greatest({n}, {m})")
 
 
+def _likely(pairs: DataFrame, lists: DataFrame, p: Join) -> DataFrame:
+    """The pairs ``a, b`` that share as many prefix tokens as both need to link."""
+    one = lists.select(F.col("uid").alias("a"), F.col("n"), F.col("tokens").alias("x"))
+    two = lists.select(F.col("uid").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("y"))
+    both = F.size(F.array_intersect("x", "y")) >= F.greatest(p.fewest("n"), p.fewest("m"))
+    return pairs.join(one, "a").join(two, "b").where(both).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, p: Join) -> DataFrame:
     """The pairs ``a, b`` whose whole sets link."""
     one = sets.select(F.col("uid").alias("a"), F.col("tokens").alias("x"))
@@ -227,11 +266,12 @@ def _links(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
     first = first.where("a <> b").where(_near_size(p, "n", "m")).groupBy("a", "b", "n").agg(F.count("*").alias("k"))
     first = first.where(2 * F.col("k") >= p.fewest("n"))  # what this misses meets below
     order = Window.partitionBy("a").orderBy(F.desc("k"), "b")
-    first = stored(first.withColumn("r", F.row_number().over(order)).where("r <= 2").select("a", "b"), "first-pairs")
+    first = first.withColumn("r", F.row_number().over(order)).where("r <= 2").select("a", "b")
+    lists = stored(postings.groupBy("uid", "n").agg(F.collect_list("token").alias("tokens")), "lists")
 
     chosen = stored(_adapted(postings, p), "prefixes")
-    sets = _whole_sets(classes, share.select("uid"), docs, p)
-    stars = components(_verified(first, sets, p))
+    sets = _whole_sets(classes, lists.select("uid"), docs, p)
+    stars = components(_verified(_likely(first, lists, p), sets, p))
 
     own = chosen.join(stars.withColumnRenamed("node", "uid"), "uid", "left")
     own = own.select("token", "uid", "n", "matches", "need", "alone", F.coalesce("label", "uid").alias("group"))
@@ -242,7 +282,7 @@ def _links(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
         F.first(F.expr("case when matches < matches2 then need when matches > matches2 then need2 else greatest(need, need2) end")).alias("need"),
     )
     pairs = met.where("k >= need").select(F.col("uid").alias("a"), F.col("uid2").alias("b"))
-    more = _verified(pairs, sets, p)
+    more = _verified(_likely(pairs, lists, p), sets, p)
     return components(more.union(stars.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
