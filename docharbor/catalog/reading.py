@@ -85,11 +85,32 @@ def delete_by_filter(t: Tables) -> DataFrame:
 
 @query("select conv_id, turn, role, text from conversations")
 def json_pages_unnest(t: Tables) -> DataFrame:
-    """Landed API pages, one turn each, unpacked again."""
+    """Landed API pages with several items each, unpacked again."""
     item = F.struct("conv_id", "turn", "role", "text")
-    page = F.to_json(F.struct(F.array(item).alias("items"), F.lit("next").alias("paging")))
-    landed = t.conversations.select(page.alias("page"))
-    return pages.unnest(landed, "page", "struct<conv_id:bigint,turn:bigint,role:string,text:string>")
+    items = t.conversations.groupBy((F.col("conv_id") % 7).alias("n"), "turn").agg(
+        F.collect_list(item).alias("items")
+    )
+    page = F.to_json(F.struct("items", F.lit("next").alias("paging")))
+    schema = "struct<conv_id:bigint,turn:bigint,role:string,text:string>"
+    return quality.valid_rows(pages.unnest(items.select(page.alias("page")), "page", schema))
+
+
+@query("select count(*) as bad_pages, count(distinct text) as texts from conversations where turn = 0")
+def page_rejects(t: Tables) -> DataFrame:
+    """Pages that break off, or have no list of items, are rejects with their text."""
+    item = F.struct("conv_id", "turn")
+    whole = F.to_json(F.struct(F.array(item).alias("items")))
+    broken = F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit('{"items": ['), "text"))
+    other = F.coalesce(broken, F.to_json(F.struct(F.col("text").alias("rows"))))
+    page = F.when(F.col("turn") == 0, other).otherwise(whole)
+    rows = pages.unnest(
+        t.conversations.select(page.alias("page"), "text"), "page", "struct<conv_id:bigint,turn:bigint>"
+    )
+    rejects = quality.rejected_rows(rows).select(F.col("_errors")[0]["sample"].alias("sample"))
+    text = F.regexp_replace("sample", r'^\{"(items": \[|rows":")|"\}$', "")
+    return rejects.agg(
+        F.count(F.lit(1)).alias("bad_pages"), F.count_distinct(text).alias("texts")
+    )
 
 
 @query("select page_id, url, html from pages")
@@ -106,7 +127,23 @@ def json_source(t: Tables) -> DataFrame:
     """JSON files with long text and every kind of character, read with a given schema."""
     path = written(t, "json_source")
     t.documents.write.mode("overwrite").json(path)
-    return files.read_json(t.spark, path, "doc_id bigint, lang string, text string")
+    rows = files.read_json(t.spark, path, "doc_id bigint, lang string, text string")
+    return quality.valid_rows(rows)
+
+
+@query("select count(*) as bad, sum(doc_id % 3 = 0)::bigint as misfits from documents where doc_id % 3 < 2")
+def json_rejects(t: Tables) -> DataFrame:
+    """Cells that do not fit and lines that break off are rejects, never nulls."""
+    path = written(t, "json_rejects")
+    line = (
+        F.when(F.col("doc_id") % 3 == 0, F.lit('{"doc_id": "no number", "lang": "en"}'))
+        .when(F.col("doc_id") % 3 == 1, F.lit('{"doc_id": 7, "lang'))
+        .otherwise(F.to_json(F.struct("doc_id", "lang")))
+    )
+    t.documents.select(line).write.mode("overwrite").text(path)
+    rejects = quality.rejected_rows(files.read_json(t.spark, path, "doc_id bigint, lang string"))
+    misfit = F.col("_errors")[0]["sample"].contains("no number")
+    return rejects.agg(F.count(F.lit(1)).alias("bad"), F.count_if(misfit).alias("misfits"))
 
 
 @query("select count(*) as bad_lines from events where event_type = 'error'")
@@ -136,7 +173,30 @@ def csv_source(t: Tables) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)")
     ).write.mode("overwrite").option("header", True).csv(path)
     schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice string"
-    return files.read_csv(t.spark, path, schema)
+    return quality.valid_rows(files.read_csv(t.spark, path, schema))
+
+
+@query(
+    """
+select sum(o_orderkey % 5 = 0)::bigint as bad, sum(o_orderkey % 5 <> 0)::bigint as good,
+       sum(case when o_orderkey % 5 <> 0 then o_orderkey end)::bigint as keys
+from orders
+"""
+)
+def csv_rejects(t: Tables) -> DataFrame:
+    """A line with a cell of another type is a reject with its text, whole lines stay."""
+    path = written(t, "csv_rejects")
+    number = F.col("o_orderkey").cast("string")
+    key = F.when(F.col("o_orderkey") % 5 == 0, F.lit("none")).otherwise(number)
+    cells = t.orders.select(key.alias("o_orderkey"), "o_orderstatus")
+    cells.write.mode("overwrite").option("header", True).csv(path)
+    rows = files.read_csv(t.spark, path, "o_orderkey bigint, o_orderstatus string")
+    bad = F.col("_errors").isNotNull()
+    return rows.agg(
+        F.count_if(bad & F.col("_errors")[0]["sample"].startswith("none,")).alias("bad"),
+        F.count_if(~bad).alias("good"),
+        F.sum("o_orderkey").alias("keys"),
+    )
 
 
 @query("select count(*) as total, true as bounded from lineitem")
@@ -175,5 +235,15 @@ def variant_source(t: Tables) -> DataFrame:
     t.events.select(wire).write.mode("overwrite").text(path)
     rows = files.read_variant_files(t.spark, path, ["event_id", "k"])
     rows = rows.withColumn("event_id", F.try_variant_get("event_id", "$", "bigint"))
-    split = shape.split_variant(rows, "k", "BIGINT")
+    split = shape.split_variant(quality.valid_rows(rows), "k", "BIGINT")
     return split.select("event_id", "k", "k__v_text")
+
+
+@query("select count(*) as bad_lines from events where event_type = 'error'")
+def variant_rejects(t: Tables) -> DataFrame:
+    """Lines that are no JSON object are rejects of the variant reader as well."""
+    path = written(t, "variant_rejects")
+    line = F.when(F.col("event_type") == "error", F.lit("[1, 2")).otherwise(F.col("props"))
+    t.events.select(line).write.mode("overwrite").text(path)
+    rejects = quality.rejected_rows(files.read_variant_files(t.spark, path, ["k"]))
+    return rejects.agg(F.count(F.lit(1)).alias("bad_lines"))

@@ -139,25 +139,19 @@ def content_json(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
 
 
 def with_content_row_id(df: DataFrame, collection: str, load_id: str) -> DataFrame:
-    """Row ids from content plus a number among identical rows.
+    """Row ids from content plus a number among identical rows, the same for any partitioning.
 
-    Identical rows are numbered within their input partition and the partition number
-    is part of the id, so a row that is repeated very often is not gathered in one task.
+    Digests are counted by partial aggregates. Rows that stand once move no further; of identical
+    rows one is kept and repeated as often as it was counted, so a row that is repeated very often
+    is not gathered in one task.
     """
-    salted = df.withColumn("_digest", F.sha2(content_json(df), 256)).withColumn(
-        "_split", F.spark_partition_id()
-    )
-    copies = Window.partitionBy("_digest", "_split").orderBy("_digest")
-    return (
-        salted.withColumn("_copy", F.row_number().over(copies))
-        .withColumn(
-            ROW_ID,
-            digest_id(
-                F.lit(collection),
-                F.lit(load_id),
-                F.col("_digest"),
-                F.concat_ws("/", "_split", "_copy"),
-            ),
-        )
-        .drop("_digest", "_split", "_copy")
+    marked = df.withColumn("_digest", F.sha2(content_json(df), 256))
+    counts = marked.groupBy("_digest").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    once = marked.join(counts, "_digest", "left_anti").withColumn("_copy", F.lit(1).cast("long"))
+    again = marked.join(counts, "_digest").dropDuplicates(["_digest"])
+    again = again.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
+    rows = once.unionByName(again.drop("_times"))
+    row_id = digest_id(
+        F.lit(collection), F.lit(load_id), F.col("_digest"), F.col("_copy").cast("string")
     )
+    return rows.withColumn(ROW_ID, row_id).drop("_digest", "_copy")

@@ -13,14 +13,31 @@ ORIGIN = ("_origin_file", "_origin_row")
 CORRUPT = "_corrupt_record"
 
 
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header; the schema is given, so the files are read once."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header; the schema is given, so the files are read once.
+
+    A line with a cell that does not fit its column, or with too few or too many cells, becomes a
+    row without values that is marked as a reject with its text.
+    """
+    schema = _struct(schema)
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(marked).option("header", True).option("columnPruning", False)
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    bad = F.col(CORRUPT).isNotNull()
+    problem = error("", F.when(bad, F.lit("the line does not fit the schema")), F.col(CORRUPT))
+    return rows.select(
+        *[F.when(~bad, F.col(f"`{n}`")).alias(n) for n in schema.names],
+        F.when(bad, F.array(problem)).cast(ERROR_TYPE).alias(ERRORS),
+    )
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """One JSON object per line."""
-    return spark.read.schema(schema).json(path)
+    """One JSON object per line; see :func:`read_load_files` for lines that are none."""
+    return read_load_files(spark, path, schema)
 
 
 def read_parquet(spark: SparkSession, path: str, with_origin: bool = False) -> DataFrame:
@@ -41,8 +58,7 @@ def read_load_files(spark: SparkSession, path: str, schema: T.StructType | str)
     A line that is no object of the schema becomes a row without values that is marked as a
     reject with its text, so that a load counts it with the other rejects.
     """
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
+    schema = _struct(schema)
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     lines = spark.read.text(path).filter(F.trim("value") != "")
@@ -56,9 +72,15 @@ def read_load_files(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 def read_variant_files(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """JSON lines with fields of mixed types: every field as VARIANT, told apart later."""
+    """JSON lines with fields of mixed types: every field as VARIANT, told apart later.
+
+    A line that is no JSON object is a reject with its text.
+    """
     lines = spark.read.text(path).filter(F.trim("value") != "")
     row = F.try_parse_json("value")
+    bad = ~F.coalesce(F.schema_of_variant(row).startswith("OBJECT"), F.lit(False))
+    problem = error("", F.when(bad, F.lit("the line is no JSON object")), F.col("value"))
     return lines.select(
-        *[F.try_variant_get(row, f"$.{c}", "variant").alias(c) for c in columns]
+        *[F.when(~bad, F.try_variant_get(row, f"$.{c}", "variant")).alias(c) for c in columns],
+        F.when(bad, F.array(problem)).cast(ERROR_TYPE).alias(ERRORS),
     )

@@ -91,6 +91,8 @@ def test_content_ids_keep_identical_rows_apart(spark):
     rows = spark.createDataFrame([("a",)] * 500 + [("b",)], "v string").repartition(4)
     found = ids.with_content_row_id(rows, "c", "l1")
     assert found.select(ids.ROW_ID).distinct().count() == 501
+    parted = ids.with_content_row_id(rows.repartition(7), "c", "l1")
+    assert parted.join(found, [ids.ROW_ID, "v"], "left_semi").count() == 501
     other = ids.with_content_row_id(rows, "c", "l2")
     assert other.join(found, ids.ROW_ID, "left_semi").count() == 0
 
