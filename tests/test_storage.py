@@ -379,7 +379,9 @@ def test_pages(spark, tmp_path):
     for i, page in enumerate([first, last, {"items": []}, {}]):
         (tmp_path / f"{i}.json").write_text(json.dumps(page, indent=1))
     found = pages.read_pages(spark, str(tmp_path), "struct<id:bigint,updated_at:bigint,name:string>")
-    assert sorted(r["id"] for r in found.collect()) == [0, 1, 2, 3]
+    assert sorted(r["id"] for r in quality.valid_rows(found).collect()) == [0, 1, 2, 3]
+    # A page without the list is no empty page.
+    assert [r["_errors"][0]["sample"] for r in quality.rejected_rows(found).collect()] == ["{}"]
 
 
 def test_jdbc_options():
