@@ -38,6 +38,6 @@ class RejectedRows(LoadError):
         self.total_count = total_count
         self.samples = [s[:MAX_SAMPLE_CHARS] for s in samples[:MAX_SAMPLES]]
         super().__init__(
-            f"{failed_count} of {total_count} rows of table '{table}' were rejected "
-            f"in load '{load_id}'. First rejects: {self.samples}"
+            f"load '{load_id}' of '{table}': {failed_count} rejects among {total_count} rows, "
+            f"such as {self.samples}"
         )

@@ -199,7 +199,7 @@ def checked(rows: DataFrame, spec: LoadSpec, fields: Mapping[str, Any]) -> DataF
 
 
 def _pinned(fields: Mapping[str, Any]) -> dict[str, Any]:
-    return {f["name"]: f for f in fields["fields"] if f["name"] != ".*"}
+    return {f["name"]: f for f in fields["fields"]}
 
 
 def _converted(rows: DataFrame, spec: LoadSpec, pinned: Mapping[str, Any]) -> DataFrame:
