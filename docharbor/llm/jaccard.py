@@ -176,8 +176,9 @@ def _adapted(postings: DataFrame, p: Join) -> DataFrame:
     ``l`` of them, ``l`` the smaller number of both. A prefix is lengthened until it holds fewer common
     tokens than wanted matches: common tokens can then be left out, as ``need = l - common`` of the
     other matches remain. Of those lengths the one of least cost is taken, the rows met per match
-    needed. A set for which no length will do is ``alone``: it keeps its whole prefix and also meets
-    others of its kind at common tokens.
+    needed. A set for which no length will do also meets others of its kind at common tokens, where
+    ``alone`` holds: at all of its whole prefix but the most frequent ones. Two such sets share as many
+    tokens as each needs at least, so the rarest they share is not among those either leaves out.
     """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -195,7 +196,14 @@ def _adapted(postings: DataFrame, p: Join) -> DataFrame:
             cost[need < 1] = np.inf
             best = int(np.argmin(cost))
             alone = not np.isfinite(cost[best])
-            use = np.arange(len(pos)) if alone else np.flatnonzero(~common[: size[best]])
+            if alone:
+                fewest = 1 + least // 20
+                frequent = np.lexsort((token, df))[max(0, len(df) - fewest + 1) :]
+                keep = ~common
+                keep[np.setdiff1d(np.arange(len(df)), frequent)] = True
+                use = np.flatnonzero(keep)
+            else:
+                use = np.flatnonzero(~common[: size[best]])
             k = len(use)
             out["token"].append(token[use])
             for name, value in (("uid", uid), ("n", n), ("matches", 1 << 30 if alone else int(wanted[best])), ("need", 1 if alone else int(need[best]))):
@@ -217,6 +225,16 @@ def _near_size(p: Join, n: str, m: str) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {p.percent} * greatest({n}, {m})")
 
 
+def _side_by_side(rows: DataFrame, p: Join, *more: Column) -> DataFrame:
+    """Rows of one token and of different groups, the uids as ``a < b``."""
+    other = rows.select(*(F.col(c).alias(c if c == "token" else f"{c}2") for c in rows.columns))
+    other = other.withColumnRenamed("token", "token2")
+    fit = F.expr("token = token2 and uid < uid2 and `group` <> group2") & _near_size(p, "n", "n2")
+    for condition in more:
+        fit = fit & condition
+    return rows.join(other, fit).withColumnsRenamed({"uid": "a", "uid2": "b"})
+
+
 def _likely(pairs: DataFrame, lists: DataFrame, p: Join) -> DataFrame:
     """The pairs ``a, b`` that share as many prefix tokens as both need to link."""
     one = lists.select(F.col("uid").alias("a"), F.col("n"), F.col("tokens").alias("x"))
@@ -275,14 +293,16 @@ def _links(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
 
     own = chosen.join(stars.withColumnRenamed("node", "uid"), "uid", "left")
     own = own.select("token", "uid", "n", "matches", "need", "alone", F.coalesce("label", "uid").alias("group"))
-    other = own.toDF("token", "uid2", "n2", "matches2", "need2", "alone2", "group2")
-    met = own.join(other, "token").where("uid < uid2 and `group` <> group2 and alone = alone2")
-    met = met.where(_near_size(p, "n", "n2")).groupBy("uid", "uid2").agg(
+    met = _side_by_side(own.where("not alone"), p).groupBy("a", "b").agg(
         F.count("*").alias("k"),
         F.first(F.expr("case when matches < matches2 then need when matches > matches2 then need2 else greatest(need, need2) end")).alias("need"),
     )
-    pairs = met.where("k >= need").select(F.col("uid").alias("a"), F.col("uid2").alias("b"))
-    more = _verified(_likely(pairs, lists, p), sets, p)
+    pairs = _likely(met.where("k >= need").select("a", "b"), lists, p)
+    # At common tokens whole prefixes are compared within the join: only pairs that may link come out.
+    common = own.where("alone").join(lists.select("uid", "tokens"), "uid")
+    close = F.size(F.array_intersect("tokens", "tokens2")) >= F.greatest(p.fewest("n"), p.fewest("n2"))
+    pairs = pairs.union(_side_by_side(common, p, close).select("a", "b")).distinct()
+    more = _verified(pairs, sets, p)
     return components(more.union(stars.select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
