@@ -41,7 +41,7 @@ def test_the_report_names_spans(spark):
     r = secret_report(frame(spark, [(1, text), (2, None)])).orderBy("doc_id").collect()
     names = [f"{RULES[n].kind}:{a}:{b}" for a, n, b in brute(text)]
     base = ",".join(n for n in names if n.split(":")[0] in BASE)
-    assert r[0][1:] == (1, 1, 1, hashlib.sha256(base.encode()).hexdigest(), ",".join(names))
+    assert r[0][1:] == (1, 1, 2, hashlib.sha256(base.encode()).hexdigest(), ",".join(names))
     assert r[1][1:] == (0, 0, 0, hashlib.sha256(b"").hexdigest(), "")
     assert secret_report(frame(spark, [])).count() == 0
 
