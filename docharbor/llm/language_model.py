@@ -6,160 +6,210 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docharbor.llm.common import hashed, mixed, per_slice, pick, received, shipped, slices, texts
+from docharbor.llm.common import hashed, mixed, owner, pick, received, shipped, signed, slices, stored, texts
 from docharbor.llm.decontamination import words
 
+#: Stands before the first word of a text.
+BEGIN = 0
+#: Words or pairs that a task holds before it makes equal ones one.
+_HELD = 1 << 21
+
 
 @dataclass(frozen=True)
 class Bigrams:
-    """Counts lie in tables of ``2 ** word_bits`` and ``2 ** pair_bits`` places: their size, and that of
-    what is broadcast, is fixed, while every word of every document is counted in them.
+    """Every word and pair is counted by itself, in tables that grow with the documents.
 
-    A word is in the vocabulary if its place holds ``least`` words or more, else it is unknown. ``prior``
-    weighs the word's own share in each pair's estimate, ``alpha`` an even share in that.
+    A word is in the vocabulary if it stands ``least`` times or more, else it is unknown. ``prior``
+    weighs the word's own share in each pair's estimate, ``alpha`` an even share in that. At most ``hot``
+    words and ``hot`` pairs, the most frequent, are broadcast; the others are joined.
     """
 
-    word_bits: int = 20
-    pair_bits: int = 21
     least: int = 5
     prior: float = 50.0
     alpha: float = 0.5
+    hot: int = 1 << 18
 
 
-def _words_at(batch: pa.RecordBatch, p: Bigrams) -> tuple[np.ndarray, np.ndarray]:
-    """The place of every word in the word table, texts in a row, and their ends."""
-    flat, ends = hashed([words(t) for t in texts(batch, "text")])
-    return (flat >> np.uint64(64 - p.word_bits)).astype(np.int64), ends
-
-
-def _pairs_at(at: np.ndarray, ends: np.ndarray, known: np.ndarray, p: Bigrams):
-    """``(before, word, pair)``: vocabulary ids and the place of each pair; -1 and 2 ** word_bits stand
-    for a text's begin and an unknown word."""
-    word = np.where(known[at], at, 1 << p.word_bits)
-    before = np.r_[-1, word[:-1]] if len(word) else word
-    before[ends[:-1][ends[:-1] < len(word)]] = -1
-    key = mixed((before + 1).astype(np.uint64) << np.uint64(32) | word.astype(np.uint64))
-    return before, word, (key >> np.uint64(64 - p.pair_bits)).astype(np.int64)
-
-
-def _summed(rows: DataFrame, names: list[str], size: int) -> dict[str, np.ndarray]:
-    """Tables of ``size`` places from the sums of the tasks' rows; ``size`` bounds what the driver gets."""
-    total = rows.groupBy("at").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
-    out = {n: np.zeros(size, np.int64) for n in names}
-    for n in names:
-        out[n][total.column("at").to_numpy()] = total.column(n).to_numpy()
-    return out
-
+def _pairs_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(before, word, ends)`` of the texts in a row: 64-bit hashes of the words, never ``BEGIN``."""
+    word, ends = hashed([words(t) for t in texts(batch, "text")])
+    word[word == BEGIN] = 1
+    before = np.r_[np.uint64(BEGIN), word[:-1]] if len(word) else word
+    before[ends[:-1][ends[:-1] < len(word)]] = BEGIN
+    return before, word, ends
 
-def _counted(counts: dict[str, np.ndarray]) -> pa.RecordBatch:
-    at = np.flatnonzero(sum(counts.values()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(at.astype(np.int32)), *(pa.array(c[at].astype(np.int64)) for c in counts.values())], ["at", *counts]
-    )
 
+def _one_each(tables: list[pa.Table], keys: list[str], sums: list[str]) -> pa.Table:
+    out = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(n, "sum") for n in sums])
+    return out.select([*keys, *(f"{n}_sum" for n in sums)]).rename_columns([*keys, *sums])
 
-class Model:
-    """Both models over one vocabulary: counts of words, of pairs, and of begins of texts."""
 
-    def __init__(self, known, words, pairs, begins, p: Bigrams) -> None:
-        self.known, self.p = known, p
-        size = {n: int(words[n].sum()) for n in words}
-        # Background counts are scaled to the target's size: both models then smooth alike.
-        scale = {"background": size["target"] / max(1, size["background"]), "target": 1.0}
-        vocabulary = int(known.sum()) + 1
-        self.pairs = {n: (pairs[n] * scale[n]).astype(np.float32) for n in pairs}
-        self.words = {n: (words[n] * scale[n]).astype(np.float64) for n in words}
-        self.begins = {n: begins[n] * scale[n] for n in begins}
-        self.total = size["target"] + p.alpha * vocabulary
-
-    def losses(self, at: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
-        """Minus the logarithm of each word's probability, under each model."""
-        before, word, pair = _pairs_at(at, ends, self.known, self.p)
-        out = {}
-        for n, table in self.words.items():
-            own = (table[word] + self.p.alpha) / self.total
-            seen = np.where(before >= 0, table[np.maximum(before, 0)], self.begins[n])
-            both = np.minimum(self.pairs[n][pair], seen)
-            out[n] = -np.log((both + self.p.prior * own) / (seen + self.p.prior))
-        return out
-
-
-def fit(docs: DataFrame, target: DataFrame, p: Bigrams) -> Model:
-    """Counts words, then pairs, over all documents; those whose id is in ``target`` make its model."""
+def pair_counts(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """``before, word, b, t``: how often each pair stands in all documents and in those of ``target``."""
     own = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("binary").alias("text"))
     ids = pick(target, "doc_id").where("doc_id is not null").distinct().withColumn("wanted", F.lit(True))
-    spark = docs.sparkSession
+    flagged = own.join(ids, "doc_id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
 
-    def count_words(batches):
-        total = np.zeros(1 << p.word_bits, np.int64)
+    def count(batches):
+        held, size = [], 0
         for batch in slices(batches, "text"):
-            total += np.bincount(_words_at(batch, p)[0], minlength=len(total))
-        yield _counted({"n": total})
+            before, word, ends = _pairs_of(batch)
+            chosen = np.array(batch.column("wanted").to_pylist(), np.int64)
+            part = [signed(before), signed(word), pa.array(np.ones(len(word), np.int64)), pa.array(np.repeat(chosen, np.diff(ends)))]
+            held.append(pa.table(part, ["before", "word", "b", "t"]))
+            size += len(word)
+            if size > _HELD:
+                held = [_one_each(held, ["before", "word"], ["b", "t"])]
+                size = held[0].num_rows
+                if size > _HELD // 2:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if size:
+            yield from _one_each(held, ["before", "word"], ["b", "t"]).to_batches()
+
+    rows = flagged.mapInArrow(count, "before long, word long, b long, t long")
+    return rows.groupBy("before", "word").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+
+
+def _frequent(rows: DataFrame, size: int) -> Column:
+    """Which of ``rows`` are among at most ``size`` of the largest ``b``, in classes of a 32nd of a power of two."""
+    kind = F.floor(32 * F.log2("b"))
+    total, least = 0, None
+    for c in rows.groupBy(kind.alias("class")).count().orderBy(F.desc("class")).collect():  # some 2,000 at most
+        total += c["count"]
+        if total > size:
+            break
+        least = c["class"]
+    return F.lit(False) if least is None else kind >= least
+
+
+def _looked_up(rows: DataFrame, words: DataFrame, key: Column, name: str) -> DataFrame:
+    """``rows`` with the row of ``words`` whose ``w`` is ``key`` as struct ``name``, null if there is none.
+
+    Frequent words, each in very many pairs, are broadcast; only rows of other words move to meet theirs.
+    """
+    row = F.struct(*(F.col(c) for c in words.columns if c != "w")).alias(name)
+    own = words.select(F.col("w").alias("_w"), row)
+    found = rows.join(F.broadcast(own.where(F.col(name)["hot"])), key == F.col("_w"), "left").drop("_w")
+    rest = own.where(~F.col(name)["hot"])
+    if rest.isEmpty():
+        return found
+    done = F.col(name).isNotNull() | key.isNull()
+    missing = found.where(~done).drop(name).join(rest, key == F.col("_w"), "left").drop("_w")
+    return found.where(done).unionByName(missing)
+
+
+def fit(docs: DataFrame, target: DataFrame, p: Bigrams) -> DataFrame:
+    """``before, word, b, target, background``: every pair of the documents, how often it stands, and minus the
+    logarithm of the word's probability after the other, under the models of ``target`` and of all documents.
+
+    Unknown words are one word: pairs that differ in unknown words alone share their counts.
+    """
+    pairs = stored(pair_counts(docs, target), "pairs")
+    both = [F.sum(n).alias(n) for n in "bt"]
+    known = stored(pairs.groupBy(F.col("word").alias("w")).agg(*both).where(F.col("b") >= p.least), "words")
+    vocabulary = known.withColumn("hot", _frequent(known, p.hot))
+
+    begins, new, old = F.col("before") == BEGIN, F.col("w").isNull(), F.col("v").isNull() & (F.col("before") != BEGIN)
+    rows = _looked_up(pairs, vocabulary, F.col("word"), "w")
+    rows = _looked_up(rows, vocabulary, F.when(~begins, F.col("before")), "v")
+    n_known = known.count()
+    rows = stored(rows, "known-pairs") if n_known > p.hot else rows  # without a join it is cheaper to look up again
+    total = lambda name, where: [F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0)).alias(f"{name}_{n}") for n in "bt"]
+    cases = {"size": F.lit(True), "begins": begins, "unknown": new, "begin_unknown": begins & new, "unknown_both": old & new}
+    sums = rows.agg(*(c for k, where in cases.items() for c in total(k, where))).first()
+
+    # Pairs of one unknown word are summed by the other.
+    key = F.when(old & ~new, F.col("word")).when(new & ~old & ~begins, F.col("before"))
+    hot = F.max(F.when(new, F.col("v.hot")).otherwise(F.col("w.hot"))).alias("hot")
+    folded = rows.where(key.isNotNull()).groupBy(key.alias("w")).agg(hot, *total("after", ~new), *total("ahead", new))
+    rows = _looked_up(rows, stored(folded, "unknown-pairs"), key, "f")
+
+    size = sums["size_t"] + p.alpha * (n_known + 1)
+    loss = {}
+    for name, n, scale in (("target", "t", 1.0), ("background", "b", sums["size_t"] / max(1, sums["size_b"]))):
+        # Background counts are scaled to the target's size: both models then smooth alike.
+        one = F.when(new, sums[f"unknown_{n}"]).otherwise(F.col(f"w.{n}")) * scale
+        seen = F.when(begins, sums[f"begins_{n}"]).when(old, sums[f"unknown_{n}"]).otherwise(F.col(f"v.{n}")) * scale
+        pair = F.when(begins & new, sums[f"begin_unknown_{n}"]).when(old & new, sums[f"unknown_both_{n}"])
+        pair = pair.when(old, F.col(f"f.after_{n}")).when(new, F.col(f"f.ahead_{n}")).otherwise(F.col(n)) * scale
+        loss[name] = -F.log((pair + p.prior * (one + p.alpha) / size) / (seen + p.prior))
+    return rows.select("before", "word", "b", *(v.alias(k) for k, v in loss.items()))
 
-    counts = _summed(own.select("text").mapInArrow(count_words, "at int, n long"), ["n"], 1 << p.word_bits)
-    known = counts["n"] >= p.least
-    sent = shipped(spark, known)
-    unknown, begin = 1 << p.word_bits, (1 << p.word_bits) + 1
 
-    def count_pairs(batches):
-        known, pairs, single = received(sent), None, None
-        size, names = begin + 1, ("background", "target")
-        for batch in slices(batches, "text"):
-            if pairs is None:
-                pairs = {n: np.zeros(1 << p.pair_bits, np.int32) for n in names}
-                single = {n: np.zeros(size, np.int64) for n in names}
-            at, ends = _words_at(batch, p)
-            _, word, pair = _pairs_at(at, ends, known, p)
-            flags = np.array(batch.column("wanted").to_pylist(), bool)
-            chosen = np.repeat(flags, np.diff(ends))
-            begins = np.diff(ends) > 0
-            for n, use in (("background", slice(None)), ("target", chosen)):
-                np.add.at(pairs[n], pair[use], 1)
-                single[n] += np.bincount(word[use], minlength=size)
-                single[n][begin] += int((begins if n == "background" else begins & flags).sum())
-        if pairs is not None:
-            yield _counted(pairs)
-            out = _counted(single)
-            yield out.set_column(0, "at", pa.array(out.column("at").to_numpy() + (1 << p.pair_bits), pa.int32()))
+class _Frequent:
+    """The losses of frequent pairs; a pair is found by both its words."""
 
-    flagged = own.join(ids, "doc_id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
-    rows = flagged.mapInArrow(count_pairs, "at int, background long, target long")
-    tables = _summed(rows, ["background", "target"], (1 << p.pair_bits) + begin + 1)
-    pairs = {n: t[: 1 << p.pair_bits] for n, t in tables.items()}
-    words_of = {n: t[1 << p.pair_bits : (1 << p.pair_bits) + unknown + 1] for n, t in tables.items()}
-    return Model(known, words_of, pairs, {n: float(t[-1]) for n, t in tables.items()}, p)
+    def __init__(self, rows: pa.Table) -> None:
+        before, word, self.target, self.background = (rows.column(c).to_numpy() for c in ("before", "word", "target", "background"))
+        key = self._key(before.view(np.uint64), word.view(np.uint64))
+        order = np.argsort(key)
+        self.key, self.before, self.word = key[order], before.view(np.uint64)[order], word.view(np.uint64)[order]
+        self.target, self.background = self.target[order], self.background[order]
+
+    @staticmethod
+    def _key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return mixed(mixed(before) + word)
 
+    def places(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The place of each pair, -1 if it isn't here."""
+        if not len(self.key):
+            return np.full(len(word), -1)
+        at = np.minimum(np.searchsorted(self.key, self._key(before, word)), len(self.key) - 1)
+        return np.where((self.before[at] == before) & (self.word[at] == word), at, -1)
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+
+def score(docs: DataFrame, losses: DataFrame, p: Bigrams) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score`` of every document.
 
     The losses are means over all words of the whole text, in nats; ``score`` is the target's less the
     background's: the smaller, the more like the target. A text without words, or null, scores 0.
     """
-    sent = shipped(docs.sparkSession, model)
+    chosen = _frequent(losses, p.hot)
+    sent = shipped(docs.sparkSession, losses.where(chosen).select("before", "word", "target", "background").toArrow())
+    own = pick(docs, "doc_id", "text").select(
+        F.monotonically_increasing_id().alias("uid"), "doc_id", F.col("text").cast("binary").alias("text")
+    )
+    kind = own.schema["doc_id"].dataType.simpleString()
+    schema = f"uid long, before long, word long, n int, doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
+    names = ["uid", "before", "word", "n", "doc"]
 
     def run(batches):
-        model: Model = received(sent)
-
-        def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-            at, ends = _words_at(batch, model.p)
-            n = np.diff(ends)
-            of = np.repeat(np.arange(len(n)), n)
-            mean = {k: np.bincount(of, v, len(n)) / np.maximum(n, 1) for k, v in model.losses(at, ends).items()}
-            return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(mean["target"]), pa.array(mean["background"]), pa.array(mean["target"] - mean["background"])],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
+        frequent = _Frequent(received(sent))
+        for batch in slices(batches, "text"):
+            before, word, ends = _pairs_of(batch)
+            of, n = owner(ends), len(ends) - 1
+            at = frequent.places(before, word)
+            hit = at >= 0
+            t, b = (np.bincount(of[hit], x[at[hit]], n) for x in (frequent.target, frequent.background))
+            # Each document's own row: its uid in place of a word spreads them, and no pair has a null word.
+            doc = [batch.column("doc_id"), pa.array(np.diff(ends)), pa.array(t, pa.float64()), pa.array(b, pa.float64())]
+            doc = pa.StructArray.from_arrays(doc, ["doc_id", "n_tokens", "t", "b"])
+            uid = batch.column("uid")
+            yield pa.RecordBatch.from_arrays([uid, uid, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), doc], names)
+            if hit.all():
+                continue
+            ones = pa.array(np.ones(int((~hit).sum()), np.int32))
+            cold = pa.table([pa.array(of[~hit]), signed(before[~hit]), signed(word[~hit]), ones], ["of", "before", "word", "n"])
+            cold = _one_each([cold], ["of", "before", "word"], ["n"]).combine_chunks().to_batches()[0]
+            none = pa.nulls(cold.num_rows, doc.type)
+            yield pa.RecordBatch.from_arrays(
+                [uid.take(cold.column("of")), cold.column("before"), cold.column("word"), cold.column("n").cast(pa.int32()), none], names
             )
 
-        yield from per_slice("text", make)(batches)
-
-    own = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("binary").alias("text"))
-    kind = own.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, score double"
-    return own.mapInArrow(run, schema)
+    cold = losses.where(~chosen).select(F.col("before").alias("_b"), F.col("word").alias("_w"), "target", "background")
+    rows = own.mapInArrow(run, schema).join(cold, (F.col("before") == F.col("_b")) & (F.col("word") == F.col("_w")), "left")
+    mean = lambda own, name: F.sum(F.coalesce(F.col(own), F.col("n") * F.col(name))) / F.greatest(F.max("doc.n_tokens"), F.lit(1))
+    out = rows.groupBy("uid").agg(
+        F.first("doc.doc_id", ignorenulls=True).alias("doc_id"),
+        F.max("doc.n_tokens").alias("n_tokens"),
+        mean("doc.t", "target").alias("target_loss"),
+        mean("doc.b", "background").alias("background_loss"),
+    )
+    return out.drop("uid").withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, p: Bigrams = Bigrams()) -> DataFrame:
@@ -169,4 +219,4 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, p: Bigrams = Bi
     as often as they stand; an id with several labels is in the target if one of them is 1.
     """
     target = pick(labels, "doc_id", "quality").where("quality = 1").select("doc_id")
-    return score(docs, fit(docs, target, p))
+    return score(docs, fit(docs, target, p), p)

@@ -66,3 +66,30 @@ def test_without_rows_or_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert cross_entropy_difference(frame(spark, []), labels).count() == 0
     assert [r.score for r in cross_entropy_difference(frame(spark, [(1, "a b a"), (2, None)]), labels).collect()] == [0.0, 0.0]
+
+
+def test_every_word_and_pair_is_counted_by_itself(spark):
+    """More distinct words than 2 ** 20 shared places keep apart."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"{rng.getrandbits(64):x}" for _ in range(100_000))) for i in range(12)]
+    rows += [(100, "seen four times " * 4), (101, "known five times " * 5)]
+    labels = spark.createDataFrame([(100, 1), (101, 1)], "doc_id long, quality int")
+    p = Bigrams()
+    got = {r.doc_id: r for r in cross_entropy_difference(frame(spark, rows), labels, p).collect()}
+    for i, (n, t, b) in brute(rows, {100, 101}, p).items():
+        assert (got[i].n_tokens, got[i].target_loss, got[i].background_loss) == (n, pytest.approx(t, rel=1e-6), pytest.approx(b, rel=1e-6))
+
+
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_scores_do_not_depend_on_what_is_broadcast(spark, hot):
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randrange(60)))) for i in range(60)]
+    rows += [(None, rows[3][1]), (3, rows[3][1]), (70, None)]
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 60, 3)], "doc_id long, quality int")
+    p = Bigrams(least=2, hot=hot)
+    want = brute(rows, set(range(0, 60, 3)), p)
+    got = cross_entropy_difference(frame(spark, rows), labels, p).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n, t, b = want[r.doc_id]
+        assert (r.n_tokens, r.target_loss, r.background_loss) == (n, pytest.approx(t, rel=1e-9), pytest.approx(b, rel=1e-9))
