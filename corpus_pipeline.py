@@ -20,8 +20,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document has, equal or one character apart, go."""
-    return drop_lines(docs, length="n_chars")
+    """Lines that an earlier document has, equal or one character apart, go; short lines stay."""
+    return drop_lines(docs, length="n_chars", keep_short=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -249,8 +249,8 @@ def _marked(docs: DataFrame, **params) -> DataFrame:
     return joined.select("_doc", F.col("text").cast("binary").alias("text"), "gone")
 
 
-def _without_lines(marked: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``text`` without the lines that go, ``n_lines`` and ``left``: the comparable lines that stay."""
+def _without_lines(marked: DataFrame, least: int = MIN_CHARS) -> DataFrame:
+    """``text`` without the lines that go, ``n_lines`` and ``left``: the lines of ``least`` characters that stay."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, sizes, left = [], [], []
@@ -258,7 +258,7 @@ def _without_lines(marked: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             lines = t.split(b"\n")
             out = {g["line"] for g in gone or ()}
             sizes.append(len(lines))
-            left.append(sum(len(x) >= min_chars for x in split_lines(t)) - len(out) if out else None)
+            left.append(sum(len(x) >= least and i not in out for i, x in enumerate(split_lines(t))) if out else None)
             kept.append(b"\n".join(x for i, x in enumerate(lines) if i not in out) if out else t)
         place = batch.schema.get_field_index("text")
         batch = batch.set_column(place, "text", pa.array(kept, pa.binary()))
@@ -290,13 +290,16 @@ def line_report(docs: DataFrame, **params) -> DataFrame:
     )
 
 
-def drop_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, length: str | None = None) -> DataFrame:
+def drop_lines(
+    docs: DataFrame, *, min_chars: int = MIN_CHARS, length: str | None = None, keep_short: bool = False
+) -> DataFrame:
     """The documents without duplicate lines; one that loses its last comparable line goes.
 
+    With ``keep_short`` it stays with its shorter lines, and goes only if none but blank lines are left.
     Documents without a duplicate line, empty and null ones too, stay as they are. ``length`` names a
     column that holds the number of characters, to be set anew with the text.
     """
-    out = _without_lines(_marked(docs, min_chars=min_chars), min_chars)
+    out = _without_lines(_marked(docs, min_chars=min_chars), 1 if keep_short else min_chars)
     text = F.col(f"_doc._{docs.columns.index('text')}")
     kept = out.where(F.col("left").isNull() | (F.col("left") > 0))
     new = F.col("text").cast("string")

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from pyspark.sql import Row
 
 from docharbor.llm.lines import drop_lines, duplicate_lines, line_report
@@ -77,3 +78,12 @@ def test_a_very_long_line(spark):
     long = "abcdefgh" * 20_000
     rows = [(1, long), (2, long + "z"), (3, long[:70_000] + "-" + long[70_000:]), (4, long[1:] + "no")]
     assert {r.doc_id for r in duplicate_lines(frame(spark, rows)).collect()} == {2, 3}
+
+
+def test_short_lines_stay_when_the_last_long_one_goes(spark):
+    a = "the first line of a text"
+    rows = [(1, a), (2, f"{a}\nshort\n\nverse"), (3, f" {a}\n  \n"), (4, a)]
+    kept = {r.doc_id: r.text for r in drop_lines(frame(spark, rows), keep_short=True).collect()}
+    assert kept == {1: a, 2: "short\n\nverse"}
+    stage = corpus_pipeline.line_dedup(spark, frame(spark, rows), "")
+    assert {r.doc_id: r.text for r in stage.collect()} == kept
