@@ -270,17 +270,22 @@ class Transducer:
                     order.append(child)
                     stack.append(child)
 
-        def below(node: dict) -> int:
-            if id(node) not in count:
-                count[id(node)] = (id(node) in final) + sum(below(c) for c in node.values())
-            return count[id(node)]
+        # Children come before parents: a word may be longer than Python's stack is deep.
+        stack = [(root, False)]
+        while stack:
+            node, ready = stack.pop()
+            if ready:
+                count[id(node)] = (id(node) in final) + sum(count[id(c)] for c in node.values())
+            elif id(node) not in count:
+                stack.append((node, True))
+                stack += [(c, False) for c in node.values() if id(c) not in count]
 
         edges = []
         for node in order:
             add = int(id(node) in final)
             for label, child in node.items():
                 edges.append((number[id(node)] << 8 | label, number[id(child)], add))
-                add += below(child)
+                add += count[id(child)]
         edges.sort()
         table = np.array(edges or [(-1, 0, 0)], np.int64)
         arrays = {

@@ -75,3 +75,12 @@ def test_the_report(spark, library, vocabulary):
     assert sorted(map(tuple, token_report(df, PATH, size=50).collect()), key=str) == sorted(want, key=str)
     assert token_report(df.limit(0), PATH).count() == 0
     assert compiled(df, vocabulary, 5).states > 1
+
+
+def test_long_words_at_the_default_size(spark, library):
+    texts = ["a" * 5000, "!" * 3000 + " ab", "the cat " + "é" * 2000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids_sha256 for r in token_report(df, PATH).collect()}
+    for i, t in enumerate(texts):
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert got[i] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
