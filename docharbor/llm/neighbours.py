@@ -122,9 +122,10 @@ def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     Copies of a vector are equally near to everything, so of each group no more ids can be wanted.
     """
     own = Window.partitionBy("k1", "k2").orderBy("id")
-    few = vectors.withColumn("r", F.row_number().over(own)).where(F.col("r") <= keep)
-    few = few.groupBy("k1", "k2").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("id")).alias("ids"))
-    return stored(few.select(F.monotonically_increasing_id().alias("uid"), "*"), "vectors")
+    ids = vectors.select("k1", "k2", "id").distinct().withColumn("r", F.row_number().over(own)).where(F.col("r") <= keep)
+    ids = ids.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    few = vectors.groupBy("k1", "k2").agg(F.first("vector").alias("vector")).join(ids, ["k1", "k2"])
+    return stored(few.select(F.monotonically_increasing_id().alias("uid"), "k1", "k2", "vector", "ids"), "vectors")
 
 
 def fit(distinct: DataFrame, dim: int, p: Forest) -> Trees:

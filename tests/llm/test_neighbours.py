@@ -73,3 +73,11 @@ def test_recall_of_a_partial_search():
             seen |= leaf[:, t] == at
         hit += seen[np.argsort(-score)[:5]].sum()
     assert hit / 300 >= 0.9
+
+
+def test_repeated_rows_take_no_place_of_other_copies(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(100, 120)]
+    rows += [(i, [1.0] * 6) for i in range(9)]
+    rows += rows[-9:] + rows[-9:-8] * 6
+    assert found(frame(spark, rows))[0] == brute(rows)[0] == [1, 2, 3, 4, 5]
