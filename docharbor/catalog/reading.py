@@ -87,7 +87,7 @@ def delete_by_filter(t: Tables) -> DataFrame:
 def json_pages_unnest(t: Tables) -> DataFrame:
     """Landed API pages with several items each, unpacked again."""
     item = F.struct("conv_id", "turn", "role", "text")
-    items = t.conversations.groupBy((F.col("conv_id") % 7).alias("n"), "turn").agg(
+    items = t.conversations.groupBy(F.floor(F.col("conv_id") / 7).alias("n"), "turn").agg(
         F.collect_list(item).alias("items")
     )
     page = F.to_json(F.struct("items", F.lit("next").alias("paging")))

@@ -325,3 +325,17 @@ def test_table_fields(spark):
     renamed = LoadSpec("t", table_hints={"default_sorting_field": "id"})
     ids = spark.createDataFrame([], "__id long").schema
     assert table_fields(renamed, ids)["default_sorting_field"] == "__id"
+
+
+def test_pages_of_a_larger_table_are_more_and_not_longer(spark, tmp_path, monkeypatch):
+    from docharbor.catalog import reading
+    from docharbor.catalog.registry import Tables
+
+    rows = spark.range(700).selectExpr("id as conv_id", "0 as turn", "'user' as role", "string(id) as text")
+    rows.write.parquet(f"{tmp_path}/conversations.parquet")
+    seen, unnest = [], reading.pages.unnest
+    monkeypatch.setattr(reading.pages, "unnest", lambda df, *a: seen.append(df) or unnest(df, *a))
+    out = reading.json_pages_unnest(Tables(spark, str(tmp_path)))
+    assert sorted(r.conv_id for r in out.collect()) == list(range(700))
+    sizes = [r.page.count('"conv_id"') for r in seen[0].collect()]
+    assert (len(sizes), set(sizes)) == (100, {7})
