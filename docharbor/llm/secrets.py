@@ -82,7 +82,8 @@ def _strings(kind, value) -> tuple[set[str] | None, list[frozenset[str]], set[st
         parts = [_follow(v) for v in value[1]]
         if all(c == none for _, c in parts) and all(map(_bounded, value[1])):
             return set().union(*(s for s, _ in parts)), none, {""}
-        return None, [c for s, own in parts for c in _both(own, _of(s))][:MOST] if len(parts) <= MOST else none, {""}
+        either = [c for s, own in parts for c in _both(own, _of(s))]
+        return None, either if len(either) <= MOST else none, {""}
     if kind is MAX_REPEAT:
         least, most, inner = value
         strings, clauses = _follow(inner)

@@ -82,3 +82,10 @@ def test_a_rule_without_trigrams_reads_every_text(spark):
     rules = (Rule("digits", r"[0-9]{4,}"),)
     out = find_secrets(frame(spark, [(1, "ab 12345 c 999"), (2, "x")]), rules).collect()
     assert [[tuple(s) for s in r.found] for r in out] == [[(3, 0, 8)], []]
+
+
+def test_no_alternative_is_left_out_of_a_long_alternation():
+    some = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    few, many = (trigrams("|".join(f"x{a}[pq]z.*y" for a in names)) for names in (some[:20], some))
+    assert len(few) == 40
+    assert list(map(set, many)) == [set()]  # every text is read
