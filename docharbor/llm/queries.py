@@ -13,6 +13,8 @@ from docharbor.llm.jaccard import Join, component_report
 from docharbor.llm.language_model import cross_entropy_difference
 from docharbor.llm.lines import line_report
 from docharbor.llm.neighbours import nearest
+from docharbor.llm.quality import quality_report
+from docharbor.llm.quality import report_sql as quality_sql
 from docharbor.llm.recompression import substring_report
 from docharbor.llm.secrets import report_sql, secret_report
 from docharbor.llm.suffixes import passage_report
@@ -59,6 +61,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_neighbours": op2_neighbours,
@@ -70,5 +76,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
+    "op12_quality": op12_quality,
 }
-ORACLE_SQL = {"op1_secrets": report_sql()}
+ORACLE_SQL = {"op1_secrets": report_sql(), "op12_quality": quality_sql()}
