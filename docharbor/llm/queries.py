@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from docharbor.llm.bpe import token_report
 from docharbor.llm.common import table
+from docharbor.llm.conversations import repair_report
+from docharbor.llm.conversations import report_sql as conversations_sql
 from docharbor.llm.decontamination import contamination_report
 from docharbor.llm.jaccard import Join, component_report
 from docharbor.llm.language_model import cross_entropy_difference
@@ -65,6 +67,10 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_neighbours": op2_neighbours,
@@ -77,5 +83,6 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
     "op12_quality": op12_quality,
+    "op13_conversations": op13_conversations,
 }
-ORACLE_SQL = {"op1_secrets": report_sql(), "op12_quality": quality_sql()}
+ORACLE_SQL = {"op1_secrets": report_sql(), "op12_quality": quality_sql(), "op13_conversations": conversations_sql()}
