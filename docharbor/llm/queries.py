@@ -21,6 +21,7 @@ from docharbor.llm.recompression import substring_report
 from docharbor.llm.secrets import report_sql, secret_report
 from docharbor.llm.suffixes import passage_report
 from docharbor.llm.toxicity import toxicity_report
+from docharbor.llm.whitening import whitening_report
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
     "op12_quality": op12_quality,
     "op13_conversations": op13_conversations,
 }
