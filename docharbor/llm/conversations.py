@@ -333,6 +333,12 @@ def repair(rows: DataFrame) -> DataFrame:
     conversation is one as any other. A conversation's rows are those of its pieces in order; one that isn't
     ``whole`` is ended by :func:`endings` of the last piece's state. Without rows there are no pieces.
     """
+    done, spread = _whole_and_spread(rows)
+    return done.unionByName(spread)
+
+
+def _whole_and_spread(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pieces of :func:`repair`: those that are whole, and the others."""
     cut = stored(pieces(rows), "conversation-pieces")
     here = F.lit(NOTHING).alias("entry"), F.lit(list(DONE)).cast("array<long>").alias("ahead")
     done = _repaired(cut.where("whole").select("*", *here))
@@ -372,7 +378,7 @@ def repair(rows: DataFrame) -> DataFrame:
     out = _mapped(ahead, exits, _schema(known, "piece long, exits array<int>"))
     entry = _streamed(out, forwards, "piece long, entry int").drop("conv_id")
     state = ahead.select("piece", "firsts", "ahead").join(entry, "piece")
-    return done.unionByName(_repaired(spread.drop("firsts").join(state, "piece")))
+    return done, _repaired(spread.drop("firsts").join(state, "piece"))
 
 
 def repaired_rows(repaired: DataFrame) -> DataFrame:
@@ -431,10 +437,10 @@ def repair_report(rows: DataFrame) -> DataFrame:
     rows equal in turn are ordered as :func:`pieces` says, so equal rows and ties have one result; an empty table
     has none. See :func:`repair` for nulls and costs.
     """
-    out = repair(damaged(rows))
-    spread = _streamed(out.where(~F.col("whole")), _joined, REPORT)
+    done, parts = _whole_and_spread(damaged(rows))
+    spread = _streamed(parts, _joined, REPORT)
     lines = F.array_join(F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit(":"), t)), "\n")
-    whole = out.where("whole").select(
+    whole = done.select(
         "conv_id", F.coalesce(F.col("high") - F.col("low") + 1 - F.col("turns"), F.lit(0)).alias("gaps"),
         "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(lines, 256).alias("repaired_sha256"),
     )
