@@ -138,20 +138,59 @@ def content_json(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in names]))
 
 
+# Copies of one row that are written out together.
+COPIES = 10_000
+
+
+def _groups(kind: T.DataType) -> bool:
+    """Whether grouping by the type keeps its values as they are, the sign of a zero included."""
+    if isinstance(kind, T.ArrayType):
+        return _groups(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_groups(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.FloatType, T.DoubleType, T.MapType, T.VariantType))
+
+
+def _group_keys(column: Column, kind: T.DataType) -> list[Column]:
+    """What two values share if they have one content."""
+    if _groups(kind):
+        return [column]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        below = F.when(column == 0, column.cast("string").startswith("-"))
+        return [column, F.coalesce(below, F.lit(False))]
+    return [F.to_json(F.struct(column))]
+
+
 def with_content_row_id(df: DataFrame, collection: str, load_id: str) -> DataFrame:
     """Row ids from content plus a number among identical rows, the same for any partitioning.
 
-    Digests are counted by partial aggregates. Rows that stand once move no further; of identical
-    rows one is kept and repeated as often as it was counted, so a row that is repeated very often
-    is not gathered in one task.
+    Identical rows are made one and counted by partial aggregates, so every content moves once and is
+    digested once. A row that was counted very often is cut into ranges of ``COPIES`` numbers, and the
+    ranges are dealt to all tasks before their rows are written out: no task holds all copies of a row.
     """
-    marked = df.withColumn("_digest", F.sha2(content_json(df), 256))
-    counts = marked.groupBy("_digest").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
-    once = marked.join(counts, "_digest", "left_anti").withColumn("_copy", F.lit(1).cast("long"))
-    again = marked.join(counts, "_digest").dropDuplicates(["_digest"])
-    again = again.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
-    rows = once.unionByName(again.drop("_times"))
+    columns = {f.name: F.col(f"`{f.name}`") for f in df.schema.fields}
+    keys, others, values = [], [], []
+    for i, f in enumerate(df.schema.fields):
+        keys += [k.alias(f"_key_{i}_{j}") for j, k in enumerate(_group_keys(columns[f.name], f.dataType))]
+        if _groups(f.dataType):
+            values.append(F.col(f"_key_{i}_0").alias(f.name))
+        else:
+            others.append(F.first(columns[f.name]).alias(f.name))
+            values.append(columns[f.name])
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), *others)
+    counted = counted.select(*values, "_times")
+    digest = F.sha2(content_json(counted, df.columns), 256).alias("_digest")
+    counted = counted.select("*", digest)
+    few = counted.filter(F.col("_times") <= COPIES)
+    few = few.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
+    many = counted.filter(F.col("_times") > COPIES)
+    many = many.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), "_times", F.lit(COPIES).cast("long"))))
+    # A fixed number of tasks: ranges are small, and would else be put together again.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.least(F.col("_times"), F.col("_from") + (COPIES - 1))
+    many = many.repartition(tasks, "_digest", "_from").withColumn("_copy", F.explode(F.sequence("_from", last)))
+    rows = few.unionByName(many.drop("_from"))
     row_id = digest_id(
         F.lit(collection), F.lit(load_id), F.col("_digest"), F.col("_copy").cast("string")
     )
-    return rows.withColumn(ROW_ID, row_id).drop("_digest", "_copy")
+    return rows.select(*columns.values(), row_id.alias(ROW_ID))

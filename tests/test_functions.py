@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import hashlib
 import json
 import uuid
 
@@ -97,6 +98,37 @@ def test_content_ids_keep_identical_rows_apart(spark):
     assert other.join(found, ids.ROW_ID, "left_semi").count() == 0
 
 
+def test_a_row_that_is_repeated_very_often_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(ids, "COPIES", 100)
+    rows = spark.createDataFrame([("a", 1)] * 3000 + [("b", 2)] * 7 + [("c", 3)], "v string, n int").repartition(4)
+    found = ids.with_content_row_id(rows, "c", "l1")
+    assert found.columns == ["v", "n", ids.ROW_ID]
+    tasks = {r[0]: r[1] for r in found.where("v = 'a'").groupBy(F.spark_partition_id()).count().collect()}
+    assert sum(tasks.values()) == 3000 and len(tasks) == 3 and max(tasks.values()) < 1700
+    digest = hashlib.sha256(b'{"v":"a","n":1}').hexdigest()
+    wanted = {hashlib.sha256("\u0001".join(["c", "l1", digest, str(i)]).encode()).hexdigest()[:32] for i in range(1, 3001)}
+    assert {r[0] for r in found.where("v = 'a'").select(ids.ROW_ID).collect()} == wanted
+
+
+def test_content_ids_of_every_type(spark):
+    """Signs of zeros, nulls, maps, variants and floats in lists tell rows apart and stay as they are."""
+    rows = spark.sql(
+        """select * from values
+           (0.0D, array(1.5D), map('k', 1), parse_json('{"a": 1}'), 'x'),
+           (-0.0D, array(1.5D), map('k', 1), parse_json('{"a": 1}'), 'x'),
+           (0.0D, array(-0.0D), map('k', 2), parse_json('[1]'), 'x'),
+           (0.0D, array(0.0D), map('k', 2), parse_json('[1]'), 'x'),
+           (double('NaN'), null, null, null, null),
+           (null, null, null, null, null) as t(d, l, m, v, `s.t`)"""
+    )
+    found = ids.with_content_row_id(rows.unionByName(rows), "c", "l1")
+    text = F.to_json(F.struct("d", "l", "m", F.to_json("v").alias("v"), "`s.t`"))
+    assert found.select(ids.ROW_ID).distinct().count() == 12
+    kept = sorted(r[0] for r in found.select(text).collect())
+    assert kept == sorted(r[0] for r in rows.unionByName(rows).select(text).collect())
+    assert sum('"d":-0.0' in k for k in kept) == 2
+
+
 def converted(spark, values, schema, function, *args):
     rows = spark.createDataFrame([(v,) for v in values], f"v {schema}")
     result = function(F.col("v"), rows.schema["v"].dataType, *args)
