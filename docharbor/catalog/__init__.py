@@ -1,6 +1,6 @@
 """Queries over the given tables, one per operator, each with a check in SQL."""
 
-from docharbor.catalog import loading, merging, nesting, reading, system_tables, values
+from docharbor.catalog import loading, merging, nesting, outcomes, reading, system_tables, values
 from docharbor.catalog.registry import QUERIES, Tables, run
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "loading",
     "merging",
     "nesting",
+    "outcomes",
     "reading",
     "run",
     "system_tables",

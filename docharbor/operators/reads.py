@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docharbor.functions.names import ID
+from docharbor.sources.incremental import exact_text, of_text
 
 
 def where_equal(df: DataFrame, column: str, value: Any) -> DataFrame:
@@ -59,6 +60,36 @@ def page(
     return ordered.offset((number - 1) * per_page).limit(per_page)
 
 
+def page_after(
+    df: DataFrame, column: str, *, per_page: int, last: tuple[str | None, str] | None = None,
+    descending: bool = True, tie: str = ID,
+) -> DataFrame:
+    """The page after the row at ``last``, a place that :func:`place_of` gives; the first one without it.
+
+    The place is a filter on the columns, which a scan can use: a page deep in the table costs as much as
+    the first one, and no row is counted off. Rows without a value come last, in the order of ``tie``.
+    """
+    if per_page < 1:
+        raise ValueError("per_page must be at least 1")
+    if last is not None:
+        value, other = F.col(f"`{column}`"), F.col(f"`{tie}`")
+        later = other > of_text(last[1], df.schema[tie].dataType)
+        if last[0] is None:
+            df = df.filter(value.isNull() & later)
+        else:
+            at = of_text(last[0], df.schema[column].dataType)
+            beyond = value < at if descending else value > at
+            df = df.filter(beyond | ((value == at) & later) | value.isNull())
+    return sorted_by(df, column, descending, tie).limit(per_page)
+
+
+def place_of(page: DataFrame, column: str, tie: str = ID) -> tuple[str | None, str] | None:
+    """Where a page ends: its last row's value and tie as exact text; nothing for an empty page."""
+    at = [exact_text(F.col(f"`{c}`"), page.schema[c].dataType) for c in (column, tie)]
+    rows = page.select(*at).collect()
+    return tuple(rows[-1]) if rows else None
+
+
 def found(df: DataFrame, condition: Column | None = None) -> int:
     """How many rows match."""
     return (df if condition is None else df.filter(condition)).count()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from typing import Any
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docharbor.errors import SchemaError
 from docharbor.functions import ids
 from docharbor.functions.convert import (
     KEEP_NULLS,
@@ -64,9 +66,16 @@ def flatten(df: DataFrame, inline: frozenset[str] = frozenset()) -> DataFrame:
                 ]
             else:
                 columns.append(F.col(f"`{f.name}`"))
+        _refuse_repeated("columns", df.select(*columns).columns)
         df = df.select(*columns)
 
 
+def _refuse_repeated(label: str, names: list[str]) -> None:
+    repeated = sorted(n for n, count in Counter(names).items() if count > 1)
+    if repeated:
+        raise SchemaError(f"several {label} would be named {repeated} once nested fields are taken apart")
+
+
 def list_columns(df: DataFrame, inline: frozenset[str] = frozenset()) -> list[str]:
     """Array columns that become child tables."""
     return [
@@ -142,6 +151,7 @@ def child_tables(schema: T.StructType, table: str, inline: frozenset[str] = froz
                     walk(T.StructType([T.StructField("value", element)]), child, "", frozenset())
 
     walk(schema, table, "", inline)
+    _refuse_repeated("child tables", names)
     return names
 
 

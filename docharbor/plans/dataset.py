@@ -406,15 +406,29 @@ class Dataset:
             buckets = {target.first()[0], UNBUCKETED}
         return reads.where_equal(self.read_layout(table, layout, buckets), ID, document_id)
 
-    def browse(self, table: str, per_page: int, number: int = 1) -> DataFrame:
-        """A page in the table's default order, or by id where it has none."""
+    def browse(
+        self, table: str, per_page: int, number: int = 1, *, after: tuple[str | None, str] | None = None
+    ) -> DataFrame:
+        """A page in the table's default order, or by id where it has none.
+
+        Pages are numbered, or follow the place ``after`` that :meth:`place` gives for the page before; the
+        latter skips files instead of counting off rows.
+        """
         layout = self.layout(table)
         column = layout.fields.get("default_sorting_field")
         rows = self.read_layout(table, layout)
+        if after is not None:
+            return reads.page_after(
+                rows, column or ID, per_page=per_page, last=after, descending=bool(column)
+            )
         return reads.page(
             rows, column or ID, per_page=per_page, number=number, descending=bool(column)
         )
 
+    def place(self, table: str, page: DataFrame) -> tuple[str | None, str] | None:
+        """Where a page of :meth:`browse` ends."""
+        return reads.place_of(page, self.layout(table).fields.get("default_sorting_field") or ID)
+
     def delete_where(self, table: str, condition: Column, load_id: str | None = None) -> int:
         """Delete matching rows; gives how many there were.
 
@@ -439,10 +453,11 @@ class Dataset:
             self.commit(load_id, {table: layout})
         return sum(hits.values())
 
-    def remove_unreferenced(self) -> int:
+    def remove_unreferenced(self, keep_rejects: bool = True) -> int:
         """Delete folders that no table is made of any more; gives how many there were.
 
-        Run it when no load and no reader of an older state is active.
+        Rejected rows of completed loads stay, unless ``keep_rejects`` is false. Run it when no load and no
+        reader of an older state is active.
         """
         removed = 0
         for name, layout in self.layouts().items():
@@ -453,9 +468,16 @@ class Dataset:
             for load in file_system.listStatus(table):
                 for part in file_system.listStatus(load.getPath()):
                     path = f"{load.getPath().getName()}/{part.getPath().getName()}"
-                    if path not in live:
-                        file_system.delete(part.getPath(), True)
-                        removed += 1
+                    if path in live:
+                        continue
+                    unused = [part.getPath()]
+                    if keep_rejects and self._exists(self._folder(name, path, f"{OK}=false")):
+                        if self.is_completed(load.getPath().getName().split("=", 1)[1]):
+                            inside = file_system.listStatus(part.getPath())
+                            unused = [p.getPath() for p in inside if p.getPath().getName() == f"{OK}=true"]
+                    for folder in unused:
+                        file_system.delete(folder, True)
+                    removed += bool(unused)
         return removed
 
     def write_part(

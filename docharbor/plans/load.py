@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docharbor.errors import ConfigError, LoadError
+from docharbor.errors import ConfigError, LoadError, SchemaError
 from docharbor.functions import ids
 from docharbor.functions.names import (
     ID,
@@ -107,9 +107,12 @@ def run_load(
         return result
     stored = dataset.layouts()
     changed: dict[str, Layout] = {}
+    for name in names:
+        if name in stored and stored[name].parent is not None:
+            raise SchemaError(f"resource '{name}' has the name of a child table of '{stored[name].root}'")
     for spec, batch in batches:
         if spec.disposition != "skip":
-            _Resource(dataset, spec, load_id, stored, changed, result).run(batch)
+            _Resource(dataset, spec, load_id, stored, changed, result, names).run(batch)
     known = {**stored, **changed}
     schema_hash = dataset.store_schema(
         {name: {"fields": lay.fields, "columns": lay.schema} for name, lay in known.items()}
@@ -132,6 +135,7 @@ class _Resource:
         stored: Mapping[str, Layout],
         changed: dict[str, Layout],
         result: LoadResult,
+        resources: Sequence[str],
     ) -> None:
         self.dataset = dataset
         self.spec = spec
@@ -139,14 +143,16 @@ class _Resource:
         self.stored = stored
         self.changed = changed
         self.result = result
+        self.resources = resources
 
     # Shaping
 
     def run(self, batch: DataFrame) -> None:
         spec = self.spec
         rows = shape_rows(self.dataset, spec, batch, self.load_id, self.stored)
-        rows = self._one_per_key(rows)
         children = child_tables(rows.schema, spec.name, spec.inline_columns())
+        self._refuse_foreign(children)
+        rows = self._one_per_key(rows)
         if children:
             # Every table of the chain reads the rows, so shape them once.
             rows = self.dataset.stage(rows, spec.name, self.load_id)
@@ -156,6 +162,16 @@ class _Resource:
         for name in [*children, *[n for n in old_children if n not in children]]:
             self._load_child(name, chain.get(name), roots)
 
+    def _refuse_foreign(self, children: Sequence[str]) -> None:
+        """A child table must not take the name of a resource, or of a child of another one."""
+        known = {**self.stored, **self.changed}
+        for name in children:
+            root = known[name].root if name in known else self.spec.name
+            if name in self.resources or root != self.spec.name:
+                raise SchemaError(
+                    f"the child table '{name}' of '{self.spec.name}' has the name of another table"
+                )
+
     def _fields(self, name: str, schema: T.StructType, is_root: bool) -> dict[str, Any]:
         spec = self.spec
         fresh = table_fields(spec if is_root else LoadSpec(name), schema)
