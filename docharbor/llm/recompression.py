@@ -26,6 +26,8 @@ def symbol_keys(size: int = WINDOW, rounds: tuple[str, ...] = ROUNDS):
     """
 
     def keys(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(words):
+            return np.zeros(0, _U)
         text = owner(ends)
         place = np.arange(len(words)) + _GAP * (text + 1)  # a stretch that leaves its text fits no window
         best = np.zeros(int(place[-1]) + 1 if len(place) else 0, _U)

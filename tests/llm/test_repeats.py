@@ -84,3 +84,14 @@ def test_equal_windows_have_equal_keys(keys, size):
     for w, k in zip(runs_of(flat, size)[ok].tolist(), keys(flat, ends)[ok].tolist(), strict=True):
         assert seen.setdefault(w, k) == k
     assert len(set(seen.values())) > len(seen) // 40
+
+
+def test_texts_without_a_word(spark):
+    """Whole slices without a word, with and without a text that has some."""
+    blank = [(1, None), (2, ""), (3, " \t\n"), (4, "\x0b"), (None, None)]
+    for rows in (blank, [*blank, (5, "one two")]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+        for report in (substring_report, passage_report):
+            assert report(docs).count() in (0, len(rows))
+        found = {r.doc_id: (r.n_words, r.n_removed) for r in substring_report(docs).collect()}
+        assert found == {i: (2 if i == 5 else 0, 0) for i, _ in rows}
