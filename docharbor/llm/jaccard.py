@@ -7,10 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docharbor.llm.common import hashed, inside, per_slice, pick, received, runs_of, shipped, slices, stored, texts, unpack, whole
+from docharbor.llm.common import hashed, inside, mixed, per_slice, pick, received, runs_of, shipped, slices, stored, texts, unpack, whole
 from docharbor.llm.graph import components
 
 
@@ -30,6 +31,10 @@ class Join:
     percent: int = 80
     common: int = 64
 
+    def spare(self, n, delta):
+        """At least 0 in sum for two sets of ``n`` tokens, ``delta`` apart from a third, if they surely link."""
+        return (100 - self.percent) * n - (100 + self.percent) * delta
+
     def least(self, n):
         """What a set of ``n`` shares at least with any that links to it."""
         return (self.percent * n + 99) // 100
@@ -113,20 +118,18 @@ def _levels(docs: DataFrame, p: Join) -> np.ndarray:
     return np.log2(np.maximum(1, total / (2 + chance + 4 * np.sqrt(chance)))).astype(np.int64)
 
 
-def _classes(docs: DataFrame, p: Join) -> DataFrame:
+def _classes(docs: DataFrame, levels: Broadcast, p: Join) -> DataFrame:
     """``uid, digest, n, prefix, place`` of every distinct set that isn't empty.
 
     ``prefix`` holds its first tokens in the order of all tokens, the rare before the frequent, then by
     hash; ``place`` the id and text hash of one document.
     """
-    sent = shipped(docs.sparkSession, _levels(docs, p))
-
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets, levels = _sets_of(batch, p.words), received(sent)
+        sets, level_of = _sets_of(batch, p.words), received(levels)
         keep = [i for i, s in enumerate(sets) if len(s)]
         cut = []
         for i in keep:
-            level = levels[(sets[i] >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+            level = level_of[(sets[i] >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
             first = np.argsort(level, kind="stable")[: int(p.prefix(len(sets[i])))]
             cut.append(sets[i][first].view(np.int64))
         at = pa.array(keep, pa.int64())
@@ -225,13 +228,11 @@ def _near_size(p: Join, n: str, m: str) -> Column:
     return F.expr(f"100 * least({n}, {m}) >= {p.percent} * greatest({n}, {m})")
 
 
-def _side_by_side(rows: DataFrame, p: Join, *more: Column) -> DataFrame:
+def _side_by_side(rows: DataFrame, p: Join) -> DataFrame:
     """Rows of one token and of different groups, the uids as ``a < b``."""
     other = rows.select(*(F.col(c).alias(c if c == "token" else f"{c}2") for c in rows.columns))
     other = other.withColumnRenamed("token", "token2")
     fit = F.expr("token = token2 and uid < uid2 and `group` <> group2") & _near_size(p, "n", "n2")
-    for condition in more:
-        fit = fit & condition
     return rows.join(other, fit).withColumnsRenamed({"uid": "a", "uid2": "b"})
 
 
@@ -268,11 +269,100 @@ def _whole_sets(classes: DataFrame, uids: DataFrame, docs: DataFrame, p: Join) -
     return stored(found, "whole-sets")
 
 
-def _links(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
+#: Bits of the map that bounds how many tokens two sets can share; kept in words of 64.
+MAP_WORDS = 4
+
+
+def _members(own: DataFrame, pivot: DataFrame) -> DataFrame:
+    """``base, uid, n, group``: the sets that meet at common tokens, under the names of those tokens' pivots."""
+    named = pivot.select("token", F.col("best.b").alias("base"))
+    return own.where("alone").join(named, "token").select("base", "uid", "n", "group").distinct()
+
+
+def _differences(members: DataFrame, sets: DataFrame, levels: Broadcast, p: Join) -> DataFrame:
+    """``base, uid, n, group, delta, spare, apart, w0..``: how each member differs from the base of its group.
+
+    The base holds the tokens that more than half of the members have; it need not be a set of its own.
+    ``apart`` has the tokens on one side only, the rare first, ``w0..`` a bit for each of them.
+    """
+    tokens = members.select("base", "uid").join(sets, "uid").select("base", F.explode("tokens").alias("token"))
+    sizes = members.groupBy("base").agg(F.count("*").alias("size")).where("size > 1")
+    counts = tokens.groupBy("base", "token").agg(F.count("*").alias("c")).join(sizes, "base").where("2 * c > size")
+    missing = F.struct("token", (F.col("size") - F.col("c")).alias("df"))
+    bases = sizes.select("base").join(counts.groupBy("base").agg(F.collect_list(missing).alias("b")), "base", "left")
+    rows = members.join(sets, "uid").join(bases, "base")
+    rows = rows.select("base", "uid", "n", "group", "tokens", "b.token", "b.df")
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        level_of = received(levels)
+        columns = (batch.column(c).to_pylist() for c in ("tokens", "token", "df"))
+        lists, words = [], np.zeros((batch.num_rows, MAP_WORDS), np.uint64)
+        for i, (own, base, df) in enumerate(zip(*columns, strict=True)):
+            own, base, df = np.array(own, np.int64), np.array(base or [], np.int64), np.array(df or [], np.int64)
+            plus = np.setdiff1d(own, base)
+            less = ~np.isin(base, own)
+            place = (plus.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+            # What is missing from a set is named apart from what it has beside the base.
+            names = np.r_[plus.view(np.uint64), mixed(base[less].view(np.uint64) + np.uint64(1))]
+            rank = np.r_[1 << level_of[place], df[less]]
+            names = names[np.lexsort((names, rank))]
+            bit = names % np.uint64(64 * MAP_WORDS)
+            np.bitwise_or.at(words[i], (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+            lists.append(names.view(np.int64))
+        kept = [batch.column(c) for c in ("base", "uid", "n", "group")]
+        maps = [pa.array(words[:, w].view(np.int64)) for w in range(MAP_WORDS)]
+        names = ["base", "uid", "n", "group", "apart", *(f"w{w}" for w in range(MAP_WORDS))]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(lists, pa.list_(pa.int64())), *maps], names)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                yield make(batch.slice(at, 200))
+
+    schema = "base long, uid long, n long, group long, apart array<long>, " + ", ".join(f"w{w} long" for w in range(MAP_WORDS))
+    found = rows.mapInArrow(run, schema).withColumn("delta", F.size("apart").cast("long"))
+    return stored(found.withColumn("spare", p.spare(F.col("n"), F.col("delta"))), "differences")
+
+
+def _at_common_tokens(differences: DataFrame, p: Join) -> tuple[DataFrame, DataFrame]:
+    """``a, b``: links that are sure, and pairs that may link, of sets that share common tokens alone.
+
+    Two members are at most ``delta + delta2`` apart, less two for each difference they share. Members whose
+    ``spare`` adds up to 0 surely link; all of these link to the member of most spare. Any others must share
+    ``k = -(spare + spare2) / (2 * (100 + percent))`` differences, so they share one of the first
+    ``delta - k + 1`` of each; they meet there, if the maps leave room for ``k``.
+    """
+    best = differences.groupBy("base").agg(F.max(F.struct("spare", "uid")).alias("m"))
+    rows = differences.join(best.select("base", F.col("m.spare").alias("most"), F.col("m.uid").alias("center")), "base")
+    near = F.col("spare") + F.col("most") >= 0
+    sure = rows.where(near & (F.col("uid") != F.col("center"))).select(F.col("uid").alias("a"), F.col("center").alias("b"))
+    unit = 2 * (100 + p.percent)
+    fewest = F.when(near, F.col("most") - F.col("spare")).otherwise(-(F.col("spare") + F.col("most"))) / unit
+    first = F.col("delta") - F.greatest(F.lit(1), F.ceil(fewest)) + 1
+    rows = rows.withColumn("near", near).where(first > 0)
+    maps = [f"w{w}" for w in range(MAP_WORDS)]
+    parts = rows.select(
+        "base", "uid", "n", "group", "delta", "spare", "near", *maps, F.explode(F.slice("apart", F.lit(1), first.cast("int"))).alias("token")
+    )
+    other = parts.select(*(F.col(c).alias(f"{c}2") for c in parts.columns))
+
+    def room(delta: str, mine: str, theirs: str) -> Column:
+        lone = sum((F.bit_count(F.col(f"w{w}{mine}").bitwiseAND(F.bitwise_not(F.col(f"w{w}{theirs}")))) for w in range(MAP_WORDS)), F.lit(0))
+        return F.col(delta) - lone
+
+    shared = F.least(room("delta", "", "2"), room("delta2", "2", ""))
+    fit = F.expr("base = base2 and token = token2 and uid < uid2 and `group` <> group2 and not (near and near2)")
+    fit = fit & _near_size(p, "n", "n2") & (unit * shared >= -(F.col("spare") + F.col("spare2")))
+    pairs = parts.join(other, fit).select(F.col("uid").alias("a"), F.col("uid2").alias("b"))
+    return sure, pairs.distinct()
+
+
+def _links(classes: DataFrame, docs: DataFrame, levels: Broadcast, p: Join) -> DataFrame:
     """``node, label``: the component of each set that links to another.
 
     First each set is compared with the most typical set of its prefix tokens; then only sets of
-    different components meet, so a large group of near copies costs rows in proportion to it.
+    different components meet, so a large group of near copies costs rows in proportion to it. Sets that
+    share common tokens alone meet at what sets them apart from the base of their group.
     """
     postings = _postings(classes, p)
     share = postings.groupBy("uid", "n").agg(F.count("*").alias("k"))
@@ -298,12 +388,11 @@ def _links(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
         F.first(F.expr("case when matches < matches2 then need when matches > matches2 then need2 else greatest(need, need2) end")).alias("need"),
     )
     pairs = _likely(met.where("k >= need").select("a", "b"), lists, p)
-    # At common tokens whole prefixes are compared within the join: only pairs that may link come out.
-    common = own.where("alone").join(lists.select("uid", "tokens"), "uid")
-    close = F.size(F.array_intersect("tokens", "tokens2")) >= F.greatest(p.fewest("n"), p.fewest("n2"))
-    pairs = pairs.union(_side_by_side(common, p, close).select("a", "b")).distinct()
-    more = _verified(pairs, sets, p)
-    return components(more.union(stars.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+    members = stored(_members(own, pivot), "members-of-bases")
+    sure, close = _at_common_tokens(_differences(members, sets, levels, p), p)
+    more = _verified(pairs.union(close).distinct(), sets, p)
+    more = more.union(sure).union(stars.select(F.col("node").alias("a"), F.col("label").alias("b")))
+    return components(more)
 
 
 def near_duplicates(docs: DataFrame, p: Join = Join()) -> DataFrame:
@@ -317,8 +406,9 @@ def near_duplicates(docs: DataFrame, p: Join = Join()) -> DataFrame:
     have an empty set and link to nothing. ``n_rows`` counts rows equal in id and text.
     """
     own = _keyed(docs)
-    classes = _classes(own, p)
-    label = _links(classes, own, p).withColumnRenamed("node", "uid")
+    levels = shipped(docs.sparkSession, _levels(own, p))
+    classes = _classes(own, levels, p)
+    label = _links(classes, own, levels, p).withColumnRenamed("node", "uid")
     named = classes.select("uid", "digest").join(label, "uid", "left")
     named = named.select("digest", F.coalesce("label", "uid").alias("group"))
     rows = _rows(own, p).groupBy("doc_id", "th").agg(
@@ -352,7 +442,8 @@ def drop_near_duplicates(docs: DataFrame, p: Join = Join()) -> DataFrame:
         ((F.col("n_shingles") > 0) & (F.col("n_rows") > 1)).alias("again"),
         (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))).alias("stays"),
     )
-    same = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.xxhash64("text") == F.col("k_th"))
-    kept = whole(docs, "_doc", "doc_id", "text").join(found.where("stays"), same)
+    same = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("th") == F.col("k_th"))
+    own = whole(docs, "_doc", "doc_id", "text").select("_doc", "doc_id", F.xxhash64("text").alias("th"))
+    kept = own.join(found.where("stays"), same)
     once = kept.where("again").groupBy("k_id", "k_th").agg(F.first("_doc").alias("_doc"))
     return unpack(kept.where("not again").select("_doc").union(once.select("_doc")), "_doc", docs)

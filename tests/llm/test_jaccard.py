@@ -56,6 +56,31 @@ def test_same_components_as_all_pairs(spark):
         assert got == brute(rows, p)
 
 
+def test_a_large_group_around_a_text_that_is_not_there(spark):
+    """Copies with changes near the threshold, some of them copies of copies; long texts, and a few far ones."""
+    rng = random.Random(8)
+    word = lambda: f"{rng.choice('abcd')}{rng.randrange(10**6)}"
+    rows = []
+    for size in (90, 60):
+        base = [word() for _ in range(size)]
+        variant = [word() if rng.random() < 0.1 else w for w in base]
+        for _ in range(110):
+            w = list(rng.choice((base, base, variant)))
+            for _ in range(rng.randrange(size // 22 + 1)):
+                w[rng.randrange(len(w))] = word()
+            if rng.random() < 0.3:
+                at = rng.randrange(len(w))
+                w[at : at + rng.randrange(6)] = []
+            rows.append(" ".join(w + [word() for _ in range(rng.choice((0, 0, 1, 90)))]))
+    rows += [" ".join(base * 300 + ["end"]), " ".join(base * 300), " ".join(word() for _ in range(30_000))]
+    rows = list(enumerate(rows))
+    for p in (Join(3, 90, common=5), Join(5, 80, common=5), Join(3, 90)):
+        got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in component_report(frame(spark, rows), p).collect()), key=str)
+        wanted = brute(rows, p)
+        assert got == wanted
+        assert 20 < len({c for *_, c in wanted}) < 200
+
+
 def test_one_document_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(4, text), (2, text), (3, text.replace("w59", "other")), (3, text.replace("w59", "other")), (5, "on its own"), (6, None), (7, ""), (5, "on its own"), (7, "")]
