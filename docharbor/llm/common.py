@@ -19,6 +19,8 @@ from docharbor.session import shared_dir
 
 #: Bytes of text that a Python task holds as words at a time; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Bytes that a batch of rows to a Python task may hold.
+BATCH_BYTES = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,7 +45,34 @@ def unpack(df: DataFrame, row: str, like: DataFrame, **changed) -> DataFrame:
     )
 
 
+def apart(df: DataFrame, row: str, *names: str) -> DataFrame:
+    """``names`` as columns, the others packed into the struct ``row``: nothing is held twice. See :func:`together`."""
+    plain = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
+    places = {n: df.columns.index(n) for n in names}
+    others = [F.col(f"_{i}") for i in range(len(df.columns)) if i not in places.values()]
+    packed = F.struct(*(others or [F.lit(0).alias("_none")])).alias(row)
+    return plain.select(packed, *(F.col(f"_{i}").alias(n) for n, i in places.items()))
+
+
+def together(df: DataFrame, row: str, like: DataFrame, *names: str, **changed) -> DataFrame:
+    """The columns that :func:`apart` parted, in their order, some of them replaced."""
+    own = {like.columns.index(n): F.col(n) for n in names}
+    own |= {like.columns.index(n): c for n, c in changed.items()}
+    return df.select(*(own.get(i, F.col(f"{row}._{i}")).alias(n) for i, n in enumerate(like.columns)))
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches to Python hold ``BATCH_BYTES``, one longer row excepted, however long the texts are.
+
+    A batch is held several times over, by the JVM and by Python, in every running task.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -64,13 +93,13 @@ def received(sent: Broadcast):
     return pickle.loads(sent.value)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` holds about ``SLICE_BYTES`` at most, nulls as empty."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column`` holds about ``size`` bytes at most, nulls as empty."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        block = np.cumsum(size.astype(np.int64)) // SLICE_BYTES
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        block = np.cumsum(sizes.astype(np.int64)) // size
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
@@ -128,11 +157,11 @@ def covered(starts: np.ndarray, size: int, total: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def per_slice(column: str, make: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
+def per_slice(column: str, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], size: int = SLICE_BYTES):
     """A function for ``mapInArrow`` that calls ``make`` for each slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, size):
             if (out := make(batch)) is not None and out.num_rows:
                 yield out
 

@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docharbor.llm.common import hashed, inside, mixed, per_slice, pick, received, runs_of, shipped, slices, stored, texts, unpack, whole
+from docharbor.llm.common import bound_batches, hashed, inside, mixed, per_slice, pick, received, runs_of, shipped, slices, stored, texts, unpack, whole
 from docharbor.llm.graph import components
 
 
@@ -405,6 +405,7 @@ def near_duplicates(docs: DataFrame, p: Join = Join()) -> DataFrame:
     the component: the smallest id, nulls last, then the smallest hash of the text. Rows without words
     have an empty set and link to nothing. ``n_rows`` counts rows equal in id and text.
     """
+    bound_batches(docs.sparkSession)
     own = _keyed(docs)
     levels = shipped(docs.sparkSession, _levels(own, p))
     classes = _classes(own, levels, p)

@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from docharbor.llm.common import mixed, per_slice, pick, slices, stored, texts, unpack, whole
+from docharbor.llm.common import apart, bound_batches, mixed, per_slice, pick, slices, stored, texts, together
 
 #: Shorter lines (in characters, without white space around) always stay.
 MIN_CHARS = 10
 _P = 0x9E3779B97F4A7C15 | 1
 _P_BACK = pow(_P, -1, 1 << 64)
 _U = np.uint64
+#: Bytes of lines whose characters a task holds as numbers, some hundred bytes each.
+_HELD = 1 << 18
 
 
 def split_lines(text: bytes) -> list[str]:
@@ -88,7 +90,7 @@ def _numbered(docs: DataFrame, min_chars: int) -> DataFrame:
         )
 
     schema = "doc_id long, th long, line int, digest binary, h0 long, h1 long, h2 long, h3 long"
-    return docs.mapInArrow(per_slice("text", make), schema)
+    return docs.mapInArrow(per_slice("text", make, _HELD), schema)
 
 
 def _first(*columns: str) -> Column:
@@ -105,7 +107,7 @@ def _variants(hits: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _HELD):
             lines = batch.column("text").to_pylist()
             p = _Prefixes(lines)
             end = p.start + p.size
@@ -136,7 +138,7 @@ def _part_keys(hits: DataFrame, count: int) -> DataFrame:
         uid = np.repeat(batch.column("uid").to_numpy(), 2 * count)
         return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(parts.ravel())], ["uid", "key"])
 
-    return hits.select("uid", "text").mapInArrow(per_slice("text", make), "uid long, key long")
+    return hits.select("uid", "text").mapInArrow(per_slice("text", make, _HELD), "uid long, key long")
 
 
 def _met(keys: DataFrame) -> DataFrame:
@@ -206,6 +208,7 @@ def duplicate_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS) -> DataFrame
     and text are one document. Lines under ``min_chars`` characters and null texts have no
     duplicates.
     """
+    bound_batches(docs.sparkSession)
     own = _keyed(docs)
     numbered = _numbered(own, min_chars)
     lines = numbered.groupBy("digest").agg(_first("h0", "h1", "h2", "h3").alias("f"), F.count("*").alias("n"))
@@ -242,11 +245,11 @@ def _gone(docs: DataFrame, **params) -> DataFrame:
 
 
 def _marked(docs: DataFrame, **params) -> DataFrame:
-    """All columns in ``_doc`` beside ``text`` and ``gone``, the lines that go."""
-    own = whole(docs, "_doc", "doc_id", "text").withColumn("th", F.xxhash64("text"))
+    """``doc_id`` and ``text``, the other columns in ``_doc``, and ``gone``, the lines that go."""
+    own = apart(docs, "_doc", "doc_id", "text").withColumn("th", F.xxhash64("text"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th"))
     joined = own.join(_gone(docs, **params), same, "left")
-    return joined.select("_doc", F.col("text").cast("binary").alias("text"), "gone")
+    return joined.select("_doc", "doc_id", F.col("text").cast("binary").alias("text"), "gone")
 
 
 def _without_lines(marked: DataFrame, least: int = MIN_CHARS) -> DataFrame:
@@ -254,12 +257,13 @@ def _without_lines(marked: DataFrame, least: int = MIN_CHARS) -> DataFrame:
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, sizes, left = [], [], []
-        for t, gone in zip(texts(batch, "text"), batch.column("gone").to_pylist(), strict=True):
+        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            t = text or b""
             lines = t.split(b"\n")
             out = {g["line"] for g in gone or ()}
             sizes.append(len(lines))
             left.append(sum(len(x) >= least and i not in out for i, x in enumerate(split_lines(t))) if out else None)
-            kept.append(b"\n".join(x for i, x in enumerate(lines) if i not in out) if out else t)
+            kept.append(b"\n".join(x for i, x in enumerate(lines) if i not in out) if out else text)
         place = batch.schema.get_field_index("text")
         batch = batch.set_column(place, "text", pa.array(kept, pa.binary()))
         batch = batch.append_column("n_lines", pa.array(sizes, pa.int64()))
@@ -300,12 +304,11 @@ def drop_lines(
     column that holds the number of characters, to be set anew with the text.
     """
     out = _without_lines(_marked(docs, min_chars=min_chars), 1 if keep_short else min_chars)
-    text = F.col(f"_doc._{docs.columns.index('text')}")
     kept = out.where(F.col("left").isNull() | (F.col("left") > 0))
     new = F.col("text").cast("string")
-    changed = {"text": F.when(F.col("left").isNull(), text).otherwise(new)}
+    changed = {"text": new}
     if length in docs.columns:
         before = F.col(f"_doc._{docs.columns.index(length)}")
         kind = docs.schema[docs.columns.index(length)].dataType
         changed[length] = F.when(F.col("left").isNull(), before).otherwise(F.length(new).cast(kind))
-    return unpack(kept, "_doc", docs, **changed)
+    return together(kept, "_doc", docs, "doc_id", **changed)

@@ -8,8 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from docharbor.llm.common import hashed, inside, mixed, owner, per_slice, pick, slices, texts, unpack, whole
+from docharbor.llm.common import (
+    apart, bound_batches, hashed, inside, mixed, owner, per_slice, pick, slices, texts, together,
+)
 from docharbor.llm.decontamination import words
 
 #: Features of a text: its words, neighbours, words two and three apart, and beginnings of words in bytes.
@@ -114,7 +117,7 @@ def fit(sample: DataFrame, p: Ftrl) -> DataFrame:
 
 
 def score(docs: DataFrame, weights: DataFrame, p: Ftrl) -> DataFrame:
-    """All columns of ``docs`` in ``_doc`` beside ``score``: every whole text, empty and null ones too.
+    """``_doc, text, score`` of every whole text, empty and null ones too; ``_doc`` has the other columns.
 
     The weights are ``2 ** p.bits`` at most, so they are broadcast.
     """
@@ -138,14 +141,13 @@ def score(docs: DataFrame, weights: DataFrame, p: Ftrl) -> DataFrame:
             own = np.unique(of[used] << p.bits | feature[used])  # each feature of a text counts once
             total = np.bincount(own >> p.bits, dense[own & ((1 << p.bits) - 1)], batch.num_rows)
             total = np.clip(total + bias, -35, 35)
-            place = batch.schema.get_field_index("text")
-            return batch.set_column(place, "score", pa.array(1 / (1 + np.exp(-total))))
+            return batch.append_column("score", pa.array(1 / (1 + np.exp(-total))))
 
         yield from per_slice("text", make)(batches)
 
-    source = whole(docs, "_doc", "text").select("_doc", F.col("text").cast("binary").alias("text"))
-    schema = source.select("_doc", F.lit(0.0).alias("score")).schema
-    return source.mapInArrow(run, schema)
+    bound_batches(docs.sparkSession)
+    source = apart(docs, "_doc", "text").withColumn("text", F.col("text").cast("binary"))
+    return source.mapInArrow(run, StructType([*source.schema]).add("score", "double"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -171,4 +173,5 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> Dat
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> DataFrame:
     """The documents, unchanged, that score below the threshold."""
-    return unpack(scored(docs, labels, p).where(F.col("score") < p.threshold), "_doc", docs)
+    kept = scored(docs, labels, p).where(F.col("score") < p.threshold)
+    return together(kept, "_doc", docs, text=F.col("text").cast("string"))

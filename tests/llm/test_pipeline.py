@@ -59,5 +59,5 @@ def test_stages_take_out_what_they_are_for(spark, tmp_path):
 
 def test_registered_queries():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and 4 <= len(corpus_pipeline.STAGES) <= 5
