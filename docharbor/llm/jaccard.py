@@ -271,6 +271,8 @@ def _whole_sets(classes: DataFrame, uids: DataFrame, docs: DataFrame, p: Join) -
 
 #: Bits of the map that bounds how many tokens two sets can share; kept in words of 64.
 MAP_WORDS = 4
+#: Members of a group that its base is made from.
+TYPICAL = 31
 
 
 def _members(own: DataFrame, pivot: DataFrame) -> DataFrame:
@@ -282,11 +284,14 @@ def _members(own: DataFrame, pivot: DataFrame) -> DataFrame:
 def _differences(members: DataFrame, sets: DataFrame, levels: Broadcast, p: Join) -> DataFrame:
     """``base, uid, n, group, delta, spare, apart, w0..``: how each member differs from the base of its group.
 
-    The base holds the tokens that more than half of the members have; it need not be a set of its own.
+    The base holds the tokens that more than half of ``TYPICAL`` members have, chosen by a hash; it need not
+    be a set of its own, and a poor one costs time and no link.
     ``apart`` has the tokens on one side only, the rare first, ``w0..`` a bit for each of them.
     """
-    tokens = members.select("base", "uid").join(sets, "uid").select("base", F.explode("tokens").alias("token"))
-    sizes = members.groupBy("base").agg(F.count("*").alias("size")).where("size > 1")
+    order = Window.partitionBy("base").orderBy(F.xxhash64("uid"), "uid")
+    some = members.select("base", "uid").withColumn("r", F.row_number().over(order)).where(F.col("r") <= TYPICAL)
+    tokens = some.join(sets, "uid").select("base", F.explode("tokens").alias("token"))
+    sizes = some.groupBy("base").agg(F.count("*").alias("size")).where("size > 1")
     counts = tokens.groupBy("base", "token").agg(F.count("*").alias("c")).join(sizes, "base").where("2 * c > size")
     missing = F.struct("token", (F.col("size") - F.col("c")).alias("df"))
     bases = sizes.select("base").join(counts.groupBy("base").agg(F.collect_list(missing).alias("b")), "base", "left")
