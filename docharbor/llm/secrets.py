@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import re._parser as grammar
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 from re._constants import BRANCH, IN, LITERAL, MAX_REPEAT, SUBPATTERN
 
@@ -14,6 +15,8 @@ from docharbor.llm.common import pick, unpack, whole
 
 #: Strings and clauses followed for one rule; beyond, a query is weaker, which costs time and no match.
 MOST = 64
+#: Matches whose places are summed together.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -123,25 +126,54 @@ def candidates(index: DataFrame, queries: list[tuple[int, list[int]]]) -> DataFr
     return met.groupBy("doc_id", "th").agg(F.collect_set("rule").alias("rules"))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def spans(text: Column, rule: Rule, number: int) -> Column:
-    """``start, rule, end`` of the rule's matches in code points."""
-    pattern = F.lit(rule.pattern)
-    parts = F.arrays_zip(
-        F.split(text, rule.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
-        F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("value"),
+    """``start, rule, end`` of the rule's matches in code points.
+
+    A match begins where the lengths before it add up to. They are summed within blocks of matches and over
+    blocks, so that no step copies all matches before it.
+    """
+    hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else hits
+    parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), hits.alias("hit"), values.alias("value"))
+    sizes = F.transform(
+        parts,
+        lambda p: F.struct(
+            F.length(p["gap"]).alias("gap"),
+            F.coalesce(F.length(p["hit"]), F.lit(0)).alias("hit"),
+            F.coalesce(F.length(p["value"]) >= rule.least, F.lit(False)).alias("ok"),
+        ),
     )
     none = F.array().cast("array<struct<start:int,rule:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
 
-    def step(acc: Column, part: Column) -> Column:
-        begin = acc["at"] + F.length(part["gap"])
-        end = begin + F.coalesce(F.length(part["hit"]), F.lit(0))
+    def cut(sizes: Column) -> Column:
+        last = F.floor((F.size(sizes) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def total(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda acc, p: acc + p["gap"] + p["hit"])
+
+    def begins(blocks: Column) -> Column:
+        sums = F.aggregate(
+            blocks, F.array(F.lit(0)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + total(b)))
+        )
+        return F.slice(sums, F.lit(1), F.size(blocks))
+
+    def step(acc: Column, p: Column) -> Column:
+        begin = acc["at"] + p["gap"]
+        end = begin + p["hit"]
         hit = F.array(F.struct(begin.alias("start"), F.lit(number).alias("rule"), end.alias("end")))
-        ok = F.length(part["value"]) >= rule.least
-        return F.struct(end.alias("at"), F.when(ok, F.concat(acc["found"], hit)).otherwise(acc["found"]).alias("found"))
+        return F.struct(end.alias("at"), F.when(p["ok"], F.concat(acc["found"], hit)).otherwise(acc["found"]).alias("found"))
+
+    def of_block(block: Column, at: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), none.alias("found")), step, lambda acc: acc["found"])
 
-    return F.aggregate(parts, start, step, lambda acc: acc["found"])
+    blocks = _bound(sizes, cut)
+    return _bound(blocks, lambda all_: F.flatten(F.zip_with(all_, begins(all_), of_block)))
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -206,8 +238,18 @@ def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     )
 
 
+def _spelled(pattern: str) -> str:
+    """A pattern with both cases of its letters in place of ``(?i)``, which in DuckDB means letters like U+212A too."""
+    if not pattern.startswith("(?i)"):
+        return pattern
+    own = r"\\x[0-9A-Fa-f]{2}|\\.|\[[^\]]*\]|[A-Za-z]"
+    both = lambda m: f"[{m[0].lower()}{m[0].upper()}]" if len(m[0]) == 1 else m[0]
+    return re.sub(own, both, pattern.removeprefix("(?i)"))
+
+
 def report_sql(rules: tuple[Rule, ...] = RULES) -> str:
     """The report in DuckDB's SQL: every rule over every text."""
+    rules = tuple(replace(r, pattern=_spelled(r.pattern)) for r in rules)
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     each = " union all ".join(
         f"select rid, {i} as ord, {quote(r.kind)} as kind, string_split_regex(t, {quote(r.pattern)}) as p, "

@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 
+import duckdb
+import pandas as pd
 import pytest
 
-from docharbor.llm.secrets import BASE, RULES, Rule, build_index, candidates, find_secrets, redact, secret_report, trigrams
+from docharbor.llm.secrets import BASE, RULES, Rule, build_index, candidates, find_secrets, redact, report_sql, secret_report, trigrams
 
 SCHEMA = "doc_id long, text string, TEXT string, th int, rules string"
 
@@ -89,3 +91,25 @@ def test_no_alternative_is_left_out_of_a_long_alternation():
     few, many = (trigrams("|".join(f"x{a}[pq]z.*y" for a in names)) for names in (some[:20], some))
     assert len(few) == 40
     assert list(map(set, many)) == [set()]  # every text is read
+
+
+def test_many_matches_in_one_text(spark):
+    """Matches over many blocks; each takes its own time and not that of all before it."""
+    text = "".join(f"{i:016x} é" for i in range(80_000))
+    row = find_secrets(frame(spark, [(1, text), (2, "x")])).orderBy("_doc._0").first()
+    assert [tuple(s) for s in row.found] == [(18 * i, 2, 18 * i + 16) for i in range(80_000)]
+
+
+@pytest.mark.parametrize("n", [255, 256, 257, 512, 513])
+def test_matches_at_the_edges_of_blocks(spark, n):
+    text = "token=abcdefghijklmnop," * n
+    row = find_secrets(frame(spark, [(1, text)])).first()
+    assert [tuple(s) for s in row.found] == brute(text)
+
+
+def test_the_sql_folds_the_same_letters(spark):
+    rows = [(1, "to\u212aen=abcdefghijklmnop"), (2, "pa\u017fsword=abcdefghijklmnop"), (3, "ToKeN=abcdefghijkl\u212a"), (4, None), (5, "API_key: ABCDEFGHIJKLM")]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    want = duckdb.sql(report_sql()).order("doc_id").fetchall()
+    got = [tuple(r) for r in secret_report(frame(spark, rows)).orderBy("doc_id").collect()]
+    assert got == want and [r[1] for r in got] == [0, 0, 1, 0, 1]
