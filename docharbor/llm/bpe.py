@@ -21,6 +21,8 @@ from docharbor.llm.common import pick, received, shipped, slices, stored, whole
 
 #: Words in the transducer, and words and chunks that a task keeps besides.
 FREQUENT_WORDS = 100_000
+#: Bytes of a word in the transducer.
+LONGEST_WORD = 128
 KEPT_WORDS = 250_000
 _NO_RANK = 1 << 40
 # str.split() also parts at the four separators 1C-1F, which are no white space here.
@@ -451,13 +453,18 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return source.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def compiled(docs: DataFrame, vocabulary: Vocabulary, size: int = FREQUENT_WORDS) -> Transducer:
-    """The transducer of at most ``size`` of the most frequent words of the texts.
+def compiled(
+    docs: DataFrame, vocabulary: Vocabulary, size: int = FREQUENT_WORDS, longest: int = LONGEST_WORD
+) -> Transducer:
+    """The transducer of at most ``size`` of the most frequent words of the texts, each of ``longest`` bytes at most.
+
+    So it has a bound in bytes too; longer words are merged like unseen ones.
 
     Words count as equally frequent within a 32nd of a power of two: the most frequent such classes
     that hold ``size`` words together are taken, so that no task sorts and no words but those travel.
     """
-    counts = stored(word_counts(docs, vocabulary).withColumn("class", F.floor(32 * F.log2("n"))), "words")
+    short = word_counts(docs, vocabulary).where(F.octet_length("word") <= longest)
+    counts = stored(short.withColumn("class", F.floor(32 * F.log2("n"))), "words")
     classes = counts.groupBy("class").count().orderBy(F.desc("class")).collect()  # some 2,000 at most
     total, least = 0, None
     for c in classes:

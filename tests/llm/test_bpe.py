@@ -84,3 +84,15 @@ def test_long_words_at_the_default_size(spark, library):
     for i, t in enumerate(texts):
         ids = library.encode(t, add_special_tokens=False).ids
         assert got[i] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_long_words_stay_out_of_the_transducer(spark, vocabulary, library):
+    rng = random.Random(9)
+    long = "".join(rng.choice("acgt") for _ in range(1_000_000))
+    rows = [(1, long, "x", 1, 2), (2, f"short {long[:129]} {long[:128]}", "x", 1, 2)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert compiled(docs, vocabulary).states < 1_000
+    got = {r.doc_id: r.ids_sha256 for r in token_report(docs, PATH).collect()}
+    for i, t, *_ in rows:
+        want = library.encode(t, add_special_tokens=False).ids
+        assert got[i] == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
