@@ -286,3 +286,40 @@ def bounded_files(t: Tables) -> DataFrame:
         F.sum("n").alias("total"), (F.max("n") <= 5_000).alias("bounded"),
         ((F.count(F.lit(1)) > 1) | (F.sum("n") <= 5_000)).alias("several"),
     )
+
+
+@query(
+    """
+select 'orders' as "table", 2 * count(*) as "rows" from orders
+union all select 'customer', count(*) from customer
+union all select 'region', 0
+"""
+)
+def footer_counts(t: Tables) -> DataFrame:
+    """Rows of whole tables, of partly replaced buckets and of an emptied table, from file footers."""
+    dataset = fresh_dataset(t, "footers")
+    orders = LoadSpec("orders", origin=["o_orderkey"])
+    customer = LoadSpec("customer", "merge", primary_key="c_custkey")
+    run_load(dataset, [(orders, t.orders), (customer, t.customer), (LoadSpec("region"), t.region)], "load-1")
+    some = t.customer.filter("c_custkey % 1000 = 1")
+    run_load(dataset, [(orders, t.orders), (customer, some)], "load-2")
+    dataset.truncate(["region"])
+    counts = [F.struct(F.lit(n).alias("table"), F.lit(dataset.count(n)).cast("long").alias("rows")) for n in dataset.tables()]
+    return t.spark.range(1).select(F.inline(F.array(*counts)))
+
+
+@query(
+    """
+select o_orderkey, o_totalprice from orders where o_totalprice > 100000 and o_totalprice <= 120000
+union all
+select o_orderkey, o_totalprice from orders where o_totalprice > 100000 and o_totalprice <= 120000
+"""
+)
+def load_range_filter(t: Tables) -> DataFrame:
+    """A range of the sorting field, read from appended files that are cut by ranges of it."""
+    dataset = fresh_dataset(t, "ranges")
+    spec = LoadSpec("orders", table_hints={"default_sorting_field": "o_totalprice"}, origin=["o_orderkey"])
+    for load in ("load-1", "load-2"):
+        run_load(dataset, [(spec, t.orders)], load)
+    found = reads.where_range(dataset.read("orders"), "o_totalprice", above=100_000.0, at_most=120_000.0)
+    return found.select("o_orderkey", "o_totalprice")

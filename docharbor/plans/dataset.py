@@ -25,10 +25,10 @@ from pyspark.sql import types as T
 
 from docharbor.errors import ConfigError, LoadError
 from docharbor.functions.ids import system_row_id
-from docharbor.functions.names import ID, LOAD_ID, ROOT_ID, SYSTEM_COLUMNS, qualified_name
+from docharbor.functions.names import ID, LOAD_ID, ROOT_ID, ROW_ID, SYSTEM_COLUMNS, qualified_name
 from docharbor.operators import reads, system
 from docharbor.operators.shape import ERROR_TYPE, ERRORS
-from docharbor.session import require_utc
+from docharbor.session import FOOTER_COUNTS, require_utc, settings
 
 ENGINE_VERSION = 1
 LOADS, VERSIONS, STATE, STAGE = "_loads", "_versions", "_pipeline_state", "_stage"
@@ -397,6 +397,11 @@ class Dataset:
             columns.append(column.alias(name))
         return rows.select(*columns)
 
+    def count(self, table: str) -> int:
+        """How many rows a table has, added up from the footers of its files; no column is read."""
+        with settings(self.spark, FOOTER_COUNTS):
+            return reads.found(self.read(table))
+
     def lookup(self, table: str, document_id: str) -> DataFrame:
         """The document with an id; only the id's bucket is read."""
         layout = self.layout(table)
@@ -496,7 +501,8 @@ class Dataset:
 
         Counting what was written stays exact when tasks are run again. Running a load
         again overwrites its own folders and nothing else. Files are sorted by the default
-        sorting field, so that range filters on it skip row groups.
+        sorting field, so that range filters on it skip row groups. Without buckets they are
+        also cut by ranges of it, equal values by row id, so that such filters skip files.
         """
         if ERRORS not in rows.columns:
             rows = rows.withColumn(ERRORS, F.lit(None).cast(ERROR_TYPE))
@@ -510,7 +516,10 @@ class Dataset:
             placed = placed.hint("rebalance", BUCKET)
         sort_by = layout.fields.get("default_sorting_field")
         if sort_by is not None and sort_by in rows.columns:
-            placed = placed.sortWithinPartitions(OK, BUCKET, F.col(f"`{sort_by}`").desc())
+            place = F.col(f"`{sort_by}`").desc()
+            if not bucketed:
+                placed = placed.repartitionByRange(place, F.col(ROW_ID))
+            placed = placed.sortWithinPartitions(OK, BUCKET, place)
         path = f"{LOAD}={load_id}/{PART}={step}"
         # Static overwrite: a retry must not leave buckets of the first try behind.
         writer = placed.write.mode("overwrite").options(

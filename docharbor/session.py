@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -14,6 +16,25 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Only the newer Parquet reader pushes counts into the scan.
+FOOTER_COUNTS = {
+    "spark.sql.sources.useV1SourceList": "",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the plans that are made and run inside the block."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def local_session(name: str = "docharbor", cores: str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""

@@ -13,6 +13,7 @@ from docharbor import LoadError, LoadSpec, RejectedRows, SyncSpec, run_load, run
 from docharbor.errors import ConfigError
 from docharbor.operators import quality
 from docharbor.plans.dataset import Dataset
+from docharbor.session import FOOTER_COUNTS, settings
 from docharbor.sources import files, incremental, jdbc, pages
 from docharbor.streaming.micro_batch import load_stream
 
@@ -172,6 +173,40 @@ def test_default_order(spark, dataset):
     assert [r["name"] for r in dataset.browse("a", per_page=2, number=2).collect()] == ["n0"]
 
 
+def test_counts_come_from_footers(spark, dataset):
+    merged = LoadSpec("m", "merge", primary_key="n")
+    run_load(dataset, [(LoadSpec("a"), spark.range(50).toDF("n")), (merged, spark.range(40).toDF("n"))])
+    run_load(dataset, [(LoadSpec("a"), spark.range(7).toDF("n")), (merged, spark.range(38, 41).toDF("n"))])
+    kept = dict(FOOTER_COUNTS) | {k: spark.conf.get(k) for k in FOOTER_COUNTS}
+    assert (dataset.count("a"), dataset.count("m")) == (57, 41)
+    assert {k: spark.conf.get(k) for k in FOOTER_COUNTS} == kept
+    for table in "am":
+        with settings(spark, FOOTER_COUNTS):
+            plan = dataset.read(table).groupBy().count()._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan
+    dataset.truncate(["a"])
+    assert dataset.count("a") == 0
+    with pytest.raises(LoadError, match="no table"):
+        dataset.count("nothing")
+
+
+def test_a_range_lies_in_few_files(spark, dataset):
+    """Values in any order, one of them in a third of the rows, which doesn't end in one file."""
+    rank = F.when(F.col("n") % 3 == 0, 500).otherwise(F.xxhash64("n") % 1000).cast("long").alias("rank")
+    rows = spark.range(0, 6_000, 1, 8).toDF("n").select("n", rank)
+    spec = LoadSpec("a", table_hints={"default_sorting_field": "rank"}, origin=["n"])
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12"}):
+        for load in ("one", "two"):
+            run_load(dataset, [(spec, rows)], load)
+    stored = dataset.read("a").withColumn("file", F.input_file_name())
+    files = {r["file"]: (r["n"], r["least"], r["most"]) for r in stored.groupBy("file").agg(F.count("*").alias("n"), F.min("rank").alias("least"), F.max("rank").alias("most")).collect()}
+    assert len(files) == 24 and max(n for n, _, _ in files.values()) < 1_000
+    assert sum(least <= 900 <= most for _, least, most in files.values()) <= 4
+    assert sum(least <= 500 <= most for _, least, most in files.values()) >= 8
+    got = sorted((r["n"], r["rank"]) for r in stored.filter("rank > 900").collect())
+    assert got == sorted(2 * [(r["n"], r["rank"]) for r in rows.filter("rank > 900").collect()])
+
+
 def test_files_hold_at_most_the_given_rows(spark, dataset, tmp_path):
     spec = LoadSpec("a", max_rows_per_file=10)
     run_load(dataset, [(spec, spark.range(25).coalesce(1).toDF("n"))])
