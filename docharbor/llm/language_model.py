@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docharbor.llm.common import hashed, mixed, owner, pick, received, shipped, signed, slices, stored, texts
 from docharbor.llm.decontamination import words
 
-#: Stands before the first word of a text.
-BEGIN = 0
+#: What stands before the first word of a text, and for every word outside the vocabulary.
+BEGIN, UNKNOWN = 0, 1
+#: Marks the hashes of words, so that no number of a frequent word is one.
+_HASH = np.uint64(1 << 63)
 #: Words or pairs that a task holds before it makes equal ones one.
 _HELD = 1 << 21
 
@@ -33,13 +37,10 @@ class Bigrams:
     hot: int = 1 << 18
 
 
-def _pairs_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(before, word, ends)`` of the texts in a row: 64-bit hashes of the words, never ``BEGIN``."""
+def _words_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """``(word, ends)`` of the texts in a row: 63-bit hashes, marked."""
     word, ends = hashed([words(t) for t in texts(batch, "text")])
-    word[word == BEGIN] = 1
-    before = np.r_[np.uint64(BEGIN), word[:-1]] if len(word) else word
-    before[ends[:-1][ends[:-1] < len(word)]] = BEGIN
-    return before, word, ends
+    return word | _HASH, ends
 
 
 def _one_each(tables: list[pa.Table], keys: list[str], sums: list[str]) -> pa.Table:
@@ -47,31 +48,33 @@ def _one_each(tables: list[pa.Table], keys: list[str], sums: list[str]) -> pa.Ta
     return out.select([*keys, *(f"{n}_sum" for n in sums)]).rename_columns([*keys, *sums])
 
 
-def pair_counts(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """``before, word, b, t``: how often each pair stands in all documents and in those of ``target``."""
-    own = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("binary").alias("text"))
-    ids = pick(target, "doc_id").where("doc_id is not null").distinct().withColumn("wanted", F.lit(True))
-    flagged = own.join(ids, "doc_id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+def _wanted(batch: pa.RecordBatch) -> np.ndarray:
+    return np.array(batch.column("wanted").to_pylist(), np.int64)
+
+
+def word_counts(flagged: DataFrame) -> DataFrame:
+    """``word, b, t``: how often each word stands in all texts and in the wanted ones; ``BEGIN`` once a text with words."""
 
     def count(batches):
         held, size = [], 0
         for batch in slices(batches, "text"):
-            before, word, ends = _pairs_of(batch)
-            chosen = np.array(batch.column("wanted").to_pylist(), np.int64)
-            part = [signed(before), signed(word), pa.array(np.ones(len(word), np.int64)), pa.array(np.repeat(chosen, np.diff(ends)))]
-            held.append(pa.table(part, ["before", "word", "b", "t"]))
+            word, ends = _words_of(batch)
+            n = np.diff(ends)
+            word, wanted = np.r_[word, np.full((n > 0).sum(), BEGIN, np.uint64)], _wanted(batch)
+            of = np.r_[np.repeat(wanted, n), wanted[n > 0]]
+            held.append(pa.table([signed(word), pa.array(np.ones(len(word), np.int64)), pa.array(of)], ["word", "b", "t"]))
             size += len(word)
             if size > _HELD:
-                held = [_one_each(held, ["before", "word"], ["b", "t"])]
+                held = [_one_each(held, ["word"], ["b", "t"])]
                 size = held[0].num_rows
                 if size > _HELD // 2:
                     yield from held[0].to_batches()
                     held, size = [], 0
         if size:
-            yield from _one_each(held, ["before", "word"], ["b", "t"]).to_batches()
+            yield from _one_each(held, ["word"], ["b", "t"]).to_batches()
 
-    rows = flagged.mapInArrow(count, "before long, word long, b long, t long")
-    return rows.groupBy("before", "word").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+    rows = flagged.select("text", "wanted").mapInArrow(count, "word long, b long, t long")
+    return rows.groupBy("word").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
 
 
 def _frequent(rows: DataFrame, size: int) -> Column:
@@ -86,124 +89,236 @@ def _frequent(rows: DataFrame, size: int) -> Column:
     return F.lit(False) if least is None else kind >= least
 
 
-def _looked_up(rows: DataFrame, words: DataFrame, key: Column, name: str) -> DataFrame:
-    """``rows`` with the row of ``words`` whose ``w`` is ``key`` as struct ``name``, null if there is none.
+class _Sorted:
+    """Frequent words or pairs, found by their key."""
 
-    Frequent words, each in very many pairs, are broadcast; only rows of other words move to meet theirs.
-    """
-    row = F.struct(*(F.col(c) for c in words.columns if c != "w")).alias(name)
-    own = words.select(F.col("w").alias("_w"), row)
-    found = rows.join(F.broadcast(own.where(F.col(name)["hot"])), key == F.col("_w"), "left").drop("_w")
-    rest = own.where(~F.col(name)["hot"])
-    if rest.isEmpty():
-        return found
-    done = F.col(name).isNotNull() | key.isNull()
-    missing = found.where(~done).drop(name).join(rest, key == F.col("_w"), "left").drop("_w")
-    return found.where(done).unionByName(missing)
-
-
-def fit(docs: DataFrame, target: DataFrame, p: Bigrams) -> DataFrame:
-    """``before, word, b, target, background``: every pair of the documents, how often it stands, and minus the
-    logarithm of the word's probability after the other, under the models of ``target`` and of all documents.
-
-    Unknown words are one word: pairs that differ in unknown words alone share their counts.
-    """
-    pairs = stored(pair_counts(docs, target), "pairs")
-    both = [F.sum(n).alias(n) for n in "bt"]
-    known = stored(pairs.groupBy(F.col("word").alias("w")).agg(*both).where(F.col("b") >= p.least), "words")
-    vocabulary = known.withColumn("hot", _frequent(known, p.hot))
-
-    begins, new, old = F.col("before") == BEGIN, F.col("w").isNull(), F.col("v").isNull() & (F.col("before") != BEGIN)
-    rows = _looked_up(pairs, vocabulary, F.col("word"), "w")
-    rows = _looked_up(rows, vocabulary, F.when(~begins, F.col("before")), "v")
-    n_known = known.count()
-    rows = stored(rows, "known-pairs") if n_known > p.hot else rows  # without a join it is cheaper to look up again
-    total = lambda name, where: [F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0)).alias(f"{name}_{n}") for n in "bt"]
-    cases = {"size": F.lit(True), "begins": begins, "unknown": new, "begin_unknown": begins & new, "unknown_both": old & new}
-    sums = rows.agg(*(c for k, where in cases.items() for c in total(k, where))).first()
-
-    # Pairs of one unknown word are summed by the other.
-    key = F.when(old & ~new, F.col("word")).when(new & ~old & ~begins, F.col("before"))
-    hot = F.max(F.when(new, F.col("v.hot")).otherwise(F.col("w.hot"))).alias("hot")
-    folded = rows.where(key.isNotNull()).groupBy(key.alias("w")).agg(hot, *total("after", ~new), *total("ahead", new))
-    rows = _looked_up(rows, stored(folded, "unknown-pairs"), key, "f")
-
-    size = sums["size_t"] + p.alpha * (n_known + 1)
-    loss = {}
-    for name, n, scale in (("target", "t", 1.0), ("background", "b", sums["size_t"] / max(1, sums["size_b"]))):
-        # Background counts are scaled to the target's size: both models then smooth alike.
-        one = F.when(new, sums[f"unknown_{n}"]).otherwise(F.col(f"w.{n}")) * scale
-        seen = F.when(begins, sums[f"begins_{n}"]).when(old, sums[f"unknown_{n}"]).otherwise(F.col(f"v.{n}")) * scale
-        pair = F.when(begins & new, sums[f"begin_unknown_{n}"]).when(old & new, sums[f"unknown_both_{n}"])
-        pair = pair.when(old, F.col(f"f.after_{n}")).when(new, F.col(f"f.ahead_{n}")).otherwise(F.col(n)) * scale
-        loss[name] = -F.log((pair + p.prior * (one + p.alpha) / size) / (seen + p.prior))
-    return rows.select("before", "word", "b", *(v.alias(k) for k, v in loss.items()))
-
-
-class _Frequent:
-    """The losses of frequent pairs; a pair is found by both its words."""
-
-    def __init__(self, rows: pa.Table) -> None:
-        before, word, self.target, self.background = (rows.column(c).to_numpy() for c in ("before", "word", "target", "background"))
-        key = self._key(before.view(np.uint64), word.view(np.uint64))
+    def __init__(self, *columns: np.ndarray) -> None:
+        key = self._key(columns)
         order = np.argsort(key)
-        self.key, self.before, self.word = key[order], before.view(np.uint64)[order], word.view(np.uint64)[order]
-        self.target, self.background = self.target[order], self.background[order]
+        self.key, self.columns, self.rank = key[order], [c[order] for c in columns], order
 
     @staticmethod
-    def _key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return mixed(mixed(before) + word)
+    def _key(columns) -> np.ndarray:
+        return columns[0] if len(columns) == 1 else mixed(mixed(columns[0]) + columns[1])
 
-    def places(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The place of each pair, -1 if it isn't here."""
+    def places(self, *columns: np.ndarray) -> np.ndarray:
+        """The place of each among those given at first, -1 if it isn't here."""
         if not len(self.key):
-            return np.full(len(word), -1)
-        at = np.minimum(np.searchsorted(self.key, self._key(before, word)), len(self.key) - 1)
-        return np.where((self.before[at] == before) & (self.word[at] == word), at, -1)
+            return np.full(len(columns[0]), -1)
+        at = np.minimum(np.searchsorted(self.key, self._key(columns)), len(self.key) - 1)
+        same = np.logical_and.reduce([own[at] == c for own, c in zip(self.columns, columns, strict=True)])
+        return np.where(same, self.rank[at], -1)
 
 
-def score(docs: DataFrame, losses: DataFrame, p: Bigrams) -> DataFrame:
+def _column(rows: pa.Table, name: str) -> np.ndarray:
+    return rows.column(name).to_numpy().view(np.uint64)
+
+
+@dataclass(frozen=True)
+class Model:
+    """Both models but for the counts of pairs.
+
+    ``vocabulary`` has ``c, b, t, hot`` of every known word, of ``BEGIN`` and ``UNKNOWN``; ``c`` is the number
+    of a frequent word and the hash of another, of which there are some if ``more``. ``scale`` brings the
+    background's counts to the target's size, so that both models smooth alike; ``size`` is what the
+    words' shares are of.
+    """
+
+    p: Bigrams
+    vocabulary: DataFrame
+    more: bool
+    scale: float
+    size: float
+
+    def losses(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of pairs with ``target`` and ``background``, minus the logarithms of the words' probabilities."""
+        rows = self._looked_up(self._looked_up(rows, "word", "w"), "before", "v")
+        p, out = self.p, {}
+        for name, n, scale in (("target", "t", 1.0), ("background", "b", self.scale)):
+            own = p.prior * (F.col(f"w.{n}") * scale + p.alpha) / self.size
+            out[name] = -F.log((F.col(n) * scale + own) / (F.col(f"v.{n}") * scale + p.prior))
+        return rows.withColumns(out).drop("w", "v")
+
+    def _looked_up(self, rows: DataFrame, key: str, name: str) -> DataFrame:
+        """Frequent words, each in very many pairs, are broadcast; only rows of other words move to meet theirs."""
+        own = self.vocabulary.select(F.col("c").alias("_c"), "hot", F.struct("b", "t").alias(name))
+        found = rows.join(F.broadcast(own.where("hot").drop("hot")), F.col(key) == F.col("_c"), "left").drop("_c")
+        if not self.more:
+            return found
+        done = F.col(name).isNotNull() | F.col(key).isNull()
+        missing = found.where(~done).drop(name).join(own.where("not hot").drop("hot"), F.col(key) == F.col("_c"), "left")
+        return found.where(done).unionByName(missing.drop("_c"))
+
+
+def encoded(flagged: DataFrame, p: Bigrams) -> tuple[DataFrame, Model]:
+    """``uid, doc_id, wanted, codes`` of every document, and the model of its words.
+
+    Codes are 8 bytes a word: the number of a frequent word, the hash of another known one, ``UNKNOWN``.
+    """
+    spark = flagged.sparkSession
+    counted = stored(word_counts(flagged), "words")
+    known = counted.where((F.col("b") >= p.least) & (F.col("word") != BEGIN))
+    known = known.withColumn("hot", _frequent(known, p.hot))
+    both = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in "bt"]
+    begins, size = (counted.where(where).agg(*both).first() for where in (F.col("word") == BEGIN, F.col("word") != BEGIN))
+    seen = known.agg(F.count("*").alias("n"), F.count_if("hot").alias("hot"), *both).first()
+    more = seen["n"] > seen["hot"]
+    frequent = known.where("hot").select("word", "b", "t").toArrow().sort_by([("b", "descending")])  # p.hot rows at most
+    sent = shipped(spark, _Sorted(_column(frequent, "word")))
+
+    def encode(batches):
+        numbers = received(sent)
+        for batch in slices(batches, "text"):
+            word, ends = _words_of(batch)
+            at = numbers.places(word)
+            code = np.where(at >= 0, (at + 2).astype(np.uint64), word if more else np.uint64(UNKNOWN))
+            yield _texts(batch, code, ends)
+
+    kind = flagged.schema["doc_id"].dataType.simpleString()
+    schema = f"uid long, doc_id {kind}, wanted boolean, codes binary"
+    rows = flagged.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(encode, schema)
+    rows = stored(rows, "codes", compression="zstd")
+    if more:
+        rows = stored(_known_alone(rows, known.where("not hot").select("word"), schema), "known-codes", compression="zstd")
+
+    n = frequent.num_rows
+    codes = pa.array(np.r_[BEGIN, UNKNOWN, np.arange(2, n + 2)].astype(np.int64))
+    count = lambda k: pa.array([begins[k], size[k] - seen[k], *frequent.column(k).to_pylist()], pa.int64())
+    vocabulary = spark.createDataFrame(pa.table([codes, count("b"), count("t")], ["c", "b", "t"])).withColumn("hot", F.lit(True))
+    if more:
+        vocabulary = vocabulary.unionByName(known.where("not hot").withColumnRenamed("word", "c"))
+    return rows, Model(p, vocabulary, more, size["t"] / max(1, size["b"]), size["t"] + p.alpha * (seen["n"] + 1))
+
+
+def _texts(batch: pa.RecordBatch, code: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+    data = pa.array([code[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "doc_id", "wanted")), data], ["uid", "doc_id", "wanted", "codes"])
+
+
+def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    data = batch.column("codes").to_pylist()
+    ends = np.cumsum([0, *(len(d) // 8 for d in data)])
+    return np.frombuffer(b"".join(data), np.uint64), ends
+
+
+def _known_alone(rows: DataFrame, others: DataFrame, schema: str) -> DataFrame:
+    """``rows`` with ``UNKNOWN`` for the hashes that aren't among the known words ``others``."""
+
+    def rare(batches):
+        for batch in slices(batches, "codes"):
+            code, ends = _codes(batch)
+            at = np.flatnonzero(code >= _HASH)
+            pairs = pa.table([batch.column("uid").take(pa.array(owner(ends)[at])), signed(code[at])], ["uid", "word"])
+            yield from pairs.group_by(["uid", "word"], use_threads=False).aggregate([]).to_batches()
+
+    def fold(batches):
+        for batch in slices(batches, "codes"):
+            code, ends = _codes(batch)
+            of, own = owner(ends), [np.array(k or [], np.int64).view(np.uint64) for k in batch.column("kept").to_pylist()]
+            keep = _Sorted(np.concatenate(own), np.repeat(np.arange(len(own), dtype=np.uint64), [len(k) for k in own]))
+            drop = (code >= _HASH) & (keep.places(code, of.astype(np.uint64)) < 0)
+            yield _texts(batch, np.where(drop, np.uint64(UNKNOWN), code), ends)
+
+    kept = rows.select("uid", "codes").mapInArrow(rare, "uid long, word long").join(others, "word", "left_semi")
+    kept = kept.groupBy("uid").agg(F.collect_list("word").alias("kept"))  # no longer than the text
+    return rows.join(kept, "uid", "left").mapInArrow(fold, schema)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]):
+    """``(batch, before, word, text)`` of the pairs in some texts."""
+    for batch in slices(batches, "codes", 8 << 20):
+        word, ends = _codes(batch)
+        before = np.r_[np.uint64(BEGIN), word[:-1]] if len(word) else word
+        before[ends[:-1][ends[:-1] < len(word)]] = BEGIN
+        yield batch, before, word, owner(ends)
+
+
+def frequent_pairs(rows: DataFrame, p: Bigrams) -> DataFrame:
+    """``before, word, b, t`` of ``p.hot`` pairs at most, counted over all texts.
+
+    They are those that stand out among the some 2^21 pairs that a task holds; any other pair is less than
+    2^-16 of what it stands in, or rarer than these.
+    """
+
+    def outstanding(batches):
+        held, size = [], 0
+
+        def most():
+            out = _one_each(held, ["before", "word"], ["b"])
+            return out.filter(pc.greater(out.column("b"), max(1, size >> 17))).to_batches()
+
+        for _, before, word, _ in _pairs(batches):
+            held.append(pa.table([signed(before), signed(word), pa.array(np.ones(len(word), np.int64))], ["before", "word", "b"]))
+            size += len(word)
+            if size > _HELD:
+                yield from most()
+                held, size = [], 0
+        if size:
+            yield from most()
+
+    found = rows.select("codes").mapInArrow(outstanding, "before long, word long, b long")
+    found = stored(found.groupBy("before", "word").agg(F.sum("b").alias("b")), "outstanding")
+    chosen = found.where(_frequent(found, p.hot)).select("before", "word").toArrow()  # p.hot rows at most
+    sent = shipped(rows.sparkSession, _Sorted(_column(chosen, "before"), _column(chosen, "word")))
+
+    def count(batches):
+        frequent = received(sent)
+        n = len(frequent.key)
+        b, t = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for batch, before, word, of in _pairs(batches):
+            at = frequent.places(before, word)
+            hit = at >= 0
+            b += np.bincount(at[hit], minlength=n)
+            t += np.bincount(at[hit & (_wanted(batch)[of] > 0)], minlength=n)
+        back = np.argsort(frequent.rank)
+        own = [signed(c[back][b > 0]) for c in frequent.columns]
+        if (b > 0).any():
+            yield pa.RecordBatch.from_arrays([*own, pa.array(b[b > 0]), pa.array(t[b > 0])], ["before", "word", "b", "t"])
+
+    parts = rows.select("wanted", "codes").mapInArrow(count, "before long, word long, b long, t long")
+    return parts.groupBy("before", "word").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+
+
+def score(rows: DataFrame, model: Model) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score`` of every document.
 
-    The losses are means over all words of the whole text, in nats; ``score`` is the target's less the
-    background's: the smaller, the more like the target. A text without words, or null, scores 0.
+    Frequent pairs are scored where they stand. All others meet once: an exchange by pair counts them and gives
+    each text's row its loss.
     """
-    chosen = _frequent(losses, p.hot)
-    sent = shipped(docs.sparkSession, losses.where(chosen).select("before", "word", "target", "background").toArrow())
-    own = pick(docs, "doc_id", "text").select(
-        F.monotonically_increasing_id().alias("uid"), "doc_id", F.col("text").cast("binary").alias("text")
-    )
-    kind = own.schema["doc_id"].dataType.simpleString()
-    schema = f"uid long, before long, word long, n int, doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
-    names = ["uid", "before", "word", "n", "doc"]
+    losses = model.losses(frequent_pairs(rows, model.p)).toArrow()  # p.hot rows at most
+    frequent = _Sorted(_column(losses, "before"), _column(losses, "word"))
+    sent = shipped(rows.sparkSession, (frequent, *(losses.column(c).to_numpy() for c in ("target", "background"))))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"uid long, before long, word long, n long, wanted boolean, doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
+    names = ["uid", "before", "word", "n", "wanted", "doc"]
 
     def run(batches):
-        frequent = _Frequent(received(sent))
-        for batch in slices(batches, "text"):
-            before, word, ends = _pairs_of(batch)
-            of, n = owner(ends), len(ends) - 1
+        frequent, *losses = received(sent)
+        for batch, before, word, of in _pairs(batches):
+            n = batch.num_rows
             at = frequent.places(before, word)
             hit = at >= 0
-            t, b = (np.bincount(of[hit], x[at[hit]], n) for x in (frequent.target, frequent.background))
+            t, b = (np.bincount(of[hit], x[at[hit]], n) for x in losses)
             # Each document's own row: its uid in place of a word spreads them, and no pair has a null word.
-            doc = [batch.column("doc_id"), pa.array(np.diff(ends)), pa.array(t, pa.float64()), pa.array(b, pa.float64())]
+            doc = [batch.column("doc_id"), pa.array(np.bincount(of, minlength=n)), pa.array(t, pa.float64()), pa.array(b, pa.float64())]
             doc = pa.StructArray.from_arrays(doc, ["doc_id", "n_tokens", "t", "b"])
-            uid = batch.column("uid")
-            yield pa.RecordBatch.from_arrays([uid, uid, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), doc], names)
+            uid, wanted = batch.column("uid"), batch.column("wanted")
+            yield pa.RecordBatch.from_arrays([uid, uid, pa.nulls(n, pa.int64()), pa.array(np.zeros(n, np.int64)), wanted, doc], names)
             if hit.all():
                 continue
-            ones = pa.array(np.ones(int((~hit).sum()), np.int32))
+            ones = pa.array(np.ones(int((~hit).sum()), np.int64))
             cold = pa.table([pa.array(of[~hit]), signed(before[~hit]), signed(word[~hit]), ones], ["of", "before", "word", "n"])
             cold = _one_each([cold], ["of", "before", "word"], ["n"]).combine_chunks().to_batches()[0]
-            none = pa.nulls(cold.num_rows, doc.type)
-            yield pa.RecordBatch.from_arrays(
-                [uid.take(cold.column("of")), cold.column("before"), cold.column("word"), cold.column("n").cast(pa.int32()), none], names
-            )
+            mine = [c.take(cold.column("of")) for c in (uid, wanted)]
+            pair = [cold.column(c) for c in ("before", "word", "n")]
+            yield pa.RecordBatch.from_arrays([mine[0], *pair, mine[1], pa.nulls(cold.num_rows, doc.type)], names)
 
-    cold = losses.where(~chosen).select(F.col("before").alias("_b"), F.col("word").alias("_w"), "target", "background")
-    rows = own.mapInArrow(run, schema).join(cold, (F.col("before") == F.col("_b")) & (F.col("word") == F.col("_w")), "left")
+    pair = Window.partitionBy("before", "word")
+    counted = rows.mapInArrow(run, schema).withColumns(
+        {"b": F.sum("n").over(pair), "t": F.sum(F.when(F.col("wanted"), F.col("n")).otherwise(0)).over(pair)}
+    )
     mean = lambda own, name: F.sum(F.coalesce(F.col(own), F.col("n") * F.col(name))) / F.greatest(F.max("doc.n_tokens"), F.lit(1))
-    out = rows.groupBy("uid").agg(
+    out = model.losses(counted).groupBy("uid").agg(
         F.first("doc.doc_id", ignorenulls=True).alias("doc_id"),
         F.max("doc.n_tokens").alias("n_tokens"),
         mean("doc.t", "target").alias("target_loss"),
@@ -215,8 +330,13 @@ def score(docs: DataFrame, losses: DataFrame, p: Bigrams) -> DataFrame:
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, p: Bigrams = Bigrams()) -> DataFrame:
     """Scores every document; the target are the documents whose ``labels.quality`` is 1, the background all.
 
-    Without such documents both models are even shares of one vocabulary. Rows equal to another count
+    The losses are means over all words of the whole text, in nats; ``score`` is the target's less the
+    background's: the smaller, the more like the target. A text without words, or null, scores 0.
+    Without labelled documents both models are even shares of one vocabulary. Rows equal to another count
     as often as they stand; an id with several labels is in the target if one of them is 1.
     """
-    target = pick(labels, "doc_id", "quality").where("quality = 1").select("doc_id")
-    return score(docs, fit(docs, target, p), p)
+    own = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("binary").alias("text"))
+    target = pick(labels, "doc_id", "quality").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    flagged = own.join(target.withColumn("wanted", F.lit(True)), "doc_id", "left")
+    flagged = flagged.select("doc_id", "text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    return score(*encoded(flagged, p))
