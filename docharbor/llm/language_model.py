@@ -19,7 +19,7 @@ BEGIN, UNKNOWN = 0, 1
 #: Marks the hashes of words, so that no number of a frequent word is one.
 _HASH = np.uint64(1 << 63)
 #: Words or pairs that a task holds before it makes equal ones one.
-_HELD = 1 << 21
+_HELD = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,8 @@ class Bigrams:
 
     A word is in the vocabulary if it stands ``least`` times or more, else it is unknown. ``prior``
     weighs the word's own share in each pair's estimate, ``alpha`` an even share in that. At most ``hot``
-    words and ``hot`` pairs, the most frequent, are broadcast; the others are joined.
+    words and ``hot`` pairs, the most frequent, are broadcast, and so are the target's ids if there are no
+    more; the others are joined.
     """
 
     least: int = 5
@@ -226,7 +227,7 @@ def _known_alone(rows: DataFrame, others: DataFrame, schema: str) -> DataFrame:
 
 def _pairs(batches: Iterator[pa.RecordBatch]):
     """``(batch, before, word, text)`` of the pairs in some texts."""
-    for batch in slices(batches, "codes", 8 << 20):
+    for batch in slices(batches, "codes", 4 << 20):
         word, ends = _codes(batch)
         before = np.r_[np.uint64(BEGIN), word[:-1]] if len(word) else word
         before[ends[:-1][ends[:-1] < len(word)]] = BEGIN
@@ -236,7 +237,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]):
 def frequent_pairs(rows: DataFrame, p: Bigrams) -> DataFrame:
     """``before, word, b, t`` of ``p.hot`` pairs at most, counted over all texts.
 
-    They are those that stand out among the some 2^21 pairs that a task holds; any other pair is less than
+    They are those that stand out among the some 2^19 pairs that a task holds; any other pair is less than
     2^-16 of what it stands in, or rarer than these.
     """
 
@@ -337,6 +338,8 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, p: Bigrams = Bi
     """
     own = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("binary").alias("text"))
     target = pick(labels, "doc_id", "quality").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    flagged = own.join(target.withColumn("wanted", F.lit(True)), "doc_id", "left")
+    few = target.limit(p.hot + 1).count() <= p.hot
+    target = target.withColumn("wanted", F.lit(True))
+    flagged = own.join(F.broadcast(target) if few else target, "doc_id", "left")
     flagged = flagged.select("doc_id", "text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
     return score(*encoded(flagged, p))
