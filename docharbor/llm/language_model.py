@@ -54,16 +54,21 @@ def _wanted(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def word_counts(flagged: DataFrame) -> DataFrame:
-    """``word, b, t``: how often each word stands in all texts and in the wanted ones; ``BEGIN`` once a text with words."""
+    """``word, b, t``: how often each word stands in all texts and in the wanted ones.
+
+    ``BEGIN`` has the number of texts with words, ``UNKNOWN`` that of all words.
+    """
 
     def count(batches):
         held, size = [], 0
         for batch in slices(batches, "text"):
             word, ends = _words_of(batch)
             n = np.diff(ends)
-            word, wanted = np.r_[word, np.full((n > 0).sum(), BEGIN, np.uint64)], _wanted(batch)
-            of = np.r_[np.repeat(wanted, n), wanted[n > 0]]
-            held.append(pa.table([signed(word), pa.array(np.ones(len(word), np.int64)), pa.array(of)], ["word", "b", "t"]))
+            wanted, some = _wanted(batch), n > 0
+            word = np.r_[word, np.uint64(BEGIN), np.uint64(UNKNOWN)]
+            b = np.r_[np.ones(len(word) - 2, np.int64), some.sum(), n.sum()]
+            t = np.r_[np.repeat(wanted, n), wanted[some].sum(), (n * wanted).sum()]
+            held.append(pa.table([signed(word), pa.array(b), pa.array(t)], ["word", "b", "t"]))
             size += len(word)
             if size > _HELD:
                 held = [_one_each(held, ["word"], ["b", "t"])]
@@ -115,57 +120,73 @@ def _column(rows: pa.Table, name: str) -> np.ndarray:
     return rows.column(name).to_numpy().view(np.uint64)
 
 
-@dataclass(frozen=True)
 class Model:
-    """Both models but for the counts of pairs.
+    """Both models but for the counts of pairs: what a task needs to know of words.
 
-    ``vocabulary`` has ``c, b, t, hot`` of every known word, of ``BEGIN`` and ``UNKNOWN``; ``c`` is the number
-    of a frequent word and the hash of another, of which there are some if ``more``. ``scale`` brings the
-    background's counts to the target's size, so that both models smooth alike; ``size`` is what the
-    words' shares are of.
+    ``b`` and ``t`` hold the counts of ``BEGIN``, ``UNKNOWN`` and the frequent words by their number. ``scale``
+    brings the background's counts to the target's size, so that both models smooth alike; ``size`` is
+    what the words' shares are of.
     """
 
-    p: Bigrams
-    vocabulary: DataFrame
-    more: bool
-    scale: float
-    size: float
-
-    def losses(self, rows: DataFrame) -> DataFrame:
-        """``rows`` of pairs with ``target`` and ``background``, minus the logarithms of the words' probabilities."""
-        rows = self._looked_up(self._looked_up(rows, "word", "w"), "before", "v")
-        p, out = self.p, {}
-        for name, n, scale in (("target", "t", 1.0), ("background", "b", self.scale)):
-            own = p.prior * (F.col(f"w.{n}") * scale + p.alpha) / self.size
-            out[name] = -F.log((F.col(n) * scale + own) / (F.col(f"v.{n}") * scale + p.prior))
-        return rows.withColumns(out).drop("w", "v")
-
-    def _looked_up(self, rows: DataFrame, key: str, name: str) -> DataFrame:
-        """Frequent words, each in very many pairs, are broadcast; only rows of other words move to meet theirs."""
-        own = self.vocabulary.select(F.col("c").alias("_c"), "hot", F.struct("b", "t").alias(name))
-        found = rows.join(F.broadcast(own.where("hot").drop("hot")), F.col(key) == F.col("_c"), "left").drop("_c")
-        if not self.more:
-            return found
-        done = F.col(name).isNotNull() | F.col(key).isNull()
-        missing = found.where(~done).drop(name).join(own.where("not hot").drop("hot"), F.col(key) == F.col("_c"), "left")
-        return found.where(done).unionByName(missing.drop("_c"))
+    def __init__(self, p: Bigrams, b: np.ndarray, t: np.ndarray, scale: float, size: float) -> None:
+        self.p, self.b, self.t, self.scale, self.size = p, b, t, scale, size
+
+    def counts(self, code: np.ndarray, of: np.ndarray, rare: _Rare) -> tuple[np.ndarray, np.ndarray]:
+        """How often each word stands, ``(b, t)``."""
+        number = np.where(code < _HASH, code, UNKNOWN).astype(np.int64)
+        b, t = self.b[number], self.t[number]
+        at = np.flatnonzero(code >= _HASH)
+        if len(at):
+            own = rare.places(code[at], of[at])
+            b[at], t[at] = rare.b[own], rare.t[own]
+        return b, t
+
+    def after(self, b: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The part of both losses, target and background, that the word before decides."""
+        return np.log(t + self.p.prior), np.log(b * self.scale + self.p.prior)
+
+    def of_pair(self, b, t, word_b, word_t, log) -> tuple:
+        """The part that a pair's and its word's counts decide: arrays, or columns with their logarithm."""
+        share = self.p.prior / self.size
+        return (
+            -log(t + (word_t + self.p.alpha) * share),
+            -log(b * self.scale + (word_b * self.scale + self.p.alpha) * share),
+        )
+
+
+class _Rare:
+    """Known words that have no number, with their counts, by the text of a batch that they stand in."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        lists = batch.column("rare")
+        flat = lists.flatten()
+        word, self.b, self.t = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("word", "b", "t"))
+        text = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        self._found = _Sorted(word.view(np.uint64), text.astype(np.uint64))
+
+    def places(self, code: np.ndarray, of: np.ndarray) -> np.ndarray:
+        return self._found.places(code, of.astype(np.uint64))
+
+
+_RARE = "array<struct<word: bigint, b: bigint, t: bigint>>"
 
 
 def encoded(flagged: DataFrame, p: Bigrams) -> tuple[DataFrame, Model]:
-    """``uid, doc_id, wanted, codes`` of every document, and the model of its words.
+    """``uid, doc_id, wanted, codes, rare`` of every document, and the model of its words.
 
     Codes are 8 bytes a word: the number of a frequent word, the hash of another known one, ``UNKNOWN``.
+    ``rare`` has the counts of words without number.
     """
-    spark = flagged.sparkSession
-    counted = stored(word_counts(flagged), "words")
-    known = counted.where((F.col("b") >= p.least) & (F.col("word") != BEGIN))
+    counted = word_counts(flagged).where((F.col("b") >= p.least) | F.col("word").isin(BEGIN, UNKNOWN))
+    counted = stored(counted, "words")
+    known = counted.where(~F.col("word").isin(BEGIN, UNKNOWN))
     known = known.withColumn("hot", _frequent(known, p.hot))
-    both = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in "bt"]
-    begins, size = (counted.where(where).agg(*both).first() for where in (F.col("word") == BEGIN, F.col("word") != BEGIN))
-    seen = known.agg(F.count("*").alias("n"), F.count_if("hot").alias("hot"), *both).first()
+    first = {r.word: r for r in counted.where(F.col("word").isin(BEGIN, UNKNOWN)).collect()}
+    begins, size = ({n: first[w][n] if w in first else 0 for n in "bt"} for w in (BEGIN, UNKNOWN))
+    seen = known.agg(F.count("*").alias("n"), F.count_if("hot").alias("hot"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in "bt")).first()
     more = seen["n"] > seen["hot"]
     frequent = known.where("hot").select("word", "b", "t").toArrow().sort_by([("b", "descending")])  # p.hot rows at most
-    sent = shipped(spark, _Sorted(_column(frequent, "word")))
+    sent = shipped(flagged.sparkSession, _Sorted(_column(frequent, "word")))
 
     def encode(batches):
         numbers = received(sent)
@@ -180,20 +201,17 @@ def encoded(flagged: DataFrame, p: Bigrams) -> tuple[DataFrame, Model]:
     rows = flagged.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(encode, schema)
     rows = stored(rows, "codes", compression="zstd")
     if more:
-        rows = stored(_known_alone(rows, known.where("not hot").select("word"), schema), "known-codes", compression="zstd")
-
-    n = frequent.num_rows
-    codes = pa.array(np.r_[BEGIN, UNKNOWN, np.arange(2, n + 2)].astype(np.int64))
-    count = lambda k: pa.array([begins[k], size[k] - seen[k], *frequent.column(k).to_pylist()], pa.int64())
-    vocabulary = spark.createDataFrame(pa.table([codes, count("b"), count("t")], ["c", "b", "t"])).withColumn("hot", F.lit(True))
-    if more:
-        vocabulary = vocabulary.unionByName(known.where("not hot").withColumnRenamed("word", "c"))
-    return rows, Model(p, vocabulary, more, size["t"] / max(1, size["b"]), size["t"] + p.alpha * (seen["n"] + 1))
+        rows = stored(_known_alone(rows, known.where("not hot").select("word", "b", "t"), f"{schema}, rare {_RARE}"), "known-codes", compression="zstd")
+    else:
+        rows = rows.withColumn("rare", F.lit(None).cast(_RARE))
+    counts = (np.array([begins[n], size[n] - seen[n], *frequent.column(n).to_pylist()], np.int64) for n in "bt")
+    return rows, Model(p, *counts, size["t"] / max(1, size["b"]), size["t"] + p.alpha * (seen["n"] + 1))
 
 
-def _texts(batch: pa.RecordBatch, code: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+def _texts(batch: pa.RecordBatch, code: np.ndarray, ends: np.ndarray, *more: str) -> pa.RecordBatch:
     data = pa.array([code[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
-    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "doc_id", "wanted")), data], ["uid", "doc_id", "wanted", "codes"])
+    own = [batch.column(c) for c in ("uid", "doc_id", "wanted")]
+    return pa.RecordBatch.from_arrays([*own, data, *map(batch.column, more)], ["uid", "doc_id", "wanted", "codes", *more])
 
 
 def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -203,9 +221,9 @@ def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _known_alone(rows: DataFrame, others: DataFrame, schema: str) -> DataFrame:
-    """``rows`` with ``UNKNOWN`` for the hashes that aren't among the known words ``others``."""
+    """``rows`` with ``rare``, and ``UNKNOWN`` for the hashes that aren't among the known words ``others``."""
 
-    def rare(batches):
+    def different(batches):
         for batch in slices(batches, "codes"):
             code, ends = _codes(batch)
             at = np.flatnonzero(code >= _HASH)
@@ -215,13 +233,11 @@ def _known_alone(rows: DataFrame, others: DataFrame, schema: str) -> DataFrame:
     def fold(batches):
         for batch in slices(batches, "codes"):
             code, ends = _codes(batch)
-            of, own = owner(ends), [np.array(k or [], np.int64).view(np.uint64) for k in batch.column("kept").to_pylist()]
-            keep = _Sorted(np.concatenate(own), np.repeat(np.arange(len(own), dtype=np.uint64), [len(k) for k in own]))
-            drop = (code >= _HASH) & (keep.places(code, of.astype(np.uint64)) < 0)
-            yield _texts(batch, np.where(drop, np.uint64(UNKNOWN), code), ends)
+            drop = (code >= _HASH) & (_Rare(batch).places(code, owner(ends)) < 0)
+            yield _texts(batch, np.where(drop, np.uint64(UNKNOWN), code), ends, "rare")
 
-    kept = rows.select("uid", "codes").mapInArrow(rare, "uid long, word long").join(others, "word", "left_semi")
-    kept = kept.groupBy("uid").agg(F.collect_list("word").alias("kept"))  # no longer than the text
+    kept = rows.select("uid", "codes").mapInArrow(different, "uid long, word long").join(others, "word")
+    kept = kept.groupBy("uid").agg(F.collect_list(F.struct("word", "b", "t")).alias("rare"))  # no longer than the text
     return rows.join(kept, "uid", "left").mapInArrow(fold, schema)
 
 
@@ -229,17 +245,18 @@ def _pairs(batches: Iterator[pa.RecordBatch]):
     """``(batch, before, word, text)`` of the pairs in some texts."""
     for batch in slices(batches, "codes", 4 << 20):
         word, ends = _codes(batch)
-        before = np.r_[np.uint64(BEGIN), word[:-1]] if len(word) else word
+        before = np.r_[np.uint64(BEGIN), word[:-1]] if len(word) else word.copy()
         before[ends[:-1][ends[:-1] < len(word)]] = BEGIN
         yield batch, before, word, owner(ends)
 
 
-def frequent_pairs(rows: DataFrame, p: Bigrams) -> DataFrame:
-    """``before, word, b, t`` of ``p.hot`` pairs at most, counted over all texts.
+def frequent_pairs(rows: DataFrame, model: Model) -> pa.Table:
+    """``before, word, target, background`` of ``p.hot`` pairs at most: their losses, counted over all texts.
 
     They are those that stand out among the some 2^19 pairs that a task holds; any other pair is less than
     2^-16 of what it stands in, or rarer than these.
     """
+    sent_model = shipped(rows.sparkSession, model)
 
     def outstanding(batches):
         held, size = [], 0
@@ -259,71 +276,96 @@ def frequent_pairs(rows: DataFrame, p: Bigrams) -> DataFrame:
 
     found = rows.select("codes").mapInArrow(outstanding, "before long, word long, b long")
     found = stored(found.groupBy("before", "word").agg(F.sum("b").alias("b")), "outstanding")
-    chosen = found.where(_frequent(found, p.hot)).select("before", "word").toArrow()  # p.hot rows at most
+    chosen = found.where(_frequent(found, model.p.hot)).select("before", "word").toArrow()  # p.hot rows at most
     sent = shipped(rows.sparkSession, _Sorted(_column(chosen, "before"), _column(chosen, "word")))
+    sums, fixed = ["b", "t"], ["word_b", "word_t", "before_b", "before_t"]
 
     def count(batches):
-        frequent = received(sent)
+        frequent, model = received(sent), received(sent_model)
         n = len(frequent.key)
-        b, t = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        total, own = np.zeros((2, n), np.int64), np.zeros((4, n), np.int64)
         for batch, before, word, of in _pairs(batches):
             at = frequent.places(before, word)
-            hit = at >= 0
-            b += np.bincount(at[hit], minlength=n)
-            t += np.bincount(at[hit & (_wanted(batch)[of] > 0)], minlength=n)
-        back = np.argsort(frequent.rank)
-        own = [signed(c[back][b > 0]) for c in frequent.columns]
-        if (b > 0).any():
-            yield pa.RecordBatch.from_arrays([*own, pa.array(b[b > 0]), pa.array(t[b > 0])], ["before", "word", "b", "t"])
-
-    parts = rows.select("wanted", "codes").mapInArrow(count, "before long, word long, b long, t long")
-    return parts.groupBy("before", "word").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+            hit, rare = np.flatnonzero(at >= 0), _Rare(batch)
+            at = at[hit]
+            total[0] += np.bincount(at, minlength=n)
+            total[1] += np.bincount(at[_wanted(batch)[of[hit]] > 0], minlength=n)
+            own[:2, at] = model.counts(word[hit], of[hit], rare)
+            own[2:, at] = model.counts(before[hit], of[hit], rare)
+        some = np.flatnonzero(total[0])
+        if len(some):
+            back = np.argsort(frequent.rank)
+            arrays = [*(signed(c[back][some]) for c in frequent.columns), *(pa.array(x[some]) for x in (*total, *own))]
+            yield pa.RecordBatch.from_arrays(arrays, ["before", "word", *sums, *fixed])
+
+    schema = ", ".join(f"{n} long" for n in ["before", "word", *sums, *fixed])
+    parts = rows.select("wanted", "codes", "rare").mapInArrow(count, schema).groupBy("before", "word")
+    out = parts.agg(*(F.sum(n).alias(n) for n in sums), *(F.max(n).alias(n) for n in fixed)).toArrow()  # p.hot rows at most
+    b, t, word_b, word_t, before_b, before_t = (out.column(n).to_numpy() for n in (*sums, *fixed))
+    pair, after = model.of_pair(b, t, word_b, word_t, np.log), model.after(before_b, before_t)
+    arrays = [out.column("before"), out.column("word"), *(pa.array(x + y) for x, y in zip(pair, after, strict=True))]
+    return pa.table(arrays, ["before", "word", "target", "background"])
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score`` of every document.
 
     Frequent pairs are scored where they stand. All others meet once: an exchange by pair counts them and gives
-    each text's row its loss.
+    each text's row its loss. Two numbers share the column ``pair``; of hashes the second is ``other``.
     """
-    losses = model.losses(frequent_pairs(rows, model.p)).toArrow()  # p.hot rows at most
+    spark = rows.sparkSession
+    losses = frequent_pairs(rows, model)
     frequent = _Sorted(_column(losses, "before"), _column(losses, "word"))
-    sent = shipped(rows.sparkSession, (frequent, *(losses.column(c).to_numpy() for c in ("target", "background"))))
+    sent = shipped(spark, (model, frequent, *(losses.column(c).to_numpy() for c in ("target", "background"))))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"uid long, before long, word long, n long, wanted boolean, doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
-    names = ["uid", "before", "word", "n", "wanted", "doc"]
+    schema = (
+        "uid long, pair long, other long, n long, rare struct<b: bigint, t: bigint>, "
+        f"doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
+    )
+    names = ["uid", "pair", "other", "n", "rare", "doc"]
 
     def run(batches):
-        frequent, *losses = received(sent)
+        model, frequent, *losses = received(sent)
         for batch, before, word, of in _pairs(batches):
-            n = batch.num_rows
+            n, rare = batch.num_rows, _Rare(batch)
             at = frequent.places(before, word)
-            hit = at >= 0
-            t, b = (np.bincount(of[hit], x[at[hit]], n) for x in losses)
-            # Each document's own row: its uid in place of a word spreads them, and no pair has a null word.
+            hit, cold = at >= 0, np.flatnonzero(at < 0)
+            after = model.after(*model.counts(before[cold], of[cold], rare))
+            t, b = (np.bincount(of[hit], x[at[hit]], n) + np.bincount(of[cold], y, n) for x, y in zip(losses, after, strict=True))
+            # Each document's own row: its uid in place of a pair spreads them, and no pair has a null.
             doc = [batch.column("doc_id"), pa.array(np.bincount(of, minlength=n)), pa.array(t, pa.float64()), pa.array(b, pa.float64())]
             doc = pa.StructArray.from_arrays(doc, ["doc_id", "n_tokens", "t", "b"])
-            uid, wanted = batch.column("uid"), batch.column("wanted")
-            yield pa.RecordBatch.from_arrays([uid, uid, pa.nulls(n, pa.int64()), pa.array(np.zeros(n, np.int64)), wanted, doc], names)
-            if hit.all():
+            uid, none = batch.column("uid"), pa.array([None] * n, pa.struct([("b", pa.int64()), ("t", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([uid, uid, pa.nulls(n, pa.int64()), pa.array(np.zeros(n, np.int64)), none, doc], names)
+            if not len(cold):
                 continue
-            ones = pa.array(np.ones(int((~hit).sum()), np.int64))
-            cold = pa.table([pa.array(of[~hit]), signed(before[~hit]), signed(word[~hit]), ones], ["of", "before", "word", "n"])
-            cold = _one_each([cold], ["of", "before", "word"], ["n"]).combine_chunks().to_batches()[0]
-            mine = [c.take(cold.column("of")) for c in (uid, wanted)]
-            pair = [cold.column(c) for c in ("before", "word", "n")]
-            yield pa.RecordBatch.from_arrays([mine[0], *pair, mine[1], pa.nulls(cold.num_rows, doc.type)], names)
-
-    pair = Window.partitionBy("before", "word")
+            ones = pa.array(np.ones(len(cold), np.int64))
+            own = pa.table([pa.array(of[cold]), signed(before[cold]), signed(word[cold]), ones], ["of", "before", "word", "n"])
+            own = _one_each([own], ["of", "before", "word"], ["n"])
+            of, before, word = own.column("of").to_numpy(), _column(own, "before"), _column(own, "word")
+            plain = (before < _HASH) & (word < _HASH)
+            pair = np.where(plain, before << np.uint64(32) | word, before)
+            times = own.column("n").to_numpy() * np.where(_wanted(batch)[of] > 0, -1, 1)
+            counts = [pa.array(x) for x in model.counts(word, of, rare)]
+            counts = pa.StructArray.from_arrays(counts, ["b", "t"], mask=pa.array(word < _HASH))
+            arrays = [uid.take(pa.array(of)), signed(pair), signed(np.where(plain, np.uint64(0), word)), pa.array(times), counts]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(of), doc.type)], names)
+
+    pair = Window.partitionBy("pair", "other")
     counted = rows.mapInArrow(run, schema).withColumns(
-        {"b": F.sum("n").over(pair), "t": F.sum(F.when(F.col("wanted"), F.col("n")).otherwise(0)).over(pair)}
+        {"b": F.sum(F.abs("n")).over(pair), "t": F.sum(F.greatest(-F.col("n"), F.lit(0))).over(pair)}
     )
-    mean = lambda own, name: F.sum(F.coalesce(F.col(own), F.col("n") * F.col(name))) / F.greatest(F.max("doc.n_tokens"), F.lit(1))
-    out = model.losses(counted).groupBy("uid").agg(
+    numbers = pa.table([pa.array(np.arange(len(model.b))), pa.array(model.b), pa.array(model.t)], ["word", "word_b", "word_t"])
+    number = F.when(F.col("other") == 0, F.col("pair").bitwiseAND((1 << 32) - 1)).when(F.col("other") > 0, F.col("other"))
+    counted = counted.join(F.broadcast(spark.createDataFrame(numbers)), number == F.col("word"), "left")
+    own = [F.coalesce(f"rare.{n}", f"word_{n}") for n in "bt"]
+    target, background = model.of_pair(F.col("b"), F.col("t"), *own, F.log)
+    mean = lambda own, loss: F.sum(F.coalesce(F.col(own), F.abs("n") * loss)) / F.greatest(F.max("doc.n_tokens"), F.lit(1))
+    out = counted.groupBy("uid").agg(
         F.first("doc.doc_id", ignorenulls=True).alias("doc_id"),
         F.max("doc.n_tokens").alias("n_tokens"),
-        mean("doc.t", "target").alias("target_loss"),
-        mean("doc.b", "background").alias("background_loss"),
+        mean("doc.t", target).alias("target_loss"),
+        mean("doc.b", background).alias("background_loss"),
     )
     return out.drop("uid").withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
