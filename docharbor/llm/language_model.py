@@ -27,15 +27,16 @@ class Bigrams:
     """Every word and pair is counted by itself, in tables that grow with the documents.
 
     A word is in the vocabulary if it stands ``least`` times or more, else it is unknown. ``prior``
-    weighs the word's own share in each pair's estimate, ``alpha`` an even share in that. At most ``hot``
-    words and ``hot`` pairs, the most frequent, are broadcast, and so are the target's ids if there are no
-    more; the others are joined.
+    weighs the word's own share in each pair's estimate, ``alpha`` an even share in that. At most ``numbers``
+    words (24 bytes each) and ``hot`` pairs (32 bytes each), the most frequent, are broadcast, and so are up
+    to ``hot`` ids of the target; the others are joined.
     """
 
     least: int = 5
     prior: float = 50.0
     alpha: float = 0.5
     hot: int = 1 << 18
+    numbers: int = 1 << 20
 
 
 def _words_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -180,12 +181,12 @@ def encoded(flagged: DataFrame, p: Bigrams) -> tuple[DataFrame, Model]:
     counted = word_counts(flagged).where((F.col("b") >= p.least) | F.col("word").isin(BEGIN, UNKNOWN))
     counted = stored(counted, "words")
     known = counted.where(~F.col("word").isin(BEGIN, UNKNOWN))
-    known = known.withColumn("hot", _frequent(known, p.hot))
+    known = known.withColumn("hot", _frequent(known, p.numbers))
     first = {r.word: r for r in counted.where(F.col("word").isin(BEGIN, UNKNOWN)).collect()}
     begins, size = ({n: first[w][n] if w in first else 0 for n in "bt"} for w in (BEGIN, UNKNOWN))
     seen = known.agg(F.count("*").alias("n"), F.count_if("hot").alias("hot"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in "bt")).first()
     more = seen["n"] > seen["hot"]
-    frequent = known.where("hot").select("word", "b", "t").toArrow().sort_by([("b", "descending")])  # p.hot rows at most
+    frequent = known.where("hot").select("word", "b", "t").toArrow().sort_by([("b", "descending")])  # p.numbers rows at most
     sent = shipped(flagged.sparkSession, _Sorted(_column(frequent, "word")))
 
     def encode(batches):

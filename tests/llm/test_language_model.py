@@ -80,13 +80,13 @@ def test_every_word_and_pair_is_counted_by_itself(spark):
         assert (got[i].n_tokens, got[i].target_loss, got[i].background_loss) == (n, pytest.approx(t, rel=1e-6), pytest.approx(b, rel=1e-6))
 
 
-@pytest.mark.parametrize("hot", [0, 3, 40])
-def test_scores_do_not_depend_on_what_is_broadcast(spark, hot):
+@pytest.mark.parametrize(("hot", "numbers"), [(0, 0), (3, 40), (40, 3), (40, 0), (0, 1000)])
+def test_scores_do_not_depend_on_what_is_broadcast(spark, hot, numbers):
     rng = random.Random(7)
     rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randrange(60)))) for i in range(60)]
     rows += [(None, rows[3][1]), (3, rows[3][1]), (70, None)]
     labels = spark.createDataFrame([(i, 1) for i in range(0, 60, 3)], "doc_id long, quality int")
-    p = Bigrams(least=2, hot=hot)
+    p = Bigrams(least=2, hot=hot, numbers=numbers)
     want = brute(rows, set(range(0, 60, 3)), p)
     got = cross_entropy_difference(frame(spark, rows), labels, p).collect()
     assert len(got) == len(rows)
