@@ -201,6 +201,10 @@ def encoded(flagged: DataFrame, p: Bigrams) -> tuple[DataFrame, Model]:
     schema = f"uid long, doc_id {kind}, wanted boolean, codes binary"
     rows = flagged.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(encode, schema)
     rows = stored(rows, "codes", compression="zstd")
+    # Small numbers in place of partition and row: they stand in every row that moves.
+    parts = rows.agg(F.coalesce(F.max(F.shiftright("uid", 33)), F.lit(0)) + 1).first()[0]
+    small = F.col("uid").bitwiseAND((1 << 33) - 1) * parts + F.shiftright("uid", 33)
+    rows = rows.withColumn("uid", small)
     if more:
         rows = stored(_known_alone(rows, known.where("not hot").select("word", "b", "t"), f"{schema}, rare {_RARE}"), "known-codes", compression="zstd")
     else:
@@ -320,10 +324,11 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     sent = shipped(spark, (model, frequent, *(losses.column(c).to_numpy() for c in ("target", "background"))))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = (
-        "uid long, pair long, other long, n long, rare struct<b: bigint, t: bigint>, "
+        "pair long, uid long, other long, n long, rare struct<b: bigint, t: bigint>, "
         f"doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
     )
-    names = ["uid", "pair", "other", "n", "rare", "doc"]
+    names = ["pair", "uid", "other", "n", "rare", "doc"]
+    bits = len(model.b).bit_length()
 
     def run(batches):
         model, frequent, *losses = received(sent)
@@ -345,11 +350,11 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
             own = _one_each([own], ["of", "before", "word"], ["n"])
             of, before, word = own.column("of").to_numpy(), _column(own, "before"), _column(own, "word")
             plain = (before < _HASH) & (word < _HASH)
-            pair = np.where(plain, before << np.uint64(32) | word, before)
+            pair = np.where(plain, before << np.uint64(bits) | word, before)
             times = own.column("n").to_numpy() * np.where(_wanted(batch)[of] > 0, -1, 1)
             counts = [pa.array(x) for x in model.counts(word, of, rare)]
             counts = pa.StructArray.from_arrays(counts, ["b", "t"], mask=pa.array(word < _HASH))
-            arrays = [uid.take(pa.array(of)), signed(pair), signed(np.where(plain, np.uint64(0), word)), pa.array(times), counts]
+            arrays = [signed(pair), uid.take(pa.array(of)), signed(np.where(plain, np.uint64(0), word)), pa.array(times), counts]
             yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(of), doc.type)], names)
 
     pair = Window.partitionBy("pair", "other")
@@ -357,7 +362,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
         {"b": F.sum(F.abs("n")).over(pair), "t": F.sum(F.greatest(-F.col("n"), F.lit(0))).over(pair)}
     )
     numbers = pa.table([pa.array(np.arange(len(model.b))), pa.array(model.b), pa.array(model.t)], ["word", "word_b", "word_t"])
-    number = F.when(F.col("other") == 0, F.col("pair").bitwiseAND((1 << 32) - 1)).when(F.col("other") > 0, F.col("other"))
+    number = F.when(F.col("other") == 0, F.col("pair").bitwiseAND((1 << bits) - 1)).when(F.col("other") > 0, F.col("other"))
     counted = counted.join(F.broadcast(spark.createDataFrame(numbers)), number == F.col("word"), "left")
     own = [F.coalesce(f"rare.{n}", f"word_{n}") for n in "bt"]
     target, background = model.of_pair(F.col("b"), F.col("t"), *own, F.log)
