@@ -178,15 +178,19 @@ def order_roots(t: Tables, condition: str = "true") -> DataFrame:
 
 
 def child_rows(t: Tables, condition: str = "true") -> DataFrame:
-    """Line items as a stored child table of the orders, one row id per distinct line."""
-    rows = t.lineitem.filter(condition).withColumn("o_orderkey", F.col("l_orderkey"))
+    """Line items as a stored child table of the orders, one row id per distinct line.
+
+    Lines meet their orders by root id, so they lie where the joins of a cleanup need them, and
+    the row ids are made afterwards: they do not move.
+    """
+    rows = t.lineitem.filter(condition).filter("l_orderkey is not null")
+    rows = rows.withColumn("o_orderkey", F.col("l_orderkey"))
     rows = rows.withColumn(ROOT_ID, ids.keyed_row_id(rows, ORDERS, ["o_orderkey"]))
+    rows = orphans.of_roots(rows, orphans.root_ids(order_roots(t, "o_orderkey is not null")))
     shipped = F.date_format("l_shipdate", "yyyy-MM-dd")
     place = F.concat_ws("/", *[F.col(c).cast("string") for c in LINE_PLACE], shipped)
     row_id = ids.child_row_id(F.col(ROOT_ID), "shop_orders__lines", place)
-    return rows.select(row_id.alias(ROW_ID), ROOT_ID, "l_orderkey", *LINE_FIELDS).join(
-        t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"
-    )
+    return rows.select(row_id.alias(ROW_ID), ROOT_ID, "l_orderkey", *LINE_FIELDS)
 
 
 def sql_children(condition: str = "true") -> str:
@@ -209,7 +213,7 @@ def reloaded_roots(t: Tables) -> DataFrame:
 
 def reloaded_children(t: Tables) -> DataFrame:
     roots = orphans.root_ids(reloaded_roots(t))
-    return child_rows(t, KEPT_LINES).join(roots, ROOT_ID, "left_semi")
+    return orphans.of_roots(child_rows(t, KEPT_LINES), roots)
 
 
 SQL_SECOND = f"""
@@ -287,9 +291,7 @@ def orphan_counts(t: Tables) -> DataFrame:
 def insert_only_keeps_children(t: Tables) -> DataFrame:
     """With cleanup off every stored child stays, and the shorter lists add none."""
     spec = LoadSpec("orders", "merge", primary_key="o_orderkey", strategy="insert-only")
-    first = child_rows(t).withColumn("id", F.col(ROW_ID))
-    batch = reloaded_children(t).withColumn("id", F.col(ROW_ID))
+    first, batch = child_rows(t), reloaded_children(t)
     if spec.cleans_orphans:
         first = orphans.without_stale(first, orphans.root_ids(reloaded_roots(t)), batch)
-    new = batch.join(first.select("id"), "id", "left_anti")
-    return first.unionByName(new).agg(F.count(F.lit(1)).alias("children"))
+    return orphans.insert_children(first, batch).agg(F.count(F.lit(1)).alias("children"))

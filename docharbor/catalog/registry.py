@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from docharbor.functions.ids import NAMESPACE_HEX
-from docharbor.session import require_utc
+from docharbor.session import require_utc, split_hot_roots
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,7 @@ def query(sql: str | None = None) -> Callable:
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     require_utc(spark)
+    split_hot_roots(spark)
     return QUERIES[name].run(Tables(spark, folder))
 
 

@@ -71,6 +71,50 @@ def test_orphans_agree_with_sets(spark, seed):
     assert {r["_root_id"] for r in emptied.collect()}.isdisjoint(roots)
 
 
+def by_root_tables(spark):
+    """Stored children, batch and roots; rows come twice, ids and roots are null."""
+    stored = [("r1", "a"), ("r1", "a"), ("r1", "b"), ("r1", None), (None, "n"), ("r2", "c"), ("r2", "c"), ("r3", "d")]
+    batch = [("r1", "a"), ("r1", "a"), ("r1", "e"), ("r1", None), ("r4", "f")]
+    schema = "_root_id string, _row_id string"
+    roots = spark.createDataFrame([("r1",), ("r1",), ("r3",), (None,)], "_row_id string")
+    return spark.createDataFrame(stored, schema), spark.createDataFrame(batch, schema), orphans.root_ids(roots)
+
+
+def test_children_with_repeated_and_null_ids(spark):
+    target, batch, roots = by_root_tables(spark)
+    stale = rows_of(orphans.stale_children(target, roots, batch), "_root_id", "_row_id")
+    assert stale == sorted([("r1", "b"), ("r1", None), ("r3", "d")], key=str)
+    kept = rows_of(orphans.without_stale(target, roots, batch), "_root_id", "_row_id")
+    left = [("r1", "a"), ("r1", "a"), ("r1", None), (None, "n"), ("r2", "c"), ("r2", "c")]
+    assert kept == sorted(left, key=str)
+    emptied = rows_of(orphans.without_stale(target, roots, None), "_root_id", "_row_id")
+    assert emptied == sorted([("r1", None), (None, "n"), ("r2", "c"), ("r2", "c")], key=str)
+    added = rows_of(orphans.insert_children(target, batch), "_root_id", "_row_id")
+    assert added == sorted([*map(tuple, target.collect()), ("r1", "e"), ("r1", None), ("r4", "f")], key=str)
+
+
+@pytest.mark.parametrize("name", ["orphan_stale_rows", "orphan_counts", "orphan_cleanup_result",
+                                  "orphan_emptied_lists", "insert_only_keeps_children", "orphan_all_levels"])
+def test_cleanup_deals_rows_out_by_root_alone(spark, tmp_path, name):
+    """No join of a cleanup moves rows by another key, however small or large its tables are."""
+    from docharbor.catalog import run
+
+    kinds = "l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string"
+    lines = [(k % 7, k, k, k, 1.0 * k, "A", "F", dt.datetime(2020, 1, 1)) for k in range(60)]
+    orders = [(k, k, "OF"[k % 2]) for k in range(5)]
+    for table, rows, schema in (
+        ("lineitem", lines, f"l_orderkey long, {kinds}, l_shipdate timestamp"),
+        ("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string"),
+        ("documents", [(1, "a b\nc", "en"), (2, "d", "de")], "doc_id long, text string, lang string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{table}.parquet")
+    plan = run(name, spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    moved = [x.split("hashpartitioning(")[1].split(",")[0] for x in plan.splitlines() if "hashpartitioning(" in x]
+    assert "BroadcastHashJoin" not in plan
+    assert {x.split("#")[0] for x in moved} <= {"_root_id", "_row_id", "measure"}
+    assert all("_row_id#" not in x or "_root_id#" not in x for x in plan.splitlines() if "Exchange hash" in x)
+
+
 def test_orphans_need_their_link_columns(spark):
     plain = spark.createDataFrame([("a",)], "x string")
     with pytest.raises(LoadError, match="_row_id"):
