@@ -16,14 +16,21 @@ LINES = f"{DOCS}__lines"
 WORDS = f"{LINES}__words"
 
 
-def nested_documents(t: Tables, line_filter: str = "true") -> DataFrame:
-    """Documents as rows with nested lists: lines, and the words of every line."""
+def nested_documents(t: Tables, line_filter: str = "true", by_root: bool = False) -> DataFrame:
+    """Documents as rows with nested lists: lines, and the words of every line.
+
+    With ``by_root`` they are dealt out by their row id before their lists are taken apart, so
+    that joins of the child rows by root id move none of them.
+    """
     lines = F.expr(
         f"transform(filter(split(text, '\\n'), line -> {line_filter}),"
         " line -> named_struct('line', line, 'words', split(line, ' ')))"
     )
-    rows = t.documents.select("doc_id", "lang", lines.alias("lines"))
-    return rows.withColumn(ROW_ID, ids.keyed_row_id(rows, DOCS, ["doc_id"]))
+    rows = t.documents.select("doc_id", "lang", "text")
+    rows = rows.withColumn(ROW_ID, ids.keyed_row_id(rows, DOCS, ["doc_id"]))
+    if by_root:
+        rows = rows.repartition(ROW_ID)
+    return rows.select("doc_id", "lang", lines.alias("lines"), ROW_ID)
 
 
 def sql_lines(line_filter: str = "true", row_filter: str = "true") -> str:
@@ -113,8 +120,9 @@ where doc_id in (from again) and row_id not in (select row_id from w2)
 )
 def orphan_all_levels(t: Tables) -> DataFrame:
     """Stale rows of every level of the chain, found by root id."""
-    first = shape.nest_chain(nested_documents(t), DOCS)
-    second = shape.nest_chain(nested_documents(t, LONG_LINES).filter(SECOND_LANG), DOCS)
+    first = shape.nest_chain(nested_documents(t, by_root=True), DOCS)
+    again = nested_documents(t, LONG_LINES, by_root=True).filter(SECOND_LANG)
+    second = shape.nest_chain(again, DOCS)
     roots = orphans.root_ids(second[DOCS])
     found = [
         orphans.stale_children(first[table].select(ROOT_ID, ROW_ID), roots, second[table]).select(
