@@ -24,8 +24,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docharbor.errors import ConfigError, LoadError
-from docharbor.functions.ids import system_row_id
-from docharbor.functions.names import ID, LOAD_ID, ROOT_ID, ROW_ID, SYSTEM_COLUMNS, qualified_name
+from docharbor.functions.ids import child_row_id, system_row_id
+from docharbor.functions.names import (
+    ID,
+    LIST_IDX,
+    LOAD_ID,
+    PARENT_ID,
+    ROOT_ID,
+    ROW_ID,
+    SYSTEM_COLUMNS,
+    qualified_name,
+)
 from docharbor.operators import reads, system
 from docharbor.operators.shape import ERROR_TYPE, ERRORS
 from docharbor.session import FOOTER_COUNTS, require_utc, settings
@@ -70,6 +79,21 @@ class Layout:
     # row that is its row id; and columns that only later parts store.
     aliases: dict[str, str] = field(default_factory=dict)
     fallbacks: dict[str, str] = field(default_factory=dict)
+    # The name under which the row ids of list elements were made. They are made again when rows
+    # are read: digests do not compress and would be most of a table of short values.
+    row_ids_of: str | None = None
+
+    @property
+    def not_stored(self) -> set[str]:
+        """Columns that follow from others."""
+        return {*self.aliases, *([ROW_ID] if self.row_ids_of else [])}
+
+    def column(self, name: str) -> Column:
+        """A column of the table, out of those that are stored."""
+        name = self.aliases.get(name, name)
+        if name == ROW_ID and self.row_ids_of:
+            return child_row_id(self.column(PARENT_ID), self.row_ids_of, F.col(LIST_IDX))
+        return F.col(f"`{name}`")
 
     @property
     def spark_schema(self) -> T.StructType:
@@ -386,12 +410,12 @@ class Dataset:
         schema = layout.spark_schema
         if not paths:
             return self._no_rows(schema)
-        stored = [f for f in schema.fields if f.name not in layout.aliases]
+        stored = [f for f in schema.fields if f.name not in layout.not_stored]
         rows = self.spark.read.schema(T.StructType([*stored, *PLACES]))
         rows = rows.option("basePath", base).parquet(*paths).filter(condition)
         columns = []
         for name in schema.names:
-            column = F.col(f"`{layout.aliases.get(name, name)}`")
+            column = layout.column(name)
             if name in layout.fallbacks:
                 column = F.coalesce(column, F.col(f"`{layout.fallbacks[name]}`"))
             columns.append(column.alias(name))
@@ -511,7 +535,7 @@ class Dataset:
             bucket = bucket_of(F.col(layout.bucket_by), layout.buckets)
         placed = rows.withColumns(
             {OK: F.col(ERRORS).isNull(), BUCKET: F.coalesce(bucket, F.lit(UNBUCKETED)).cast("int")}
-        ).drop(*layout.aliases)
+        ).drop(*layout.not_stored)
         if rebalance:
             placed = placed.hint("rebalance", BUCKET)
         sort_by = layout.fields.get("default_sorting_field")
@@ -540,16 +564,24 @@ class Dataset:
         self, schema: T.StructType, table: str, path: str, layout: Layout
     ) -> DataFrame:
         """Everything a step wrote, good and rejected rows."""
-        stored = [f for f in schema.fields if f.name not in layout.aliases]
+        stored = [f for f in schema.fields if f.name not in layout.not_stored]
         rows = self.spark.read.schema(T.StructType([*stored, *PLACES[2:]])).parquet(
             self._folder(table, path)
         )
-        return rows.withColumns(
-            {n: F.col(o) for n, o in layout.aliases.items() if n in schema.names}
-        )
+        made = [n for n in schema.names if n in layout.not_stored]
+        return rows.withColumns({n: layout.column(n) for n in made})
 
-    def stage(self, rows: DataFrame, table: str, load_id: str) -> DataFrame:
-        """Write rows that several steps use, and read them back."""
+    def stage(
+        self, rows: DataFrame, table: str, load_id: str, buckets: int | None = None
+    ) -> DataFrame:
+        """Write rows that several steps use, and read them back.
+
+        With ``buckets`` a file holds rows of few buckets of child rows, so that what is exploded
+        from a file goes to few folders and need not move.
+        """
+        if buckets is not None:
+            bucket = bucket_of(F.col(ROW_ID), buckets).alias(BUCKET)
+            rows = rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET).drop(BUCKET)
         path = self._folder(STAGE, f"{LOAD}={load_id}", table)
         writer = rows.write.mode("overwrite").option("parquet.block.size", STAGE_BLOCK_BYTES)
         writer.parquet(path)
@@ -565,7 +597,8 @@ class Dataset:
             schema = self.layout(table).spark_schema
             return self._no_rows(schema).withColumn(ERRORS, F.lit(None).cast(ERROR_TYPE))
         rows = self.spark.read.parquet(path).drop(BUCKET)
-        return rows.withColumns({n: F.col(o) for n, o in self.layout(table).aliases.items()})
+        layout = self.layout(table)
+        return rows.withColumns({n: layout.column(n) for n in sorted(layout.not_stored)})
 
 
 def document_schema(schema: T.StructType, fields: Mapping[str, Any]) -> T.StructType:

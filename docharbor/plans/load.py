@@ -18,6 +18,7 @@ from docharbor.errors import ConfigError, LoadError, SchemaError
 from docharbor.functions import ids
 from docharbor.functions.names import (
     ID,
+    LIST_IDX,
     LOAD_ID,
     PARENT_ID,
     ROOT_ID,
@@ -155,7 +156,10 @@ class _Resource:
         rows = self._one_per_key(rows)
         if children:
             # Every table of the chain reads the rows, so shape them once.
-            rows = self.dataset.stage(rows, spec.name, self.load_id)
+            known = self.stored.get(spec.name)
+            buckets = known.buckets if known is not None else spec.buckets
+            merged = spec.disposition == "merge"
+            rows = self.dataset.stage(rows, spec.name, self.load_id, buckets if merged else None)
         chain = nest_chain(rows, spec.name, spec.inline_columns())
         old_children = [n for n, lay in self.stored.items() if lay.root == spec.name]
         roots = self._load_root(chain[spec.name])
@@ -238,7 +242,8 @@ class _Resource:
             "batch",
             layout,
             bucketed=bucketed,
-            rebalance=bucketed,
+            # Child rows come from files that were dealt out by their buckets.
+            rebalance=bucketed and layout.parent is None,
             max_rows_per_file=self.spec.max_rows_per_file,
         )
         outcome = TableResult(written.total, written.failed)
@@ -275,6 +280,8 @@ class _Resource:
             root=None if is_root else self.spec.name,
             buckets=self.spec.buckets,
             aliases=aliases,
+            # Every child row is an element of a list.
+            row_ids_of=None if is_root else name,
         )
         if old is not None:
             kinds = {f.name: f.dataType for f in old.spark_schema.fields}
@@ -283,6 +290,7 @@ class _Resource:
             every = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
             layout.schema = document_schema(every, fields).jsonValue()
             layout.buckets = old.buckets
+            layout.row_ids_of = old.row_ids_of
             # A table that was appended to and merged into stores its ids from then on.
             layout.aliases = {n: o for n, o in aliases.items() if old.aliases.get(n) == o}
             layout.fallbacks = {
@@ -450,7 +458,7 @@ class _Resource:
         if cleans and existing:
             replaced = 0
             if staged is not None:
-                replaced = target.join(staged.select(ROW_ID), ROW_ID, "left_semi").count()
+                replaced = self._written_again(target, staged, old)
             outcome.removed_orphans = existing - replaced
         outcome.updated = replaced
         if not hits:
@@ -478,10 +486,29 @@ class _Resource:
             kept = target.join(keys, on, "left_anti").select(
                 *[F.col(f"`{c}`") for c in target.columns]
             )
-            rewritten = self._rewrite(name, layout, kept, "kept", not (small or by_id))
+            # Joined by the hash that makes the buckets: with a multiple of them as partitions,
+            # every task holds rows of one bucket, and no second shuffle is needed.
+            tasks = int(self.dataset.spark.conf.get("spark.sql.shuffle.partitions"))
+            even = on == layout.bucket_by and tasks % layout.buckets == 0
+            rewritten = self._rewrite(name, layout, kept, "kept", not (small or by_id or even))
         kept_parts = [rewritten.part] if rewritten.part.buckets else []
         return [*old.without_buckets(touched), *batch, *kept_parts]
 
+    def _written_again(self, target: DataFrame, staged: DataFrame, old: Layout) -> int:
+        """How many stored child rows have their row id in the batch."""
+        if not old.row_ids_of:
+            return target.join(staged.select(ROW_ID), ROW_ID, "left_semi").count()
+        # A row id is made of the parent and the place in its list. These two are moved, by the
+        # parent: elements of a list stay beside each other, and their parent compresses.
+        place = [PARENT_ID, LIST_IDX]
+        both = target.select(*place, F.lit(1).alias("_stored")).unionByName(
+            staged.select(*place, F.lit(0).alias("_stored"))
+        )
+        met = both.repartition(PARENT_ID).groupBy(*place).agg(
+            F.sum("_stored").alias("times"), F.min("_stored").alias("least")
+        )
+        return met.filter("least = 0").agg(F.sum("times")).first()[0] or 0
+
     def _buckets_of(
         self, keys: DataFrame, on: str, written: Written | None, layout: Layout
     ) -> set[int]:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import replace
+
 import pytest
 
 from docharbor import ConfigError, LoadError, LoadSpec, RejectedRows, run_load
 from docharbor.functions.names import ID, LIST_IDX, PARENT_ID, ROOT_ID, ROW_ID
 from docharbor.operators import dispositions
 from docharbor.plans.dataset import Dataset
+from docharbor.plans.load import _Resource
 
 ITEMS = "order_id string, items array<struct<sku:string>>"
 PARTS = "order_id string, items array<struct<sku:string, parts:array<struct<pn:string>>>>"
@@ -161,6 +165,43 @@ def test_orphans_are_removed_at_every_level(dataset):
     assert values(dataset, "orders__items__parts", "pn") == [("p1",)]
 
 
+@pytest.mark.parametrize("disposition", ["merge", "replace"])
+def test_row_ids_of_list_elements_are_made_when_read(spark, dataset, disposition):
+    key = {"primary_key": "order_id"} if disposition == "merge" else {}
+    spec = LoadSpec("orders", disposition, buckets=2, **key)
+    full = [("o1", [("a", [("p1",), ("p2",)]), ("b", [("p3",)])]), ("o2", [("c", [("p4",)])])]
+    put(dataset, spec, full, PARTS, "l1")
+    for table in ("orders__items", "orders__items__parts"):
+        (part,) = dataset.layout(table).parts
+        stored = spark.read.parquet(f"{dataset.path}/{table}/{part.path}")
+        assert not {ID, ROW_ID} & set(stored.columns)
+        for r in dataset.read(table).select(ID, ROW_ID, PARENT_ID, LIST_IDX).collect():
+            text = "\u0001".join([r[PARENT_ID], table, str(r[LIST_IDX])])
+            assert r[ID] == r[ROW_ID] == hashlib.sha256(text.encode()).hexdigest()[:32]
+    items, parts = dataset.read("orders__items"), dataset.read("orders__items__parts")
+    assert {r[PARENT_ID] for r in parts.collect()} == {r[ROW_ID] for r in items.collect()}
+    done = put(dataset, spec, [("o1", [("a", [("p1",), ("p5",)])])], PARTS, "l2")
+    if disposition == "merge":
+        assert values(dataset, "orders__items__parts", "pn") == [("p1",), ("p4",), ("p5",)]
+        changes = done.tables["orders__items__parts"]
+        assert (changes.updated, changes.removed_orphans) == (2, 1)
+
+
+def test_child_tables_that_store_row_ids_go_on_doing_so(spark, dataset, monkeypatch):
+    """Tables of an earlier version of the library have no name to make the ids of."""
+    spec = LoadSpec("orders", "merge", primary_key="order_id", buckets=2)
+    made = _Resource._layout
+    monkeypatch.setattr(_Resource, "_layout", lambda *a: replace(made(*a), row_ids_of=None))
+    put(dataset, spec, [("o1", [("a",), ("b",)]), ("o2", [("c",)])], ITEMS, "l1")
+    monkeypatch.undo()
+    before = dict(values(dataset, "orders__items", "sku", ROW_ID))
+    done = put(dataset, spec, [("o1", [("a",)])], ITEMS, "l2")
+    changes = done.tables["orders__items"]
+    assert (changes.updated, changes.removed_orphans) == (1, 1)
+    after = dict(values(dataset, "orders__items", "sku", ROW_ID))
+    assert after == {k: before[k] for k in ("a", "c")}
+
+
 @pytest.mark.parametrize("change", [{"remove_orphans": False}, {"strategy": "insert-only"}])
 def test_orphans_stay_when_cleanup_is_off(dataset, change):
     spec = LoadSpec("orders", "merge", primary_key="order_id", **change)
