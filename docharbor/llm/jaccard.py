@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,10 @@ from docharbor.llm.common import bound_batches, hashed, inside, mixed, per_slice
 from docharbor.llm.graph import components
 
 
-#: Places of the table of token frequencies; it is broadcast, a byte or so each.
-TABLE_BITS = 19
+#: Bytes of text for each place of the table of token frequencies, and the least and most places (powers of 2).
+#: The table is broadcast, a byte each; it is counted and sent in blocks of the least places.
+PLACE_BYTES = 128
+BLOCK_BITS, MOST_BITS = 16, 25
 
 
 @dataclass(frozen=True)
@@ -35,6 +38,11 @@ class Join:
         """At least 0 in sum for two sets of ``n`` tokens, ``delta`` apart from a third, if they surely link."""
         return (100 - self.percent) * n - (100 + self.percent) * delta
 
+    @property
+    def unit(self) -> int:
+        """What ``spare`` of two sets grows by for each difference that they share."""
+        return 2 * (100 + self.percent)
+
     def least(self, n):
         """What a set of ``n`` shares at least with any that links to it."""
         return (self.percent * n + 99) // 100
@@ -97,25 +105,53 @@ def _rows(docs: DataFrame, p: Join) -> DataFrame:
     return docs.mapInArrow(per_slice("text", make), f"doc_id {kind}, th long, n long, digest binary")
 
 
+def _table_bits(docs: DataFrame) -> int:
+    """The places of a table that grows with the texts, so that rare tokens seldom share one with many others."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return min(MOST_BITS, max(BLOCK_BITS, (size // PLACE_BYTES).bit_length()))
+
+
+def _in_table(tokens: np.ndarray, level_of: np.ndarray) -> np.ndarray:
+    """The tokens' places in a table."""
+    return (tokens >> np.uint64(65 - len(level_of).bit_length())).astype(np.int64)
+
+
 def _levels(docs: DataFrame, p: Join) -> np.ndarray:
-    """How frequent the tokens of a place in a table of ``2 ** TABLE_BITS`` are, over all documents.
+    """How frequent the tokens of a place in a table are, over all documents.
 
-    Level 0 is what chance puts into a place, each further level doubles. Its size is fixed.
+    Level 0 is what chance puts into a place, each further level doubles. Tasks count, blocks of places are
+    summed apart, and a byte for each place is all that reaches the driver.
     """
+    bits = _table_bits(docs)
 
     def count(batches):
-        total = np.zeros(1 << TABLE_BITS, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         for batch in slices(batches, "text"):
             for s in _sets_of(batch, p.words):
-                np.add.at(total, (s >> np.uint64(64 - TABLE_BITS)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(1 << TABLE_BITS)
-    total[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
-    chance = np.median(total)
-    return np.log2(np.maximum(1, total / (2 + chance + 4 * np.sqrt(chance)))).astype(np.int64)
+                np.add.at(total, _in_table(s, total), 1)
+        blocks = total.reshape(-1, 1 << BLOCK_BITS)
+        some = np.flatnonzero(blocks.any(1))
+        counts = [pa.compress(blocks[i].tobytes(), "zstd", asbytes=True) for i in some.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts, pa.binary())], ["block", "counts"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, data in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+                raw = pa.decompress(data.as_buffer(), 4 << BLOCK_BITS, "zstd")
+                total.setdefault(i, np.zeros(1 << BLOCK_BITS, np.int64))
+                total[i] += np.frombuffer(raw, np.uint32)
+        levels = []
+        for n in total.values():
+            chance = np.median(n)
+            levels.append(np.log2(np.maximum(1, n / (2 + chance + 4 * np.sqrt(chance)))).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], ["block", "levels"])
+
+    counted = docs.select("text").mapInArrow(count, "block int, counts binary").repartition("block")
+    out = np.zeros((1 << bits - BLOCK_BITS, 1 << BLOCK_BITS), np.uint8)
+    for r in counted.mapInArrow(add, "block int, levels binary").toLocalIterator():
+        out[r["block"]] = np.frombuffer(r["levels"], np.uint8)
+    return out.reshape(-1)
 
 
 def _classes(docs: DataFrame, levels: Broadcast, p: Join) -> DataFrame:
@@ -124,12 +160,12 @@ def _classes(docs: DataFrame, levels: Broadcast, p: Join) -> DataFrame:
     ``prefix`` holds its first tokens in the order of all tokens, the rare before the frequent, then by
     hash; ``place`` the id and text hash of one document.
     """
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets, level_of = _sets_of(batch, p.words), received(levels)
+    def make(batch: pa.RecordBatch, level_of: np.ndarray) -> pa.RecordBatch:
+        sets = _sets_of(batch, p.words)
         keep = [i for i, s in enumerate(sets) if len(s)]
         cut = []
         for i in keep:
-            level = level_of[(sets[i] >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+            level = level_of[_in_table(sets[i], level_of)]
             first = np.argsort(level, kind="stable")[: int(p.prefix(len(sets[i])))]
             cut.append(sets[i][first].view(np.int64))
         at = pa.array(keep, pa.int64())
@@ -146,7 +182,11 @@ def _classes(docs: DataFrame, levels: Broadcast, p: Join) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, th long, n long, digest binary, prefix array<long>"
-    found = docs.mapInArrow(per_slice("text", make), schema).groupBy("digest").agg(
+
+    def run(batches):
+        yield from per_slice("text", partial(make, level_of=received(levels)))(batches)
+
+    found = docs.mapInArrow(run, schema).groupBy("digest").agg(
         F.first(F.struct("doc_id", "th", "n", "prefix")).alias("f")
     )
     place = F.struct("f.doc_id", "f.th").alias("place")
@@ -298,18 +338,17 @@ def _differences(members: DataFrame, sets: DataFrame, levels: Broadcast, p: Join
     rows = members.join(sets, "uid").join(bases, "base")
     rows = rows.select("base", "uid", "n", "group", "tokens", "b.token", "b.df")
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        level_of = received(levels)
+    def make(batch: pa.RecordBatch, level_of: np.ndarray) -> pa.RecordBatch:
         columns = (batch.column(c).to_pylist() for c in ("tokens", "token", "df"))
         lists, words = [], np.zeros((batch.num_rows, MAP_WORDS), np.uint64)
         for i, (own, base, df) in enumerate(zip(*columns, strict=True)):
             own, base, df = np.array(own, np.int64), np.array(base or [], np.int64), np.array(df or [], np.int64)
             plus = np.setdiff1d(own, base)
             less = ~np.isin(base, own)
-            place = (plus.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+            place = _in_table(plus.view(np.uint64), level_of)
             # What is missing from a set is named apart from what it has beside the base.
             names = np.r_[plus.view(np.uint64), mixed(base[less].view(np.uint64) + np.uint64(1))]
-            rank = np.r_[1 << level_of[place], df[less]]
+            rank = np.r_[1 << level_of[place].astype(np.int64), df[less]]
             names = names[np.lexsort((names, rank))]
             bit = names % np.uint64(64 * MAP_WORDS)
             np.bitwise_or.at(words[i], (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
@@ -320,35 +359,49 @@ def _differences(members: DataFrame, sets: DataFrame, levels: Broadcast, p: Join
         return pa.RecordBatch.from_arrays([*kept, pa.array(lists, pa.list_(pa.int64())), *maps], names)
 
     def run(batches):
+        level_of = received(levels)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
-                yield make(batch.slice(at, 200))
+                yield make(batch.slice(at, 200), level_of)
 
     schema = "base long, uid long, n long, group long, apart array<long>, " + ", ".join(f"w{w} long" for w in range(MAP_WORDS))
     found = rows.mapInArrow(run, schema).withColumn("delta", F.size("apart").cast("long"))
     return stored(found.withColumn("spare", p.spare(F.col("n"), F.col("delta"))), "differences")
 
 
-def _at_common_tokens(differences: DataFrame, p: Join) -> tuple[DataFrame, DataFrame]:
-    """``a, b``: links that are sure, and pairs that may link, of sets that share common tokens alone.
+def _parts(differences: DataFrame, p: Join) -> DataFrame:
+    """The rows of ``differences`` that may link to another, ``near`` and ``center``, by ``token``: one of the first apart.
 
     Two members are at most ``delta + delta2`` apart, less two for each difference they share. Members whose
-    ``spare`` adds up to 0 surely link; all of these link to the member of most spare. Any others must share
-    ``k = -(spare + spare2) / (2 * (100 + percent))`` differences, so they share one of the first
-    ``delta - k + 1`` of each; they meet there, if the maps leave room for ``k``.
+    ``spare`` adds up to 0 surely link; all the ``near`` ones link to the ``center``, the member of most spare. Any
+    others must share ``k = -(spare + spare2) / (2 * (100 + percent))`` differences, so they share one of the first
+    ``delta - k + 1`` of each. ``spare2`` is at most the ``top`` of the members that are near in size.
     """
+    # Sets that link are of one or of adjoining classes of size.
+    rows = differences.withColumn("size", F.floor(F.log(F.col("n")) / F.log(F.lit(101 / p.percent))))
+    tops = rows.groupBy("base", "size").agg(F.max("spare").alias("top"))
+    around = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size")
+    tops = tops.select("base", around, "top").groupBy("base", "size").agg(F.max("top").alias("top"))
     best = differences.groupBy("base").agg(F.max(F.struct("spare", "uid")).alias("m"))
-    rows = differences.join(best.select("base", F.col("m.spare").alias("most"), F.col("m.uid").alias("center")), "base")
+    best = best.select("base", F.col("m.spare").alias("most"), F.col("m.uid").alias("center"))
+    rows = rows.join(tops, ["base", "size"]).join(best, "base")
     near = F.col("spare") + F.col("most") >= 0
-    sure = rows.where(near & (F.col("uid") != F.col("center"))).select(F.col("uid").alias("a"), F.col("center").alias("b"))
-    unit = 2 * (100 + p.percent)
-    fewest = F.when(near, F.col("most") - F.col("spare")).otherwise(-(F.col("spare") + F.col("most"))) / unit
-    first = F.col("delta") - F.greatest(F.lit(1), F.ceil(fewest)) + 1
-    rows = rows.withColumn("near", near).where(first > 0)
+    fewest = F.when(near, F.col("most") - F.col("spare")).otherwise(-(F.col("spare") + F.col("top"))) / p.unit
+    first = F.greatest(F.lit(0), F.col("delta") - F.greatest(F.lit(1), F.ceil(fewest)) + 1)
+    rows = rows.withColumn("near", near).withColumn("first", F.slice("apart", F.lit(1), first.cast("int")))
     maps = [f"w{w}" for w in range(MAP_WORDS)]
-    parts = rows.select(
-        "base", "uid", "n", "group", "delta", "spare", "near", *maps, F.explode(F.slice("apart", F.lit(1), first.cast("int"))).alias("token")
-    )
+    return rows.select("base", "uid", "n", "group", "delta", "spare", "near", "center", *maps, F.explode_outer("first").alias("token"))
+
+
+def _at_common_tokens(differences: DataFrame, p: Join) -> tuple[DataFrame, DataFrame]:
+    """``a, b``: links that are sure, and pairs that may link, of sets that share common tokens alone.
+
+    They meet at one of their first differences, see :func:`_parts`, if the maps leave room for as many as
+    they must share.
+    """
+    parts = stored(_parts(differences, p), "parts")
+    sure = parts.where(F.col("near") & (F.col("uid") != F.col("center"))).select(F.col("uid").alias("a"), F.col("center").alias("b")).distinct()
+    parts = parts.drop("center").where(F.col("token").isNotNull())
     other = parts.select(*(F.col(c).alias(f"{c}2") for c in parts.columns))
 
     def room(delta: str, mine: str, theirs: str) -> Column:
@@ -357,7 +410,7 @@ def _at_common_tokens(differences: DataFrame, p: Join) -> tuple[DataFrame, DataF
 
     shared = F.least(room("delta", "", "2"), room("delta2", "2", ""))
     fit = F.expr("base = base2 and token = token2 and uid < uid2 and `group` <> group2 and not (near and near2)")
-    fit = fit & _near_size(p, "n", "n2") & (unit * shared >= -(F.col("spare") + F.col("spare2")))
+    fit = fit & _near_size(p, "n", "n2") & (p.unit * shared >= -(F.col("spare") + F.col("spare2")))
     pairs = parts.join(other, fit).select(F.col("uid").alias("a"), F.col("uid2").alias("b"))
     return sure, pairs.distinct()
 

@@ -2,7 +2,10 @@
 
 import random
 
-from docharbor.llm.jaccard import Join, component_report, drop_near_duplicates
+import numpy as np
+from pyspark.sql import functions as F
+
+from docharbor.llm.jaccard import Join, _in_table, _levels, _parts, _table_bits, component_report, drop_near_duplicates, shingle_sets
 
 SCHEMA = "doc_id long, text string, TEXT string, uid int, n int"
 
@@ -92,3 +95,27 @@ def test_one_document_of_each_group_stays(spark):
 def test_no_rows(spark):
     assert component_report(frame(spark, []), Join()).count() == 0
     assert drop_near_duplicates(frame(spark, [])).count() == 0
+
+
+def test_the_table_of_frequencies_grows_with_the_texts(spark):
+    """With as many places for any input, chance hid more and more frequent tokens as the texts grew."""
+    texts = spark.range(64).select(F.repeat(F.lit("a "), 1 << 19).cast("binary").alias("text"))
+    assert _table_bits(texts) == _table_bits(texts.where("id < 8")) + 3 == 20
+    rows = [(f"a passage in all of these texts {i} and {i + 1}",) for i in range(0, 400, 2)]
+    docs = spark.createDataFrame(rows, "text string").select(F.col("text").cast("binary").alias("text"))
+    level_of = _levels(docs, Join(3, 90))
+    of = lambda t: level_of[_in_table(shingle_sets([t.split()], 3)[0], level_of)]
+    assert len(level_of) == 1 << 16 and level_of.dtype == np.uint8
+    assert (of(b"a passage in all") >= 5).all() and (of(b"these texts 8") == 0).all()
+    assert not _levels(docs.limit(0), Join()).any()
+
+
+def test_members_of_a_group_meet_at_what_sets_of_their_size_may_share(spark):
+    """Small sets near a base once made large ones, that can't link to them, meet at more of their differences."""
+    p = Join(5, 80)
+    sets = [(i, 400, 300) for i in range(50)] + [(100 + i, 40, 30) for i in range(5)]
+    rows = [(1, uid, n, uid, list(range(delta)), 0, 0, 0, 0, delta, p.spare(n, delta)) for uid, n, delta in sets]
+    schema = "base long, uid long, n long, group long, apart array<long>, w0 long, w1 long, w2 long, w3 long, delta long, spare long"
+    counts = {r["uid"]: r["count"] for r in _parts(spark.createDataFrame(rows, schema), p).groupBy("uid").count().collect()}
+    assert len(counts) == 55  # 256 of 300 differences must be shared by two large ones, 26 of 30 by two small ones
+    assert {counts[i] for i in range(50)} == {300 - 256 + 1} and {counts[100 + i] for i in range(5)} == {30 - 26 + 1}
