@@ -86,25 +86,6 @@ def _place(doc_id: str, th: str) -> list[Column]:
     return [text.isNull().alias("no_id"), F.coalesce(text, F.lit("")).alias("id"), F.col(th).alias("th")]
 
 
-def _rows(docs: DataFrame, p: Join) -> DataFrame:
-    """``doc_id, th, n, digest`` of each row: the size and a 128-bit name of its set."""
-
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = _sets_of(batch, p.words)
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("th"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-            ],
-            ["doc_id", "th", "n", "digest"],
-        )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(per_slice("text", make), f"doc_id {kind}, th long, n long, digest binary")
-
-
 def _table_bits(docs: DataFrame) -> int:
     """The places of a table that grows with the texts, so that rare tokens seldom share one with many others."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -116,23 +97,43 @@ def _in_table(tokens: np.ndarray, level_of: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(65 - len(level_of).bit_length())).astype(np.int64)
 
 
-def _levels(docs: DataFrame, p: Join) -> np.ndarray:
-    """How frequent the tokens of a place in a table are, over all documents.
+def _described(docs: DataFrame, p: Join, bits: int) -> DataFrame:
+    """``doc_id, th, n, digest`` of each row: the size and a 128-bit name of its set.
 
-    Level 0 is what chance puts into a place, each further level doubles. Tasks count, blocks of places are
-    summed apart, and a byte for each place is all that reaches the driver.
+    Rows with a ``block`` hold instead how many tokens a task has met at the places of that block of a table
+    of ``2 ** bits``: the texts are read once for both.
     """
-    bits = _table_bits(docs)
+    names = ["doc_id", "th", "n", "digest", "block", "counts"]
 
-    def count(batches):
-        total = np.zeros(1 << bits, np.uint32)
+    def run(batches):
+        total, kinds = np.zeros(1 << bits, np.uint32), None
         for batch in slices(batches, "text"):
-            for s in _sets_of(batch, p.words):
+            sets = _sets_of(batch, p.words)
+            for s in sets:
                 np.add.at(total, _in_table(s, total), 1)
-        blocks = total.reshape(-1, 1 << BLOCK_BITS)
-        some = np.flatnonzero(blocks.any(1))
-        counts = [pa.compress(blocks[i].tobytes(), "zstd", asbytes=True) for i in some.tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts, pa.binary())], ["block", "counts"])
+            n, digest = [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            kinds = [batch.column("doc_id").type, pa.int64(), pa.int64(), pa.binary()]
+            own = [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(digest, pa.binary())]
+            none = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*own, *none], names)
+        if kinds:
+            blocks = total.reshape(-1, 1 << BLOCK_BITS)
+            some = np.flatnonzero(blocks.any(1))
+            counts = [pa.compress(blocks[i].tobytes(), "zstd", asbytes=True) for i in some.tolist()]
+            none = [pa.nulls(len(some), k) for k in kinds]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(some.astype(np.int32)), pa.array(counts, pa.binary())], names)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, th long, n long, digest binary, block int, counts binary"
+    return stored(docs.mapInArrow(run, schema), "described")
+
+
+def _levels(described: DataFrame, bits: int) -> np.ndarray:
+    """How frequent the tokens of a place in a table are, over all documents.
+
+    Level 0 is what chance puts into a place, each further level doubles. Tasks count, blocks of places are
+    summed apart, and a byte for each place is all that reaches the driver.
+    """
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
@@ -147,10 +148,11 @@ def _levels(docs: DataFrame, p: Join) -> np.ndarray:
             levels.append(np.log2(np.maximum(1, n / (2 + chance + 4 * np.sqrt(chance)))).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], ["block", "levels"])
 
-    counted = docs.select("text").mapInArrow(count, "block int, counts binary").repartition("block")
+    counted = described.where("block is not null").select("block", "counts").repartition("block")
+    found = counted.mapInArrow(add, "block int, levels binary").toArrow()
     out = np.zeros((1 << bits - BLOCK_BITS, 1 << BLOCK_BITS), np.uint8)
-    for r in counted.mapInArrow(add, "block int, levels binary").toLocalIterator():
-        out[r["block"]] = np.frombuffer(r["levels"], np.uint8)
+    for i, levels in zip(found.column("block").to_pylist(), found.column("levels").to_pylist(), strict=True):
+        out[i] = np.frombuffer(levels, np.uint8)
     return out.reshape(-1)
 
 
@@ -465,12 +467,14 @@ def near_duplicates(docs: DataFrame, p: Join = Join()) -> DataFrame:
     """
     bound_batches(docs.sparkSession)
     own = _keyed(docs)
-    levels = shipped(docs.sparkSession, _levels(own, p))
+    bits = _table_bits(own)
+    described = _described(own, p, bits)
+    levels = shipped(docs.sparkSession, _levels(described, bits))
     classes = _classes(own, levels, p)
     label = _links(classes, own, levels, p).withColumnRenamed("node", "uid")
     named = classes.select("uid", "digest").join(label, "uid", "left")
     named = named.select("digest", F.coalesce("label", "uid").alias("group"))
-    rows = _rows(own, p).groupBy("doc_id", "th").agg(
+    rows = described.where("block is null").groupBy("doc_id", "th").agg(
         F.count("*").alias("n_rows"), F.first("n").alias("n_shingles"), F.first("digest").alias("digest")
     )
     full = rows.where("n_shingles > 0").join(named, "digest")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from docharbor.llm.jaccard import Join, _in_table, _levels, _parts, _table_bits, component_report, drop_near_duplicates, shingle_sets
+from docharbor.llm.jaccard import Join, _described, _in_table, _keyed, _levels, _parts, _table_bits, component_report, drop_near_duplicates, shingle_sets
 
 SCHEMA = "doc_id long, text string, TEXT string, uid int, n int"
 
@@ -102,12 +102,13 @@ def test_the_table_of_frequencies_grows_with_the_texts(spark):
     texts = spark.range(64).select(F.repeat(F.lit("a "), 1 << 19).cast("binary").alias("text"))
     assert _table_bits(texts) == _table_bits(texts.where("id < 8")) + 3 == 20
     rows = [(f"a passage in all of these texts {i} and {i + 1}",) for i in range(0, 400, 2)]
-    docs = spark.createDataFrame(rows, "text string").select(F.col("text").cast("binary").alias("text"))
-    level_of = _levels(docs, Join(3, 90))
+    docs = _keyed(spark.createDataFrame(rows, "text string").withColumn("doc_id", F.lit(1)))
+    bits = _table_bits(docs)
+    level_of = _levels(_described(docs, Join(3, 90), bits), bits)
     of = lambda t: level_of[_in_table(shingle_sets([t.split()], 3)[0], level_of)]
     assert len(level_of) == 1 << 16 and level_of.dtype == np.uint8
     assert (of(b"a passage in all") >= 5).all() and (of(b"these texts 8") == 0).all()
-    assert not _levels(docs.limit(0), Join()).any()
+    assert not _levels(_described(docs.limit(0), Join(), bits), bits).any()
 
 
 def test_members_of_a_group_meet_at_what_sets_of_their_size_may_share(spark):
@@ -119,3 +120,18 @@ def test_members_of_a_group_meet_at_what_sets_of_their_size_may_share(spark):
     counts = {r["uid"]: r["count"] for r in _parts(spark.createDataFrame(rows, schema), p).groupBy("uid").count().collect()}
     assert len(counts) == 55  # 256 of 300 differences must be shared by two large ones, 26 of 30 by two small ones
     assert {counts[i] for i in range(50)} == {300 - 256 + 1} and {counts[100 + i] for i in range(5)} == {30 - 26 + 1}
+
+
+def test_texts_are_read_once_for_sizes_names_and_frequencies(spark):
+    """They were read a second and a third time for the sizes and names alone."""
+    read = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(i, f"a text of its own {i}") for i in range(50)] + [(50, None)], "doc_id long, text string")
+    found = component_report(docs.mapInArrow(look, docs.schema), Join(3, 90))
+    assert sorted(map(tuple, found.collect())) == [(i, 4, i) for i in range(50)] + [(50, 0, 50)]
+    assert read.value == 4 * 51  # how long the texts are, what is in them, prefixes, and sets to verify
