@@ -37,6 +37,19 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
+def parted(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``(chunks, ends)`` of the texts in a row, see :func:`chunks`."""
+    if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+        lists = pa.array([chunks(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+    else:
+        lists = pc.utf8_split_whitespace(texts)
+    flat = lists.flatten()
+    some = pc.greater(pc.binary_length(flat), 0)  # white space at an end has an empty chunk beyond it
+    before = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64)
+    return flat.filter(some), before[ends]
+
+
 # Letters and numerals, by code point in base 16, that the regex module knows but the
 # tables of the public tokenizers (Unicode 16) don't have yet; they count as signs.
 _LATER = """558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7E2 A7F1 A7DD AB6C-AB6D 107BB-107BF
@@ -57,8 +70,10 @@ _PARTS = (
     rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_new}]]+|[\p{{N}}--[{_new}]]"
     rf"|[[^\p{{White_Space}}\p{{L}}\p{{N}}]||[{_new}]]+"
 )
-_PART, _PART_OR_END = regex.compile(_PARTS), regex.compile(_PARTS + r"|\n")
-_ANY_CAPITAL = regex.compile("[" + "".join(map(chr, _CAPITALS)) + "]")
+_PART = regex.compile(_PARTS)
+# A sign behind letters is a word of its own.
+_SIGNS = frozenset("!#$%&()*+,-./:;=?@[]_|}~\"")
+_ANY_CAPITAL = re.compile("[" + "".join(map(chr, _CAPITALS)) + "]")
 
 
 def byte_letters() -> list[str]:
@@ -113,17 +128,26 @@ class Vocabulary:
                 out += _PART.findall(normal(p))
         return out
 
-    def words_of(self, chunks: list[str]) -> list[str | int]:
-        """The words of many chunks, a line feed after each chunk's."""
-        if any(map(self.has_special, chunks)):
-            out: list[str | int] = []
-            for c in chunks:
-                out += (*self.words(c), "\n")
-            return out
-        return _PART_OR_END.findall(normal("\n".join(chunks)) + "\n") if chunks else []
-
-    def has_special(self, chunk: str) -> bool:
-        return "<" in chunk and bool(self._special and self._special.search(chunk))
+    def words_of(self, chunks: list[str]) -> tuple[list[str | int], list[int]]:
+        """The words of many chunks in a row, and how many each chunk has."""
+        joined = "\n".join(chunks)
+        if any(t in joined for t in self.special):
+            lists = [self.words(c) for c in chunks]
+            return [*chain.from_iterable(lists)], [*map(len, lists)]
+        out: list[str | int] = []
+        sizes, find = [], _PART.findall
+        for c in normal(joined).split("\n") if chunks else []:
+            if c.isalpha():
+                out.append(c)
+                sizes.append(1)
+            elif c[-1:] in _SIGNS and c[:-1].isalpha():
+                out += (c[:-1], c[-1])
+                sizes.append(2)
+            else:
+                parts = find(c)
+                out += parts
+                sizes.append(len(parts))
+        return out, sizes
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word by the merges in order of rank, leftmost first."""
@@ -356,41 +380,40 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         """Keeps the ids of new chunks, made of the ids of their words."""
-        parts = self.vocabulary.words_of(new)
-        distinct = [w for w in dict.fromkeys(parts) if w not in self.words]
-        raw = [w.encode() if isinstance(w, str) else b"" for w in distinct]
+        parts, times = self.vocabulary.words_of(new)
+        distinct = list(set(parts).difference(self.words))
+        plain = [w for w in distinct if isinstance(w, str)]
+        special = [w for w in distinct if isinstance(w, int)] if len(plain) < len(distinct) else []
+        raw = [w.encode() for w in plain]
         number = self.transducer.numbers(self.maps, raw)
-        known, rare = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        known, rare = np.flatnonzero(number >= 0), np.flatnonzero(number < 0).tolist()
         start, pool = self.maps["start"], self.maps["ids"]
-        sizes = start[number[known] + 1] - start[number[known]]
-        self.word_ids.add(pool[_ranges(start[number[known]], sizes)], sizes)
-        names = [distinct[i] for i in known.tolist()]
-        plain = [i for i in rare.tolist() if distinct[i] != "\n" and isinstance(distinct[i], str)]
-        self.word_ids.add(*self.vocabulary.merge_many([raw[i] for i in plain]))
-        names += [distinct[i] for i in plain]
-        other = [w for w in distinct if w == "\n" or isinstance(w, int)]
-        self.word_ids.add(np.array([w for w in other if w != "\n"], np.int32), np.array([w != "\n" for w in other], np.int64))
-        for i, w in enumerate(names + other, len(self.words)):
-            self.words[w] = i
+        first = start[number[known]]
+        sizes = start[number[known] + 1] - first
+        self.word_ids.add(pool[_ranges(first, sizes)], sizes)
+        self.word_ids.add(*self.vocabulary.merge_many([raw[i] for i in rare]))
+        self.word_ids.add(np.array(special, np.int32), np.ones(len(special), np.int64))
+        names = chain((plain[i] for i in known.tolist()), (plain[i] for i in rare), special)
+        self.words.update(zip(names, range(len(self.words), len(self.words) + len(distinct)), strict=True))
         code = np.fromiter(map(self.words.__getitem__, parts), np.int64, len(parts))
         ids, size = self.word_ids.of(code)
-        ends = np.flatnonzero(code == self.words["\n"])
-        before = np.cumsum(size)[ends]
-        self.chunk_ids.add(ids, np.diff(before, prepend=0))
-        for i, c in enumerate(new, len(self.chunks)):
-            self.chunks[c] = i
+        before = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *times])]
+        self.chunk_ids.add(ids, np.diff(before))
+        self.chunks.update(zip(new, range(len(self.chunks), len(self.chunks) + len(new)), strict=True))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, ends)`` of the texts in a row."""
-        parted = [chunks(t) for t in texts]
-        sizes = np.cumsum([0, *map(len, parted)])
+        flat, sizes = parted(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         if max(len(self.chunks), len(self.words)) > KEPT_WORDS:
             self._forget()
-        new = set(chain.from_iterable(parted)).difference(self.chunks)
+        flat = flat.dictionary_encode()
+        names = _listed(flat.dictionary)
+        known = self.chunks
+        new = [c for c in names if c not in known]
         if new:
-            self._learn(sorted(new))
-        code = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(parted)), np.int64, int(sizes[-1]))
-        ids, size = self.chunk_ids.of(code)
+            self._learn(new)
+        own = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        ids, size = self.chunk_ids.of(own[flat.indices.to_numpy()])
         return ids, np.concatenate([[0], np.cumsum(size)])[sizes]
 
 
@@ -422,19 +445,26 @@ def decode(ids: pa.Array, tokens: pa.Array) -> pa.Array:
     return pc.binary_join(named, " ")
 
 
+def _listed(values: pa.Array) -> list:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _strings(batch: pa.RecordBatch) -> pa.Array:
+    return pc.fill_null(batch.column("text"), b"").cast(pa.string())
+
+
 def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``word, n`` over all texts; tasks count first and send each word once or a few times."""
     shared = shipped(docs.sparkSession, vocabulary)
 
     def rows(counts: Counter, vocabulary: Vocabulary) -> pa.RecordBatch:
-        words: Counter = Counter()
-        times = iter(counts.values())
-        n = next(times, 0)
-        for w in vocabulary.words_of(list(counts)):
-            if w == "\n":
-                n = next(times, 0)
-            elif isinstance(w, str):
-                words[w] += n
+        words: dict[str, int] = {}
+        found, sizes = vocabulary.words_of(list(counts))
+        seen = words.get
+        for w, n in zip(found, np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), sizes).tolist(), strict=True):
+            words[w] = seen(w, 0) + n
+        for i in vocabulary.special.values():
+            words.pop(i, None)
         return pa.RecordBatch.from_arrays(
             [pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"]
         )
@@ -442,8 +472,8 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def count(batches):
         vocabulary, counts = received(shared), Counter()
         for batch in slices(batches, "text"):
-            for t in batch.column("text").to_pylist():
-                counts.update(chunks((t or b"").decode()))
+            found = parted(_strings(batch))[0].value_counts()
+            counts.update(dict(zip(_listed(found.field(0)), _listed(found.field(1)), strict=True)))
             if len(counts) > KEPT_WORDS:
                 yield rows(counts, vocabulary)
                 counts.clear()
@@ -490,8 +520,7 @@ def encode_and_decode(docs: DataFrame, path: str, *, size: int = FREQUENT_WORDS)
         vocabulary, transducer = received(shared)
         encoder, tokens = Encoder(vocabulary, transducer), pa.array(vocabulary.tokens, pa.string())
         for batch in slices(batches, "text"):
-            texts = [(t or b"").decode() for t in batch.column("text").to_pylist()]
-            ids, ends = encoder.encode(texts)
+            ids, ends = encoder.encode(_strings(batch))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
             place = batch.schema.get_field_index("text")
             yield batch.set_column(place, "ids", lists).append_column("decoded", decode(lists, tokens))

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from docharbor.llm.bpe import Encoder, Transducer, Vocabulary, chunks, compiled, decode, token_report
+from docharbor.llm.bpe import Encoder, Transducer, Vocabulary, chunks, compiled, decode, parted, token_report
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, TEXT string, ids int, decoded int"
@@ -96,3 +96,23 @@ def test_long_words_stay_out_of_the_transducer(spark, vocabulary, library):
     for i, t, *_ in rows:
         want = library.encode(t, add_special_tokens=False).ids
         assert got[i] == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
+
+
+def test_chunks_of_a_column_are_those_of_each_text():
+    """Texts were parted one by one, and every chunk's words were sought by pattern."""
+    texts = [*made(random.Random(2)), " \n", "a\x1cb c", "\x85é ü ", *(f"a{chr(c)}b" for c in range(0x3100) if not 0x1C <= c <= 0x1F)]
+    for part in (texts, texts[700:]):
+        flat, ends = parted(pa.array(["before it", *part]).slice(1))
+        flat = flat.to_pylist()
+        assert [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)] == [chunks(t) for t in part]
+    assert [x.tolist() for x in parted(pa.array([], pa.string()))[1:]] == [[0]]
+
+
+def test_words_of_many_chunks_are_those_of_each(vocabulary):
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    found = [*dict.fromkeys(c for t in made(random.Random(3)) for c in chunks(t))]
+    found += [f"{a}{b}" for a in ("x", "é", "'", "1") for b in map(chr, range(0x21, 0x7F))] + letters[::50] + ["İ.", "é!", "l't", "İ"]
+    for part in (found, [c for c in found if "<|" not in c], []):
+        words, sizes = vocabulary.words_of(part)
+        ends = np.cumsum([0, *sizes])
+        assert [words[a:b] for a, b in zip(ends, ends[1:], strict=False)] == [vocabulary.words(c) for c in part]
