@@ -126,11 +126,11 @@ class Model:
 
     ``b`` and ``t`` hold the counts of ``BEGIN``, ``UNKNOWN`` and the frequent words by their number. ``scale``
     brings the background's counts to the target's size, so that both models smooth alike; ``size`` is
-    what the words' shares are of.
+    what the words' shares are of. ``more`` tells whether there are known words without a number.
     """
 
-    def __init__(self, p: Bigrams, b: np.ndarray, t: np.ndarray, scale: float, size: float) -> None:
-        self.p, self.b, self.t, self.scale, self.size = p, b, t, scale, size
+    def __init__(self, p: Bigrams, b: np.ndarray, t: np.ndarray, scale: float, size: float, more: bool) -> None:
+        self.p, self.b, self.t, self.scale, self.size, self.more = p, b, t, scale, size, more
 
     def counts(self, code: np.ndarray, of: np.ndarray, rare: _Rare) -> tuple[np.ndarray, np.ndarray]:
         """How often each word stands, ``(b, t)``."""
@@ -210,7 +210,7 @@ def encoded(flagged: DataFrame, p: Bigrams) -> tuple[DataFrame, Model]:
     else:
         rows = rows.withColumn("rare", F.lit(None).cast(_RARE))
     counts = (np.array([begins[n], size[n] - seen[n], *frequent.column(n).to_pylist()], np.int64) for n in "bt")
-    return rows, Model(p, *counts, size["t"] / max(1, size["b"]), size["t"] + p.alpha * (seen["n"] + 1))
+    return rows, Model(p, *counts, size["t"] / max(1, size["b"]), size["t"] + p.alpha * (seen["n"] + 1), more)
 
 
 def _texts(batch: pa.RecordBatch, code: np.ndarray, ends: np.ndarray, *more: str) -> pa.RecordBatch:
@@ -312,22 +312,26 @@ def frequent_pairs(rows: DataFrame, model: Model) -> pa.Table:
     return pa.table(arrays, ["before", "word", "target", "background"])
 
 
+def _columns(names: list[str], **columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[n] for n in names], names)
+
+
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score`` of every document.
 
     Frequent pairs are scored where they stand. All others meet once: an exchange by pair counts them and gives
-    each text's row its loss. Two numbers share the column ``pair``; of hashes the second is ``other``.
+    each text's row its loss. Two numbers share the column ``pair``; of hashes the second is ``other``. Where all
+    words have numbers, rows are narrow and sorted by one number alone.
     """
     spark = rows.sparkSession
     losses = frequent_pairs(rows, model)
     frequent = _Sorted(_column(losses, "before"), _column(losses, "word"))
     sent = shipped(spark, (model, frequent, *(losses.column(c).to_numpy() for c in ("target", "background"))))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = (
-        "pair long, uid long, other long, n long, rare struct<b: bigint, t: bigint>, "
-        f"doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
-    )
-    names = ["pair", "uid", "other", "n", "rare", "doc"]
+    schema = f"pair long, uid long, n long, doc struct<doc_id: {kind}, n_tokens: bigint, t: double, b: double>"
+    names = ["pair", "uid", "n", "doc"]
+    if model.more:
+        schema, names = f"{schema}, other long, rare struct<b: bigint, t: bigint>", [*names, "other", "rare"]
     bits = len(model.b).bit_length()
 
     def run(batches):
@@ -338,11 +342,12 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
             hit, cold = at >= 0, np.flatnonzero(at < 0)
             after = model.after(*model.counts(before[cold], of[cold], rare))
             t, b = (np.bincount(of[hit], x[at[hit]], n) + np.bincount(of[cold], y, n) for x, y in zip(losses, after, strict=True))
-            # Each document's own row: its uid in place of a pair spreads them, and no pair has a null.
+            # Each document's own row: its uid in place of a pair spreads them, and no pair is below 0 without an other.
             doc = [batch.column("doc_id"), pa.array(np.bincount(of, minlength=n)), pa.array(t, pa.float64()), pa.array(b, pa.float64())]
             doc = pa.StructArray.from_arrays(doc, ["doc_id", "n_tokens", "t", "b"])
             uid, none = batch.column("uid"), pa.array([None] * n, pa.struct([("b", pa.int64()), ("t", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([uid, uid, pa.nulls(n, pa.int64()), pa.array(np.zeros(n, np.int64)), none, doc], names)
+            own = pa.array(-1 - uid.to_numpy())
+            yield _columns(names, pair=own, uid=uid, n=pa.array(np.zeros(n, np.int64)), doc=doc, other=pa.nulls(n, pa.int64()), rare=none)
             if not len(cold):
                 continue
             ones = pa.array(np.ones(len(cold), np.int64))
@@ -352,19 +357,24 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
             plain = (before < _HASH) & (word < _HASH)
             pair = np.where(plain, before << np.uint64(bits) | word, before)
             times = own.column("n").to_numpy() * np.where(_wanted(batch)[of] > 0, -1, 1)
-            counts = [pa.array(x) for x in model.counts(word, of, rare)]
-            counts = pa.StructArray.from_arrays(counts, ["b", "t"], mask=pa.array(word < _HASH))
-            arrays = [signed(pair), uid.take(pa.array(of)), signed(np.where(plain, np.uint64(0), word)), pa.array(times), counts]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(of), doc.type)], names)
-
-    pair = Window.partitionBy("pair", "other")
+            more = {}
+            if model.more:
+                counts = [pa.array(x) for x in model.counts(word, of, rare)]
+                counts = pa.StructArray.from_arrays(counts, ["b", "t"], mask=pa.array(word < _HASH))
+                more = {"other": signed(np.where(plain, np.uint64(0), word)), "rare": counts}
+            yield _columns(names, pair=signed(pair), uid=uid.take(pa.array(of)), n=pa.array(times), doc=pa.nulls(len(of), doc.type), **more)
+
+    pair = Window.partitionBy("pair", "other") if model.more else Window.partitionBy("pair")
     counted = rows.mapInArrow(run, schema).withColumns(
         {"b": F.sum(F.abs("n")).over(pair), "t": F.sum(F.greatest(-F.col("n"), F.lit(0))).over(pair)}
     )
     numbers = pa.table([pa.array(np.arange(len(model.b))), pa.array(model.b), pa.array(model.t)], ["word", "word_b", "word_t"])
-    number = F.when(F.col("other") == 0, F.col("pair").bitwiseAND((1 << bits) - 1)).when(F.col("other") > 0, F.col("other"))
+    second = F.col("pair").bitwiseAND((1 << bits) - 1)
+    if model.more:
+        number, own = F.when(F.col("other") == 0, second).when(F.col("other") > 0, F.col("other")), [F.coalesce(f"rare.{n}", f"word_{n}") for n in "bt"]
+    else:
+        number, own = F.when(F.col("pair") >= 0, second), [F.col(f"word_{n}") for n in "bt"]
     counted = counted.join(F.broadcast(spark.createDataFrame(numbers)), number == F.col("word"), "left")
-    own = [F.coalesce(f"rare.{n}", f"word_{n}") for n in "bt"]
     target, background = model.of_pair(F.col("b"), F.col("t"), *own, F.log)
     mean = lambda own, loss: F.sum(F.coalesce(F.col(own), F.abs("n") * loss)) / F.greatest(F.max("doc.n_tokens"), F.lit(1))
     out = counted.groupBy("uid").agg(

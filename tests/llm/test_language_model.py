@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -93,3 +94,13 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, hot, numbers):
     for r in got:
         n, t, b = want[r.doc_id]
         assert (r.n_tokens, r.target_loss, r.background_loss) == (n, pytest.approx(t, rel=1e-9), pytest.approx(b, rel=1e-9))
+
+
+def test_where_all_words_have_numbers_pairs_are_sorted_by_one(spark, capsys):
+    """Sorting by two columns and carrying counts that no row had took more than a third of the time."""
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    rows = [(i, "a b c a b " * 5) for i in range(3)]
+    for numbers, wanted in ((1 << 20, ["pair"]), (1, ["pair", "other"])):
+        cross_entropy_difference(frame(spark, rows), labels, Bigrams(numbers=numbers, hot=0)).explain()
+        specs = re.findall(r"windowspecdefinition\(([a-z]+)#\d+L?(?:, ([a-z]+)#\d+L?)?, specified", capsys.readouterr().out)
+        assert specs and {tuple(filter(None, x)) for x in specs} == {tuple(wanted)}
