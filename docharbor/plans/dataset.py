@@ -37,7 +37,7 @@ from docharbor.functions.names import (
 )
 from docharbor.operators import reads, system
 from docharbor.operators.shape import ERROR_TYPE, ERRORS
-from docharbor.session import FOOTER_COUNTS, require_utc, settings
+from docharbor.session import FOOTER_COUNTS, OPEN_FILES_LIMIT, require_utc, settings
 
 ENGINE_VERSION = 1
 LOADS, VERSIONS, STATE, STAGE = "_loads", "_versions", "_pipeline_state", "_stage"
@@ -46,6 +46,12 @@ UNBUCKETED = -1
 ADDED = "added"
 # Staged rows often grow many times when their lists are exploded, so they are cut finely.
 STAGE_BLOCK_BYTES = 4 * 1024 * 1024
+# Texts are read and written a few times by a load, and their files are most of its disk.
+CODEC = "zstd"
+# A task keeps so many files open while it writes, and sorts its rows by bucket where there are
+# more; of each file it holds a block in memory.
+OPEN_FILES = 8
+OPEN_BLOCK_BYTES = 16 * 1024 * 1024
 # Up to this many buckets of a part are read by their folder names.
 FEW_BUCKETS = 64
 PLACES = (
@@ -547,9 +553,12 @@ class Dataset:
         path = f"{LOAD}={load_id}/{PART}={step}"
         # Static overwrite: a retry must not leave buckets of the first try behind.
         writer = placed.write.mode("overwrite").options(
-            maxRecordsPerFile=max_rows_per_file, partitionOverwriteMode="static"
+            maxRecordsPerFile=max_rows_per_file, partitionOverwriteMode="static", compression=CODEC
         )
-        writer.partitionBy(OK, BUCKET).parquet(self._folder(table, path))
+        if bucketed:
+            writer = writer.option("parquet.block.size", OPEN_BLOCK_BYTES)
+        with settings(self.spark, {OPEN_FILES_LIMIT: str(OPEN_FILES)}):
+            writer.partitionBy(OK, BUCKET).parquet(self._folder(table, path))
         counts = (
             self.read_part(rows.schema, table, path, layout).groupBy(OK, BUCKET).count().collect()
         )
@@ -577,18 +586,22 @@ class Dataset:
         """Write rows that several steps use, and read them back.
 
         With ``buckets`` a file holds rows of few buckets of child rows, so that what is exploded
-        from a file goes to few folders and need not move.
+        from a file goes to few folders and need not move. So many buckets as a task keeps files
+        open are few anyway, and then the rows are written where they are.
         """
-        if buckets is not None:
+        if buckets is not None and buckets > OPEN_FILES:
             bucket = bucket_of(F.col(ROW_ID), buckets).alias(BUCKET)
             rows = rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET).drop(BUCKET)
         path = self._folder(STAGE, f"{LOAD}={load_id}", table)
         writer = rows.write.mode("overwrite").option("parquet.block.size", STAGE_BLOCK_BYTES)
-        writer.parquet(path)
+        writer.parquet(path, compression=CODEC)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def drop_stage(self, load_id: str) -> None:
-        self._delete(self._folder(STAGE, f"{LOAD}={load_id}"))
+    def drop_stage(self, load_id: str, *tables: str) -> None:
+        """Delete the staged rows of a load, or those of some tables."""
+        folder = self._folder(STAGE, f"{LOAD}={load_id}")
+        for path in [f"{folder}/{t}" for t in tables] or [folder]:
+            self._delete(path)
 
     def rejects(self, table: str, load_id: str) -> DataFrame:
         """Rejected rows of a load with their reasons."""

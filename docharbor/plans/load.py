@@ -10,7 +10,7 @@ from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,7 @@ from docharbor.plans.dataset import (
     document_schema,
     new_load_id,
 )
+from docharbor.session import SHORT_SHUFFLES, settings
 from docharbor.spec import LoadSpec, table_fields
 
 logger = logging.getLogger(__name__)
@@ -58,6 +59,10 @@ logger = logging.getLogger(__name__)
 # Bytes an id takes in a broadcast table, with room for its overhead.
 ID_BYTES = 128
 
+# So many hashes of root ids are broadcast at most, some 40 bytes each.
+MOST_HASHES = 1 << 22
+ROOT_HASH = "_root_hash"
+
 
 @dataclass
 class TableResult:
@@ -111,9 +116,10 @@ def run_load(
     for name in names:
         if name in stored and stored[name].parent is not None:
             raise SchemaError(f"resource '{name}' has the name of a child table of '{stored[name].root}'")
-    for spec, batch in batches:
-        if spec.disposition != "skip":
-            _Resource(dataset, spec, load_id, stored, changed, result, names).run(batch)
+    with settings(dataset.spark, SHORT_SHUFFLES):
+        for spec, batch in batches:
+            if spec.disposition != "skip":
+                _Resource(dataset, spec, load_id, stored, changed, result, names).run(batch)
     known = {**stored, **changed}
     schema_hash = dataset.store_schema(
         {name: {"fields": lay.fields, "columns": lay.schema} for name, lay in known.items()}
@@ -163,8 +169,14 @@ class _Resource:
         chain = nest_chain(rows, spec.name, spec.inline_columns())
         old_children = [n for n, lay in self.stored.items() if lay.root == spec.name]
         roots = self._load_root(chain[spec.name])
-        for name in [*children, *[n for n in old_children if n not in children]]:
-            self._load_child(name, chain.get(name), roots)
+        batches = {name: self._write_child(name, chain[name], roots) for name in children}
+        # All rows of the batch lie in the tables' own folders before stored ones are written again.
+        self.dataset.drop_stage(self.load_id, spec.name, f"{spec.name}_read")
+        for name, (layout, written, staged) in batches.items():
+            layout.parts = self._parts(name, layout, written, staged, roots)
+        for name in old_children:
+            if name not in children:
+                self._load_without_batch(name, roots)
 
     def _refuse_foreign(self, children: Sequence[str]) -> None:
         """A child table must not take the name of a resource, or of a child of another one."""
@@ -316,25 +328,25 @@ class _Resource:
         self.changed[name] = layout
         return staged
 
-    def _load_child(self, name: str, rows: DataFrame | None, roots: DataFrame) -> None:
-        spec = self.spec
-        old = self.stored.get(name)
-        if rows is None:
-            # The stored schema knows a child table that this batch has no list for.
-            assert old is not None
-            if spec.disposition == "replace":
-                self.changed[name] = replace(old, parts=[])
-            elif spec.cleans_orphans:
-                layout = replace(old)
-                layout.parts = self._parts(name, layout, None, None, roots)
-                self.changed[name] = layout
-            return
+    def _write_child(
+        self, name: str, rows: DataFrame, roots: DataFrame
+    ) -> tuple[Layout, Written, DataFrame]:
         fields = self._fields(name, rows.schema, False)
         documents = self._of_loaded_roots(self._documents(name, rows, fields, False), roots)
         layout = self._layout(name, documents.schema, fields, False)
         written, staged = self._write_batch(name, documents, layout)
-        layout.parts = self._parts(name, layout, written, staged, roots)
         self.changed[name] = layout
+        return layout, written, staged
+
+    def _load_without_batch(self, name: str, roots: DataFrame) -> None:
+        """The stored schema knows a child table that this batch has no list for."""
+        old = self.stored[name]
+        if self.spec.disposition == "replace":
+            self.changed[name] = replace(old, parts=[])
+        elif self.spec.cleans_orphans:
+            layout = replace(old)
+            layout.parts = self._parts(name, layout, None, None, roots)
+            self.changed[name] = layout
 
     def _of_loaded_roots(self, documents: DataFrame, roots: DataFrame) -> DataFrame:
         """Reject the children of rejected root rows."""
@@ -452,7 +464,8 @@ class _Resource:
         keys, small = self._checked_broadcast(keys, count)
         near = self._buckets_of(keys, on, written, layout)
         target = self._stored_rows(name, old, layout, {*near, UNBUCKETED})
-        hits = self._hits(target, keys, on, layout)
+        counted = self._counted_roots(name, target) if cleans else None
+        hits = self._hits(target, keys, on, layout, counted)
         outcome = self.result.tables.setdefault(name, TableResult())
         replaced = existing = sum(hits.values())
         if cleans and existing:
@@ -481,16 +494,22 @@ class _Resource:
             # Few keys are broadcast: stored rows never move, and every task writes the
             # buckets it read. Many keys are joined by a shuffle. A root may own very many
             # children, so these are left to the adaptive join and spread evenly afterwards.
+            kept = None
             if by_id and not small:
                 target, keys = self._side_by_side(layout, target, keys, on)
-            kept = target.join(keys, on, "left_anti").select(
-                *[F.col(f"`{c}`") for c in target.columns]
-            )
+            elif cleans and not small:
+                kept = self._kept_in_place(target, counted, keys, count)
+            in_place = kept is not None
+            if kept is None:
+                kept = target.join(keys, on, "left_anti").select(
+                    *[F.col(f"`{c}`") for c in target.columns]
+                )
             # Joined by the hash that makes the buckets: with a multiple of them as partitions,
             # every task holds rows of one bucket, and no second shuffle is needed.
             tasks = int(self.dataset.spark.conf.get("spark.sql.shuffle.partitions"))
             even = on == layout.bucket_by and tasks % layout.buckets == 0
-            rewritten = self._rewrite(name, layout, kept, "kept", not (small or by_id or even))
+            stay = small or by_id or even or in_place
+            rewritten = self._rewrite(name, layout, kept, "kept", not stay)
         kept_parts = [rewritten.part] if rewritten.part.buckets else []
         return [*old.without_buckets(touched), *batch, *kept_parts]
 
@@ -498,16 +517,54 @@ class _Resource:
         """How many stored child rows have their row id in the batch."""
         if not old.row_ids_of:
             return target.join(staged.select(ROW_ID), ROW_ID, "left_semi").count()
-        # A row id is made of the parent and the place in its list. These two are moved, by the
-        # parent: elements of a list stay beside each other, and their parent compresses.
+        # A row id is made of the parent and the place in its list. Of every 64 places of a list
+        # one row is moved, with a bit for each of them.
         place = [PARENT_ID, LIST_IDX]
-        both = target.select(*place, F.lit(1).alias("_stored")).unionByName(
-            staged.select(*place, F.lit(0).alias("_stored"))
+        both = target.select(*place, F.lit(True).alias("_stored")).unionByName(
+            staged.select(*place, F.lit(False).alias("_stored"))
+        )
+        bit = F.expr(f"shiftleft(1L, {LIST_IDX} % 64)")
+        stretch = F.floor(F.col(LIST_IDX) / 64).alias("_stretch")
+        met = both.groupBy(PARENT_ID, stretch).agg(
+            F.count_if("_stored").alias("rows"),
+            F.coalesce(F.bit_or(F.when(F.col("_stored"), bit)), F.lit(0)).alias("stored"),
+            F.coalesce(F.bit_or(F.when(~F.col("_stored"), bit)), F.lit(0)).alias("again"),
         )
-        met = both.repartition(PARENT_ID).groupBy(*place).agg(
-            F.sum("_stored").alias("times"), F.min("_stored").alias("least")
+        shared = F.bit_count(F.col("stored").bitwiseAND(F.col("again")))
+        repeated = F.col("rows") > F.bit_count("stored")
+        found = met.agg(F.sum(shared), F.max(repeated & (F.col("again") != 0))).first()
+        if not found[1]:
+            return found[0] or 0
+        # An append may have stored a place several times; each of its rows counts.
+        met = both.groupBy(*place).agg(
+            F.count_if("_stored").alias("times"), F.min("_stored").alias("least")
+        )
+        return met.filter(~F.col("least")).agg(F.sum("times")).first()[0] or 0
+
+    def _counted_roots(self, name: str, target: DataFrame) -> DataFrame:
+        """Stored child rows counted by root: few rows, which several joins read."""
+        counts = target.groupBy(ROOT_ID).count()
+        return self.dataset.stage(counts, f"{name}_roots", self.load_id)
+
+    def _kept_in_place(
+        self, target: DataFrame, counted: DataFrame, keys: DataFrame, count: int
+    ) -> DataFrame | None:
+        """Stored child rows of the roots that are not reloaded, without moving them.
+
+        The reloaded roots are broadcast as hashes of 8 bytes. None where they are too many, or
+        where a root that stays has the hash of a reloaded one: these need a join by the ids.
+        """
+        if count > MOST_HASHES:
+            return None
+        # A row without a root has no hash and stays.
+        hashes = keys.filter(F.col(ROOT_ID).isNotNull()).select(root_hash()).distinct()
+        staying = counted.join(keys, ROOT_ID, "left_anti").select(root_hash())
+        if staying.join(hashes, ROOT_HASH, "left_semi").limit(1).collect():
+            return None
+        marked = target.select("*", root_hash())
+        return marked.join(F.broadcast(hashes), ROOT_HASH, "left_anti").select(
+            *[F.col(f"`{c}`") for c in target.columns]
         )
-        return met.filter("least = 0").agg(F.sum("times")).first()[0] or 0
 
     def _buckets_of(
         self, keys: DataFrame, on: str, written: Written | None, layout: Layout
@@ -519,15 +576,24 @@ class _Resource:
         return {r[BUCKET] for r in keys.select(bucket).distinct().collect()}
 
     def _hits(
-        self, target: DataFrame, keys: DataFrame, on: str, layout: Layout
+        self,
+        target: DataFrame,
+        keys: DataFrame,
+        on: str,
+        layout: Layout,
+        counted: DataFrame | None = None,
     ) -> dict[int, int]:
         """Stored rows with one of the keys, counted per bucket, reading ids alone.
 
-        A batch of new rows hits nothing and then costs no rewrite at all.
+        A batch of new rows hits nothing and then costs no rewrite at all. ``counted`` are the
+        rows counted by ``on``, where that is what makes the buckets.
         """
-        names = list(dict.fromkeys([on, layout.bucket_by]))
         bucket = bucket_of(F.col(layout.bucket_by), layout.buckets).alias(BUCKET)
-        found = target.select(*names).join(keys, on, "left_semi").groupBy(bucket).count()
+        if counted is not None:
+            found = counted.join(keys, on, "left_semi").groupBy(bucket).agg(F.sum("count").alias("count"))
+        else:
+            names = list(dict.fromkeys([on, layout.bucket_by]))
+            found = target.select(*names).join(keys, on, "left_semi").groupBy(bucket).count()
         return {r[BUCKET]: r["count"] for r in found.collect()}
 
     def _side_by_side(
@@ -550,6 +616,11 @@ class _Resource:
         )
 
 
+def root_hash() -> Column:
+    """A number for a root id; null for none."""
+    return F.when(F.col(ROOT_ID).isNotNull(), F.xxhash64(ROOT_ID)).alias(ROOT_HASH)
+
+
 def may_broadcast(dataset: Dataset, ids_count: int) -> bool:
     """Whether so many ids fit the session's limit for broadcast tables."""
     return ids_count * ID_BYTES <= _broadcast_limit(dataset)

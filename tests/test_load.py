@@ -6,11 +6,12 @@ import hashlib
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from docharbor import ConfigError, LoadError, LoadSpec, RejectedRows, run_load
 from docharbor.functions.names import ID, LIST_IDX, PARENT_ID, ROOT_ID, ROW_ID
 from docharbor.operators import dispositions
-from docharbor.plans.dataset import Dataset
+from docharbor.plans.dataset import Dataset, Layout
 from docharbor.plans.load import _Resource
 
 ITEMS = "order_id string, items array<struct<sku:string>>"
@@ -202,6 +203,63 @@ def test_child_tables_that_store_row_ids_go_on_doing_so(spark, dataset, monkeypa
     assert after == {k: before[k] for k in ("a", "c")}
 
 
+def test_staged_rows_are_gone_before_stored_rows_are_written_again(dataset, tmp_path, monkeypatch):
+    """The stage and the rewritten tables are never on disk at once; stages of other resources stay."""
+    spec = LoadSpec("orders", "merge", primary_key="order_id", buckets=2)
+    put(dataset, spec, [("o1", [("a", [("p1",)])]), ("o2", [("b", [("p2",)])])], PARTS, "l1")
+    dataset.stage(dataset.spark.range(1), "other_delta", "l2")
+    staged, write = {}, Dataset.write_part
+
+    def watching(self, rows, table, load_id, step, *args, **kwargs):
+        staged[table, step] = sorted(p.name for p in tmp_path.glob("catalog/_stage/_load=l2/*"))
+        return write(self, rows, table, load_id, step, *args, **kwargs)
+
+    monkeypatch.setattr(Dataset, "write_part", watching)
+    put(dataset, spec, [("o1", [("c", [("p3",)])])], PARTS, "l2")
+    for table in ("orders__items", "orders__items__parts"):
+        assert "orders" in staged[table, "batch"]
+        assert "orders" not in staged[table, "kept"] and "other_delta" in staged[table, "kept"]
+    assert values(dataset, "orders__items__parts", "pn") == [("p2",), ("p3",)]
+
+
+@pytest.mark.parametrize("way", ["hashes", "clash", "many"])
+def test_child_rows_of_other_roots_do_not_move(spark, dataset, monkeypatch, way):
+    """They stay where hashes of the reloaded roots say so, which roots that share a hash prevent."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    if way == "clash":
+        monkeypatch.setattr("docharbor.plans.load.root_hash", lambda: F.lit(1).alias("_root_hash"))
+    if way == "many":
+        monkeypatch.setattr("docharbor.plans.load.MOST_HASHES", 0)
+    in_place, made = [], _Resource._kept_in_place
+    monkeypatch.setattr(_Resource, "_kept_in_place", lambda *a: in_place.append(made(*a)) or in_place[-1])
+    try:
+        spec = LoadSpec("orders", "merge", primary_key="order_id", buckets=2)
+        put(dataset, spec, [(f"o{i}", [(f"a{i}",), (f"b{i}",)]) for i in range(20)], ITEMS)
+        done = put(dataset, spec, [(f"o{i}", [(f"c{i}",)]) for i in range(5)], ITEMS)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    kept = [(f"{x}{i}",) for x in "ab" for i in range(5, 20)]
+    assert values(dataset, "orders__items", "sku") == sorted(kept + [(f"c{i}",) for i in range(5)])
+    changes = done.tables["orders__items"]
+    assert (changes.updated, changes.removed_orphans) == (5, 5)
+    (rows,) = in_place
+    assert (rows is not None) == (way == "hashes")
+    if rows is not None:
+        plan = rows._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_places_that_are_stored_several_times_are_counted_so(spark):
+    """Appends may leave a place of a list twice; others are counted by a bit for each place."""
+    schema = f"{PARENT_ID} string, {LIST_IDX} int"
+    stored = [("p", 0), ("p", 63), ("p", 64), ("p", 130), ("q", 1), ("r", 0)]
+    again = spark.createDataFrame([("p", 0), ("p", 64), ("p", 65), ("q", 0), ("r", 0), ("s", 0)], schema)
+    old = Layout({}, {}, row_ids_of="orders__items")
+    for rows, count in ((stored, 3), (stored + [("p", 64), ("q", 1)], 4), ([], 0)):
+        target = spark.createDataFrame(rows, schema)
+        assert _Resource._written_again(None, target, again, old) == count
+
+
 @pytest.mark.parametrize("change", [{"remove_orphans": False}, {"strategy": "insert-only"}])
 def test_orphans_stay_when_cleanup_is_off(dataset, change):
     spec = LoadSpec("orders", "merge", primary_key="order_id", **change)
