@@ -593,7 +593,9 @@ class Dataset:
             bucket = bucket_of(F.col(ROW_ID), buckets).alias(BUCKET)
             rows = rows.withColumn(BUCKET, bucket).hint("rebalance", BUCKET).drop(BUCKET)
         path = self._folder(STAGE, f"{LOAD}={load_id}", table)
+        # A dictionary of a list's values takes as long as all else and saves nothing beside the codec.
         writer = rows.write.mode("overwrite").option("parquet.block.size", STAGE_BLOCK_BYTES)
+        writer = writer.option("parquet.enable.dictionary", "false")
         writer.parquet(path, compression=CODEC)
         return self.spark.read.schema(rows.schema).parquet(path)
 

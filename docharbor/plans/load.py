@@ -59,7 +59,7 @@ logger = logging.getLogger(__name__)
 # Bytes an id takes in a broadcast table, with room for its overhead.
 ID_BYTES = 128
 
-# So many hashes of root ids are broadcast at most, some 40 bytes each.
+# So many hashes of root ids are broadcast at once, some 40 bytes each.
 MOST_HASHES = 1 << 22
 ROOT_HASH = "_root_hash"
 
@@ -494,22 +494,22 @@ class _Resource:
             # Few keys are broadcast: stored rows never move, and every task writes the
             # buckets it read. Many keys are joined by a shuffle. A root may own very many
             # children, so these are left to the adaptive join and spread evenly afterwards.
-            kept = None
-            if by_id and not small:
-                target, keys = self._side_by_side(layout, target, keys, on)
-            elif cleans and not small:
-                kept = self._kept_in_place(target, counted, keys, count)
-            in_place = kept is not None
-            if kept is None:
+            kept_parts = None
+            if cleans and not small:
+                kept_parts = self._kept_in_place(name, layout, old, sorted(hits), counted, keys, near)
+            if kept_parts is None:
+                if by_id and not small:
+                    target, keys = self._side_by_side(layout, target, keys, on)
                 kept = target.join(keys, on, "left_anti").select(
                     *[F.col(f"`{c}`") for c in target.columns]
                 )
-            # Joined by the hash that makes the buckets: with a multiple of them as partitions,
-            # every task holds rows of one bucket, and no second shuffle is needed.
-            tasks = int(self.dataset.spark.conf.get("spark.sql.shuffle.partitions"))
-            even = on == layout.bucket_by and tasks % layout.buckets == 0
-            stay = small or by_id or even or in_place
-            rewritten = self._rewrite(name, layout, kept, "kept", not stay)
+                # Joined by the hash that makes the buckets: with a multiple of them as partitions,
+                # every task holds rows of one bucket, and no second shuffle is needed.
+                tasks = int(self.dataset.spark.conf.get("spark.sql.shuffle.partitions"))
+                even = on == layout.bucket_by and tasks % layout.buckets == 0
+                rewritten = self._rewrite(name, layout, kept, "kept", not (small or by_id or even))
+                kept_parts = [rewritten.part]
+            return [*old.without_buckets(touched), *batch, *[p for p in kept_parts if p.buckets]]
         kept_parts = [rewritten.part] if rewritten.part.buckets else []
         return [*old.without_buckets(touched), *batch, *kept_parts]
 
@@ -547,33 +547,62 @@ class _Resource:
         return self.dataset.stage(counts, f"{name}_roots", self.load_id)
 
     def _kept_in_place(
-        self, target: DataFrame, counted: DataFrame, keys: DataFrame, count: int
-    ) -> DataFrame | None:
-        """Stored child rows of the roots that are not reloaded, without moving them.
+        self,
+        name: str,
+        layout: Layout,
+        old: Layout,
+        hits: list[int],
+        counted: DataFrame,
+        keys: DataFrame,
+        reloaded: Mapping[int, int],
+    ) -> list[Part] | None:
+        """Write the child rows of roots that are not reloaded again, without moving them.
 
-        The reloaded roots are broadcast as hashes of 8 bytes. None where they are too many, or
-        where a root that stays has the hash of a reloaded one: these need a join by the ids.
+        The reloaded roots are broadcast as hashes of 8 bytes, of so many buckets at a time as
+        ``MOST_HASHES`` allow. None where a single bucket has more of them, or where a root that
+        stays has the hash of a reloaded one: these need a join by the ids.
         """
-        if count > MOST_HASHES:
+        groups: list[list[int]] = []
+        room = -1
+        for bucket in hits:
+            room -= reloaded[bucket]
+            if room < 0:
+                groups.append([])
+                room = MOST_HASHES - reloaded[bucket]
+            groups[-1].append(bucket)
+        # Rows without a bucket of their own may belong to any.
+        unbucketed = any(UNBUCKETED in p.buckets for p in old.parts)
+        if max(reloaded[b] for b in hits) > MOST_HASHES or (unbucketed and len(groups) > 1):
             return None
         # A row without a root has no hash and stays.
-        hashes = keys.filter(F.col(ROOT_ID).isNotNull()).select(root_hash()).distinct()
+        known = keys.filter(F.col(ROOT_ID).isNotNull())
         staying = counted.join(keys, ROOT_ID, "left_anti").select(root_hash())
-        if staying.join(hashes, ROOT_HASH, "left_semi").limit(1).collect():
+        if staying.join(known.select(root_hash()), ROOT_HASH, "left_semi").limit(1).collect():
             return None
-        marked = target.select("*", root_hash())
-        return marked.join(F.broadcast(hashes), ROOT_HASH, "left_anti").select(
-            *[F.col(f"`{c}`") for c in target.columns]
-        )
+        bucket_column = bucket_of(F.col(ROOT_ID), layout.buckets)
+        parts = []
+        for i, group in enumerate(groups):
+            target = self._stored_rows(name, old, layout, {*group, UNBUCKETED})
+            hashes = known.filter(bucket_column.isin(group)).select(root_hash()).distinct()
+            marked = target.select("*", root_hash())
+            kept = marked.join(F.broadcast(hashes), ROOT_HASH, "left_anti").select(
+                *[F.col(f"`{c}`") for c in target.columns]
+            )
+            step = f"kept-{i}" if i else "kept"
+            parts.append(self._rewrite(name, layout, kept, step, rebalance=False).part)
+        return parts
 
     def _buckets_of(
         self, keys: DataFrame, on: str, written: Written | None, layout: Layout
-    ) -> set[int]:
-        """Buckets that rows with these keys can be in; at most one small row per bucket."""
+    ) -> dict[int, int]:
+        """Buckets that rows with these keys can be in, with the number of keys where they are read.
+
+        At most one small row per bucket is collected.
+        """
         if written is not None and on == ID:
-            return set(written.part.buckets)
+            return dict.fromkeys(written.part.buckets, 0)
         bucket = bucket_of(F.col(on), layout.buckets).alias(BUCKET)
-        return {r[BUCKET] for r in keys.select(bucket).distinct().collect()}
+        return {r[BUCKET]: r["count"] for r in keys.groupBy(bucket).count().collect()}
 
     def _hits(
         self,

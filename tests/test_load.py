@@ -222,31 +222,38 @@ def test_staged_rows_are_gone_before_stored_rows_are_written_again(dataset, tmp_
     assert values(dataset, "orders__items__parts", "pn") == [("p2",), ("p3",)]
 
 
-@pytest.mark.parametrize("way", ["hashes", "clash", "many"])
+@pytest.mark.parametrize("way", ["hashes", "groups", "clash", "many"])
 def test_child_rows_of_other_roots_do_not_move(spark, dataset, monkeypatch, way):
     """They stay where hashes of the reloaded roots say so, which roots that share a hash prevent."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     if way == "clash":
         monkeypatch.setattr("docharbor.plans.load.root_hash", lambda: F.lit(1).alias("_root_hash"))
-    if way == "many":
-        monkeypatch.setattr("docharbor.plans.load.MOST_HASHES", 0)
-    in_place, made = [], _Resource._kept_in_place
+    if way in ("groups", "many"):
+        monkeypatch.setattr("docharbor.plans.load.MOST_HASHES", 6 if way == "groups" else 0)
+    in_place, made, plans = [], _Resource._kept_in_place, []
     monkeypatch.setattr(_Resource, "_kept_in_place", lambda *a: in_place.append(made(*a)) or in_place[-1])
+    rewrite = _Resource._rewrite
+
+    def watching(self, name, layout, rows, *args, **kwargs):
+        if name == "orders__items":
+            plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return rewrite(self, name, layout, rows, *args, **kwargs)
+
+    monkeypatch.setattr(_Resource, "_rewrite", watching)
     try:
         spec = LoadSpec("orders", "merge", primary_key="order_id", buckets=2)
-        put(dataset, spec, [(f"o{i}", [(f"a{i}",), (f"b{i}",)]) for i in range(20)], ITEMS)
-        done = put(dataset, spec, [(f"o{i}", [(f"c{i}",)]) for i in range(5)], ITEMS)
+        put(dataset, spec, [(f"o{i}", [(f"a{i}",), (f"b{i}",)]) for i in range(40)], ITEMS)
+        done = put(dataset, spec, [(f"o{i}", [(f"c{i}",)]) for i in range(8)], ITEMS, "l2")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    kept = [(f"{x}{i}",) for x in "ab" for i in range(5, 20)]
-    assert values(dataset, "orders__items", "sku") == sorted(kept + [(f"c{i}",) for i in range(5)])
+    kept = [(f"{x}{i}",) for x in "ab" for i in range(8, 40)]
+    assert values(dataset, "orders__items", "sku") == sorted(kept + [(f"c{i}",) for i in range(8)])
     changes = done.tables["orders__items"]
-    assert (changes.updated, changes.removed_orphans) == (5, 5)
-    (rows,) = in_place
-    assert (rows is not None) == (way == "hashes")
-    if rows is not None:
-        plan = rows._jdf.queryExecution().sparkPlan().toString()
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert (changes.updated, changes.removed_orphans) == (8, 8)
+    (parts,) = in_place
+    steps = {"hashes": ["kept"], "groups": ["kept", "kept-1"]}.get(way)
+    assert (parts and [p.path for p in parts]) == (steps and [f"_load=l2/_part={s}" for s in steps])
+    assert all(("SortMergeJoin" in plan) == (steps is None) for plan in plans) and plans
 
 
 def test_places_that_are_stored_several_times_are_counted_so(spark):
